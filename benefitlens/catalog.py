@@ -47,3 +47,226 @@ def q_rank_capacity(spark, sf):
     from benefitlens.operators.ranking import rank_capacity
     r = rank_capacity(_scored(spark, sf), _reg(spark, sf), top_k=None)
     return r.select("region", "rank", "employee_id", "employment_type", "enrolled", "p", "capacity")
+
+
+def _dedup(spark, sf):
+    from benefitlens.operators.dedup import dedup_keep_none
+    return dedup_keep_none(_emp(spark, sf), "employee_id")
+
+
+def _eng(spark, sf):
+    from benefitlens.plans.features import engineer_features
+    return engineer_features(_emp(spark, sf), _reg(spark, sf))
+
+
+def _split_scored(spark, sf):
+    """Scored rows with the stratified split/fold columns."""
+    from benefitlens.operators.split import stratified_split
+    return stratified_split(_scored(spark, sf), "enrolled", "employee_id")
+
+
+# --------------------------------------------------------------------------- sources (IO)
+@query("io_read_raw")
+def q_io_read_raw(spark, sf):
+    from benefitlens.schemas import EMP_SCHEMA
+    from benefitlens.sources.readers import conform, null_tokens_to_null
+    return conform(null_tokens_to_null(_emp(spark, sf)), EMP_SCHEMA)
+
+
+@query("io_read_region")
+def q_io_read_region(spark, sf):
+    from benefitlens.schemas import REGION_SCHEMA
+    from benefitlens.sources.readers import conform, null_tokens_to_null
+    return conform(null_tokens_to_null(_reg(spark, sf)), REGION_SCHEMA)
+
+
+def _arriving_records(spark, sf):
+    """Records as they would arrive for scoring: every 50th without a region,
+    every 50th+1 with a lower-cased (hence unknown) region."""
+    e = _emp(spark, sf)
+    k = F.col("employee_id") % 50
+    return e.withColumn("region", F.when(k == 0, F.lit(None).cast("string"))
+                        .when(k == 1, F.lower("region")).otherwise(F.col("region")))
+
+
+@query("io_validate_records")
+def q_io_validate_records(spark, sf):
+    from benefitlens.sources.readers import validate_records
+    return validate_records(_arriving_records(spark, sf), _reg(spark, sf)) \
+        .select("employee_id", "region", "reason")
+
+
+@query("default_columns")
+def q_default_columns(spark, sf):
+    from benefitlens.constants import SCORING_DEFAULTS
+    from benefitlens.sources.readers import with_default_columns
+    part = _emp(spark, sf).select("employee_id", "region", "age", "salary")
+    return with_default_columns(part).select("employee_id", "region", "age", "salary",
+                                             *[c for c in SCORING_DEFAULTS if c not in ("age", "salary")])
+
+
+def _write_split_table(spark, sf):
+    import uuid
+    from benefitlens.operators.split import stratified_split
+    from benefitlens.session import shared_path
+    from benefitlens.sources.sinks import write_splits
+    path = shared_path(spark, "splits", uuid.uuid4().hex)
+    write_splits(stratified_split(_eng(spark, sf)).drop("class_rank"), path)
+    return path
+
+
+@query("io_write_splits")
+def q_io_write_splits(spark, sf):
+    path = _write_split_table(spark, sf)
+    return spark.read.parquet(path).groupBy("split").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@query("io_read_split")
+def q_io_read_split(spark, sf):
+    from benefitlens.sources.sinks import read_split
+    path = _write_split_table(spark, sf)
+    return read_split(spark, path, "test").select("employee_id", "enrolled", "region", "salary", "split")
+
+
+@query("io_json_rows")
+def q_io_json_rows(spark, sf):
+    from benefitlens.operators.ranking import rank_capacity
+    from benefitlens.sources.sinks import json_rows
+    r = rank_capacity(_scored(spark, sf), _reg(spark, sf), top_k=10)
+    return json_rows(r.select("rank", "employee_id", "region", F.round("p", 4).alias("enrollment_probability")))
+
+
+@query("head_n")
+def q_head_n(spark, sf):
+    return _eng(spark, sf).orderBy("employee_id").limit(10).select("employee_id", "region", "salary")
+
+
+# --------------------------------------------------------------------------- projections / filters
+@query("feature_matrix")
+def q_feature_matrix(spark, sf):
+    from benefitlens.plans.features import feature_matrix
+    return feature_matrix(_eng(spark, sf), with_id=True)
+
+
+@query("exclude_columns")
+def q_exclude_columns(spark, sf):
+    from benefitlens.plans.features import exclude_columns
+    return exclude_columns(_eng(spark, sf))
+
+
+@query("feature_register")
+def q_feature_register(spark, sf):
+    from benefitlens.plans.features import feature_register
+    return feature_register(_eng(spark, sf))
+
+
+@query("filter_eq")
+def q_filter_eq(spark, sf):
+    return _eng(spark, sf).filter(F.col("enrolled") == 1).select("employee_id", "legacy_propensity_score")
+
+
+@query("filter_ci")
+def q_filter_ci(spark, sf):
+    from benefitlens.operators.ranking import filter_ci
+    return filter_ci(_dedup(spark, sf), "region", "Europe").select("employee_id", "region")
+
+
+@query("filter_isin")
+def q_filter_isin(spark, sf):
+    """Ids requested through urgent orders; unknown ids drop out (semi-join)."""
+    from benefitlens.sources.tables import read_table
+    req = (read_table(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+           .select(F.col("o_custkey").alias("employee_id")).distinct())
+    d = _dedup(spark, sf)
+    return d.join(req, d["employee_id"] == req["employee_id"], "left_semi") \
+            .select("employee_id", "region", "salary")
+
+
+@query("filter_notnull")
+def q_filter_notnull(spark, sf):
+    return _dedup(spark, sf).na.drop(subset=["application_date", "legacy_propensity_score"]) \
+        .select("employee_id", "application_date", "legacy_propensity_score")
+
+
+@query("filter_range")
+def q_filter_range(spark, sf):
+    return _emp(spark, sf).filter(F.col("salary") < 15000.0) \
+        .select("employee_id", "age", "salary", "employment_type", "tenure_years")
+
+
+@query("sentinel_long_tenure")
+def q_sentinel_long_tenure(spark, sf):
+    d = _dedup(spark, sf)
+    return d.filter((F.col("prior_year_enrolled") == -1) & (F.col("tenure_years") >= 1.0)) \
+        .select("employee_id", "tenure_years")
+
+
+@query("messy_rows")
+def q_messy_rows(spark, sf):
+    from benefitlens.operators.joins import any_true
+    e = _eng(spark, sf)
+    cond = any_true([F.col("has_application_date") == 0, F.col("contact_after_app") == 1,
+                     F.col("tenure_inconsistent") == 1, F.col("no_prior_record") == 1,
+                     F.col("last_contact_channel_clean") == "Unknown",
+                     F.col("plan_tier_requested_clean") == "Unknown"])
+    return e.filter(cond).select("employee_id")
+
+
+@query("date_format_profile")
+def q_date_format_profile(spark, sf):
+    from benefitlens.operators.profile import date_format_profile
+    return date_format_profile(_emp(spark, sf), "application_date")
+
+
+# --------------------------------------------------------------------------- joins
+@query("join_region")
+def q_join_region(spark, sf):
+    from benefitlens.operators.joins import join_dimension
+    from benefitlens.plans.features import clean_regions
+    j = join_dimension(_dedup(spark, sf), clean_regions(_reg(spark, sf)), "region")
+    return j.select("employee_id", "region", "hist_enrollment_rate_region", "hr_outreach_capacity",
+                    "state_mandate_level")
+
+
+@query("join_cardinality")
+def q_join_cardinality(spark, sf):
+    from benefitlens.operators.joins import join_cardinality
+    return join_cardinality(_dedup(spark, sf), _reg(spark, sf), "region")
+
+
+@query("join_unmatched")
+def q_join_unmatched(spark, sf):
+    from benefitlens.operators.joins import unmatched_keys
+    return unmatched_keys(_dedup(spark, sf), _reg(spark, sf), "region")
+
+
+@query("join_scores_back")
+def q_join_scores_back(spark, sf):
+    s = _scored(spark, sf).select("employee_id", "p")
+    return _dedup(spark, sf).join(s, "employee_id", "inner").select("employee_id", "age", "salary", "region", "p")
+
+
+@query("reconcile_region")
+def q_reconcile_region(spark, sf):
+    from benefitlens.operators.joins import reconcile
+    return reconcile(_eng(spark, sf), _reg(spark, sf), "region", [
+        ("count", F.count("employee_id").cast("double"), "n_employees_region"),
+        ("avg_salary", F.round(F.avg("salary"), 2), "avg_salary_region"),
+        ("rate", F.avg(F.col("enrolled").cast("double")), "hist_enrollment_rate_region"),
+    ])
+
+
+@query("audit_join")
+def q_audit_join(spark, sf):
+    test = _split_scored(spark, sf).filter(F.col("split") == "test").select("employee_id", "p", "enrolled")
+    demo = _dedup(spark, sf).select("employee_id", "gender", "age", "marital_status")
+    return test.join(demo, "employee_id", "inner")
+
+
+@query("join_null_report")
+def q_join_null_report(spark, sf):
+    from benefitlens.operators.joins import null_report
+    e = _eng(spark, sf)
+    cols = ["n_employees_region", "hist_enrollment_rate_region", "avg_salary_region", "avg_premium_cost_usd",
+            "benefits_broker_rating", "hr_outreach_capacity", "open_enrollment_window_days", "state_mandate_level"]
+    return null_report(e, cols)

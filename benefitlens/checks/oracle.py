@@ -2,43 +2,241 @@
 
 Every text starts from the same fixture views the Spark side derives; the
 operators themselves are re-stated in plain SQL, not generated from Spark.
+Integer outputs are BIGINT and floating outputs are rounded to 6 places on
+both sides.
 """
 
 from __future__ import annotations
 
 from benefitlens.sources.fixtures import duckdb_fixture_ctes
 
-SCORED = """scored AS (
-  SELECT employee_id, region, employment_type, enrolled,
+APP_FORMATS = "['%Y-%m-%d', '%d/%m/%Y', '%m/%d/%Y']"
+CONTACT_FORMATS = "['%Y-%m-%d', '%m/%d/%Y', '%d/%m/%Y']"
+
+BASE = """
+emp AS (SELECT * REPLACE (CAST(employee_id AS BIGINT) AS employee_id, CAST(age AS BIGINT) AS age,
+          CAST(prior_year_enrolled AS BIGINT) AS prior_year_enrolled, CAST(enrolled AS BIGINT) AS enrolled)
+        FROM emp_raw),
+reg AS (SELECT * REPLACE (CAST(n_employees_region AS BIGINT) AS n_employees_region,
+          CAST(avg_premium_cost_usd AS BIGINT) AS avg_premium_cost_usd,
+          CAST(hr_outreach_capacity AS BIGINT) AS hr_outreach_capacity,
+          CAST(open_enrollment_window_days AS BIGINT) AS open_enrollment_window_days)
+        FROM region_profile),
+dedup AS (SELECT * FROM emp WHERE employee_id IN
+          (SELECT employee_id FROM emp GROUP BY employee_id HAVING count(*) = 1)),
+regc AS (SELECT * REPLACE (CASE state_mandate_level WHEN 'High' THEN 'High' WHEN 'MED' THEN 'Medium'
+          WHEN 'low' THEN 'Low' WHEN 'Low' THEN 'Low' END AS state_mandate_level) FROM reg),
+eng0 AS (SELECT d.*, r.n_employees_region, r.hist_enrollment_rate_region, r.avg_salary_region,
+          r.avg_premium_cost_usd, r.benefits_broker_rating, r.hr_outreach_capacity,
+          r.open_enrollment_window_days, r.state_mandate_level,
+          CAST(try_strptime(trim(d.application_date), APPF) AS DATE) AS app_date,
+          CAST(try_strptime(trim(d.last_contact_date), CONTF) AS DATE) AS contact_date
+         FROM dedup d LEFT JOIN regc r ON d.region = r.region),
+eng AS (SELECT *,
+          CAST(app_date IS NOT NULL AS BIGINT) AS has_application_date,
+          CAST(date_diff('day', contact_date, app_date) AS BIGINT) AS days_contact_to_app,
+          CAST(coalesce(contact_date > app_date, false) AS BIGINT) AS contact_after_app,
+          CAST(coalesce(prior_year_enrolled = -1, false) AS BIGINT) AS no_prior_record,
+          CAST(coalesce(prior_year_enrolled = 1, false) AS BIGINT) AS prior_year_enrolled_clean,
+          coalesce(CASE last_contact_channel WHEN 'EMAIL' THEN 'Email' WHEN 'email' THEN 'Email'
+            WHEN 'e-mail' THEN 'Email' WHEN 'Email' THEN 'Email' WHEN 'PHONE' THEN 'Phone'
+            WHEN 'phone' THEN 'Phone' WHEN 'Phone' THEN 'Phone' WHEN 'Call' THEN 'Phone'
+            WHEN 'SMS' THEN 'SMS' WHEN 'sms' THEN 'SMS' WHEN 'Text' THEN 'SMS'
+            WHEN 'none' THEN 'Unknown' END, 'Unknown') AS last_contact_channel_clean,
+          coalesce(CASE plan_tier_requested WHEN 'STANDARD' THEN 'Standard' WHEN 'Standard' THEN 'Standard'
+            WHEN 'standard' THEN 'Standard' WHEN 'Silver' THEN 'Silver' WHEN 'silver plan' THEN 'Silver'
+            WHEN 'Bronze' THEN 'Bronze' WHEN 'BASIC' THEN 'Basic' WHEN 'Basic' THEN 'Basic'
+            WHEN 'basic' THEN 'Basic' WHEN 'premium plan' THEN 'Premium' WHEN 'Premium' THEN 'Premium'
+            WHEN 'PREMIUM' THEN 'Premium' WHEN 'gold' THEN 'Gold' WHEN 'Gold Plan' THEN 'Gold'
+            WHEN 'Gold' THEN 'Gold' END, 'Unknown') AS plan_tier_requested_clean,
+          coalesce(broker_channel, 'Unknown') AS broker_channel_clean,
+          CAST(coalesce(has_dependents = 'Yes', false) AS BIGINT) AS has_dependents_bin,
+          CAST(coalesce(tenure_years > age - 18, false) AS BIGINT) AS tenure_inconsistent
+        FROM eng0),
+scored AS (SELECT employee_id, region, employment_type, enrolled,
     0.05e0 + (CASE WHEN has_dependents = 'Yes' THEN 0.45e0 ELSE 0e0 END)
            + (CASE WHEN salary >= 60000e0 THEN 0.25e0 ELSE 0e0 END)
            + (CASE WHEN employment_type = 'Full-time' THEN 0.1e0 ELSE 0e0 END)
            + (employee_id % 10) / 100e0 AS p
-  FROM emp_raw WHERE employee_id % 187 <> 0)"""
+  FROM dedup),
+ranked AS (SELECT employee_id, enrolled,
+    row_number() OVER (PARTITION BY enrolled ORDER BY md5('42:' || CAST(employee_id AS VARCHAR))) - 1 AS class_rank
+  FROM dedup),
+cls AS (SELECT enrolled, count(*) AS n_c FROM dedup GROUP BY enrolled),
+tot AS (SELECT CAST(sum(n_c) AS BIGINT) AS n, CAST(ceil(sum(n_c) / 5e0) AS BIGINT) AS nt FROM cls),
+alloc0 AS (SELECT c.enrolled, (t.nt * c.n_c) // t.n AS base, (t.nt * c.n_c) % t.n AS rem, t.nt
+  FROM cls c, tot t),
+alloc AS (SELECT enrolled, base + CASE WHEN row_number() OVER (ORDER BY rem DESC, enrolled)
+    <= nt - sum(base) OVER () THEN 1 ELSE 0 END AS n_test FROM alloc0),
+splits AS (SELECT r.employee_id, r.enrolled, CAST(r.class_rank AS BIGINT) AS class_rank,
+    CASE WHEN r.class_rank < a.n_test THEN 'test' ELSE 'train' END AS split,
+    CAST(r.class_rank % 5 AS BIGINT) AS fold
+  FROM ranked r JOIN alloc a ON r.enrolled = a.enrolled)
+""".replace("APPF", APP_FORMATS).replace("CONTF", CONTACT_FORMATS)
 
-HEAD = "WITH " + duckdb_fixture_ctes() + ",\n" + SCORED
+HEAD = "WITH " + duckdb_fixture_ctes() + "," + BASE
 
 
-def wrap(body: str, ints=(), floats=()) -> str:
-    """Fixture CTEs + body, with integer columns as BIGINT and floats rounded."""
+def wrap(body: str, ints=(), floats=(), dates=()) -> str:
+    """Fixture + shared CTEs + body; listed columns normalised in a final REPLACE."""
     sql = HEAD + "\n" + body
     repl = [f"CAST({c} AS BIGINT) AS {c}" for c in ints]
     repl += [f"ROUND(CAST({c} AS DOUBLE), 6) AS {c}" for c in floats]
+    repl += [f"CAST({c} AS VARCHAR) AS {c}" for c in dates]
     if not repl:
         return sql
     return f"SELECT * REPLACE ({', '.join(repl)}) FROM (\n{sql}\n) q"
 
 
+def nulls_union(table: str, cols, name="column_name", value="null_count") -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS {name}, CAST(count(*) - count({c}) AS BIGINT) AS {value} FROM {table}" for c in cols)
+
+
 ORACLE: dict[str, str] = {}
 
 
-def oracle(name, body, ints=(), floats=()):
-    ORACLE[name] = wrap(body, ints, floats)
+def oracle(name, body, ints=(), floats=(), dates=()):
+    ORACLE[name] = wrap(body, ints, floats, dates)
 
 
+# --------------------------------------------------------------------------- ranking
 oracle("rank_capacity", """
 SELECT s.region, s.rank, s.employee_id, s.employment_type, s.enrolled, s.p, r.capacity
 FROM (SELECT *, row_number() OVER (PARTITION BY region ORDER BY p DESC, employee_id) AS rank FROM scored) s
-JOIN (SELECT region, hr_outreach_capacity AS capacity FROM region_profile) r ON s.region = r.region
+JOIN (SELECT region, hr_outreach_capacity AS capacity FROM reg) r ON s.region = r.region
 WHERE s.rank <= r.capacity
-""", ints=["rank", "employee_id", "enrolled", "capacity"], floats=["p"])
+""", floats=["p"])
+
+# --------------------------------------------------------------------------- sources
+EMP_FLOATS = ["salary", "tenure_years", "legacy_propensity_score"]
+REG_FLOATS = ["hist_enrollment_rate_region", "avg_salary_region", "benefits_broker_rating"]
+
+oracle("io_read_raw", "SELECT * FROM emp", floats=EMP_FLOATS)
+oracle("io_read_region", "SELECT * FROM reg", floats=REG_FLOATS)
+oracle("io_validate_records", """
+SELECT employee_id, region,
+  CASE WHEN region IS NULL THEN 'missing_region'
+       WHEN NOT EXISTS (SELECT 1 FROM reg r WHERE r.region = x.region) THEN 'unknown_region' END AS reason
+FROM (SELECT employee_id, CASE WHEN employee_id % 50 = 0 THEN NULL WHEN employee_id % 50 = 1 THEN lower(region)
+        ELSE region END AS region FROM emp) x
+""")
+oracle("default_columns", """
+SELECT employee_id, region, age, salary, 'Unknown' AS gender, 'Unknown' AS marital_status,
+  'Unknown' AS employment_type, 'No' AS has_dependents, CAST(NULL AS DOUBLE) AS tenure_years,
+  CAST(-1 AS BIGINT) AS prior_year_enrolled, CAST(NULL AS VARCHAR) AS application_date,
+  CAST(NULL AS VARCHAR) AS last_contact_date, CAST(NULL AS VARCHAR) AS last_contact_channel,
+  CAST(NULL AS VARCHAR) AS plan_tier_requested, CAST(NULL AS VARCHAR) AS broker_channel
+FROM emp
+""", floats=["salary", "tenure_years"])
+oracle("io_read_split", """
+SELECT e.employee_id, e.enrolled, e.region, e.salary, s.split
+FROM eng e JOIN splits s ON e.employee_id = s.employee_id WHERE s.split = 'test'
+""", floats=["salary"])
+oracle("head_n", "SELECT employee_id, region, salary FROM eng ORDER BY employee_id LIMIT 10", floats=["salary"])
+
+# --------------------------------------------------------------------------- projections / filters
+FEATURES = ["salary", "employment_type", "region", "tenure_years", "hist_enrollment_rate_region",
+            "avg_premium_cost_usd", "benefits_broker_rating", "hr_outreach_capacity",
+            "open_enrollment_window_days", "state_mandate_level", "has_application_date",
+            "days_contact_to_app", "contact_after_app", "no_prior_record", "prior_year_enrolled_clean",
+            "last_contact_channel_clean", "plan_tier_requested_clean", "broker_channel_clean",
+            "has_dependents_bin", "tenure_inconsistent"]
+FEATURE_FLOATS = ["salary", "tenure_years", "hist_enrollment_rate_region", "benefits_broker_rating"]
+
+oracle("feature_matrix", f"SELECT employee_id, {', '.join(FEATURES)} FROM eng", floats=FEATURE_FLOATS)
+oracle("exclude_columns", """
+SELECT * EXCLUDE (employee_id, application_date, last_contact_date, app_date, contact_date,
+  prior_year_enrolled, has_dependents, last_contact_channel, plan_tier_requested, broker_channel,
+  legacy_propensity_score, n_employees_region, avg_salary_region, outreach_notes, age, gender,
+  marital_status) FROM eng
+""", floats=FEATURE_FLOATS)
+
+_CAND = ["age", "gender", "marital_status", "salary", "employment_type", "region", "has_dependents_bin",
+         "tenure_years", "tenure_inconsistent", "no_prior_record", "prior_year_enrolled_clean",
+         "last_contact_channel_clean", "broker_channel_clean", "plan_tier_requested_clean",
+         "has_application_date", "days_contact_to_app", "contact_after_app", "hist_enrollment_rate_region",
+         "avg_premium_cost_usd", "benefits_broker_rating", "hr_outreach_capacity",
+         "open_enrollment_window_days", "state_mandate_level", "outreach_notes"]
+_EXCL = ["employee_id", "enrolled", "application_date", "last_contact_date", "app_date", "contact_date",
+         "prior_year_enrolled", "has_dependents", "last_contact_channel", "plan_tier_requested",
+         "broker_channel", "legacy_propensity_score", "n_employees_region", "avg_salary_region"]
+_REG_ROWS = ", ".join([f"('{c}', 'candidate', {i})" for i, c in enumerate(_CAND)]
+                      + [f"('{c}', 'excluded', {i})" for i, c in enumerate(_EXCL)])
+oracle("feature_register", f"""
+, nulls AS ({nulls_union('eng', list(dict.fromkeys(_CAND + _EXCL)))})
+SELECT r.column_name, r.role, r.position, n.null_count
+FROM (VALUES {_REG_ROWS}) r(column_name, role, position) LEFT JOIN nulls n ON r.column_name = n.column_name
+""".replace("\n, nulls AS", "\nSELECT * FROM (WITH nulls AS", 1).rstrip() + ")", ints=["position"])
+oracle("filter_eq", "SELECT employee_id, legacy_propensity_score FROM eng WHERE enrolled = 1",
+       floats=["legacy_propensity_score"])
+oracle("filter_ci", "SELECT employee_id, region FROM dedup WHERE lower(region) = 'europe'")
+oracle("filter_isin", """
+SELECT employee_id, region, salary FROM dedup
+WHERE employee_id IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+""", floats=["salary"])
+oracle("filter_notnull", """
+SELECT employee_id, application_date, legacy_propensity_score FROM dedup
+WHERE application_date IS NOT NULL AND legacy_propensity_score IS NOT NULL
+""", floats=["legacy_propensity_score"])
+oracle("filter_range", """
+SELECT employee_id, age, salary, employment_type, tenure_years FROM emp WHERE salary < 15000e0
+""", floats=["salary", "tenure_years"])
+oracle("sentinel_long_tenure", """
+SELECT employee_id, tenure_years FROM dedup WHERE prior_year_enrolled = -1 AND tenure_years >= 1e0
+""", floats=["tenure_years"])
+oracle("messy_rows", """
+SELECT employee_id FROM eng WHERE has_application_date = 0 OR contact_after_app = 1 OR tenure_inconsistent = 1
+  OR no_prior_record = 1 OR last_contact_channel_clean = 'Unknown' OR plan_tier_requested_clean = 'Unknown'
+""")
+oracle("date_format_profile", """
+SELECT CAST(count(*) AS BIGINT) AS slash_rows,
+  max(TRY_CAST(split_part(application_date, '/', 1) AS INT)) AS max_first,
+  max(TRY_CAST(split_part(application_date, '/', 2) AS INT)) AS max_second,
+  CAST(count(*) FILTER (WHERE TRY_CAST(split_part(application_date, '/', 1) AS INT) > 12) AS BIGINT) AS first_gt_12,
+  CAST(count(*) FILTER (WHERE TRY_CAST(split_part(application_date, '/', 2) AS INT) > 12) AS BIGINT) AS second_gt_12
+FROM emp WHERE application_date IS NOT NULL AND contains(application_date, '/')
+""", ints=["max_first", "max_second"])
+
+# --------------------------------------------------------------------------- joins
+oracle("join_region", """
+SELECT d.employee_id, d.region, r.hist_enrollment_rate_region, r.hr_outreach_capacity, r.state_mandate_level
+FROM dedup d LEFT JOIN regc r ON d.region = r.region
+""", floats=["hist_enrollment_rate_region"])
+oracle("join_cardinality", """
+SELECT rows_before, rows_after, dim_key_unique, rows_before = rows_after AS cardinality_ok FROM (
+  SELECT (SELECT CAST(count(*) AS BIGINT) FROM dedup) AS rows_before,
+         (SELECT CAST(count(*) AS BIGINT) FROM dedup d LEFT JOIN reg r ON d.region = r.region) AS rows_after,
+         (SELECT count(*) = count(DISTINCT region) FROM reg) AS dim_key_unique)
+""")
+oracle("join_unmatched", """
+SELECT 'fact_only' AS side, region FROM (SELECT DISTINCT region FROM dedup) f
+WHERE NOT EXISTS (SELECT 1 FROM reg r WHERE r.region = f.region)
+UNION ALL
+SELECT 'dimension_only' AS side, region FROM (SELECT DISTINCT region FROM reg) g
+WHERE NOT EXISTS (SELECT 1 FROM dedup d WHERE d.region = g.region)
+""")
+oracle("join_scores_back", """
+SELECT d.employee_id, d.age, d.salary, d.region, s.p FROM dedup d JOIN scored s ON d.employee_id = s.employee_id
+""", floats=["salary", "p"])
+oracle("reconcile_region", """
+SELECT coalesce(c.region, p.region) AS region, c.count_actual, c.avg_salary_actual, c.rate_actual,
+  p.count_published, p.avg_salary_published, p.rate_published,
+  abs(c.count_actual - p.count_published) AS count_diff,
+  abs(c.avg_salary_actual - p.avg_salary_published) AS avg_salary_diff,
+  abs(c.rate_actual - p.rate_published) AS rate_diff
+FROM (SELECT region, CAST(count(employee_id) AS DOUBLE) AS count_actual, round(avg(salary), 2) AS avg_salary_actual,
+        avg(CAST(enrolled AS DOUBLE)) AS rate_actual FROM eng GROUP BY region) c
+FULL OUTER JOIN (SELECT region, CAST(n_employees_region AS DOUBLE) AS count_published,
+        CAST(avg_salary_region AS DOUBLE) AS avg_salary_published,
+        CAST(hist_enrollment_rate_region AS DOUBLE) AS rate_published FROM reg) p ON c.region = p.region
+""", floats=["count_actual", "avg_salary_actual", "rate_actual", "count_published", "avg_salary_published",
+             "rate_published", "count_diff", "avg_salary_diff", "rate_diff"])
+oracle("audit_join", """
+SELECT s.employee_id, s.p, s.enrolled, d.gender, d.age, d.marital_status
+FROM splits sp JOIN scored s ON sp.employee_id = s.employee_id JOIN dedup d ON d.employee_id = s.employee_id
+WHERE sp.split = 'test'
+""", floats=["p"])
+oracle("join_null_report", nulls_union("eng", [
+    "n_employees_region", "hist_enrollment_rate_region", "avg_salary_region", "avg_premium_cost_usd",
+    "benefits_broker_rating", "hr_outreach_capacity", "open_enrollment_window_days", "state_mandate_level"]))

@@ -15,7 +15,7 @@ MONTH_FIRST = _ISO + ["M/d/yyyy", "d/M/yyyy"] + _TEXT
 
 def _parse(c: Column, patterns) -> Column:
     t = F.trim(c)
-    return F.coalesce(*[F.try_to_date(t, F.lit(p)) for p in patterns])
+    return F.coalesce(*[F.try_to_date(t, p) for p in patterns])
 
 
 def parse_day_first(c) -> Column:
