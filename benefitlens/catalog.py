@@ -270,3 +270,408 @@ def q_join_null_report(spark, sf):
     cols = ["n_employees_region", "hist_enrollment_rate_region", "avg_salary_region", "avg_premium_cost_usd",
             "benefits_broker_rating", "hr_outreach_capacity", "open_enrollment_window_days", "state_mandate_level"]
     return null_report(e, cols)
+
+
+# --------------------------------------------------------------------------- aggregates / profiles
+def _raw_typed(spark, sf):
+    from benefitlens.schemas import EMP_SCHEMA
+    from benefitlens.sources.readers import conform
+    return conform(_emp(spark, sf), EMP_SCHEMA)
+
+
+MISSING_COLS = ["application_date", "last_contact_channel", "plan_tier_requested", "broker_channel",
+                "legacy_propensity_score", "outreach_notes"]
+
+
+@query("profile_table")
+def q_profile_table(spark, sf):
+    from benefitlens.operators.profile import profile_table
+    return profile_table(_raw_typed(spark, sf))
+
+
+@query("missing_profile")
+def q_missing_profile(spark, sf):
+    from benefitlens.operators.profile import missing_profile
+    return missing_profile(_dedup(spark, sf))
+
+
+@query("describe_numeric")
+def q_describe_numeric(spark, sf):
+    from benefitlens.operators.profile import describe_numeric
+    return describe_numeric(_dedup(spark, sf))
+
+
+@query("describe_by_group")
+def q_describe_by_group(spark, sf):
+    from benefitlens.operators.profile import describe_by_group
+    return describe_by_group(_dedup(spark, sf), "enrolled", "legacy_propensity_score")
+
+
+@query("value_counts")
+def q_value_counts(spark, sf):
+    from benefitlens.operators.profile import value_counts
+    return value_counts(_dedup(spark, sf), "last_contact_channel")
+
+
+@query("value_counts_norm")
+def q_value_counts_norm(spark, sf):
+    from benefitlens.operators.profile import value_counts
+    return value_counts(_dedup(spark, sf), "prior_year_enrolled", normalize=True)
+
+
+@query("cardinality_top5")
+def q_cardinality_top5(spark, sf):
+    from benefitlens.operators.profile import cardinality_top5
+    return cardinality_top5(_emp(spark, sf))
+
+
+@query("distinct_levels")
+def q_distinct_levels(spark, sf):
+    from benefitlens.operators.profile import distinct_levels
+    return distinct_levels(_eng(spark, sf), "plan_tier_requested_clean")
+
+
+@query("rate_by_group")
+def q_rate_by_group(spark, sf):
+    from benefitlens.operators.profile import rate_by_group
+    return rate_by_group(_dedup(spark, sf), "prior_year_enrolled")
+
+
+@query("rate_by_sentinel_pair")
+def q_rate_by_sentinel_pair(spark, sf):
+    from benefitlens.operators.profile import rate_by_group
+    return rate_by_group(_eng(spark, sf), ["no_prior_record", "prior_year_enrolled_clean"])
+
+
+@query("count_by_group")
+def q_count_by_group(spark, sf):
+    from benefitlens.operators.profile import count_by_group
+    return count_by_group(_eng(spark, sf), "region")
+
+
+@query("first_by_group")
+def q_first_by_group(spark, sf):
+    from benefitlens.operators.profile import first_by_group
+    return first_by_group(_eng(spark, sf), "region", "hist_enrollment_rate_region")
+
+
+@query("crosstab")
+def q_crosstab(spark, sf):
+    from benefitlens.operators.profile import crosstab
+    from benefitlens.sources.tables import read_table
+    return crosstab(read_table(spark, sf, "labels"), "quality", "toxic", [0, 1])
+
+
+@query("crosstab_margins")
+def q_crosstab_margins(spark, sf):
+    from benefitlens.operators.profile import crosstab_margins
+    e = _emp(spark, sf).withColumn("has_application_date", F.col("application_date").isNotNull())
+    return crosstab_margins(e, "has_application_date", "enrolled")
+
+
+@query("crosstab_rowpct")
+def q_crosstab_rowpct(spark, sf):
+    from benefitlens.operators.profile import crosstab_rowpct
+    return crosstab_rowpct(_emp(spark, sf), "plan_tier_requested", "enrolled", [0, 1])
+
+
+@query("corr_target")
+def q_corr_target(spark, sf):
+    from benefitlens.operators.profile import corr_with_target
+    return corr_with_target(_eng(spark, sf), ["legacy_propensity_score", "hist_enrollment_rate_region"])
+
+
+@query("corr_all_target")
+def q_corr_all_target(spark, sf):
+    from benefitlens.operators.profile import corr_with_target
+    return corr_with_target(_dedup(spark, sf), ["age", "salary", "tenure_years", "prior_year_enrolled",
+                                               "legacy_propensity_score"])
+
+
+@query("missing_corr")
+def q_missing_corr(spark, sf):
+    from benefitlens.operators.profile import missing_corr
+    return missing_corr(_dedup(spark, sf), MISSING_COLS)
+
+
+@query("missing_cooccur")
+def q_missing_cooccur(spark, sf):
+    from benefitlens.operators.profile import missing_cooccur
+    return missing_cooccur(_dedup(spark, sf), MISSING_COLS[:4])
+
+
+@query("quantiles")
+def q_quantiles(spark, sf):
+    from benefitlens.operators.profile import quantiles
+    return quantiles(_emp(spark, sf), "salary", [0.001, 0.005, 0.01, 0.05, 0.1, 0.5])
+
+
+@query("chronology_stats")
+def q_chronology_stats(spark, sf):
+    from benefitlens.operators.profile import chronology_stats
+    return chronology_stats(_eng(spark, sf))
+
+
+@query("date_parse_failures")
+def q_date_parse_failures(spark, sf):
+    from benefitlens.functions.dates import parse_day_first, parse_month_first
+    from benefitlens.operators.profile import date_parse_failures
+    d = _dedup(spark, sf)
+    a = date_parse_failures(d, "application_date", parse_day_first("application_date")) \
+        .select(F.lit("application_date").alias("column_name"), "employee_id",
+                F.col("application_date").alias("raw_value"))
+    b = date_parse_failures(d, "last_contact_date", parse_month_first("last_contact_date")) \
+        .select(F.lit("last_contact_date").alias("column_name"), "employee_id",
+                F.col("last_contact_date").alias("raw_value"))
+    return a.unionByName(b)
+
+
+@query("start_age_profile")
+def q_start_age_profile(spark, sf):
+    from benefitlens.operators.profile import start_age_profile
+    return start_age_profile(_emp(spark, sf))
+
+
+@query("duplicate_conflicts")
+def q_duplicate_conflicts(spark, sf):
+    from benefitlens.operators.dedup import duplicate_conflicts
+    return duplicate_conflicts(_emp(spark, sf), "employee_id", "enrolled")
+
+
+@query("duplicates_by_region")
+def q_duplicates_by_region(spark, sf):
+    from benefitlens.operators.dedup import duplicates_by_region
+    return duplicates_by_region(_emp(spark, sf), "employee_id", "region")
+
+
+@query("split_balance")
+def q_split_balance(spark, sf):
+    from benefitlens.operators.split import split_balance, stratified_split
+    return split_balance(stratified_split(_eng(spark, sf)))
+
+
+# --------------------------------------------------------------------------- duplicates / windows / top-K
+@query("dedup_keep_none")
+def q_dedup_keep_none(spark, sf):
+    return _dedup(spark, sf)
+
+
+@query("dedup_keep_first")
+def q_dedup_keep_first(spark, sf):
+    from benefitlens.operators.dedup import dedup_keep_first
+    e = _emp(spark, sf).withColumn("_score_missing", F.col("legacy_propensity_score").isNull())
+    return dedup_keep_first(e, "employee_id", ["_score_missing", "enrolled"]).drop("_score_missing")
+
+
+@query("mark_duplicates")
+def q_mark_duplicates(spark, sf):
+    from benefitlens.operators.dedup import mark_duplicates
+    from benefitlens.sources.tables import read_table
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return mark_duplicates(li, ["l_orderkey", "l_linenumber"])
+
+
+@query("sort_scores")
+def q_sort_scores(spark, sf):
+    from benefitlens.operators.ranking import sort_scores
+    return sort_scores(_scored(spark, sf)).select("employee_id", "p")
+
+
+@query("rank_topk")
+def q_rank_topk(spark, sf):
+    from benefitlens.operators.ranking import rank_topk
+    return rank_topk(_scored(spark, sf), 10).select("rank", "employee_id", "p")
+
+
+@query("rank_filtered")
+def q_rank_filtered(spark, sf):
+    from benefitlens.operators.ranking import rank_capacity
+    r = rank_capacity(_scored(spark, sf), _reg(spark, sf), top_k=10, ascending=True,
+                      region_filter="europe", employment_type="full-time")
+    return r.select("region", "rank", "employee_id", "employment_type", "p")
+
+
+@query("rank_summary")
+def q_rank_summary(spark, sf):
+    from benefitlens.operators.ranking import rank_summary
+    return rank_summary(_scored(spark, sf), _reg(spark, sf), top_k=None)
+
+
+@query("region_profile")
+def q_region_profile(spark, sf):
+    from benefitlens.operators.ranking import region_profile_lookup
+    return region_profile_lookup(_reg(spark, sf))
+
+
+@query("split_overlap")
+def q_split_overlap(spark, sf):
+    from benefitlens.operators.split import split_overlap, stratified_split
+    return split_overlap(stratified_split(_eng(spark, sf)), ("salary", "age", "region"))
+
+
+# --------------------------------------------------------------------------- scalar functions
+@query("parse_dates")
+def q_parse_dates(spark, sf):
+    return _eng(spark, sf).select("employee_id", "application_date", "app_date", "last_contact_date",
+                                  "contact_date")
+
+
+@query("days_contact_to_app")
+def q_days_contact_to_app(spark, sf):
+    return _eng(spark, sf).select("employee_id", "days_contact_to_app")
+
+
+@query("contact_after_app")
+def q_contact_after_app(spark, sf):
+    return _eng(spark, sf).select("employee_id", "contact_after_app")
+
+
+@query("has_application_date")
+def q_has_application_date(spark, sf):
+    return _eng(spark, sf).select("employee_id", "has_application_date")
+
+
+@query("sentinel_flags")
+def q_sentinel_flags(spark, sf):
+    return _eng(spark, sf).select("employee_id", "prior_year_enrolled", "no_prior_record",
+                                  "prior_year_enrolled_clean")
+
+
+@query("canon_channel")
+def q_canon_channel(spark, sf):
+    return _eng(spark, sf).select("employee_id", "last_contact_channel", "last_contact_channel_clean")
+
+
+@query("canon_tier")
+def q_canon_tier(spark, sf):
+    return _eng(spark, sf).select("employee_id", "plan_tier_requested", "plan_tier_requested_clean")
+
+
+@query("canon_mandate")
+def q_canon_mandate(spark, sf):
+    from benefitlens.functions.canon import canon_mandate
+    return _reg(spark, sf).select("region", "state_mandate_level",
+                                  canon_mandate("state_mandate_level").alias("state_mandate_level_clean"))
+
+
+@query("unmapped_labels")
+def q_unmapped_labels(spark, sf):
+    from benefitlens.constants import CHANNEL_MAP, MANDATE_MAP, TIER_MAP
+    from benefitlens.functions.canon import lookup
+    d, r = _dedup(spark, sf), _reg(spark, sf)
+
+    def unmapped(df, col, mapping):
+        return (df.filter(F.col(col).isNotNull() & lookup(col, mapping).isNull())
+                .select(F.lit(col).alias("column_name"), F.col(col).alias("raw_value")).distinct())
+    return (unmapped(d, "last_contact_channel", CHANNEL_MAP)
+            .unionByName(unmapped(d, "plan_tier_requested", TIER_MAP))
+            .unionByName(unmapped(r, "state_mandate_level", MANDATE_MAP)))
+
+
+@query("canon_report")
+def q_canon_report(spark, sf):
+    e = _eng(spark, sf)
+    a = e.groupBy(F.lit("last_contact_channel").alias("column_name"),
+                  F.col("last_contact_channel").alias("raw_value"),
+                  F.col("last_contact_channel_clean").alias("clean_value")).count()
+    b = e.groupBy(F.lit("plan_tier_requested").alias("column_name"),
+                  F.col("plan_tier_requested").alias("raw_value"),
+                  F.col("plan_tier_requested_clean").alias("clean_value")).count()
+    return a.unionByName(b).withColumn("count", F.col("count").cast("bigint"))
+
+
+@query("canon_trim")
+def q_canon_trim(spark, sf):
+    from benefitlens.constants import CHANNEL_MAP, TIER_MAP
+    from benefitlens.functions.canon import lookup_trim_retry
+    d = _dedup(spark, sf)
+    return d.select("employee_id",
+                    lookup_trim_retry("plan_tier_requested", TIER_MAP).alias("plan_tier_requested_clean"),
+                    lookup_trim_retry("last_contact_channel", CHANNEL_MAP).alias("last_contact_channel_clean"))
+
+
+@query("fill_unknown")
+def q_fill_unknown(spark, sf):
+    return _eng(spark, sf).select("employee_id", "broker_channel", "broker_channel_clean")
+
+
+@query("median_impute")
+def q_median_impute(spark, sf):
+    from benefitlens.operators.split import stratified_split
+    s = stratified_split(_eng(spark, sf))
+    med = (s.filter(F.col("split") == "train")
+           .agg(F.percentile(F.col("days_contact_to_app").cast("double"), 0.5)).first()[0])
+    return s.select("employee_id", "split",
+                    F.coalesce(F.col("days_contact_to_app").cast("double"), F.lit(med))
+                    .alias("days_contact_to_app_imputed"))
+
+
+@query("dependents_flag")
+def q_dependents_flag(spark, sf):
+    return _eng(spark, sf).select("employee_id", "has_dependents", "has_dependents_bin")
+
+
+@query("tenure_flag")
+def q_tenure_flag(spark, sf):
+    return _eng(spark, sf).select("employee_id", "age", "tenure_years", "tenure_inconsistent")
+
+
+@query("categorical_domain")
+def q_categorical_domain(spark, sf):
+    from benefitlens.constants import CATEGORICAL_LEVELS
+    from benefitlens.plans.features import apply_domains
+    return apply_domains(_eng(spark, sf)).select("employee_id", *CATEGORICAL_LEVELS)
+
+
+def category_codes(df, column):
+    """alphabetical codes of the distinct levels, null -> -1."""
+    from pyspark.sql import Window
+    from benefitlens.operators.joins import broadcast_if_small
+    levels = df.select(column).filter(F.col(column).isNotNull()).distinct()
+    # one row per level of a categorical column: a single ordered window is fine
+    coded = levels.withColumn(f"{column}_code", F.dense_rank().over(Window.orderBy(column)) - 1)
+    out = df.join(broadcast_if_small(coded), column, "left")
+    return out.withColumn(f"{column}_code", F.coalesce(F.col(f"{column}_code"), F.lit(-1)))
+
+
+@query("category_codes")
+def q_category_codes(spark, sf):
+    d = _dedup(spark, sf)
+    return category_codes(d, "employment_type").select("employee_id", "employment_type", "employment_type_code")
+
+
+@query("age_bands")
+def q_age_bands(spark, sf):
+    from benefitlens.functions.flags import age_band
+    return _dedup(spark, sf).select("employee_id", "age", age_band("age").alias("age_group"))
+
+
+@query("text_case")
+def q_text_case(spark, sf):
+    from benefitlens.functions.text import py_strip
+    d = _dedup(spark, sf)
+    t = F.col("plan_tier_requested")
+    return d.select("employee_id", "plan_tier_requested", F.lower(t).alias("lower_value"),
+                    py_strip(t).alias("stripped_value"),
+                    F.initcap(F.lower(py_strip(t))).alias("title_value"))
+
+
+def _prompts(spark, sf):
+    """Conversation turns with a screening phrase mixed into some of them."""
+    from benefitlens.sources.tables import read_table
+    c = read_table(spark, sf, "conversations")
+    k = (F.col("conv_id") + F.col("turn")) % 11
+    marker = (F.when(k == 0, F.lit(" Which plan is best to treat my diabetes?"))
+              .when(k == 1, F.lit(" Please filter out female employees from the list."))
+              .when(k == 2, F.lit(" I need a Doctor."))
+              .when(k == 3, F.lit(" We must never discriminate."))
+              .when(k == 4, F.lit(" exclude men from outreach"))
+              .when(k == 5, F.lit(" the air conditioning is curative"))
+              .otherwise(F.lit("")))
+    return c.select("conv_id", "turn", F.concat(F.col("text"), marker).alias("text"))
+
+
+@query("screen_prompts")
+def q_screen_prompts(spark, sf):
+    from benefitlens.operators.governance import screen_prompts
+    return screen_prompts(_prompts(spark, sf)).select("conv_id", "turn", "allowed", "refusal_type")

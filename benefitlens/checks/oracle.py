@@ -240,3 +240,308 @@ WHERE sp.split = 'test'
 oracle("join_null_report", nulls_union("eng", [
     "n_employees_region", "hist_enrollment_rate_region", "avg_salary_region", "avg_premium_cost_usd",
     "benefits_broker_rating", "hr_outreach_capacity", "open_enrollment_window_days", "state_mandate_level"]))
+
+
+def case_map(expr: str, mapping: dict) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"(CASE {expr} {whens} END)"
+
+
+CHANNEL = {"EMAIL": "Email", "email": "Email", "e-mail": "Email", "Email": "Email", "PHONE": "Phone",
+           "phone": "Phone", "Phone": "Phone", "Call": "Phone", "SMS": "SMS", "sms": "SMS", "Text": "SMS",
+           "none": "Unknown"}
+TIER = {"STANDARD": "Standard", "Standard": "Standard", "standard": "Standard", "Silver": "Silver",
+        "silver plan": "Silver", "Bronze": "Bronze", "BASIC": "Basic", "Basic": "Basic", "basic": "Basic",
+        "premium plan": "Premium", "Premium": "Premium", "PREMIUM": "Premium", "gold": "Gold",
+        "Gold Plan": "Gold", "Gold": "Gold"}
+MANDATE = {"High": "High", "MED": "Medium", "low": "Low", "Low": "Low"}
+DESC = ["count", "mean", "std", "min", "max", "q25", "q50", "q75"]
+DESC_FLOATS = DESC[1:]
+
+
+def describe_sql(expr: str) -> str:
+    return (f"CAST(count({expr}) AS BIGINT) AS count, avg({expr}) AS mean, stddev_samp({expr}) AS std, "
+            f"min({expr}) AS min, max({expr}) AS max, quantile_cont({expr}, 0.25) AS q25, "
+            f"quantile_cont({expr}, 0.5) AS q50, quantile_cont({expr}, 0.75) AS q75")
+
+
+# --------------------------------------------------------------------------- aggregates / profiles
+_EMP_TYPES = [("employee_id", "bigint"), ("age", "int"), ("gender", "string"), ("marital_status", "string"),
+              ("salary", "double"), ("employment_type", "string"), ("region", "string"),
+              ("has_dependents", "string"), ("tenure_years", "double"), ("application_date", "string"),
+              ("last_contact_date", "string"), ("last_contact_channel", "string"),
+              ("plan_tier_requested", "string"), ("broker_channel", "string"), ("prior_year_enrolled", "int"),
+              ("legacy_propensity_score", "double"), ("outreach_notes", "string"), ("enrolled", "int")]
+_EMP_COLS = [c for c, _ in _EMP_TYPES]
+_EMP_TEXT = [c for c, t in _EMP_TYPES if t == "string"]
+_EMP_NUM = [c for c, t in _EMP_TYPES if t != "string"]
+
+oracle("profile_table", "\nUNION ALL\n".join(
+    f"SELECT (SELECT count(*) FROM emp) AS n_rows, 18 AS n_cols, {i} AS position, '{c}' AS column_name, "
+    f"'{t}' AS data_type, '{'text' if t == 'string' else 'numeric'}' AS kind, count({c}) AS non_null FROM emp"
+    for i, (c, t) in enumerate(_EMP_TYPES)), ints=["n_rows", "n_cols", "position", "non_null"])
+oracle("missing_profile", f"""
+SELECT column_name, null_count, null_count * 100e0 / (SELECT count(*) FROM dedup) AS null_pct
+FROM ({nulls_union('dedup', _EMP_COLS)}) x WHERE null_count > 0
+""", floats=["null_pct"])
+oracle("describe_numeric", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, {describe_sql(f'CAST({c} AS DOUBLE)')} FROM dedup" for c in _EMP_NUM),
+    floats=DESC_FLOATS)
+oracle("describe_by_group", f"""
+SELECT enrolled, {describe_sql('legacy_propensity_score')} FROM dedup WHERE enrolled IS NOT NULL GROUP BY enrolled
+""", floats=DESC_FLOATS)
+oracle("value_counts", """
+SELECT last_contact_channel, CAST(count(*) AS BIGINT) AS count FROM dedup GROUP BY last_contact_channel
+""")
+oracle("value_counts_norm", """
+SELECT prior_year_enrolled, CAST(count(*) AS BIGINT) AS count,
+  count(*) / (SELECT count(*) FROM dedup) AS proportion FROM dedup GROUP BY prior_year_enrolled
+""", floats=["proportion"])
+_LONG = "\nUNION ALL\n".join(f"SELECT '{c}' AS column_name, {c} AS value FROM emp" for c in _EMP_TEXT)
+oracle("cardinality_top5", f"""
+, counts AS (SELECT column_name, value, count(*) AS count FROM ({_LONG}) l GROUP BY column_name, value),
+card AS (SELECT column_name, count(*) AS n_unique FROM counts WHERE value IS NOT NULL GROUP BY column_name)
+SELECT c.column_name, c.value, c.count, c.rank, d.n_unique FROM (
+  SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY count DESC, value ASC NULLS FIRST) AS rank
+  FROM counts) c LEFT JOIN card d ON c.column_name = d.column_name WHERE c.rank <= 5
+""", ints=["count", "rank", "n_unique"])
+oracle("distinct_levels", """
+SELECT DISTINCT plan_tier_requested_clean FROM eng WHERE plan_tier_requested_clean IS NOT NULL
+""")
+oracle("rate_by_group", """
+SELECT prior_year_enrolled, avg(CAST(enrolled AS DOUBLE)) AS rate, CAST(count(*) AS BIGINT) AS n
+FROM dedup WHERE prior_year_enrolled IS NOT NULL GROUP BY prior_year_enrolled
+""", floats=["rate"])
+oracle("rate_by_sentinel_pair", """
+SELECT no_prior_record, prior_year_enrolled_clean, avg(CAST(enrolled AS DOUBLE)) AS rate, CAST(count(*) AS BIGINT) AS n
+FROM eng GROUP BY no_prior_record, prior_year_enrolled_clean
+""", floats=["rate"])
+oracle("count_by_group", """
+SELECT region, CAST(count(employee_id) AS BIGINT) AS count FROM eng WHERE region IS NOT NULL GROUP BY region
+""")
+oracle("first_by_group", """
+SELECT region, min(hist_enrollment_rate_region) AS value,
+  min(hist_enrollment_rate_region) IS NOT DISTINCT FROM max(hist_enrollment_rate_region) AS is_constant
+FROM eng WHERE region IS NOT NULL GROUP BY region
+""", floats=["value"])
+oracle("crosstab", """
+SELECT quality, CAST(count(*) FILTER (WHERE toxic = 0) AS BIGINT) AS toxic_0,
+  CAST(count(*) FILTER (WHERE toxic = 1) AS BIGINT) AS toxic_1 FROM labels GROUP BY quality
+""", ints=["quality"])
+oracle("crosstab_margins", """
+SELECT CASE WHEN grouping(h) = 1 THEN 'All' ELSE CAST(h AS VARCHAR) END AS has_application_date,
+  CASE WHEN grouping(enrolled) = 1 THEN 'All' ELSE CAST(enrolled AS VARCHAR) END AS enrolled,
+  CAST(count(*) AS BIGINT) AS count
+FROM (SELECT application_date IS NOT NULL AS h, enrolled FROM emp) x GROUP BY CUBE (h, enrolled)
+""")
+oracle("crosstab_rowpct", """
+SELECT coalesce(plan_tier_requested, 'Missing') AS plan_tier_requested,
+  count(*) FILTER (WHERE enrolled = 0) / count(*) AS enrolled_0,
+  count(*) FILTER (WHERE enrolled = 1) / count(*) AS enrolled_1
+FROM emp GROUP BY coalesce(plan_tier_requested, 'Missing')
+""", floats=["enrolled_0", "enrolled_1"])
+oracle("corr_target", """
+SELECT 'legacy_propensity_score' AS column_name, corr(legacy_propensity_score, enrolled) AS corr FROM eng
+UNION ALL SELECT 'hist_enrollment_rate_region', corr(hist_enrollment_rate_region, enrolled) FROM eng
+""", floats=["corr"])
+oracle("corr_all_target", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, corr(CAST({c} AS DOUBLE), CAST(enrolled AS DOUBLE)) AS corr FROM dedup"
+    for c in ["age", "salary", "tenure_years", "prior_year_enrolled", "legacy_propensity_score"]), floats=["corr"])
+_MISS = ["application_date", "last_contact_channel", "plan_tier_requested", "broker_channel",
+         "legacy_propensity_score", "outreach_notes"]
+oracle("missing_corr", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, corr(CAST({c} IS NULL AS DOUBLE), CAST(enrolled AS DOUBLE)) AS corr FROM dedup"
+    for c in _MISS), floats=["corr"])
+oracle("missing_cooccur", "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS column_a, '{b}' AS column_b, CAST(count(*) FILTER (WHERE {a} IS NULL AND {b} IS NULL) AS BIGINT)"
+    f" AS both_missing FROM dedup" for a in _MISS[:4] for b in _MISS[:4] if a < b))
+oracle("quantiles", "\nUNION ALL\n".join(
+    f"SELECT {q}e0 AS prob, quantile_cont(salary, {q}) AS value FROM emp"
+    for q in ["0.001", "0.005", "0.01", "0.05", "0.1", "0.5"]), floats=["prob", "value"])
+oracle("chronology_stats", """
+SELECT CAST(count(*) AS BIGINT) AS n_rows,
+  CAST(count(*) FILTER (WHERE app_date IS NULL) AS BIGINT) AS null_app_date,
+  CAST(count(*) FILTER (WHERE contact_date IS NULL) AS BIGINT) AS null_contact_date,
+  CAST(count(days_contact_to_app) AS BIGINT) AS both_dates,
+  CAST(count(*) FILTER (WHERE days_contact_to_app < 0) AS BIGINT) AS contact_after_app,
+  min(CASE WHEN days_contact_to_app < 0 THEN days_contact_to_app END) AS min_negative_days,
+  max(CASE WHEN days_contact_to_app < 0 THEN days_contact_to_app END) AS max_negative_days,
+  CASE WHEN count(days_contact_to_app) > 0 THEN
+    count(*) FILTER (WHERE days_contact_to_app < 0) * 100e0 / count(days_contact_to_app) END AS pct_after,
+  avg(CASE WHEN days_contact_to_app >= 0 THEN CAST(enrolled AS DOUBLE) END) AS rate_in_order,
+  avg(CASE WHEN days_contact_to_app < 0 THEN CAST(enrolled AS DOUBLE) END) AS rate_after
+FROM eng
+""", floats=["pct_after", "rate_in_order", "rate_after"])
+oracle("date_parse_failures", f"""
+SELECT 'application_date' AS column_name, employee_id, application_date AS raw_value FROM dedup
+WHERE application_date IS NOT NULL AND try_strptime(trim(application_date), {APP_FORMATS}) IS NULL
+UNION ALL
+SELECT 'last_contact_date', employee_id, last_contact_date FROM dedup
+WHERE last_contact_date IS NOT NULL AND try_strptime(trim(last_contact_date), {CONTACT_FORMATS}) IS NULL
+""")
+oracle("start_age_profile", f"""
+SELECT {describe_sql('CAST(age - tenure_years AS DOUBLE)')},
+  CAST(count(*) FILTER (WHERE age - tenure_years < 18) AS BIGINT) AS under_18 FROM emp
+""", floats=DESC_FLOATS)
+_OTHER = [c for c in _EMP_COLS if c != "employee_id"]
+_DIFF = ",\n  ".join(f"(count(DISTINCT {c}) > 1 OR (count({c}) > 0 AND count({c}) < count(*))) AS d_{c}"
+                     for c in _OTHER)
+oracle("duplicate_conflicts", f"""
+, g AS (SELECT employee_id, CAST(count(*) AS BIGINT) AS n_rows, {_DIFF},
+  array_to_string(list_sort(list_distinct(list(CAST(enrolled AS VARCHAR)))), ',') AS label_values
+  FROM emp WHERE employee_id IN (SELECT employee_id FROM emp GROUP BY employee_id HAVING count(*) > 1)
+  GROUP BY employee_id)
+SELECT employee_id, n_rows,
+  concat_ws(',', {', '.join(f"CASE WHEN d_{c} THEN '{c}' END" for c in _OTHER)}) AS differing_columns,
+  NOT ({' OR '.join(f'd_{c}' for c in _OTHER if c != 'enrolled')}) AS features_identical,
+  NOT d_enrolled AS labels_identical, label_values FROM g
+""".replace("\n, g AS", "\nSELECT * FROM (WITH g AS", 1).rstrip() + ")")
+oracle("duplicates_by_region", """
+SELECT region, CAST(count(*) AS BIGINT) AS dup_rows, CAST(count(*) // 2 AS BIGINT) AS dup_pairs FROM emp
+WHERE employee_id IN (SELECT employee_id FROM emp GROUP BY employee_id HAVING count(*) > 1) GROUP BY region
+""")
+oracle("split_balance", """
+SELECT split, n, rate, max(rate) OVER () - min(rate) OVER () AS rate_gap,
+  max(rate) OVER () - min(rate) OVER () < 0.001e0 AS balanced
+FROM (SELECT split, CAST(count(*) AS BIGINT) AS n, avg(CAST(enrolled AS DOUBLE)) AS rate FROM splits GROUP BY split) x
+""", floats=["rate", "rate_gap"])
+
+# --------------------------------------------------------------------------- duplicates / windows / top-K
+oracle("dedup_keep_none", "SELECT * FROM dedup", floats=EMP_FLOATS)
+oracle("dedup_keep_first", """
+SELECT * FROM emp QUALIFY row_number() OVER (PARTITION BY employee_id
+  ORDER BY legacy_propensity_score IS NULL, enrolled) = 1
+""", floats=EMP_FLOATS)
+oracle("mark_duplicates", """
+SELECT l_orderkey, l_linenumber, l_partkey,
+  count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS dup_count,
+  count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 AS is_duplicate
+FROM lineitem
+""", ints=["l_orderkey", "l_linenumber", "l_partkey", "dup_count"])
+oracle("sort_scores", "SELECT employee_id, p FROM scored", floats=["p"])
+oracle("rank_topk", """
+SELECT row_number() OVER (ORDER BY p DESC, employee_id) AS rank, employee_id, p FROM scored
+ORDER BY p DESC, employee_id LIMIT 10
+""", ints=["rank"], floats=["p"])
+oracle("rank_filtered", """
+SELECT s.region, s.rank, s.employee_id, s.employment_type, s.p FROM (
+  SELECT *, row_number() OVER (PARTITION BY region ORDER BY p ASC, employee_id) AS rank FROM scored
+  WHERE lower(region) = 'europe' AND lower(employment_type) = 'full-time') s
+JOIN reg r ON s.region = r.region WHERE s.rank <= least(r.hr_outreach_capacity, 10)
+""", ints=["rank"], floats=["p"])
+oracle("rank_summary", """
+SELECT c.region, c.total_eligible, r.hr_outreach_capacity AS hr_capacity_cap_applied,
+  least(c.total_eligible, coalesce(r.hr_outreach_capacity, c.total_eligible)) AS returned_count
+FROM (SELECT region, CAST(count(*) AS BIGINT) AS total_eligible FROM scored GROUP BY region) c
+LEFT JOIN reg r ON c.region = r.region
+""", ints=["returned_count"])
+_REG_ATTRS = ["n_employees_region", "hist_enrollment_rate_region", "avg_salary_region", "avg_premium_cost_usd",
+              "benefits_broker_rating", "hr_outreach_capacity", "open_enrollment_window_days",
+              "state_mandate_level"]
+oracle("region_profile", "\nUNION ALL\n".join(
+    f"SELECT region, '{a}' AS attribute, CAST({a} AS VARCHAR) AS value FROM region_profile" for a in _REG_ATTRS))
+oracle("split_overlap", """
+, sig AS (SELECT concat_ws('_', CAST(e.salary AS VARCHAR), CAST(e.age AS VARCHAR), e.region) AS signature, s.split
+  FROM eng e JOIN splits s ON e.employee_id = s.employee_id)
+SELECT signature FROM sig WHERE split = 'train' INTERSECT SELECT signature FROM sig WHERE split = 'test'
+""".replace("\n, sig AS", "\nSELECT * FROM (WITH sig AS", 1).rstrip() + ")")
+
+# --------------------------------------------------------------------------- scalar functions
+oracle("parse_dates", """
+SELECT employee_id, application_date, app_date, last_contact_date, contact_date FROM eng
+""", dates=["app_date", "contact_date"])
+oracle("days_contact_to_app", "SELECT employee_id, days_contact_to_app FROM eng")
+oracle("contact_after_app", "SELECT employee_id, contact_after_app FROM eng")
+oracle("has_application_date", "SELECT employee_id, has_application_date FROM eng")
+oracle("sentinel_flags", """
+SELECT employee_id, prior_year_enrolled, no_prior_record, prior_year_enrolled_clean FROM eng
+""")
+oracle("canon_channel", "SELECT employee_id, last_contact_channel, last_contact_channel_clean FROM eng")
+oracle("canon_tier", "SELECT employee_id, plan_tier_requested, plan_tier_requested_clean FROM eng")
+oracle("canon_mandate", f"""
+SELECT region, state_mandate_level, {case_map('state_mandate_level', MANDATE)} AS state_mandate_level_clean FROM reg
+""")
+_CH_KEYS = ", ".join(f"'{k}'" for k in CHANNEL)
+_TI_KEYS = ", ".join(f"'{k}'" for k in TIER)
+_MA_KEYS = ", ".join(f"'{k}'" for k in MANDATE)
+oracle("unmapped_labels", f"""
+SELECT DISTINCT 'last_contact_channel' AS column_name, last_contact_channel AS raw_value FROM dedup
+WHERE last_contact_channel IS NOT NULL AND last_contact_channel NOT IN ({_CH_KEYS})
+UNION ALL
+SELECT DISTINCT 'plan_tier_requested', plan_tier_requested FROM dedup
+WHERE plan_tier_requested IS NOT NULL AND plan_tier_requested NOT IN ({_TI_KEYS})
+UNION ALL
+SELECT DISTINCT 'state_mandate_level', state_mandate_level FROM reg
+WHERE state_mandate_level IS NOT NULL AND state_mandate_level NOT IN ({_MA_KEYS})
+""")
+oracle("canon_report", """
+SELECT 'last_contact_channel' AS column_name, last_contact_channel AS raw_value,
+  last_contact_channel_clean AS clean_value, CAST(count(*) AS BIGINT) AS count FROM eng GROUP BY ALL
+UNION ALL
+SELECT 'plan_tier_requested', plan_tier_requested, plan_tier_requested_clean, CAST(count(*) AS BIGINT)
+FROM eng GROUP BY ALL
+""")
+_XT = "coalesce(plan_tier_requested, 'Unknown')"
+_XC = "coalesce(last_contact_channel, 'Unknown')"
+oracle("canon_trim", f"""
+SELECT employee_id,
+  coalesce({case_map(_XT, TIER)}, {case_map(f'trim({_XT})', TIER)}, 'Unknown') AS plan_tier_requested_clean,
+  coalesce({case_map(_XC, CHANNEL)}, {case_map(f'trim({_XC})', CHANNEL)}, 'Unknown') AS last_contact_channel_clean
+FROM dedup
+""")
+oracle("fill_unknown", "SELECT employee_id, broker_channel, broker_channel_clean FROM eng")
+oracle("median_impute", """
+SELECT e.employee_id, s.split, coalesce(CAST(e.days_contact_to_app AS DOUBLE),
+  (SELECT quantile_cont(CAST(e2.days_contact_to_app AS DOUBLE), 0.5) FROM eng e2
+   JOIN splits s2 ON e2.employee_id = s2.employee_id WHERE s2.split = 'train')) AS days_contact_to_app_imputed
+FROM eng e JOIN splits s ON e.employee_id = s.employee_id
+""", floats=["days_contact_to_app_imputed"])
+oracle("dependents_flag", "SELECT employee_id, has_dependents, has_dependents_bin FROM eng")
+oracle("tenure_flag", "SELECT employee_id, age, tenure_years, tenure_inconsistent FROM eng", floats=["tenure_years"])
+oracle("categorical_domain", """
+SELECT employee_id,
+  CASE WHEN employment_type IN ('Contract', 'Full-time', 'Part-time') THEN employment_type END AS employment_type,
+  CASE WHEN region IN ('Midwest', 'Northeast', 'South', 'West') THEN region END AS region,
+  CASE WHEN state_mandate_level IN ('High', 'Low', 'Medium') THEN state_mandate_level END AS state_mandate_level,
+  CASE WHEN last_contact_channel_clean IN ('Email', 'Phone', 'SMS', 'Unknown') THEN last_contact_channel_clean END
+    AS last_contact_channel_clean,
+  CASE WHEN plan_tier_requested_clean IN ('Basic', 'Bronze', 'Gold', 'Premium', 'Silver', 'Standard', 'Unknown')
+    THEN plan_tier_requested_clean END AS plan_tier_requested_clean,
+  CASE WHEN broker_channel_clean IN ('Direct', 'Employer-Sponsored', 'Third-Party', 'Unknown')
+    THEN broker_channel_clean END AS broker_channel_clean
+FROM eng
+""")
+oracle("category_codes", """
+SELECT d.employee_id, d.employment_type, coalesce(l.code, -1) AS employment_type_code
+FROM dedup d LEFT JOIN (SELECT employment_type, row_number() OVER (ORDER BY employment_type) - 1 AS code
+  FROM (SELECT DISTINCT employment_type FROM dedup WHERE employment_type IS NOT NULL) x) l
+  ON d.employment_type = l.employment_type
+""", ints=["employment_type_code"])
+oracle("age_bands", """
+SELECT employee_id, age, CASE WHEN age > 20 AND age <= 35 THEN '20-35' WHEN age > 35 AND age <= 50 THEN '36-50'
+  WHEN age > 50 AND age <= 65 THEN '51-65' END AS age_group FROM dedup
+""")
+oracle("text_case", """
+SELECT employee_id, plan_tier_requested, lower(plan_tier_requested) AS lower_value,
+  trim(plan_tier_requested) AS stripped_value,
+  array_to_string(list_transform(string_split(lower(trim(plan_tier_requested)), ' '),
+    lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), ' ') AS title_value
+FROM dedup
+""")
+MED_RE2 = (r"(^|[^\pL\pN_])(diagnose|diagnosis|treatment|medical advice|doctor|prescription|illness|disease|"
+           r"condition|therapy|symptom|cure|medication|diabetes|cancer)($|[^\pL\pN_])")
+DISC_RE2 = (r"filter out (female|male|women|men|other gender)|exclude (female|male|women|men|other gender)|"
+            r"deny (female|male|women|men|other gender)|only hire (female|male|women|men)|discriminate")
+PROMPTS = """(SELECT conv_id, turn, text || CASE (conv_id + turn) % 11
+    WHEN 0 THEN ' Which plan is best to treat my diabetes?'
+    WHEN 1 THEN ' Please filter out female employees from the list.'
+    WHEN 2 THEN ' I need a Doctor.' WHEN 3 THEN ' We must never discriminate.'
+    WHEN 4 THEN ' exclude men from outreach' WHEN 5 THEN ' the air conditioning is curative'
+    ELSE '' END AS text FROM conversations)"""
+oracle("screen_prompts", f"""
+SELECT conv_id, turn, refusal_type IS NULL AS allowed, refusal_type FROM (
+  SELECT conv_id, turn, CASE WHEN text IS NULL OR trim(text) = '' THEN NULL
+    WHEN regexp_matches(lower(text), '{MED_RE2}') THEN 'MEDICAL_ADVICE_REFUSAL'
+    WHEN regexp_matches(lower(text), '{DISC_RE2}') THEN 'DISCRIMINATION_GUARDRAIL_REFUSAL' END AS refusal_type
+  FROM {PROMPTS} p) x
+""")

@@ -61,11 +61,15 @@ def mark_duplicates(df: DataFrame, key="employee_id") -> DataFrame:
     one task; a grouped count joined back on the duplicated keys does not.
     """
     ks = _keys(key)
-    dups = duplicated_keys(df, ks)
-    j = df.join(dups, ks, "left")
+    dups = duplicated_keys(df, ks).select(*[F.col(k).alias(f"_dk_{k}") for k in ks], "_n")
+    cond = None
+    for k in ks:
+        c = df[k].eqNullSafe(dups[f"_dk_{k}"])
+        cond = c if cond is None else cond & c
+    j = df.join(dups, cond, "left")
     return (j.withColumn("dup_count", F.coalesce(F.col("_n"), F.lit(1)).cast("bigint"))
              .withColumn("is_duplicate", F.col("_n").isNotNull())
-             .drop("_n"))
+             .drop("_n", *[f"_dk_{k}" for k in ks]))
 
 
 def duplicate_conflicts(df: DataFrame, key="employee_id", label="enrolled") -> DataFrame:
