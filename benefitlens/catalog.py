@@ -675,3 +675,201 @@ def _prompts(spark, sf):
 def q_screen_prompts(spark, sf):
     from benefitlens.operators.governance import screen_prompts
     return screen_prompts(_prompts(spark, sf)).select("conv_id", "turn", "allowed", "refusal_type")
+
+
+# --------------------------------------------------------------------------- composite jobs
+@query("engineer_features")
+def q_engineer_features(spark, sf):
+    return _eng(spark, sf)
+
+
+@query("preprocess_scoring")
+def q_preprocess_scoring(spark, sf):
+    from benefitlens.plans.features import preprocess_scoring
+    return preprocess_scoring(_arriving_records(spark, sf), _reg(spark, sf))
+
+
+@query("quality_diagnostic")
+def q_quality_diagnostic(spark, sf):
+    from benefitlens.plans.features import quality_diagnostic
+    return quality_diagnostic(_eng(spark, sf))
+
+
+@query("sentinel_variant")
+def q_sentinel_variant(spark, sf):
+    from benefitlens.plans.features import sentinel_variant
+    return sentinel_variant(_eng(spark, sf), -999.0)
+
+
+@query("stratified_split")
+def q_stratified_split(spark, sf):
+    from benefitlens.operators.split import stratified_split
+    return stratified_split(_eng(spark, sf)).select("employee_id", "enrolled", "class_rank", "split", "fold")
+
+
+@query("stratified_folds")
+def q_stratified_folds(spark, sf):
+    from benefitlens.operators.split import stratified_folds
+    return stratified_folds(_eng(spark, sf)).select("employee_id", "enrolled", "class_rank", "fold")
+
+
+@query("split_sample")
+def q_split_sample(spark, sf):
+    from benefitlens.operators.split import split_sample, stratified_split
+    return split_sample(stratified_split(_eng(spark, sf)), 10)
+
+
+@query("oof_region_rate")
+def q_oof_region_rate(spark, sf):
+    from benefitlens.operators.split import oof_region_rate, stratified_split
+    return oof_region_rate(stratified_split(_eng(spark, sf)))
+
+
+# --------------------------------------------------------------------------- metrics (stand-in score)
+@query("metric_auc")
+def q_metric_auc(spark, sf):
+    from benefitlens.operators.metrics import auc
+    return auc(_scored(spark, sf))
+
+
+@query("metric_avg_precision")
+def q_metric_avg_precision(spark, sf):
+    from benefitlens.operators.metrics import average_precision
+    return average_precision(_scored(spark, sf))
+
+
+@query("metric_threshold")
+def q_metric_threshold(spark, sf):
+    from benefitlens.operators.metrics import threshold_metrics
+    return threshold_metrics(_scored(spark, sf))
+
+
+@query("metric_brier")
+def q_metric_brier(spark, sf):
+    from benefitlens.operators.metrics import brier
+    return brier(_scored(spark, sf))
+
+
+@query("metric_logloss")
+def q_metric_logloss(spark, sf):
+    from benefitlens.operators.metrics import log_loss
+    return log_loss(_scored(spark, sf))
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf):
+    from benefitlens.operators.metrics import confusion_matrix
+    return confusion_matrix(_scored(spark, sf))
+
+
+@query("classification_report")
+def q_classification_report(spark, sf):
+    from benefitlens.operators.metrics import classification_report
+    return classification_report(_scored(spark, sf))
+
+
+@query("naive_baselines")
+def q_naive_baselines(spark, sf):
+    from benefitlens.operators.metrics import naive_baselines
+    return naive_baselines(_eng(spark, sf), "enrolled", "has_dependents_bin")
+
+
+@query("precision_lift_at_k")
+def q_precision_lift_at_k(spark, sf):
+    from benefitlens.operators.metrics import precision_lift_at_k
+    test = _split_scored(spark, sf).filter(F.col("split") == "test")
+    return precision_lift_at_k(test, _reg(spark, sf))
+
+
+@query("calibration_bins")
+def q_calibration_bins(spark, sf):
+    from benefitlens.operators.metrics import calibration_bins
+    return calibration_bins(_scored(spark, sf))
+
+
+# --------------------------------------------------------------------------- governance
+LEAK_COLUMNS = ["legacy_propensity_score", "salary", "age", "tenure_years", "hist_enrollment_rate_region",
+                "days_contact_to_app"]
+
+
+@query("leakage_screen")
+def q_leakage_screen(spark, sf):
+    from benefitlens.operators.governance import leakage_screen
+    return leakage_screen(_eng(spark, sf), LEAK_COLUMNS)
+
+
+@query("leakage_aggregate")
+def q_leakage_aggregate(spark, sf):
+    from benefitlens.operators.governance import leakage_aggregate
+    from benefitlens.operators.split import stratified_split
+    e = _eng(spark, sf)
+    return leakage_aggregate(e, stratified_split(e))
+
+
+def _requests(spark, sf):
+    """Scoring requests derived from orders: one per order, for its customer."""
+    from benefitlens.sources.tables import read_table
+    o = read_table(spark, sf, "orders")
+    k = F.col("o_orderkey") % 5
+    feat = (F.when(k == 0, F.lit("legacy_propensity_score"))
+            .when(k == 1, F.lit("LEGACY_PROPENSITY_SCORE_v2"))
+            .when(k == 2, F.lit("salary"))
+            .when(k == 3, F.lit(None).cast("string"))
+            .otherwise(F.lit("days_contact_to_app")))
+    return o.select(F.col("o_orderkey").alias("request_id"), F.col("o_custkey").alias("employee_id"),
+                    feat.alias("feature_requested"))
+
+
+@query("refuse_leakage")
+def q_refuse_leakage(spark, sf):
+    from benefitlens.operators.governance import refuse_leakage
+    return refuse_leakage(_requests(spark, sf)).select("request_id", "employee_id", "feature_requested",
+                                                       "status", "refusal_type")
+
+
+@query("explain_drivers")
+def q_explain_drivers(spark, sf):
+    from benefitlens.operators.governance import reason_codes
+    r = reason_codes(_dedup(spark, sf))
+    x = r.select("employee_id", F.posexplode("top_drivers").alias("driver_pos", "d"))
+    return x.select("employee_id", "driver_pos", "d.feature", "d.effect")
+
+
+@query("explain_protected")
+def q_explain_protected(spark, sf):
+    from benefitlens.constants import PROTECTED_ATTRIBUTES
+    from benefitlens.operators.governance import reason_codes
+    r = reason_codes(_dedup(spark, sf))
+    prot = F.array(*[F.lit(p) for p in PROTECTED_ATTRIBUTES])
+    return r.select("employee_id", F.size("top_drivers").alias("n_drivers"),
+                    F.exists("top_drivers", lambda d: F.array_contains(prot, d["feature"])).alias("has_protected"))
+
+
+@query("explain_narrative")
+def q_explain_narrative(spark, sf):
+    from benefitlens.constants import FAIR_AI_NOTE
+    from benefitlens.operators.governance import narrative, reason_codes
+    s = _scored(spark, sf).select("employee_id", "p")
+    r = reason_codes(_dedup(spark, sf)).join(s, "employee_id")
+    return r.select("employee_id", F.round("p", 4).alias("enrollment_probability"),
+                    (F.col("p") >= 0.5).cast("int").alias("predicted_enrolled"),
+                    narrative(F.col("p"), F.col("employee_id")).alias("narrative_summary"),
+                    F.to_json("top_drivers").alias("top_drivers"), F.lit(FAIR_AI_NOTE).alias("fair_ai_note"))
+
+
+def _audit_frame(spark, sf):
+    test = _split_scored(spark, sf).filter(F.col("split") == "test").select("employee_id", "p", "enrolled")
+    demo = _dedup(spark, sf).select("employee_id", "gender", "age", "marital_status")
+    return test.join(demo, "employee_id")
+
+
+@query("fairness_audit")
+def q_fairness_audit(spark, sf):
+    from benefitlens.operators.governance import fairness_audit
+    return fairness_audit(_audit_frame(spark, sf)).drop("gap")
+
+
+@query("fairness_gap")
+def q_fairness_gap(spark, sf):
+    from benefitlens.operators.governance import fairness_audit
+    return fairness_audit(_audit_frame(spark, sf)).select("dimension", "level", "actual_rate", "pred_rate", "gap")

@@ -26,33 +26,7 @@ dedup AS (SELECT * FROM emp WHERE employee_id IN
           (SELECT employee_id FROM emp GROUP BY employee_id HAVING count(*) = 1)),
 regc AS (SELECT * REPLACE (CASE state_mandate_level WHEN 'High' THEN 'High' WHEN 'MED' THEN 'Medium'
           WHEN 'low' THEN 'Low' WHEN 'Low' THEN 'Low' END AS state_mandate_level) FROM reg),
-eng0 AS (SELECT d.*, r.n_employees_region, r.hist_enrollment_rate_region, r.avg_salary_region,
-          r.avg_premium_cost_usd, r.benefits_broker_rating, r.hr_outreach_capacity,
-          r.open_enrollment_window_days, r.state_mandate_level,
-          CAST(try_strptime(trim(d.application_date), APPF) AS DATE) AS app_date,
-          CAST(try_strptime(trim(d.last_contact_date), CONTF) AS DATE) AS contact_date
-         FROM dedup d LEFT JOIN regc r ON d.region = r.region),
-eng AS (SELECT *,
-          CAST(app_date IS NOT NULL AS BIGINT) AS has_application_date,
-          CAST(date_diff('day', contact_date, app_date) AS BIGINT) AS days_contact_to_app,
-          CAST(coalesce(contact_date > app_date, false) AS BIGINT) AS contact_after_app,
-          CAST(coalesce(prior_year_enrolled = -1, false) AS BIGINT) AS no_prior_record,
-          CAST(coalesce(prior_year_enrolled = 1, false) AS BIGINT) AS prior_year_enrolled_clean,
-          coalesce(CASE last_contact_channel WHEN 'EMAIL' THEN 'Email' WHEN 'email' THEN 'Email'
-            WHEN 'e-mail' THEN 'Email' WHEN 'Email' THEN 'Email' WHEN 'PHONE' THEN 'Phone'
-            WHEN 'phone' THEN 'Phone' WHEN 'Phone' THEN 'Phone' WHEN 'Call' THEN 'Phone'
-            WHEN 'SMS' THEN 'SMS' WHEN 'sms' THEN 'SMS' WHEN 'Text' THEN 'SMS'
-            WHEN 'none' THEN 'Unknown' END, 'Unknown') AS last_contact_channel_clean,
-          coalesce(CASE plan_tier_requested WHEN 'STANDARD' THEN 'Standard' WHEN 'Standard' THEN 'Standard'
-            WHEN 'standard' THEN 'Standard' WHEN 'Silver' THEN 'Silver' WHEN 'silver plan' THEN 'Silver'
-            WHEN 'Bronze' THEN 'Bronze' WHEN 'BASIC' THEN 'Basic' WHEN 'Basic' THEN 'Basic'
-            WHEN 'basic' THEN 'Basic' WHEN 'premium plan' THEN 'Premium' WHEN 'Premium' THEN 'Premium'
-            WHEN 'PREMIUM' THEN 'Premium' WHEN 'gold' THEN 'Gold' WHEN 'Gold Plan' THEN 'Gold'
-            WHEN 'Gold' THEN 'Gold' END, 'Unknown') AS plan_tier_requested_clean,
-          coalesce(broker_channel, 'Unknown') AS broker_channel_clean,
-          CAST(coalesce(has_dependents = 'Yes', false) AS BIGINT) AS has_dependents_bin,
-          CAST(coalesce(tenure_years > age - 18, false) AS BIGINT) AS tenure_inconsistent
-        FROM eng0),
+eng AS (ENG_DEDUP),
 scored AS (SELECT employee_id, region, employment_type, enrolled,
     0.05e0 + (CASE WHEN has_dependents = 'Yes' THEN 0.45e0 ELSE 0e0 END)
            + (CASE WHEN salary >= 60000e0 THEN 0.25e0 ELSE 0e0 END)
@@ -72,7 +46,40 @@ splits AS (SELECT r.employee_id, r.enrolled, CAST(r.class_rank AS BIGINT) AS cla
     CASE WHEN r.class_rank < a.n_test THEN 'test' ELSE 'train' END AS split,
     CAST(r.class_rank % 5 AS BIGINT) AS fold
   FROM ranked r JOIN alloc a ON r.enrolled = a.enrolled)
-""".replace("APPF", APP_FORMATS).replace("CONTF", CONTACT_FORMATS)
+"""
+
+
+def eng_sql(src: str) -> str:
+    """The feature job restated in SQL over any raw-shaped relation ``src``."""
+    return f"""SELECT *,
+    CAST(app_date IS NOT NULL AS BIGINT) AS has_application_date,
+    CAST(date_diff('day', contact_date, app_date) AS BIGINT) AS days_contact_to_app,
+    CAST(coalesce(contact_date > app_date, false) AS BIGINT) AS contact_after_app,
+    CAST(coalesce(prior_year_enrolled = -1, false) AS BIGINT) AS no_prior_record,
+    CAST(coalesce(prior_year_enrolled = 1, false) AS BIGINT) AS prior_year_enrolled_clean,
+    coalesce(CASE last_contact_channel WHEN 'EMAIL' THEN 'Email' WHEN 'email' THEN 'Email'
+      WHEN 'e-mail' THEN 'Email' WHEN 'Email' THEN 'Email' WHEN 'PHONE' THEN 'Phone'
+      WHEN 'phone' THEN 'Phone' WHEN 'Phone' THEN 'Phone' WHEN 'Call' THEN 'Phone'
+      WHEN 'SMS' THEN 'SMS' WHEN 'sms' THEN 'SMS' WHEN 'Text' THEN 'SMS'
+      WHEN 'none' THEN 'Unknown' END, 'Unknown') AS last_contact_channel_clean,
+    coalesce(CASE plan_tier_requested WHEN 'STANDARD' THEN 'Standard' WHEN 'Standard' THEN 'Standard'
+      WHEN 'standard' THEN 'Standard' WHEN 'Silver' THEN 'Silver' WHEN 'silver plan' THEN 'Silver'
+      WHEN 'Bronze' THEN 'Bronze' WHEN 'BASIC' THEN 'Basic' WHEN 'Basic' THEN 'Basic'
+      WHEN 'basic' THEN 'Basic' WHEN 'premium plan' THEN 'Premium' WHEN 'Premium' THEN 'Premium'
+      WHEN 'PREMIUM' THEN 'Premium' WHEN 'gold' THEN 'Gold' WHEN 'Gold Plan' THEN 'Gold'
+      WHEN 'Gold' THEN 'Gold' END, 'Unknown') AS plan_tier_requested_clean,
+    coalesce(broker_channel, 'Unknown') AS broker_channel_clean,
+    CAST(coalesce(has_dependents = 'Yes', false) AS BIGINT) AS has_dependents_bin,
+    CAST(coalesce(tenure_years > age - 18, false) AS BIGINT) AS tenure_inconsistent
+  FROM (SELECT d.*, r.n_employees_region, r.hist_enrollment_rate_region, r.avg_salary_region,
+          r.avg_premium_cost_usd, r.benefits_broker_rating, r.hr_outreach_capacity,
+          r.open_enrollment_window_days, r.state_mandate_level,
+          CAST(try_strptime(trim(d.application_date), {APP_FORMATS}) AS DATE) AS app_date,
+          CAST(try_strptime(trim(d.last_contact_date), {CONTACT_FORMATS}) AS DATE) AS contact_date
+        FROM {src} d LEFT JOIN regc r ON d.region = r.region) e0"""
+
+
+BASE = BASE.replace("ENG_DEDUP", eng_sql("dedup"))
 
 HEAD = "WITH " + duckdb_fixture_ctes() + "," + BASE
 
@@ -545,3 +552,216 @@ SELECT conv_id, turn, refusal_type IS NULL AS allowed, refusal_type FROM (
     WHEN regexp_matches(lower(text), '{DISC_RE2}') THEN 'DISCRIMINATION_GUARDRAIL_REFUSAL' END AS refusal_type
   FROM {PROMPTS} p) x
 """)
+
+
+def cte(name_body_pairs, select: str) -> str:
+    """Extra CTEs after the shared ones: wrapped as a sub-WITH for DuckDB."""
+    ctes = ",\n".join(f"{n} AS ({b})" for n, b in name_body_pairs)
+    return f"SELECT * FROM (WITH {ctes}\n{select}) z"
+
+
+# --------------------------------------------------------------------------- composite jobs
+ENG_FLOATS = ["salary", "tenure_years", "legacy_propensity_score", "hist_enrollment_rate_region",
+              "avg_salary_region", "benefits_broker_rating"]
+oracle("engineer_features", "SELECT * FROM eng", floats=ENG_FLOATS, dates=["app_date", "contact_date"])
+_REC = """SELECT * REPLACE (CASE WHEN employee_id % 50 = 0 THEN NULL WHEN employee_id % 50 = 1 THEN lower(region)
+    ELSE region END AS region) FROM emp"""
+_DOM = """employee_id, reason, salary,
+  CASE WHEN employment_type IN ('Contract', 'Full-time', 'Part-time') THEN employment_type END AS employment_type,
+  CASE WHEN region IN ('Midwest', 'Northeast', 'South', 'West') THEN region END AS region,
+  tenure_years, hist_enrollment_rate_region, avg_premium_cost_usd, benefits_broker_rating, hr_outreach_capacity,
+  open_enrollment_window_days,
+  CASE WHEN state_mandate_level IN ('High', 'Low', 'Medium') THEN state_mandate_level END AS state_mandate_level,
+  has_application_date, days_contact_to_app, contact_after_app, no_prior_record, prior_year_enrolled_clean,
+  CASE WHEN last_contact_channel_clean IN ('Email', 'Phone', 'SMS', 'Unknown') THEN last_contact_channel_clean END
+    AS last_contact_channel_clean,
+  CASE WHEN plan_tier_requested_clean IN ('Basic', 'Bronze', 'Gold', 'Premium', 'Silver', 'Standard', 'Unknown')
+    THEN plan_tier_requested_clean END AS plan_tier_requested_clean,
+  CASE WHEN broker_channel_clean IN ('Direct', 'Employer-Sponsored', 'Third-Party', 'Unknown')
+    THEN broker_channel_clean END AS broker_channel_clean,
+  has_dependents_bin, tenure_inconsistent"""
+oracle("preprocess_scoring", cte([
+    ("rec", _REC),
+    ("recv", """SELECT *, CASE WHEN region IS NULL THEN 'missing_region'
+        WHEN NOT EXISTS (SELECT 1 FROM reg r WHERE r.region = rec.region) THEN 'unknown_region' END AS reason
+        FROM rec"""),
+    ("er", eng_sql("recv"))], f"SELECT {_DOM} FROM er"),
+    floats=["salary", "tenure_years", "hist_enrollment_rate_region", "benefits_broker_rating"])
+_QD = [("application_date", "application_date", "CAST(app_date AS VARCHAR)"),
+       ("last_contact_date", "last_contact_date", "CAST(contact_date AS VARCHAR)"),
+       ("last_contact_channel", "last_contact_channel", "last_contact_channel_clean"),
+       ("plan_tier_requested", "plan_tier_requested", "plan_tier_requested_clean"),
+       ("broker_channel", "broker_channel", "broker_channel_clean"),
+       ("prior_year_enrolled", "prior_year_enrolled",
+        "CASE WHEN no_prior_record = 1 THEN 'no_record' ELSE CAST(prior_year_enrolled_clean AS VARCHAR) END"),
+       ("has_dependents", "has_dependents", "CAST(has_dependents_bin AS VARCHAR)")]
+oracle("quality_diagnostic", "\nUNION ALL\n".join(
+    f"SELECT employee_id, '{f}' AS field, CAST({r} AS VARCHAR) AS raw_value, {c} AS clean_value, "
+    f"NOT (CAST({r} AS VARCHAR) IS NOT DISTINCT FROM {c}) AS changed FROM eng" for f, r, c in _QD))
+oracle("sentinel_variant", """
+SELECT employee_id, CAST(age AS DOUBLE) AS age, salary, tenure_years,
+  coalesce(CAST(days_contact_to_app AS DOUBLE), -999e0) AS days_contact_to_app, has_application_date, enrolled
+FROM eng
+""", floats=["age", "salary", "tenure_years", "days_contact_to_app"])
+oracle("stratified_split", "SELECT employee_id, enrolled, class_rank, split, fold FROM splits")
+oracle("stratified_folds", "SELECT employee_id, enrolled, class_rank, fold FROM splits")
+oracle("split_sample", """
+SELECT split, employee_id, rn FROM (
+  SELECT split, employee_id, row_number() OVER (PARTITION BY split ORDER BY employee_id) AS rn FROM splits) x
+WHERE rn <= 10
+""", ints=["rn"])
+oracle("oof_region_rate", """
+SELECT p.region, p.fold,
+  CASE WHEN t.n - p.fn <> 0 THEN CAST(t.s - p.fs AS DOUBLE) / CAST(t.n - p.fn AS DOUBLE) END AS oof_rate
+FROM (SELECT e.region, s.fold, sum(e.enrolled) AS fs, count(*) AS fn FROM eng e
+      JOIN splits s ON e.employee_id = s.employee_id GROUP BY e.region, s.fold) p
+JOIN (SELECT region, sum(enrolled) AS s, count(*) AS n FROM eng GROUP BY region) t ON p.region = t.region
+""", ints=["fold"], floats=["oof_rate"])
+
+# --------------------------------------------------------------------------- metrics
+_HIST = """SELECT p, CAST(sum(enrolled) AS BIGINT) AS pos, CAST(sum(1 - enrolled) AS BIGINT) AS neg
+  FROM scored GROUP BY p"""
+_CUM = """SELECT *, coalesce(sum(pos) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pb,
+    coalesce(sum(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb,
+    sum(pos) OVER () AS tp_all, sum(neg) OVER () AS tn_all FROM h"""
+oracle("metric_auc", cte([("h", _HIST), ("c", _CUM)], """
+SELECT CAST(sum(pos * (2 * nb + neg)) AS DOUBLE) / CAST(sum(pos) * sum(neg) * 2 AS DOUBLE) AS roc_auc,
+  CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM c"""), floats=["roc_auc"])
+oracle("metric_avg_precision", cte([("h", _HIST), ("c", _CUM)], """
+SELECT sum(CAST(pos AS DOUBLE) / CAST(tp_all AS DOUBLE) * CAST(tp_all - pb AS DOUBLE)
+  / CAST((tp_all - pb) + (tn_all - nb) AS DOUBLE)) AS average_precision FROM c"""), floats=["average_precision"])
+_CNT = """SELECT count(*) FILTER (WHERE p >= 0.5e0 AND enrolled = 1) AS tp,
+  count(*) FILTER (WHERE p >= 0.5e0 AND enrolled = 0) AS fp,
+  count(*) FILTER (WHERE p < 0.5e0 AND enrolled = 1) AS fn,
+  count(*) FILTER (WHERE p < 0.5e0 AND enrolled = 0) AS tn FROM scored"""
+oracle("metric_threshold", cte([("k", _CNT)], """
+SELECT tp, fp, fn, tn, (tp + tn) / (tp + fp + fn + tn) AS accuracy,
+  CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS precision,
+  CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS recall,
+  CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END AS f1 FROM k"""),
+       ints=["tp", "fp", "fn", "tn"], floats=["accuracy", "precision", "recall", "f1"])
+oracle("metric_brier", "SELECT avg(pow(p - enrolled, 2)) AS brier FROM scored", floats=["brier"])
+oracle("metric_logloss", """
+SELECT avg(-(enrolled * ln(least(greatest(p, 1e-15), 1 - 1e-15))
+  + (1 - enrolled) * ln(1 - least(greatest(p, 1e-15), 1 - 1e-15)))) AS log_loss FROM scored
+""", floats=["log_loss"])
+oracle("confusion_matrix", """
+SELECT enrolled AS actual, CAST(count(*) FILTER (WHERE p < 0.5e0) AS BIGINT) AS pred_0,
+  CAST(count(*) FILTER (WHERE p >= 0.5e0) AS BIGINT) AS pred_1 FROM scored GROUP BY enrolled
+""")
+oracle("classification_report", cte([("k", _CNT), ("r", """
+  SELECT '0' AS label, CASE WHEN tn + fn > 0 THEN tn / (tn + fn) ELSE 0 END AS precision,
+    CASE WHEN tn + fp > 0 THEN tn / (tn + fp) ELSE 0 END AS recall,
+    CASE WHEN 2 * tn + fn + fp > 0 THEN 2 * tn / (2 * tn + fn + fp) ELSE 0 END AS f1, tn + fp AS support FROM k
+  UNION ALL
+  SELECT '1', CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END,
+    CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END,
+    CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END, tp + fn FROM k""")], """
+SELECT label, precision, recall, f1, support FROM r
+UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM r
+UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+  sum(f1 * support) / sum(support), sum(support) FROM r"""), ints=["support"],
+       floats=["precision", "recall", "f1"])
+oracle("naive_baselines", cte([("k", """SELECT
+    count(*) FILTER (WHERE has_dependents_bin = 1 AND enrolled = 1) AS tp,
+    count(*) FILTER (WHERE has_dependents_bin = 1 AND enrolled = 0) AS fp,
+    count(*) FILTER (WHERE has_dependents_bin = 0 AND enrolled = 1) AS fn,
+    count(*) FILTER (WHERE has_dependents_bin = 0 AND enrolled = 0) AS tn FROM eng""")], """
+SELECT greatest((tp + fn) / (tp + fp + fn + tn), 1 - (tp + fn) / (tp + fp + fn + tn)) AS majority_accuracy,
+  (tp + tn) / (tp + fp + fn + tn) AS rule_accuracy,
+  (tp * tn + (tp * fp + fn * tn) / 2) / ((tp + fn) * (fp + tn)) AS rule_auc FROM k"""),
+       floats=["majority_accuracy", "rule_accuracy", "rule_auc"])
+oracle("precision_lift_at_k", cte([
+    ("t", "SELECT s.* FROM scored s JOIN splits sp ON s.employee_id = sp.employee_id WHERE sp.split = 'test'"),
+    ("top", """SELECT t.* FROM (SELECT *, row_number() OVER (PARTITION BY region ORDER BY p DESC, employee_id) AS rn
+        FROM t) t JOIN reg r ON t.region = r.region WHERE t.rn <= CAST(round(r.hr_outreach_capacity / 5e0) AS BIGINT)""")],
+    """
+SELECT b.region, b.n, b.base_rate, p.k, p.precision_at_k,
+  CASE WHEN b.base_rate <> 0 THEN p.precision_at_k / b.base_rate END AS lift_at_k
+FROM (SELECT region, CAST(count(*) AS BIGINT) AS n, avg(CAST(enrolled AS DOUBLE)) AS base_rate FROM t GROUP BY region) b
+LEFT JOIN (SELECT region, CAST(count(*) AS BIGINT) AS k, avg(CAST(enrolled AS DOUBLE)) AS precision_at_k
+           FROM top GROUP BY region) p ON b.region = p.region"""),
+       floats=["base_rate", "precision_at_k", "lift_at_k"])
+oracle("calibration_bins", """
+SELECT CAST(least(floor(p * 10), 9) AS BIGINT) AS bin, CAST(count(*) AS BIGINT) AS n, avg(p) AS mean_p,
+  avg(CAST(enrolled AS DOUBLE)) AS observed_rate FROM scored GROUP BY 1
+""", floats=["mean_p", "observed_rate"])
+
+# --------------------------------------------------------------------------- governance
+_LEAK = ["legacy_propensity_score", "salary", "age", "tenure_years", "hist_enrollment_rate_region",
+         "days_contact_to_app"]
+_LK = "\nUNION ALL\n".join(f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS v, enrolled AS y FROM eng "
+                           f"WHERE {c} IS NOT NULL" for c in _LEAK)
+oracle("leakage_screen", cte([
+    ("lk", _LK),
+    ("h", "SELECT column_name, v, sum(y) AS pos, sum(1 - y) AS neg FROM lk GROUP BY column_name, v"),
+    ("hc", """SELECT *, coalesce(sum(neg) OVER (PARTITION BY column_name ORDER BY v
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM h"""),
+    ("a", """SELECT column_name, CAST(sum(pos * (2 * nb + neg)) AS DOUBLE) / CAST(sum(pos) * sum(neg) * 2 AS DOUBLE)
+        AS solo_auc FROM hc GROUP BY column_name"""),
+    ("st", """SELECT column_name, avg(CASE WHEN y = 0 THEN v END) AS mean_neg, avg(CASE WHEN y = 1 THEN v END) AS mean_pos,
+        corr(v, CAST(y AS DOUBLE)) AS corr,
+        avg(CASE WHEN CAST(v >= 0.5e0 AS INT) = y THEN 1e0 ELSE 0e0 END) AS threshold_accuracy,
+        CAST(count(*) AS BIGINT) AS n FROM lk GROUP BY column_name""")], """
+SELECT st.column_name, mean_neg, mean_pos, corr, threshold_accuracy, n, a.solo_auc, mean_pos - mean_neg AS gap,
+  CASE WHEN corr > 0.9e0 THEN 'LEAKY' ELSE 'REVIEW' END AS verdict
+FROM st LEFT JOIN a ON st.column_name = a.column_name"""),
+       floats=["mean_neg", "mean_pos", "corr", "threshold_accuracy", "solo_auc", "gap"])
+oracle("leakage_aggregate", cte([
+    ("t", """SELECT coalesce(e.hist_enrollment_rate_region, 0e0) AS p, e.enrolled FROM eng e
+        JOIN splits s ON e.employee_id = s.employee_id WHERE s.split = 'test'"""),
+    ("h", "SELECT p, sum(enrolled) AS pos, sum(1 - enrolled) AS neg FROM t GROUP BY p"),
+    ("c", """SELECT *, coalesce(sum(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb
+        FROM h"""),
+    ("au", """SELECT CAST(sum(pos * (2 * nb + neg)) AS DOUBLE) / CAST(sum(pos) * sum(neg) * 2 AS DOUBLE) AS test_auc
+        FROM c"""),
+    ("ov", """SELECT corr(hist_enrollment_rate_region, CAST(enrolled AS DOUBLE)) AS corr,
+        avg(CAST(enrolled AS DOUBLE)) AS overall_rate FROM eng""")], """
+SELECT g.region, g.actual_rate, g.published_rate, abs(g.actual_rate - g.published_rate) AS diff,
+  ov.corr, ov.overall_rate, au.test_auc
+FROM (SELECT region, avg(CAST(enrolled AS DOUBLE)) AS actual_rate, min(hist_enrollment_rate_region) AS published_rate
+      FROM eng GROUP BY region) g, ov, au"""),
+       floats=["actual_rate", "published_rate", "diff", "corr", "overall_rate", "test_auc"])
+oracle("refuse_leakage", """
+SELECT request_id, employee_id, feature_requested,
+  CASE WHEN coalesce(contains(lower(feature_requested), 'legacy_propensity_score'), false) THEN 'refusal'
+    ELSE 'ok' END AS status,
+  CASE WHEN coalesce(contains(lower(feature_requested), 'legacy_propensity_score'), false)
+    THEN 'TARGET_LEAKAGE_REFUSAL' END AS refusal_type
+FROM (SELECT o_orderkey AS request_id, o_custkey AS employee_id,
+  CASE o_orderkey % 5 WHEN 0 THEN 'legacy_propensity_score' WHEN 1 THEN 'LEGACY_PROPENSITY_SCORE_v2'
+    WHEN 2 THEN 'salary' WHEN 3 THEN NULL ELSE 'days_contact_to_app' END AS feature_requested FROM orders) r
+""", ints=["request_id", "employee_id"])
+_DRV = """SELECT employee_id,
+    CASE WHEN coalesce(trim(has_dependents) = 'Yes', false) THEN 'Positive' ELSE 'Negative' END AS dep_effect,
+    CASE WHEN coalesce(salary, 60000e0) >= 60000e0 THEN 'Positive' ELSE 'Negative' END AS sal_effect,
+    CASE WHEN employment_type = 'Full-time' THEN 'Positive'
+         WHEN employment_type IN ('Part-time', 'Contract') THEN 'Negative' END AS emp_effect,
+    CASE WHEN prior_year_enrolled = 1 THEN 'Positive' WHEN prior_year_enrolled = 0 THEN 'Negative' END AS prior_effect,
+    CASE WHEN lower(trim(plan_tier_requested)) IN ('gold', 'premium', 'silver') THEN 'Positive' END AS tier_effect
+  FROM dedup"""
+oracle("explain_drivers", cte([("dv", _DRV)], """
+SELECT employee_id, 0 AS driver_pos, 'has_dependents' AS feature, dep_effect AS effect FROM dv
+UNION ALL SELECT employee_id, 1, 'salary', sal_effect FROM dv
+UNION ALL SELECT employee_id, 2, 'employment_type', emp_effect FROM dv WHERE emp_effect IS NOT NULL
+UNION ALL SELECT employee_id, 2 + CAST(emp_effect IS NOT NULL AS INT), 'prior_year_enrolled', prior_effect FROM dv
+  WHERE prior_effect IS NOT NULL
+UNION ALL SELECT employee_id, 2 + CAST(emp_effect IS NOT NULL AS INT) + CAST(prior_effect IS NOT NULL AS INT),
+  'plan_tier_requested', tier_effect FROM dv WHERE tier_effect IS NOT NULL"""), ints=["driver_pos"])
+oracle("explain_protected", cte([("dv", _DRV)], """
+SELECT employee_id, 2 + CAST(emp_effect IS NOT NULL AS INT) + CAST(prior_effect IS NOT NULL AS INT)
+  + CAST(tier_effect IS NOT NULL AS INT) AS n_drivers, false AS has_protected FROM dv"""), ints=["n_drivers"])
+_AUD = cte([("au", """SELECT s.employee_id, s.p, s.enrolled, d.gender, d.age, d.marital_status,
+      CASE WHEN d.age > 20 AND d.age <= 35 THEN '20-35' WHEN d.age > 35 AND d.age <= 50 THEN '36-50'
+        WHEN d.age > 50 AND d.age <= 65 THEN '51-65' END AS age_group
+    FROM splits sp JOIN scored s ON sp.employee_id = s.employee_id JOIN dedup d ON d.employee_id = s.employee_id
+    WHERE sp.split = 'test'"""),
+    ("lv", """SELECT 'gender' AS dimension, gender AS level, enrolled, p FROM au
+      UNION ALL SELECT 'age_group', age_group, enrolled, p FROM au
+      UNION ALL SELECT 'marital_status', marital_status, enrolled, p FROM au""")], """
+SELECT dimension, level, CAST(count(*) AS BIGINT) AS count, avg(CAST(enrolled AS DOUBLE)) AS actual_rate,
+  avg(CASE WHEN p >= 0.5e0 THEN 1e0 ELSE 0e0 END) AS pred_rate, avg(p) AS avg_prob
+FROM lv WHERE level IS NOT NULL GROUP BY dimension, level""")
+oracle("fairness_audit", _AUD.replace(HEAD, ""), floats=["actual_rate", "pred_rate", "avg_prob"])
+oracle("fairness_gap", f"SELECT dimension, level, actual_rate, pred_rate, pred_rate - actual_rate AS gap FROM ({_AUD}) g",
+       floats=["actual_rate", "pred_rate", "gap"])
