@@ -873,3 +873,265 @@ def q_fairness_audit(spark, sf):
 def q_fairness_gap(spark, sf):
     from benefitlens.operators.governance import fairness_audit
     return fairness_audit(_audit_frame(spark, sf)).select("dimension", "level", "actual_rate", "pred_rate", "gap")
+
+
+# --------------------------------------------------------------------------- models (rows-only checks)
+def _model_metrics(spark, sf, names):
+    from benefitlens.plans.training import metrics_frame, train_and_evaluate
+    e = _eng(spark, sf)
+    return metrics_frame(spark, [train_and_evaluate(e, n) for n in names])
+
+
+@query("train_logistic")
+def q_train_logistic(spark, sf):
+    return _model_metrics(spark, sf, ["logistic"])
+
+
+@query("train_gbt_default")
+def q_train_gbt_default(spark, sf):
+    return _model_metrics(spark, sf, ["gbt_default"])
+
+
+@query("train_gbt")
+def q_train_gbt(spark, sf):
+    return _model_metrics(spark, sf, ["gbt"])
+
+
+@query("train_alt_trees")
+def q_train_alt_trees(spark, sf):
+    return _model_metrics(spark, sf, ["forest"])
+
+
+@query("model_comparison")
+def q_model_comparison(spark, sf):
+    return _model_metrics(spark, sf, ["logistic", "gbt_default"])
+
+
+@query("cross_validate")
+def q_cross_validate(spark, sf):
+    from benefitlens.plans.training import cross_validate
+    e = _eng(spark, sf)
+    return cross_validate(e, "gbt").unionByName(cross_validate(e, "forest"))
+
+
+@query("sentinel_experiment")
+def q_sentinel_experiment(spark, sf):
+    """M6: the same small matrix with the day gap left null (imputed + the
+    has_application_date indicator) or filled with -999, cross-validated."""
+    from benefitlens.operators.split import stratified_folds
+    from benefitlens.plans import modeling
+    from benefitlens.plans.features import sentinel_variant
+    from benefitlens.plans.training import right_size
+    e = _eng(spark, sf)
+    feats = ["age", "salary", "tenure_years", "days_contact_to_app", "has_application_date"]
+    out = None
+    for name, sentinel in [("null", None), ("sentinel_-999", -999.0)]:
+        v = stratified_folds(sentinel_variant(e, sentinel))
+        prepared = right_size(modeling.prepare(v, feats))
+        res = modeling.cross_validate(prepared, modeling.gbt(max_iter=100, step=0.1), feats, parallelism=5) \
+            .withColumn("variant", F.lit(name))
+        res = spark.createDataFrame(res.collect(), res.schema)
+        prepared.unpersist()
+        out = res if out is None else out.unionByName(res)
+    return out
+
+
+def _tree_matrix(spark, sf):
+    d = _dedup(spark, sf).filter(F.col("salary").isNotNull())
+    d = category_codes(d, "employment_type")
+    return d.select("employee_id", F.col("salary").cast("double").alias("salary"),
+                    F.col("age").cast("double").alias("age"),
+                    (F.col("has_dependents") == "Yes").cast("double").alias("has_dep_num"),
+                    F.col("employment_type_code").cast("double").alias("emp_type_num"),
+                    F.col("enrolled").cast("double").alias("label"))
+
+
+def _tree_accuracy(frame, depth):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.feature import VectorAssembler
+    asm = VectorAssembler(inputCols=["salary", "age", "has_dep_num", "emp_type_num"], outputCol="features")
+    data = asm.transform(frame)
+    m = DecisionTreeClassifier(maxDepth=depth, seed=42, labelCol="label").fit(data)
+    acc = m.transform(data).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+    return m, float(acc)
+
+
+@query("tree_probe")
+def q_tree_probe(spark, sf):
+    """M7: how well a shallow tree recovers the label from four raw columns."""
+    from pyspark import StorageLevel
+    frame = _tree_matrix(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = []
+    for depth in (4, 5, 10):
+        m, acc = _tree_accuracy(frame, depth)
+        rows.append((depth, acc, m.numNodes, m.toDebugString))
+    frame.unpersist()
+    return spark.createDataFrame(rows, "depth int, accuracy double, n_nodes int, rules string")
+
+
+@query("tree_depth_sweep")
+def q_tree_depth_sweep(spark, sf):
+    """M8: training accuracy for depths 1..7 on one persisted frame."""
+    from pyspark import StorageLevel
+    frame = _tree_matrix(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = [(d, _tree_accuracy(frame, d)[1]) for d in range(1, 8)]
+    frame.unpersist()
+    return spark.createDataFrame(rows, "depth int, accuracy double")
+
+
+def label_encode_all(df, exclude=("employee_id", "enrolled")):
+    """every text column indexed alphabetically, a missing value being its
+    own level (the text 'nan'), numeric nulls as -999."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer
+    from benefitlens.schemas import numeric_columns, text_columns
+    texts = [c for c in text_columns(df) if c not in exclude]
+    filled = df.withColumns({c: F.coalesce(F.col(c), F.lit("nan")) for c in texts})
+    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_code", stringOrderType="alphabetAsc") for c in texts]
+    enc = Pipeline(stages=idx).fit(filled).transform(filled)
+    nums = [c for c in numeric_columns(df) if c not in exclude]
+    return enc.select(*[c for c in exclude if c in df.columns],
+                      *[F.coalesce(F.col(c).cast("double"), F.lit(-999.0)).alias(c) for c in nums],
+                      *[F.col(f"{c}_code").cast("int").alias(f"{c}_code") for c in texts])
+
+
+@query("label_encode_all")
+def q_label_encode_all(spark, sf):
+    return label_encode_all(_emp(spark, sf))
+
+
+@query("forest_importance")
+def q_forest_importance(spark, sf):
+    """M9: random-forest importances over all label-encoded raw columns."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+    enc = label_encode_all(_emp(spark, sf))
+    feats = [c for c in enc.columns if c not in ("employee_id", "enrolled")]
+    data = VectorAssembler(inputCols=feats, outputCol="features").transform(enc) \
+        .withColumn("label", F.col("enrolled").cast("double"))
+    m = RandomForestClassifier(numTrees=100, seed=42, maxBins=64).fit(data)
+    imp = m.featureImportances.toArray().tolist()
+    rows = sorted(zip(feats, imp), key=lambda r: -r[1])
+    return spark.createDataFrame([(n, float(v), i + 1) for i, (n, v) in enumerate(rows)],
+                                 "feature string, importance double, rank int")
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf):
+    """Importances of the final boosted model, named and ranked."""
+    from benefitlens.plans import modeling
+    from benefitlens.plans.training import final_model
+    e = _eng(spark, sf)
+    model = final_model(spark, sf, e)
+    _, names = modeling._stages_trees(modeling.prepare(e), modeling.EXPECTED_FEATURES)
+    return modeling.feature_importance(model, names)
+
+
+def _final_model(spark, sf):
+    """The final boosted model (fitted once per input, then reloaded) and its
+    scores on the test split."""
+    from benefitlens.plans import modeling
+    from benefitlens.plans.training import final_model, split_frames
+    e = _eng(spark, sf)
+    model = final_model(spark, sf, e)
+    train, test = split_frames(e)
+    train.unpersist()
+    return model, modeling.score(model, test)
+
+
+@query("score_batch")
+def q_score_batch(spark, sf):
+    """The final model scores arriving records through the shared C2 job."""
+    from benefitlens.plans import modeling
+    from benefitlens.plans.features import preprocess_scoring
+    model, _ = _final_model(spark, sf)
+    feats = preprocess_scoring(_arriving_records(spark, sf), _reg(spark, sf))
+    return modeling.score(model, modeling.prepare(feats))
+
+
+@query("ablation")
+def q_ablation(spark, sf):
+    """Test AUC without demographics, with them, and with the leaky column."""
+    from benefitlens.plans.training import ablation_features, train_and_evaluate
+    e = _eng(spark, sf)
+    rows = [(name, train_and_evaluate(e, "gbt", feats)["roc_auc"], len(feats))
+            for name, feats in ablation_features().items()]
+    return spark.createDataFrame(rows, "variant string, roc_auc double, n_features int")
+
+
+@query("score_reproducible")
+def q_score_reproducible(spark, sf):
+    """Two scorings of the same rows agree (max |diff| and classes)."""
+    from benefitlens.plans import modeling
+    from benefitlens.plans.training import split_frames
+    model, _ = _final_model(spark, sf)
+    _, test = split_frames(_eng(spark, sf))
+    a = modeling.score(model, test).select("employee_id", F.col("predicted_probability").alias("a"),
+                                           F.col("predicted_class").alias("ca"))
+    b = modeling.score(model, test).select("employee_id", F.col("predicted_probability").alias("b"),
+                                           F.col("predicted_class").alias("cb"))
+    j = a.join(b, "employee_id")
+    return j.agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                 F.max(F.abs(F.col("a") - F.col("b"))).alias("max_abs_diff"),
+                 F.min((F.col("ca") == F.col("cb")).cast("int")).alias("classes_equal"))
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, sf):
+    """IO8: save the whole pipeline to the shared folder, reload, re-score."""
+    import uuid
+    from benefitlens.plans import modeling
+    from benefitlens.plans.training import split_frames
+    from benefitlens.session import shared_path
+    model, scored = _final_model(spark, sf)
+    loaded = modeling.save_and_reload(model, shared_path(spark, "models", uuid.uuid4().hex))
+    _, test = split_frames(_eng(spark, sf))
+    again = modeling.score(loaded, test).select("employee_id", F.col("predicted_probability").alias("b"))
+    j = scored.select("employee_id", F.col("predicted_probability").alias("a")).join(again, "employee_id")
+    return j.agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                 F.max(F.abs(F.col("a") - F.col("b"))).alias("max_abs_diff"))
+
+
+@query("score_requests")
+def q_score_requests(spark, sf):
+    """L4: refusals for leaky feature requests, scores (with raw and clean
+    attributes) for the rest; unknown ids drop out and are listed by
+    ``missing_requests``."""
+    from benefitlens.constants import TIER_MAP
+    from benefitlens.functions.canon import lookup_trim_retry
+    from benefitlens.operators.governance import refuse_leakage
+    from benefitlens.plans import modeling
+    from benefitlens.plans.features import preprocess_scoring
+    model, _ = _final_model(spark, sf)
+    req = refuse_leakage(_requests(spark, sf))
+    ok = req.filter(F.col("status") == "ok").select("request_id", "employee_id")
+    raw = _dedup(spark, sf)
+    matched = raw.join(ok.select("employee_id").distinct(), "employee_id", "left_semi")
+    scores = modeling.score(model, modeling.prepare(preprocess_scoring(matched, _reg(spark, sf))))
+    attrs = matched.select("employee_id", "age", "salary", "region",
+                           lookup_trim_retry("plan_tier_requested", TIER_MAP).alias("plan_tier_requested_clean"))
+    scored = (ok.join(attrs, "employee_id").join(scores.select("employee_id", "predicted_probability",
+                                                               "predicted_class"), "employee_id")
+              .select("request_id", "employee_id", F.lit("success").alias("status"), "age", "salary", "region",
+                      "plan_tier_requested_clean",
+                      F.round("predicted_probability", 4).alias("enrollment_probability"),
+                      F.col("predicted_class").alias("predicted_enrolled")))
+    refused = req.filter(F.col("status") == "refusal").select("request_id", "employee_id",
+                                                                 F.lit("refusal").alias("status"))
+    return scored.unionByName(refused, allowMissingColumns=True)
+
+
+@query("score_records")
+def q_score_records(spark, sf):
+    """Score supplied records; invalid ones carry an error instead of a score."""
+    from benefitlens.plans import modeling
+    from benefitlens.plans.features import preprocess_scoring
+    model, _ = _final_model(spark, sf)
+    feats = preprocess_scoring(_arriving_records(spark, sf), _reg(spark, sf))
+    s = modeling.score(model, modeling.prepare(feats))
+    valid = F.col("reason").isNull()
+    return s.select("employee_id",
+                    F.when(valid, F.lit("success")).otherwise(F.lit("error")).alias("status"),
+                    F.when(valid, F.round("predicted_probability", 4)).alias("enrollment_probability"),
+                    F.when(valid, F.col("predicted_class")).alias("predicted_enrolled"),
+                    F.col("reason").alias("error"))

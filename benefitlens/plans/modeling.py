@@ -34,7 +34,7 @@ def prepare(df: DataFrame, features=EXPECTED_FEATURES) -> DataFrame:
     """Numeric features as double (Imputer needs floating columns), label as double."""
     cats = set(_categorical(df, features))
     cols = [F.col(c) if c in cats else F.col(c).cast("double").alias(c) for c in features]
-    extra = [c for c in ["employee_id", LABEL, "split", "fold"] if c in df.columns]
+    extra = [c for c in ["employee_id", LABEL, "split", "fold", "reason"] if c in df.columns]
     out = df.select(*extra, *cols)
     if LABEL in out.columns:
         out = out.withColumn("label", F.col(LABEL).cast("double"))
@@ -101,7 +101,7 @@ def score(model: PipelineModel, df: DataFrame, threshold: float = 0.5) -> DataFr
     """Probability of class 1 and class at ``p >= threshold``."""
     out = model.transform(df)
     p = vector_to_array(F.col("probability"))[1]
-    keep = [c for c in ["employee_id", LABEL, "split"] if c in df.columns]
+    keep = [c for c in ["employee_id", LABEL, "split", "reason"] if c in df.columns]
     res = out.select(*keep, p.alias("predicted_probability"))
     cls = (F.col("predicted_probability") >= threshold).cast("int")
     return res.withColumns({"predicted_class": cls,
@@ -113,7 +113,8 @@ def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     return pipeline.fit(train)
 
 
-def cross_validate(df: DataFrame, learner, features=EXPECTED_FEATURES, parallelism: int = 2) -> DataFrame:
+def cross_validate(df: DataFrame, learner, features=EXPECTED_FEATURES, parallelism: int = 2,
+                   n_folds: int = 5) -> DataFrame:
     """M5: k-fold AUC on a precomputed stratified ``fold`` column.
 
     The evaluator uses exact AUC (``numBins=0``, no down-sampling of the curve).
@@ -123,7 +124,7 @@ def cross_validate(df: DataFrame, learner, features=EXPECTED_FEATURES, paralleli
     ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="probability",
                                        metricName="areaUnderROC", numBins=0)
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=ParamGridBuilder().build(),
-                        evaluator=ev, foldCol="fold", parallelism=parallelism,
+                        evaluator=ev, foldCol="fold", numFolds=n_folds, parallelism=parallelism,
                         collectSubModels=False)
     m = cv.fit(df)
     spark = df.sparkSession
