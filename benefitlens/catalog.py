@@ -1135,3 +1135,18 @@ def q_score_records(spark, sf):
                     F.when(valid, F.round("predicted_probability", 4)).alias("enrollment_probability"),
                     F.when(valid, F.col("predicted_class")).alias("predicted_enrolled"),
                     F.col("reason").alias("error"))
+
+
+# --------------------------------------------------------------------------- streaming
+@query("stream_preprocess_scoring")
+def q_stream_preprocess_scoring(spark, sf):
+    """C2 run as a Structured Streaming query over records landed as files."""
+    import uuid
+    from benefitlens.session import shared_path
+    from benefitlens.streaming.scoring import preprocess_stream, read_record_stream, run_available_now
+    run = shared_path(spark, "stream", uuid.uuid4().hex)
+    records = _arriving_records(spark, sf)
+    records.write.mode("overwrite").parquet(f"{run}/landing")
+    stream = read_record_stream(spark, f"{run}/landing", records.schema)
+    run_available_now(preprocess_stream(stream, _reg(spark, sf)), f"{run}/out", f"{run}/_checkpoint")
+    return spark.read.parquet(f"{run}/out")

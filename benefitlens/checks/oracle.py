@@ -765,3 +765,6 @@ FROM lv WHERE level IS NOT NULL GROUP BY dimension, level""")
 oracle("fairness_audit", _AUD.replace(HEAD, ""), floats=["actual_rate", "pred_rate", "avg_prob"])
 oracle("fairness_gap", f"SELECT dimension, level, actual_rate, pred_rate, pred_rate - actual_rate AS gap FROM ({_AUD}) g",
        floats=["actual_rate", "pred_rate", "gap"])
+
+# --------------------------------------------------------------------------- streaming
+ORACLE["stream_preprocess_scoring"] = ORACLE["preprocess_scoring"]
