@@ -768,3 +768,11 @@ oracle("fairness_gap", f"SELECT dimension, level, actual_rate, pred_rate, pred_r
 
 # --------------------------------------------------------------------------- streaming
 ORACLE["stream_preprocess_scoring"] = ORACLE["preprocess_scoring"]
+
+# --------------------------------------------------------------------------- sinks / encoders
+oracle("io_write_splits", "SELECT split, CAST(count(*) AS BIGINT) AS n FROM splits GROUP BY split")
+_ENC_NUM = ["age", "salary", "tenure_years", "prior_year_enrolled", "legacy_propensity_score"]
+oracle("label_encode_all", "SELECT employee_id, enrolled, "
+       + ", ".join(f"coalesce(CAST({c} AS DOUBLE), -999e0) AS {c}" for c in _ENC_NUM) + ", "
+       + ", ".join(f"dense_rank() OVER (ORDER BY coalesce({c}, 'nan')) - 1 AS {c}_code" for c in _EMP_TEXT)
+       + " FROM emp", ints=[f"{c}_code" for c in _EMP_TEXT], floats=_ENC_NUM)

@@ -21,19 +21,35 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
-def assert_unique_key(dim: DataFrame, key: str) -> None:
+def dimension_profile(dim: DataFrame, key: str) -> tuple[int, bool]:
+    """One small job on the dimension: its row count and whether the key is unique."""
+    r = dim.agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("nk"),
+                F.count_distinct(key).alias("dk")).first()
+    return int(r["n"]), r["nk"] == r["dk"]
+
+
+def assert_unique_key(dim: DataFrame, key: str) -> int:
     """J2 (dimension side): the join key is unique, so a left join keeps row counts."""
-    dupes = dim.groupBy(key).count().filter(F.col("count") > 1).limit(1).count()
-    if dupes:
+    n, unique = dimension_profile(dim, key)
+    if not unique:
         raise ValueError(f"dimension key '{key}' is not unique")
+    return n
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, key: str = "region",
-                   how: str = "left", check_unique: bool = True) -> DataFrame:
-    """Left equi-join of the fact to a small dimension."""
-    if check_unique:
-        assert_unique_key(dim, key)
-    return fact.join(broadcast_if_small(dim), key, how)
+                   how: str = "left", check_unique: bool = True,
+                   max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Left equi-join of the fact to a dimension.
+
+    The dimension is profiled once (row count and key uniqueness); it is
+    broadcast only when that count is within the bound, otherwise Spark plans
+    a shuffle join (AQE may still switch at run time).
+    """
+    n, unique = dimension_profile(dim, key)
+    if check_unique and not unique:
+        raise ValueError(f"dimension key '{key}' is not unique")
+    right = F.broadcast(dim) if n <= max_broadcast_rows else dim
+    return fact.join(right, key, how)
 
 
 def join_cardinality(fact: DataFrame, dim: DataFrame, key: str = "region") -> DataFrame:

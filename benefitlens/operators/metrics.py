@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from benefitlens.operators.joins import broadcast_if_small
+from benefitlens.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
+from benefitlens.session import ensure_checkpoint_dir
 from benefitlens.operators.ranking import rank_capacity
 
 N_BUCKETS = 256
@@ -30,16 +31,26 @@ def score_histogram(df: DataFrame, score: str = "p", label: str = "enrolled", gr
 def score_cumulative(df: DataFrame, score: str = "p", label: str = "enrolled",
                      groups=(), n_buckets: int = N_BUCKETS) -> DataFrame:
     """Per (group, distinct score): pos, neg, pos_below and neg_below, where
-    "below" counts rows of the same group with a strictly lower score."""
+    "below" counts rows of the same group with a strictly lower score, plus
+    the group's pos_total and neg_total.
+
+    The per-score histogram feeds three branches (quantile bounds, in-bucket
+    running sums, bucket totals), so it is checkpointed once to the shared
+    checkpoint folder instead of being recomputed from the raw rows by each.
+    """
     groups = list(groups)
-    hist = score_histogram(df, score, label, groups)
+    ensure_checkpoint_dir(df.sparkSession)
+    hist = score_histogram(df, score, label, groups).checkpoint(eager=True)
     fracs = [i / n_buckets for i in range(1, n_buckets)]
     if groups:
         bounds = hist.groupBy(*groups).agg(F.percentile_approx("score", fracs, 10000).alias("_bounds"))
-        hist = hist.join(broadcast_if_small(bounds), groups)
+        n_groups = bounds.count()
+        small = n_groups * n_buckets <= BROADCAST_MAX_ROWS
+        hist = hist.join(F.broadcast(bounds) if small else bounds, groups)
         bcol = F.col("_bounds")
     else:
         # a bounded list of n_buckets - 1 numbers, inlined as a literal array
+        small = True
         vals = hist.agg(F.percentile_approx("score", fracs, 10000)).first()[0] or []
         bcol = F.array(*[F.lit(float(v)) for v in vals]) if vals else F.array().cast("array<double>")
     bucketed = hist.withColumn("bucket", F.size(F.filter(bcol, lambda x: x < F.col("score"))))
@@ -52,14 +63,19 @@ def score_cumulative(df: DataFrame, score: str = "p", label: str = "enrolled",
     totals = bucketed.groupBy(*groups, "bucket").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     # at most n_buckets rows per group: a running sum over them is cheap
     w_b = Window.partitionBy(*groups).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    w_g = Window.partitionBy(*groups)
     offsets = (totals.withColumn("_pos_off", F.coalesce(F.sum("_bp").over(w_b), F.lit(0)))
                      .withColumn("_neg_off", F.coalesce(F.sum("_bn").over(w_b), F.lit(0)))
-                     .select(*groups, "bucket", "_pos_off", "_neg_off"))
-    j = inner.join(broadcast_if_small(offsets), [*groups, "bucket"])
+                     .withColumn("pos_total", F.sum("_bp").over(w_g))
+                     .withColumn("neg_total", F.sum("_bn").over(w_g))
+                     .select(*groups, "bucket", "_pos_off", "_neg_off", "pos_total", "neg_total"))
+    # offsets hold at most (#groups x n_buckets) rows, a bound known here
+    j = inner.join(F.broadcast(offsets) if small else offsets, [*groups, "bucket"])
     return j.select(
         *groups, "score", "pos", "neg",
         (F.col("_pos_off") + F.col("_pos_upto") - F.col("pos")).alias("pos_below"),
-        (F.col("_neg_off") + F.col("_neg_upto") - F.col("neg")).alias("neg_below"))
+        (F.col("_neg_off") + F.col("_neg_upto") - F.col("neg")).alias("neg_below"),
+        "pos_total", "neg_total")
 
 
 def auc_from_cumulative(c: DataFrame, groups=()) -> DataFrame:
@@ -81,11 +97,10 @@ def average_precision(df: DataFrame, score: str = "p", label: str = "enrolled")
     """Step-wise average precision (sum of recall steps x precision at
     each distinct threshold, scores at or above it count as positive)."""
     c = score_cumulative(df, score, label)
-    tot = c.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    P, N = tot.first()
-    tp = F.lit(int(P)) - F.col("pos_below")
-    fp = F.lit(int(N)) - F.col("neg_below")
-    return c.agg(F.sum(F.col("pos") / F.lit(float(P)) * tp / (tp + fp)).alias("average_precision"))
+    tp = F.col("pos_total") - F.col("pos_below")
+    fp = F.col("neg_total") - F.col("neg_below")
+    return c.agg(F.sum(F.col("pos") / F.col("pos_total").cast("double") * tp / (tp + fp))
+                 .alias("average_precision"))
 
 
 def _counts(df: DataFrame, score: str, label: str, threshold: float):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from benefitlens.operators.joins import broadcast_if_small
+from benefitlens.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
 
 
 def _order(score: str, ascending: bool, tiebreak: str) -> list[Column]:
@@ -65,11 +65,14 @@ def rank_capacity(scored: DataFrame, regions: DataFrame, top_k: int | None = Non
         caps = caps.withColumn("k_eff", F.col("capacity"))
     else:
         caps = caps.withColumn("k_eff", F.least(F.col("capacity"), F.lit(int(top_k))))
-    max_k = caps.agg(F.max("k_eff")).first()[0] or 0
-    _ensure_group_limit(scored.sparkSession, int(max_k))
+    # one small job on the dimension: the largest cap and the row count
+    stats = caps.agg(F.max("k_eff").alias("k"), F.count(F.lit(1)).alias("n")).first()
+    max_k, n_caps = int(stats["k"] or 0), int(stats["n"])
+    _ensure_group_limit(scored.sparkSession, max_k)
     w = Window.partitionBy("region").orderBy(*_order(score, ascending, tiebreak))
-    ranked = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(int(max_k)))
-    return (ranked.join(broadcast_if_small(caps), "region", "inner")
+    ranked = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(max_k))
+    caps_side = F.broadcast(caps) if n_caps <= BROADCAST_MAX_ROWS else caps
+    return (ranked.join(caps_side, "region", "inner")
             .filter(F.col("rank") <= F.col("k_eff"))
             .drop("k_eff"))
 

@@ -36,19 +36,21 @@ def class_rank(df: DataFrame, label: str = "enrolled", key: str = "employee_id",
 
 
 def test_allocation(df: DataFrame, label: str = "enrolled") -> DataFrame:
-    """Per-class test sizes: total ``ceil(n/5)`` shared by largest remainder."""
+    """Per-class test sizes: total ``ceil(n/5)`` shared by largest remainder.
+
+    Computed lazily on the class-count table (one row per class); the
+    windows below never see more rows than there are classes.
+    """
     cls = df.groupBy(label).agg(F.count(F.lit(1)).cast("bigint").alias("n_c"))
-    rows = cls.collect()  # one row per class: bounded by the label domain
-    n = sum(r["n_c"] for r in rows)
-    nt = -(-n // TEST_FRACTION_DENOMINATOR)
-    base = {r[label]: (nt * r["n_c"]) // n for r in rows}
-    rem = sorted(rows, key=lambda r: (-((nt * r["n_c"]) % n), r[label]))
-    left = nt - sum(base.values())
-    for r in rem[:left]:
-        base[r[label]] += 1
-    spark = df.sparkSession
-    dtype = df.schema[label].dataType.simpleString()
-    return spark.createDataFrame([(k, int(v)) for k, v in base.items()], f"{label} {dtype}, n_test bigint")
+    every = Window.partitionBy()
+    d = TEST_FRACTION_DENOMINATOR
+    a = (cls.withColumn("_n", F.sum("n_c").over(every))
+            .withColumn("_nt", F.expr(f"CAST((_n + {d - 1}) div {d} AS BIGINT)"))
+            .withColumn("_base", F.expr("(_nt * n_c) div _n"))
+            .withColumn("_rem", F.expr("(_nt * n_c) % _n")))
+    a = (a.withColumn("_left", F.col("_nt") - F.sum("_base").over(every))
+          .withColumn("_rk", F.row_number().over(Window.orderBy(F.col("_rem").desc(), F.col(label).asc()))))
+    return a.select(label, (F.col("_base") + (F.col("_rk") <= F.col("_left")).cast("bigint")).alias("n_test"))
 
 
 def stratified_split(df: DataFrame, label: str = "enrolled", key: str = "employee_id",
