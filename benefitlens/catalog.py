@@ -623,19 +623,9 @@ def q_categorical_domain(spark, sf):
     return apply_domains(_eng(spark, sf)).select("employee_id", *CATEGORICAL_LEVELS)
 
 
-def category_codes(df, column):
-    """alphabetical codes of the distinct levels, null -> -1."""
-    from pyspark.sql import Window
-    from benefitlens.operators.joins import broadcast_if_small
-    levels = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    # one row per level of a categorical column: a single ordered window is fine
-    coded = levels.withColumn(f"{column}_code", F.dense_rank().over(Window.orderBy(column)) - 1)
-    out = df.join(broadcast_if_small(coded), column, "left")
-    return out.withColumn(f"{column}_code", F.coalesce(F.col(f"{column}_code"), F.lit(-1)))
-
-
 @query("category_codes")
 def q_category_codes(spark, sf):
+    from benefitlens.operators.encode import category_codes
     d = _dedup(spark, sf)
     return category_codes(d, "employment_type").select("employee_id", "employment_type", "employment_type_code")
 
@@ -937,6 +927,7 @@ def q_sentinel_experiment(spark, sf):
 
 
 def _tree_matrix(spark, sf):
+    from benefitlens.operators.encode import category_codes
     d = _dedup(spark, sf).filter(F.col("salary").isNotNull())
     d = category_codes(d, "employment_type")
     return d.select("employee_id", F.col("salary").cast("double").alias("salary"),
@@ -979,24 +970,9 @@ def q_tree_depth_sweep(spark, sf):
     return spark.createDataFrame(rows, "depth int, accuracy double")
 
 
-def label_encode_all(df, exclude=("employee_id", "enrolled")):
-    """every text column indexed alphabetically, a missing value being its
-    own level (the text 'nan'), numeric nulls as -999."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer
-    from benefitlens.schemas import numeric_columns, text_columns
-    texts = [c for c in text_columns(df) if c not in exclude]
-    filled = df.withColumns({c: F.coalesce(F.col(c), F.lit("nan")) for c in texts})
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_code", stringOrderType="alphabetAsc") for c in texts]
-    enc = Pipeline(stages=idx).fit(filled).transform(filled)
-    nums = [c for c in numeric_columns(df) if c not in exclude]
-    return enc.select(*[c for c in exclude if c in df.columns],
-                      *[F.coalesce(F.col(c).cast("double"), F.lit(-999.0)).alias(c) for c in nums],
-                      *[F.col(f"{c}_code").cast("int").alias(f"{c}_code") for c in texts])
-
-
 @query("label_encode_all")
 def q_label_encode_all(spark, sf):
+    from benefitlens.operators.encode import label_encode_all
     return label_encode_all(_emp(spark, sf))
 
 
@@ -1005,6 +981,7 @@ def q_forest_importance(spark, sf):
     """M9: random-forest importances over all label-encoded raw columns."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
+    from benefitlens.operators.encode import label_encode_all
     enc = label_encode_all(_emp(spark, sf))
     feats = [c for c in enc.columns if c not in ("employee_id", "enrolled")]
     data = VectorAssembler(inputCols=feats, outputCol="features").transform(enc) \

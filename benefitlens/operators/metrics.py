@@ -2,10 +2,8 @@
 
 The ranking metrics need, for every distinct score, the positives and
 negatives strictly below it.  A single unpartitioned running sum would put
-every distinct score in one task, so the prefix sum is done in two levels:
-distinct scores are cut into equi-depth buckets (approximate quantile bounds,
-a bounded list), running sums are taken inside each bucket, and bucket totals
-(one row per bucket) are prefix-summed and joined back.
+every distinct score in one task; ``prefix_sums`` does the scan over
+range-partitioned slices instead and adds per-slice offsets.
 """
 
 from __future__ import annotations
@@ -13,11 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from benefitlens.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
-from benefitlens.session import ensure_checkpoint_dir
+from benefitlens.operators.joins import broadcast_if_small
+from benefitlens.operators.prefix import prefix_sums
 from benefitlens.operators.ranking import rank_capacity
 
-N_BUCKETS = 256
 
 
 def score_histogram(df: DataFrame, score: str = "p", label: str = "enrolled", groups=()) -> DataFrame:
@@ -29,53 +26,17 @@ def score_histogram(df: DataFrame, score: str = "p", label: str = "enrolled", gr
 
 
 def score_cumulative(df: DataFrame, score: str = "p", label: str = "enrolled",
-                     groups=(), n_buckets: int = N_BUCKETS) -> DataFrame:
+                     groups=()) -> DataFrame:
     """Per (group, distinct score): pos, neg, pos_below and neg_below, where
     "below" counts rows of the same group with a strictly lower score, plus
     the group's pos_total and neg_total.
 
-    The per-score histogram feeds three branches (quantile bounds, in-bucket
-    running sums, bucket totals), so it is checkpointed once to the shared
-    checkpoint folder instead of being recomputed from the raw rows by each.
+    The histogram has one row per distinct score (a hot score is one row);
+    its running sums come from the distributed scan in ``prefix_sums``, so no
+    task ever holds all distinct scores of a group.
     """
-    groups = list(groups)
-    ensure_checkpoint_dir(df.sparkSession)
-    hist = score_histogram(df, score, label, groups).checkpoint(eager=True)
-    fracs = [i / n_buckets for i in range(1, n_buckets)]
-    if groups:
-        bounds = hist.groupBy(*groups).agg(F.percentile_approx("score", fracs, 10000).alias("_bounds"))
-        n_groups = bounds.count()
-        small = n_groups * n_buckets <= BROADCAST_MAX_ROWS
-        hist = hist.join(F.broadcast(bounds) if small else bounds, groups)
-        bcol = F.col("_bounds")
-    else:
-        # a bounded list of n_buckets - 1 numbers, inlined as a literal array
-        small = True
-        vals = hist.agg(F.percentile_approx("score", fracs, 10000)).first()[0] or []
-        bcol = F.array(*[F.lit(float(v)) for v in vals]) if vals else F.array().cast("array<double>")
-    bucketed = hist.withColumn("bucket", F.size(F.filter(bcol, lambda x: x < F.col("score"))))
-    if groups:
-        bucketed = bucketed.drop("_bounds")
-    w_in = (Window.partitionBy(*groups, "bucket").orderBy("score")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inner = (bucketed.withColumn("_pos_upto", F.sum("pos").over(w_in))
-                     .withColumn("_neg_upto", F.sum("neg").over(w_in)))
-    totals = bucketed.groupBy(*groups, "bucket").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
-    # at most n_buckets rows per group: a running sum over them is cheap
-    w_b = Window.partitionBy(*groups).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    w_g = Window.partitionBy(*groups)
-    offsets = (totals.withColumn("_pos_off", F.coalesce(F.sum("_bp").over(w_b), F.lit(0)))
-                     .withColumn("_neg_off", F.coalesce(F.sum("_bn").over(w_b), F.lit(0)))
-                     .withColumn("pos_total", F.sum("_bp").over(w_g))
-                     .withColumn("neg_total", F.sum("_bn").over(w_g))
-                     .select(*groups, "bucket", "_pos_off", "_neg_off", "pos_total", "neg_total"))
-    # offsets hold at most (#groups x n_buckets) rows, a bound known here
-    j = inner.join(F.broadcast(offsets) if small else offsets, [*groups, "bucket"])
-    return j.select(
-        *groups, "score", "pos", "neg",
-        (F.col("_pos_off") + F.col("_pos_upto") - F.col("pos")).alias("pos_below"),
-        (F.col("_neg_off") + F.col("_neg_upto") - F.col("neg")).alias("neg_below"),
-        "pos_total", "neg_total")
+    hist = score_histogram(df, score, label, list(groups))
+    return prefix_sums(hist, "score", ["pos", "neg"], list(groups))
 
 
 def auc_from_cumulative(c: DataFrame, groups=()) -> DataFrame:

@@ -91,12 +91,28 @@ def test_exact_auc_and_average_precision_match_brute_force(spark):
     assert math.isclose(metrics.average_precision(df).first().average_precision, _brute_ap(rows), rel_tol=1e-9)
 
 
-def test_two_level_prefix_sums_with_few_buckets(spark):
+def test_prefix_sums_across_slices_batches_and_groups(spark):
+    from benefitlens.operators.prefix import dense_codes, prefix_sums
     df, rows = _scored(spark, n=500, seed=3)
-    c = metrics.score_cumulative(df, n_buckets=4).collect()
+    hist = metrics.score_histogram(df, groups=["region"])
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        c = prefix_sums(hist, "score", ["pos", "neg"], ["region"], rows_per_partition=7).collect()
+        flat = prefix_sums(metrics.score_histogram(df), "score", ["pos", "neg"], rows_per_partition=5).collect()
+        codes = {r.v: r.v_code for r in dense_codes(
+            spark.createDataFrame([(x,) for x in "qwertyuiopasdfghjklzxcvbnmq"] + [(None,)], "v string"),
+            "v").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     for r in c:
+        same = [x for x in rows if x[1] == r.region]
+        assert r.neg_below == sum(1 for x in same if x[2] < r.score and x[3] == 0)
+        assert r.pos_below == sum(1 for x in same if x[2] < r.score and x[3] == 1)
+        assert r.pos_total == sum(x[3] for x in same)
+    for r in flat:
         assert r.neg_below == sum(1 for x in rows if x[2] < r.score and x[3] == 0)
-        assert r.pos_below == sum(1 for x in rows if x[2] < r.score and x[3] == 1)
+    assert codes == {ch: i for i, ch in enumerate(sorted(set("qwertyuiopasdfghjklzxcvbnm")))}
     g = metrics.auc(df, groups=["region"]).collect()
     for r in g:
         assert math.isclose(r.roc_auc, _brute_auc([x for x in rows if x[1] == r.region]), rel_tol=1e-12)
