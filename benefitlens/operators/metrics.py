@@ -64,6 +64,17 @@ def average_precision(df: DataFrame, score: str = "p", label: str = "enrolled")
                  .alias("average_precision"))
 
 
+def ranking_metrics(df: DataFrame, score: str = "p", label: str = "enrolled", groups=()) -> DataFrame:
+    """M12 and M13 from one scan: exact ROC-AUC and step-wise average precision."""
+    c = score_cumulative(df, score, label, groups)
+    tp = F.col("pos_total") - F.col("pos_below")
+    fp = F.col("neg_total") - F.col("neg_below")
+    return c.groupBy(*groups).agg(
+        (F.sum(F.col("pos") * (F.col("neg_below") * 2 + F.col("neg"))).cast("double")
+         / (F.sum("pos") * F.sum("neg") * 2).cast("double")).alias("roc_auc"),
+        F.sum(F.col("pos") / F.col("pos_total").cast("double") * tp / (tp + fp)).alias("average_precision"))
+
+
 def _counts(df: DataFrame, score: str, label: str, threshold: float):
     pred = (F.col(score) >= F.lit(threshold)).cast("int")
     y = F.col(label).cast("int")

@@ -47,8 +47,7 @@ def evaluate(scored: DataFrame, name: str) -> dict:
     s = scored.select(F.col("predicted_probability").alias("p"), F.col("enrolled")) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     out = {"model": name}
-    out.update(M.auc(s).select("roc_auc").first().asDict())
-    out.update(M.average_precision(s).first().asDict())
+    out.update(M.ranking_metrics(s).first().asDict())
     th = M.threshold_metrics(s).first().asDict()
     out.update({k: th[k] for k in ("accuracy", "precision", "recall", "f1")})
     out.update(M.brier(s).first().asDict())
