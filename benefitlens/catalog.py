@@ -597,13 +597,11 @@ def q_fill_unknown(spark, sf):
 
 @query("median_impute")
 def q_median_impute(spark, sf):
+    from benefitlens.operators.impute import median_impute
     from benefitlens.operators.split import stratified_split
     s = stratified_split(_eng(spark, sf))
-    med = (s.filter(F.col("split") == "train")
-           .agg(F.percentile(F.col("days_contact_to_app").cast("double"), 0.5)).first()[0])
-    return s.select("employee_id", "split",
-                    F.coalesce(F.col("days_contact_to_app").cast("double"), F.lit(med))
-                    .alias("days_contact_to_app_imputed"))
+    out = median_impute(s, ["days_contact_to_app"], fit_on=F.col("split") == "train")
+    return out.select("employee_id", "split", "days_contact_to_app_imputed")
 
 
 @query("dependents_flag")

@@ -44,37 +44,50 @@ def missing_profile(df: DataFrame, only_missing: bool = True) -> DataFrame:
     return long.filter(F.col("null_count") > 0) if only_missing else long
 
 
-def _describe_aggs(c: str, exact: bool = True) -> list[Column]:
+def _moments(c: str) -> list[Column]:
     col = F.col(c).cast("double")
-    qs = (F.percentile(col, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-          else F.percentile_approx(col, [0.25, 0.5, 0.75], 10000))
     return [F.count(col).cast("bigint").alias("count"), F.avg(col).alias("mean"),
-            F.stddev_samp(col).alias("std"), F.min(col).alias("min"), qs.alias("_q"),
-            F.max(col).alias("max")]
+            F.stddev_samp(col).alias("std"), F.min(col).alias("min"), F.max(col).alias("max")]
 
 
-def _expand_q(df: DataFrame) -> DataFrame:
-    return (df.withColumn("q25", F.col("_q")[0]).withColumn("q50", F.col("_q")[1])
-              .withColumn("q75", F.col("_q")[2]).drop("_q"))
+def _describe(df: DataFrame, value: str, groups, exact: bool, extra=()) -> DataFrame:
+    """Moments in one grouped pass; quartiles exact (distributed) or approximate.
+
+    Without groups a constant key stands in, so the two one-row results are
+    combined by an ordinary equi-join.
+    """
+    from benefitlens.operators.quantiles import quartile_columns
+    keyless = not groups
+    if keyless:
+        df, groups = df.withColumn("_k", F.lit(0)), ["_k"]
+    moments = df.groupBy(*groups).agg(*_moments(value), *extra)
+    if exact:
+        qs = quartile_columns(df, value, groups)
+    else:
+        qs = df.groupBy(*groups).agg(
+            F.percentile_approx(F.col(value).cast("double"), [0.25, 0.5, 0.75], 10000).alias("_q"))
+        qs = qs.select(*groups, *[F.col("_q")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))])
+    # both sides hold one row per group
+    out = moments.join(qs, list(groups), "left")
+    return out.drop("_k") if keyless else out
 
 
 def describe_numeric(df: DataFrame, columns=None, exact: bool = True) -> DataFrame:
     """A3: pandas ``describe()`` per numeric column (sample std, interpolated
-    quartiles), computed in one grouped pass over an unpivoted frame.
+    quartiles) over one unpivoted frame grouped by column name.
 
-    ``exact=False`` switches to ``percentile_approx`` for very large inputs.
+    ``exact=True`` uses the distributed exact quantiles; ``exact=False``
+    switches to ``percentile_approx``.
     """
     cols = columns or numeric_columns(df)
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
              .unpivot([], cols, "column_name", "_v")
-    g = long.groupBy("column_name").agg(*[a for a in _describe_aggs("_v", exact)])
-    return _expand_q(g)
+    return _describe(long, "_v", ["column_name"], exact)
 
 
 def describe_by_group(df: DataFrame, by: str, column: str, exact: bool = True) -> DataFrame:
     """A4: ``groupby(by)[column].describe()``; null group keys are dropped."""
-    g = df.filter(F.col(by).isNotNull()).groupBy(by).agg(*_describe_aggs(column, exact))
-    return _expand_q(g)
+    return _describe(df.filter(F.col(by).isNotNull()), column, [by], exact)
 
 
 def value_counts(df: DataFrame, column: str, normalize: bool = False, dropna: bool = False) -> DataFrame:
@@ -185,11 +198,12 @@ def missing_cooccur(df: DataFrame, columns) -> DataFrame:
 
 
 def quantiles(df: DataFrame, column: str, probs, exact: bool = True) -> DataFrame:
-    """Interpolated quantiles (exact) or ``percentile_approx`` at scale."""
+    """Interpolated quantiles (exact, distributed) or ``percentile_approx``."""
+    if exact:
+        from benefitlens.operators.quantiles import exact_quantiles
+        return exact_quantiles(df, column, probs)
     col = F.col(column).cast("double")
-    q = (F.percentile(col, F.array(*[F.lit(float(p)) for p in probs])) if exact
-         else F.percentile_approx(col, [float(p) for p in probs], 10000))
-    out = df.agg(q.alias("_q"))
+    out = df.agg(F.percentile_approx(col, [float(p) for p in probs], 10000).alias("_q"))
     return out.select(F.posexplode("_q").alias("_i", "value")).select(
         F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1).alias("prob"), "value")
 
@@ -234,5 +248,5 @@ def start_age_profile(df: DataFrame) -> DataFrame:
     """``age - tenure_years`` summarised like ``describe`` plus the
     count of starts before 18."""
     d = df.withColumn("start_age", F.col("age") - F.col("tenure_years"))
-    g = d.agg(*_describe_aggs("start_age"), F.count_if(F.col("start_age") < 18).cast("bigint").alias("under_18"))
-    return _expand_q(g)
+    return _describe(d, "start_age", [], True,
+                     extra=[F.count_if(F.col("start_age") < 18).cast("bigint").alias("under_18")])
