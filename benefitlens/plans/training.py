@@ -14,6 +14,7 @@ from benefitlens.constants import EXPECTED_FEATURES, PROTECTED_ATTRIBUTES
 from benefitlens.operators import metrics as M
 from benefitlens.operators.split import stratified_folds, stratified_split
 from benefitlens.plans import modeling
+from benefitlens.plans.features import apply_domains
 
 
 ROWS_PER_PARTITION = 500_000
@@ -35,7 +36,7 @@ def right_size(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> D
 
 def split_frames(engineered: DataFrame, features=EXPECTED_FEATURES):
     """Prepared (train, test) frames from one stratified split."""
-    s = stratified_split(engineered)
+    s = apply_domains(stratified_split(engineered))
     prepared = modeling.prepare(s, features)
     train = right_size(prepared.filter(F.col("split") == "train"))
     test = prepared.filter(F.col("split") == "test")
@@ -90,7 +91,7 @@ def cross_validate(engineered: DataFrame, learner_name: str = "gbt", features=EX
                    n_folds: int = 5) -> DataFrame:
     """M5 on the train split, with stratified folds assigned on the train rows."""
     s = stratified_split(engineered).filter(F.col("split") == "train").drop("fold", "class_rank")
-    folded = stratified_folds(s, n_folds=n_folds)
+    folded = apply_domains(stratified_folds(s, n_folds=n_folds))
     prepared = right_size(modeling.prepare(folded, features))
     learner = {"gbt": modeling.gbt, "gbt_default": modeling.gbt_default, "forest": modeling.forest}[learner_name]()
     try:
@@ -123,7 +124,7 @@ def input_fingerprint(spark, sf_dir: str, tables=("customer", "orders", "nation"
     return hashlib.sha1("|".join(sorted(parts)).encode()).hexdigest()[:16]
 
 
-MODEL_VERSION = "gbt-150-0.05-5-v1"
+MODEL_VERSION = "gbt-150-0.05-5-v2"
 
 
 def final_model(spark, sf_dir: str, engineered: DataFrame):
