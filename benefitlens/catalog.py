@@ -130,10 +130,10 @@ def q_io_read_split(spark, sf):
 
 @query("io_json_rows")
 def q_io_json_rows(spark, sf):
-    from benefitlens.operators.ranking import rank_capacity
+    from benefitlens.operators.ranking import rank_capacity, ranking_rows
     from benefitlens.sources.sinks import json_rows
     r = rank_capacity(_scored(spark, sf), _reg(spark, sf), top_k=10)
-    return json_rows(r.select("rank", "employee_id", "region", F.round("p", 4).alias("enrollment_probability")))
+    return json_rows(ranking_rows(r, _dedup(spark, sf)))
 
 
 @query("head_n")
@@ -1083,11 +1083,11 @@ def q_score_requests(spark, sf):
     raw = _dedup(spark, sf)
     matched = raw.join(ok.select("employee_id").distinct(), "employee_id", "left_semi")
     scores = modeling.score(model, modeling.prepare(preprocess_scoring(matched, _reg(spark, sf))))
-    attrs = matched.select("employee_id", "age", "salary", "region",
+    attrs = matched.select("employee_id", "salary", "region",
                            lookup_trim_retry("plan_tier_requested", TIER_MAP).alias("plan_tier_requested_clean"))
     scored = (ok.join(attrs, "employee_id").join(scores.select("employee_id", "predicted_probability",
                                                                "predicted_class"), "employee_id")
-              .select("request_id", "employee_id", F.lit("success").alias("status"), "age", "salary", "region",
+              .select("request_id", "employee_id", F.lit("success").alias("status"), "salary", "region",
                       "plan_tier_requested_clean",
                       F.round("predicted_probability", 4).alias("enrollment_probability"),
                       F.col("predicted_class").alias("predicted_enrolled")))

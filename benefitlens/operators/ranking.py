@@ -97,3 +97,25 @@ def region_profile_lookup(regions: DataFrame, region: str | None = None) -> Data
     attrs = [c for c in df.columns if c != "region"]
     as_text = df.select("region", *[F.col(c).cast("string").alias(c) for c in attrs])
     return as_text.unpivot(["region"], attrs, "attribute", "value")
+
+
+def ranking_rows(ranked: DataFrame, raw: DataFrame, score: str = "p", threshold: float = 0.5) -> DataFrame:
+    """The outreach ranking row: rank, id, attributes, clean tier/channel
+    (also under the raw names, which carry clean values in the reference's
+    rows), probability rounded to 4 places and the class at ``threshold``.
+
+    ``age`` is left out of outreach rows (protected; audits join it by key).
+    """
+    from benefitlens.constants import CHANNEL_MAP, TIER_MAP
+    from benefitlens.functions.canon import lookup_trim_retry
+    attrs = raw.select("employee_id", "salary",
+                       lookup_trim_retry("plan_tier_requested", TIER_MAP).alias("plan_tier_requested_clean"),
+                       lookup_trim_retry("last_contact_channel", CHANNEL_MAP).alias("last_contact_channel_clean"))
+    j = ranked.join(attrs, "employee_id", "left")
+    return j.select(
+        "rank", "employee_id", "salary", "region", "employment_type",
+        "plan_tier_requested_clean", "last_contact_channel_clean",
+        F.col("plan_tier_requested_clean").alias("plan_tier_requested"),
+        F.col("last_contact_channel_clean").alias("last_contact_channel"),
+        F.round(F.col(score), 4).alias("enrollment_probability"),
+        (F.col(score) >= threshold).cast("int").alias("predicted_enrolled"))
