@@ -162,8 +162,7 @@ def screen_prompts(df: DataFrame, text: str = "text") -> DataFrame:
              .when(t.rlike(DISCRIMINATION_RE), F.lit("DISCRIMINATION_GUARDRAIL_REFUSAL")))
     msg = (F.when(rtype == "MEDICAL_ADVICE_REFUSAL", F.lit(MEDICAL_REFUSAL_MESSAGE))
            .when(rtype == "DISCRIMINATION_GUARDRAIL_REFUSAL", F.lit(DISCRIMINATION_REFUSAL_MESSAGE)))
-    return df.withColumn("refusal_type", rtype).withColumn("allowed", rtype.isNull()) \
-             .withColumn("refusal_message", msg)
+    return df.withColumns({"refusal_type": rtype, "allowed": rtype.isNull(), "refusal_message": msg})
 
 
 # ----------------------------------------------------------------- A13 / L10 fairness
@@ -187,4 +186,4 @@ def fairness_audit(audit: DataFrame, dims=("gender", "age_group", "marital_statu
          .groupBy(F.col("_d.dimension").alias("dimension"), F.col("_d.level").alias("level"))
          .agg(F.count(F.lit(1)).cast("bigint").alias("count"), F.avg("_y").alias("actual_rate"),
               F.avg("_pred").alias("pred_rate"), F.avg("_p").alias("avg_prob")))
-    return g.withColumn("gap", F.col("pred_rate") - F.col("actual_rate"))
+    return g.select("*", (F.col("pred_rate") - F.col("actual_rate")).alias("gap"))

@@ -60,17 +60,15 @@ def rank_capacity(scored: DataFrame, regions: DataFrame, top_k: int | None = Non
         scored = filter_ci(scored, "region", region_filter)
     if employment_type is not None:
         scored = filter_ci(scored, "employment_type", employment_type)
-    caps = regions.select("region", F.col("hr_outreach_capacity").cast("int").alias("capacity"))
-    if top_k is None:
-        caps = caps.withColumn("k_eff", F.col("capacity"))
-    else:
-        caps = caps.withColumn("k_eff", F.least(F.col("capacity"), F.lit(int(top_k))))
+    cap = F.col("hr_outreach_capacity").cast("int")
+    k_eff = cap if top_k is None else F.least(cap, F.lit(int(top_k)))
+    caps = regions.select("region", cap.alias("capacity"), k_eff.alias("k_eff"))
     # one small job on the dimension: the largest cap and the row count
     stats = caps.agg(F.max("k_eff").alias("k"), F.count(F.lit(1)).alias("n")).first()
     max_k, n_caps = int(stats["k"] or 0), int(stats["n"])
     _ensure_group_limit(scored.sparkSession, max_k)
     w = Window.partitionBy("region").orderBy(*_order(score, ascending, tiebreak))
-    ranked = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(max_k))
+    ranked = scored.select("*", F.row_number().over(w).alias("rank")).filter(F.col("rank") <= F.lit(max_k))
     caps_side = F.broadcast(caps) if n_caps <= BROADCAST_MAX_ROWS else caps
     return (ranked.join(caps_side, "region", "inner")
             .filter(F.col("rank") <= F.col("k_eff"))

@@ -23,16 +23,17 @@ def order_key(key: str = "employee_id", seed: int = SPLIT_SEED):
 def class_rank(df: DataFrame, label: str = "enrolled", key: str = "employee_id",
                seed: int = SPLIT_SEED) -> DataFrame:
     """Adds ``_h`` (hash text) and ``class_rank`` (0-based rank in the class)."""
-    h = df.withColumn("_h", order_key(key, seed)).withColumn("_b", F.substring("_h", 1, 4))
+    k = order_key(key, seed)
+    h = df.withColumns({"_h": k, "_b": F.substring(k, 1, 4)})
     sizes = h.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_nb"))
     # at most (#classes x 65,536) rows: small enough for a per-class running sum
     w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_nb").over(w), F.lit(0))).drop("_nb")
     w_in = Window.partitionBy(label, "_b").orderBy("_h")
     ranked = h.withColumn("_rn", F.row_number().over(w_in))
-    return (ranked.join(F.broadcast(offsets), [label, "_b"])
-            .withColumn("class_rank", (F.col("_off") + F.col("_rn") - 1).cast("bigint"))
-            .drop("_b", "_rn", "_off"))
+    j = ranked.join(F.broadcast(offsets), [label, "_b"])
+    keep = [c for c in j.columns if c not in ("_b", "_rn", "_off")]
+    return j.select(*keep, (F.col("_off") + F.col("_rn") - 1).cast("bigint").alias("class_rank"))
 
 
 def test_allocation(df: DataFrame, label: str = "enrolled") -> DataFrame:
@@ -59,17 +60,18 @@ def stratified_split(df: DataFrame, label: str = "enrolled", key: str = "employe
     ranked = class_rank(df, label, key, seed)
     alloc = test_allocation(df, label)
     j = ranked.join(F.broadcast(alloc), label)
-    return (j.withColumn("split", F.when(F.col("class_rank") < F.col("n_test"), F.lit("test"))
-                         .otherwise(F.lit("train")))
-             .withColumn("fold", (F.col("class_rank") % N_FOLDS).cast("int"))
-             .drop("_h", "n_test"))
+    keep = [c for c in j.columns if c not in ("_h", "n_test")]
+    return j.select(*keep,
+                    F.when(F.col("class_rank") < F.col("n_test"), F.lit("test")).otherwise(F.lit("train"))
+                    .alias("split"),
+                    (F.col("class_rank") % N_FOLDS).cast("int").alias("fold"))
 
 
 def stratified_folds(df: DataFrame, label: str = "enrolled", key: str = "employee_id",
                      seed: int = SPLIT_SEED, n_folds: int = N_FOLDS) -> DataFrame:
     """fold = class rank mod k, so every fold holds the class shares."""
-    return (class_rank(df, label, key, seed)
-            .withColumn("fold", (F.col("class_rank") % n_folds).cast("int")).drop("_h"))
+    r = class_rank(df, label, key, seed)
+    return r.select(*[c for c in r.columns if c != "_h"], (F.col("class_rank") % n_folds).cast("int").alias("fold"))
 
 
 def split_balance(split_df: DataFrame, label: str = "enrolled", tol: float = 0.001) -> DataFrame:
