@@ -50,21 +50,22 @@ def prefix_sums(df: DataFrame, order: str, sums, groups=(), rows_per_partition:
             if pdf.empty:
                 continue
             if groups:
-                key = pdf[groups].astype(str).agg("\x1f".join, axis=1) if len(groups) > 1 \
-                    else pdf[groups[0]].astype(str)
-                first = key.iloc[0]
-                new_group = (key != key.shift(1)).to_numpy()
-                new_group[0] = first != carry_key
+                g = pdf[groups]
+                prev = g.shift(1)
+                # vectorised, null-aware "key differs from the previous row"
+                same = ((g == prev) | (g.isna() & prev.isna())).all(axis=1).to_numpy()
+                first = tuple(None if v is None or v != v else v for v in g.iloc[0].tolist())
+                same[0] = carry_key is not None and first == carry_key
+                new_group = ~same
                 gid = np.cumsum(new_group)
                 for c in sums:
                     v = pdf[c].fillna(0).astype("int64").to_numpy()
                     cs = pdf.assign(_g=gid, _v=v).groupby("_g")["_v"].cumsum().to_numpy()
-                    if not new_group[0]:
+                    if same[0]:
                         cs = cs + np.where(gid == gid[0], carry[c], 0)
                     pdf[f"_{c}_upto"] = cs
-                    last = gid == gid[-1]
-                    carry[c] = int(cs[last][-1])
-                carry_key = key.iloc[-1]
+                    carry[c] = int(cs[-1])
+                carry_key = tuple(None if v is None or v != v else v for v in g.iloc[-1].tolist())
             else:
                 for c in sums:
                     cs = pdf[c].fillna(0).astype("int64").to_numpy().cumsum() + carry[c]

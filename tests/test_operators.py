@@ -154,3 +154,19 @@ def test_split_is_independent_of_partitioning(spark):
     a = {(r.employee_id, r.split, r.fold) for r in split.stratified_split(df.repartition(1)).collect()}
     b = {(r.employee_id, r.split, r.fold) for r in split.stratified_split(df.repartition(13)).collect()}
     assert a == b
+
+
+def test_prefix_sums_two_group_columns_with_null_keys(spark):
+    from benefitlens.operators.prefix import prefix_sums
+    rows = [(a, b, float(i), 1) for i in range(60) for a, b in [(("x" if i % 2 else None), i % 3)]]
+    df = spark.createDataFrame(rows, "a string, b int, o double, w long")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        got = prefix_sums(df, "o", ["w"], ["a", "b"], rows_per_partition=9).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    for r in got:
+        same = [x for x in rows if x[0] == r.a and x[1] == r.b]
+        assert r.w_below == sum(1 for x in same if x[2] < r.o)
+        assert r.w_total == len(same)
