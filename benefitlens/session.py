@@ -35,11 +35,15 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names a shared folder there; it is only invented (under the
-    local temp dir) when the setting is absent, which happens in tests.
+    The cluster names a shared folder there.  Only a local-mode session (tests,
+    a laptop) may fall back to a temp folder when the setting is absent; on a
+    cluster a machine-local folder would lose checkpoints with the executor,
+    so a missing setting is an error there.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3) for this cluster")
         path = tempfile.mkdtemp(prefix="benefitlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
