@@ -169,21 +169,28 @@ def screen_prompts(df: DataFrame, text: str = "text") -> DataFrame:
 def fairness_audit(audit: DataFrame, dims=("gender", "age_group", "marital_status"),
                    score: str = "p", label: str = "enrolled", threshold: float = 0.5) -> DataFrame:
     """Count, actual rate, predicted rate, mean probability and the
-    gap (predicted - actual) per level of each dimension, in one grouped job.
+    gap (predicted - actual) per level of each dimension, in one
+    ``GROUPING SETS ((gender), (age_group), (marital_status))`` aggregate.
 
-    The frame is expanded once per dimension (as GROUPING SETS would) and
-    null levels are dropped, like pandas groupby.
+    ``grouping(d)`` tells which set a row belongs to; null levels inside a set
+    are dropped, like pandas groupby.
     """
+    dims = list(dims)
     if "age_group" in dims and "age_group" not in audit.columns:
         audit = audit.withColumn("age_group", age_band("age"))
-    stacked = audit.select(
-        F.col(label).cast("double").alias("_y"),
-        (F.col(score) >= threshold).cast("double").alias("_pred"),
-        F.col(score).alias("_p"),
-        F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("level"))
-                            for d in dims])).alias("_d"))
-    g = (stacked.filter(F.col("_d.level").isNotNull())
-         .groupBy(F.col("_d.dimension").alias("dimension"), F.col("_d.level").alias("level"))
-         .agg(F.count(F.lit(1)).cast("bigint").alias("count"), F.avg("_y").alias("actual_rate"),
-              F.avg("_pred").alias("pred_rate"), F.avg("_p").alias("avg_prob")))
-    return g.select("*", (F.col("pred_rate") - F.col("actual_rate")).alias("gap"))
+    base = audit.select(*[F.col(d).cast("string").alias(d) for d in dims],
+                        F.col(label).cast("double").alias("_y"),
+                        (F.col(score) >= threshold).cast("double").alias("_pred"), F.col(score).alias("_p"))
+    g = base.groupingSets([[d] for d in dims], *dims).agg(
+        F.count(F.lit(1)).cast("bigint").alias("count"), F.avg("_y").alias("actual_rate"),
+        F.avg("_pred").alias("pred_rate"), F.avg("_p").alias("avg_prob"),
+        *[F.grouping(d).alias(f"_g_{d}") for d in dims])
+    dimension, level = None, None
+    for d in dims:
+        inset = F.col(f"_g_{d}") == 0
+        dimension = F.when(inset, F.lit(d)) if dimension is None else dimension.when(inset, F.lit(d))
+        level = F.when(inset, F.col(d)) if level is None else level.when(inset, F.col(d))
+    out = g.select(dimension.alias("dimension"), level.alias("level"), "count", "actual_rate",
+                   "pred_rate", "avg_prob")
+    return (out.filter(F.col("level").isNotNull())
+               .select("*", (F.col("pred_rate") - F.col("actual_rate")).alias("gap")))

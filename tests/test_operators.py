@@ -170,3 +170,18 @@ def test_prefix_sums_two_group_columns_with_null_keys(spark):
         same = [x for x in rows if x[0] == r.a and x[1] == r.b]
         assert r.w_below == sum(1 for x in same if x[2] < r.o)
         assert r.w_total == len(same)
+
+
+def test_exact_quantiles_match_numpy_linear(spark):
+    import numpy as np
+    from benefitlens.operators.quantiles import exact_quantiles
+    rnd = random.Random(11)
+    rows = [(g, (float(round(rnd.gauss(50, 20))) if rnd.random() > 0.1 else None)) for g in "abc"
+            for _ in range({"a": 7, "b": 40, "c": 1}[g])]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.0, 0.001, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = {(r.g, r.prob): r.value for r in exact_quantiles(df, "v", probs, ["g"]).collect()}
+    for g in "abc":
+        vals = [v for k, v in rows if k == g and v is not None]
+        for p in probs:
+            assert math.isclose(got[(g, p)], float(np.percentile(vals, p * 100)), rel_tol=1e-12, abs_tol=1e-9)
