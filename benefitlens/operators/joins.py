@@ -101,3 +101,10 @@ def reconcile(fact: DataFrame, dim: DataFrame, key: str, pairs) -> DataFrame:
 
 def any_true(conds):
     return reduce(lambda a, b: a | b, conds)
+
+
+def match_requests(requests: DataFrame, known: DataFrame, key: str = "employee_id"):
+    """Requested keys that exist (semi-join) and those that do not
+    (anti-join, reported instead of silently dropped)."""
+    ids = known.select(key).distinct()
+    return (requests.join(ids, key, "left_semi"), requests.join(ids, key, "left_anti"))
