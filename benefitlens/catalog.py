@@ -1077,10 +1077,11 @@ def q_score_requests(spark, sf):
     from benefitlens.operators.governance import refuse_leakage
     from benefitlens.plans import modeling
     from benefitlens.plans.features import preprocess_scoring
+    from benefitlens.operators.joins import match_requests
     model, _ = _final_model(spark, sf)
     req = refuse_leakage(_requests(spark, sf))
-    ok = req.filter(F.col("status") == "ok").select("request_id", "employee_id")
     raw = _dedup(spark, sf)
+    ok, not_found = match_requests(req.filter(F.col("status") == "ok").select("request_id", "employee_id"), raw)
     matched = raw.join(ok.select("employee_id").distinct(), "employee_id", "left_semi")
     scores = modeling.score(model, modeling.prepare(preprocess_scoring(matched, _reg(spark, sf))))
     attrs = matched.select("employee_id", "salary", "region",
@@ -1093,6 +1094,8 @@ def q_score_requests(spark, sf):
                       F.col("predicted_class").alias("predicted_enrolled")))
     refused = req.filter(F.col("status") == "refusal").select("request_id", "employee_id",
                                                                  F.lit("refusal").alias("status"))
+    missing = not_found.select("request_id", "employee_id", F.lit("not_found").alias("status"))
+    scored = scored.unionByName(missing, allowMissingColumns=True)
     return scored.unionByName(refused, allowMissingColumns=True)
 
 
