@@ -10,7 +10,7 @@ with ``employee_id`` and joined by key, never by position (G15).
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
+from pyspark.ml.classification import (GBTClassifier,
                                        LogisticRegression, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (Imputer, OneHotEncoder, StandardScaler, StringIndexer,
