@@ -72,15 +72,18 @@ def with_default_columns(df: DataFrame, defaults: dict | None = None,
     return df.withColumns(missing) if missing else df
 
 
-def validate_records(records: DataFrame, regions: DataFrame) -> DataFrame:
+def validate_records(records: DataFrame, regions: DataFrame, require_rows: bool = False) -> DataFrame:
     """IO3 re-aimed for tables: every arriving record plus a ``reason``.
 
     ``reason`` is null for a valid record, else ``missing_region`` or
     ``unknown_region``.  A table without the ``region`` column cannot be
-    planned and raises at once, as the reference raises for it.
+    planned and raises at once, as the reference raises for it; with
+    ``require_rows`` an empty batch input raises too.
     """
     if "region" not in records.columns:
         raise ValueError("Missing required input column(s): ['region']")
+    if require_rows and not records.isStreaming and records.isEmpty():  # reads at most one row
+        raise ValueError("Input DataFrame is empty.")
     known = regions.select(F.col("region").alias("_known_region")).distinct()
     # The dimension is tiny and its size is checked before broadcasting.
     from benefitlens.operators.joins import broadcast_if_small

@@ -39,6 +39,8 @@ def test_validate_records(spark):
     assert got == {1: None, 2: "missing_region", 3: "unknown_region"}
     with pytest.raises(ValueError):
         readers.validate_records(recs.drop("region"), regs)
+    with pytest.raises(ValueError):
+        readers.validate_records(recs.limit(0), regs, require_rows=True)
 
 
 def _edge_records(spark):
