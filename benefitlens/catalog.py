@@ -60,9 +60,13 @@ def _eng(spark, sf):
 
 
 def _split_scored(spark, sf):
-    """Scored rows with the stratified split/fold columns."""
+    """Scored rows with the stratified split/fold columns, checkpointed to the
+    shared folder: the split is consumed several times downstream and is
+    written once instead of being recomputed by each consumer."""
     from benefitlens.operators.split import stratified_split
-    return stratified_split(_scored(spark, sf), "enrolled", "employee_id")
+    from benefitlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return stratified_split(_scored(spark, sf), "enrolled", "employee_id").checkpoint(eager=True)
 
 
 # --------------------------------------------------------------------------- sources (IO)

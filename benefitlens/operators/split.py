@@ -21,8 +21,12 @@ def order_key(key: str = "employee_id", seed: int = SPLIT_SEED):
 
 
 def class_rank(df: DataFrame, label: str = "enrolled", key: str = "employee_id",
-               seed: int = SPLIT_SEED) -> DataFrame:
-    """Adds ``_h`` (hash text) and ``class_rank`` (0-based rank in the class)."""
+               seed: int = SPLIT_SEED, with_sizes: bool = False):
+    """Adds ``_h`` (hash text) and ``class_rank`` (0-based rank in the class).
+
+    With ``with_sizes`` the (class, bucket) size table is returned too, so
+    callers derive class counts from it instead of scanning the input again.
+    """
     k = order_key(key, seed)
     h = df.withColumns({"_h": k, "_b": F.substring(k, 1, 4)})
     sizes = h.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_nb"))
@@ -33,16 +37,19 @@ def class_rank(df: DataFrame, label: str = "enrolled", key: str = "employee_id",
     ranked = h.withColumn("_rn", F.row_number().over(w_in))
     j = ranked.join(F.broadcast(offsets), [label, "_b"])
     keep = [c for c in j.columns if c not in ("_b", "_rn", "_off")]
-    return j.select(*keep, (F.col("_off") + F.col("_rn") - 1).cast("bigint").alias("class_rank"))
+    out = j.select(*keep, (F.col("_off") + F.col("_rn") - 1).cast("bigint").alias("class_rank"))
+    return (out, sizes) if with_sizes else out
 
 
-def test_allocation(df: DataFrame, label: str = "enrolled") -> DataFrame:
+def test_allocation(df: DataFrame, label: str = "enrolled", counts: DataFrame | None = None) -> DataFrame:
     """Per-class test sizes: total ``ceil(n/5)`` shared by largest remainder.
 
-    Computed lazily on the class-count table (one row per class); the
-    windows below never see more rows than there are classes.
+    Computed lazily on the class-count table (one row per class; taken from
+    ``counts`` = (label, n_c) when given); the windows below never see more
+    rows than there are classes.
     """
-    cls = df.groupBy(label).agg(F.count(F.lit(1)).cast("bigint").alias("n_c"))
+    cls = counts if counts is not None else \
+        df.groupBy(label).agg(F.count(F.lit(1)).cast("bigint").alias("n_c"))
     every = Window.partitionBy()
     d = TEST_FRACTION_DENOMINATOR
     a = (cls.withColumn("_n", F.sum("n_c").over(every))
@@ -57,8 +64,9 @@ def test_allocation(df: DataFrame, label: str = "enrolled") -> DataFrame:
 def stratified_split(df: DataFrame, label: str = "enrolled", key: str = "employee_id",
                      seed: int = SPLIT_SEED) -> DataFrame:
     """Adds ``split`` in {'train','test'} and ``fold`` (C6, 0..4)."""
-    ranked = class_rank(df, label, key, seed)
-    alloc = test_allocation(df, label)
+    ranked, sizes = class_rank(df, label, key, seed, with_sizes=True)
+    counts = sizes.groupBy(label).agg(F.sum("_nb").cast("bigint").alias("n_c"))
+    alloc = test_allocation(df, label, counts)
     j = ranked.join(F.broadcast(alloc), label)
     keep = [c for c in j.columns if c not in ("_h", "n_test")]
     return j.select(*keep,
