@@ -41,11 +41,19 @@ def prepare(df: DataFrame, features=EXPECTED_FEATURES) -> DataFrame:
     return out
 
 
+def _indexer(cats):
+    """One multi-column indexer (one pass for all categorical columns);
+    alphabetical order, with an extra index for unseen or missing levels."""
+    if not cats:
+        return []
+    return [StringIndexer(inputCols=list(cats), outputCols=[f"{c}__idx" for c in cats], handleInvalid="keep",
+                          stringOrderType="alphabetAsc")]
+
+
 def _stages_trees(df: DataFrame, features):
     cats = _categorical(df, features)
     nums = [c for c in features if c not in cats]
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep",
-                         stringOrderType="alphabetAsc") for c in cats]
+    idx = _indexer(cats)
     imp = [Imputer(inputCols=nums, outputCols=[f"{c}__imp" for c in nums], strategy="median")] if nums else []
     asm = VectorAssembler(inputCols=[f"{c}__imp" for c in nums] + [f"{c}__idx" for c in cats],
                           outputCol="features", handleInvalid="keep")
@@ -55,8 +63,7 @@ def _stages_trees(df: DataFrame, features):
 def _stages_linear(df: DataFrame, features):
     cats = _categorical(df, features)
     nums = [c for c in features if c not in cats]
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep",
-                         stringOrderType="alphabetAsc") for c in cats]
+    idx = _indexer(cats)
     ohe = [OneHotEncoder(inputCols=[f"{c}__idx" for c in cats], outputCols=[f"{c}__ohe" for c in cats],
                          dropLast=True, handleInvalid="keep")] if cats else []
     imp = [Imputer(inputCols=nums, outputCols=[f"{c}__imp" for c in nums], strategy="median")] if nums else []

@@ -124,7 +124,7 @@ def input_fingerprint(spark, sf_dir: str, tables=("customer", "orders", "nation"
     return hashlib.sha1("|".join(sorted(parts)).encode()).hexdigest()[:16]
 
 
-MODEL_VERSION = "gbt-150-0.05-5-v2"
+MODEL_VERSION = "gbt-150-0.05-5-v3"
 
 
 def final_model(spark, sf_dir: str, engineered: DataFrame):
