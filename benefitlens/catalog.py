@@ -302,7 +302,7 @@ def q_missing_profile(spark, sf):
 @query("describe_numeric")
 def q_describe_numeric(spark, sf):
     from benefitlens.operators.profile import describe_numeric
-    return describe_numeric(_dedup(spark, sf))
+    return describe_numeric(_emp(spark, sf))
 
 
 @query("describe_by_group")

@@ -292,7 +292,7 @@ SELECT column_name, null_count, null_count * 100e0 / (SELECT count(*) FROM dedup
 FROM ({nulls_union('dedup', _EMP_COLS)}) x WHERE null_count > 0
 """, floats=["null_pct"])
 oracle("describe_numeric", "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS column_name, {describe_sql(f'CAST({c} AS DOUBLE)')} FROM dedup" for c in _EMP_NUM),
+    f"SELECT '{c}' AS column_name, {describe_sql(f'CAST({c} AS DOUBLE)')} FROM emp" for c in _EMP_NUM),
     floats=DESC_FLOATS)
 oracle("describe_by_group", f"""
 SELECT enrolled, {describe_sql('legacy_propensity_score')} FROM dedup WHERE enrolled IS NOT NULL GROUP BY enrolled
