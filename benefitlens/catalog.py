@@ -388,8 +388,8 @@ def q_corr_target(spark, sf):
 @query("corr_all_target")
 def q_corr_all_target(spark, sf):
     from benefitlens.operators.profile import corr_with_target
-    return corr_with_target(_dedup(spark, sf), ["age", "salary", "tenure_years", "prior_year_enrolled",
-                                               "legacy_propensity_score"])
+    return corr_with_target(_emp(spark, sf), ["age", "salary", "tenure_years", "prior_year_enrolled",
+                                             "legacy_propensity_score"])
 
 
 @query("missing_corr")
@@ -420,7 +420,7 @@ def q_chronology_stats(spark, sf):
 def q_date_parse_failures(spark, sf):
     from benefitlens.functions.dates import parse_day_first, parse_month_first
     from benefitlens.operators.profile import date_parse_failures
-    d = _dedup(spark, sf)
+    d = _emp(spark, sf)
     a = date_parse_failures(d, "application_date", parse_day_first("application_date")) \
         .select(F.lit("application_date").alias("column_name"), "employee_id",
                 F.col("application_date").alias("raw_value"))

@@ -352,7 +352,7 @@ SELECT 'legacy_propensity_score' AS column_name, corr(legacy_propensity_score, e
 UNION ALL SELECT 'hist_enrollment_rate_region', corr(hist_enrollment_rate_region, enrolled) FROM eng
 """, floats=["corr"])
 oracle("corr_all_target", "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS column_name, corr(CAST({c} AS DOUBLE), CAST(enrolled AS DOUBLE)) AS corr FROM dedup"
+    f"SELECT '{c}' AS column_name, corr(CAST({c} AS DOUBLE), CAST(enrolled AS DOUBLE)) AS corr FROM emp"
     for c in ["age", "salary", "tenure_years", "prior_year_enrolled", "legacy_propensity_score"]), floats=["corr"])
 _MISS = ["application_date", "last_contact_channel", "plan_tier_requested", "broker_channel",
          "legacy_propensity_score", "outreach_notes"]
@@ -380,10 +380,10 @@ SELECT CAST(count(*) AS BIGINT) AS n_rows,
 FROM eng
 """, floats=["pct_after", "rate_in_order", "rate_after"])
 oracle("date_parse_failures", f"""
-SELECT 'application_date' AS column_name, employee_id, application_date AS raw_value FROM dedup
+SELECT 'application_date' AS column_name, employee_id, application_date AS raw_value FROM emp
 WHERE application_date IS NOT NULL AND try_strptime(trim(application_date), {APP_FORMATS}) IS NULL
 UNION ALL
-SELECT 'last_contact_date', employee_id, last_contact_date FROM dedup
+SELECT 'last_contact_date', employee_id, last_contact_date FROM emp
 WHERE last_contact_date IS NOT NULL AND try_strptime(trim(last_contact_date), {CONTACT_FORMATS}) IS NULL
 """)
 oracle("start_age_profile", f"""
