@@ -908,24 +908,24 @@ def q_cross_validate(spark, sf):
 
 @query("sentinel_experiment")
 def q_sentinel_experiment(spark, sf):
-    """M6: the same small matrix with the day gap left null (imputed + the
-    has_application_date indicator) or filled with -999, cross-validated."""
+    """M6: the same small matrix with the day gap left null (imputed, with the
+    has_application_date indicator) or filled with -999, cross-validated with
+    both ensembles."""
     from benefitlens.operators.split import stratified_folds
     from benefitlens.plans import modeling
     from benefitlens.plans.features import sentinel_variant
     from benefitlens.plans.training import right_size
     e = _eng(spark, sf)
     feats = ["age", "salary", "tenure_years", "days_contact_to_app", "has_application_date"]
-    out = None
+    learners = {"gbt": lambda: modeling.gbt(max_iter=100, step=0.1), "forest": lambda: modeling.forest(n=100)}
+    rows = []
     for name, sentinel in [("null", None), ("sentinel_-999", -999.0)]:
-        v = stratified_folds(sentinel_variant(e, sentinel))
-        prepared = right_size(modeling.prepare(v, feats))
-        res = modeling.cross_validate(prepared, modeling.gbt(max_iter=100, step=0.1), feats, parallelism=5) \
-            .withColumn("variant", F.lit(name))
-        res = spark.createDataFrame(res.collect(), res.schema)
+        prepared = right_size(modeling.prepare(stratified_folds(sentinel_variant(e, sentinel)), feats))
+        for model_name, make in learners.items():
+            r = modeling.cross_validate(prepared, make(), feats, parallelism=5).first()
+            rows.append((name, model_name, r["cv_auc_mean"], r["cv_auc_std"]))
         prepared.unpersist()
-        out = res if out is None else out.unionByName(res)
-    return out
+    return spark.createDataFrame(rows, "variant string, model string, cv_auc_mean double, cv_auc_std double")
 
 
 def _tree_matrix(spark, sf):
