@@ -1010,12 +1010,10 @@ def _final_model(spark, sf):
     """The final boosted model (fitted once per input, then reloaded) and its
     scores on the test split."""
     from benefitlens.plans import modeling
-    from benefitlens.plans.training import final_model, split_frames
+    from benefitlens.plans.training import final_model, test_frame
     e = _eng(spark, sf)
     model = final_model(spark, sf, e)
-    train, test = split_frames(e)
-    train.unpersist()
-    return model, modeling.score(model, test)
+    return model, modeling.score(model, test_frame(e))
 
 
 @query("score_batch")
@@ -1042,9 +1040,9 @@ def q_ablation(spark, sf):
 def q_score_reproducible(spark, sf):
     """Two scorings of the same rows agree (max |diff| and classes)."""
     from benefitlens.plans import modeling
-    from benefitlens.plans.training import split_frames
+    from benefitlens.plans.training import test_frame
     model, _ = _final_model(spark, sf)
-    _, test = split_frames(_eng(spark, sf))
+    test = test_frame(_eng(spark, sf))
     a = modeling.score(model, test).select("employee_id", F.col("predicted_probability").alias("a"),
                                            F.col("predicted_class").alias("ca"))
     b = modeling.score(model, test).select("employee_id", F.col("predicted_probability").alias("b"),
@@ -1060,11 +1058,11 @@ def q_model_roundtrip(spark, sf):
     """IO8: save the whole pipeline to the shared folder, reload, re-score."""
     import uuid
     from benefitlens.plans import modeling
-    from benefitlens.plans.training import split_frames
+    from benefitlens.plans.training import test_frame
     from benefitlens.session import shared_path
     model, scored = _final_model(spark, sf)
     loaded = modeling.save_and_reload(model, shared_path(spark, "models", uuid.uuid4().hex))
-    _, test = split_frames(_eng(spark, sf))
+    test = test_frame(_eng(spark, sf))
     again = modeling.score(loaded, test).select("employee_id", F.col("predicted_probability").alias("b"))
     j = scored.select("employee_id", F.col("predicted_probability").alias("a")).join(again, "employee_id")
     return j.agg(F.count(F.lit(1)).cast("bigint").alias("n"),

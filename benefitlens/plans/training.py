@@ -43,6 +43,12 @@ def split_frames(engineered: DataFrame, features=EXPECTED_FEATURES):
     return train, test
 
 
+def test_frame(engineered: DataFrame, features=EXPECTED_FEATURES) -> DataFrame:
+    """Prepared test rows only (nothing persisted), for scoring a fitted model."""
+    s = apply_domains(stratified_split(engineered))
+    return modeling.prepare(s, features).filter(F.col("split") == "test")
+
+
 def evaluate(scored: DataFrame, name: str) -> dict:
     """Test-split metrics of one model as a dict of scalars."""
     s = scored.select(F.col("predicted_probability").alias("p"), F.col("enrolled")) \
