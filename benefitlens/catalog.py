@@ -70,18 +70,27 @@ def _split_scored(spark, sf):
 
 
 # --------------------------------------------------------------------------- sources (IO)
+def _as_csv(spark, df, name):
+    """Land a table as header CSV in the shared folder (as the raw files arrive)."""
+    import uuid
+    from benefitlens.session import shared_path
+    path = shared_path(spark, "landing", name, uuid.uuid4().hex)
+    df.write.mode("overwrite").option("header", True).csv(path)
+    return path
+
+
 @query("io_read_raw")
 def q_io_read_raw(spark, sf):
-    from benefitlens.schemas import EMP_SCHEMA
-    from benefitlens.sources.readers import conform, null_tokens_to_null
-    return conform(null_tokens_to_null(_emp(spark, sf)), EMP_SCHEMA)
+    """IO1: header CSV -> declared schema, pandas null tokens, typed columns."""
+    from benefitlens.sources.readers import read_employees_csv
+    return read_employees_csv(spark, _as_csv(spark, _emp(spark, sf), "employees"))
 
 
 @query("io_read_region")
 def q_io_read_region(spark, sf):
-    from benefitlens.schemas import REGION_SCHEMA
-    from benefitlens.sources.readers import conform, null_tokens_to_null
-    return conform(null_tokens_to_null(_reg(spark, sf)), REGION_SCHEMA)
+    """IO2: the dimension CSV read the same way."""
+    from benefitlens.sources.readers import read_regions_csv
+    return read_regions_csv(spark, _as_csv(spark, _reg(spark, sf), "regions"))
 
 
 def _arriving_records(spark, sf):
