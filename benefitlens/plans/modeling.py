@@ -97,8 +97,9 @@ def tree_pipeline(df: DataFrame, learner, features=EXPECTED_FEATURES) -> Pipelin
 
 def logistic_pipeline(df: DataFrame, n_train: int, features=EXPECTED_FEATURES) -> Pipeline:
     """M1: one-hot + standardise + L2 logistic regression (C = 1 in the
-    sum-of-losses form, i.e. ``regParam = 1 / n``)."""
-    lr = LogisticRegression(labelCol="label", featuresCol="features", maxIter=1000,
+    sum-of-losses form, i.e. ``regParam = 1 / n``), at most 1000 iterations
+    and a 1e-4 tolerance, the reference learner's settings."""
+    lr = LogisticRegression(labelCol="label", featuresCol="features", maxIter=1000, tol=1e-4,
                             regParam=1.0 / max(n_train, 1), elasticNetParam=0.0,
                             standardization=False)
     return Pipeline(stages=_stages_linear(df, features) + [lr])
