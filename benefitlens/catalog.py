@@ -917,68 +917,20 @@ def q_cross_validate(spark, sf):
 
 @query("sentinel_experiment")
 def q_sentinel_experiment(spark, sf):
-    """M6: the same small matrix with the day gap left null (imputed, with the
-    has_application_date indicator) or filled with -999, cross-validated with
-    both ensembles."""
-    from benefitlens.operators.split import stratified_folds
-    from benefitlens.plans import modeling
-    from benefitlens.plans.features import sentinel_variant
-    from benefitlens.plans.training import right_size
-    e = _eng(spark, sf)
-    feats = ["age", "salary", "tenure_years", "days_contact_to_app", "has_application_date"]
-    learners = {"gbt": lambda: modeling.gbt(max_iter=100, step=0.1), "forest": lambda: modeling.forest(n=100)}
-    rows = []
-    for name, sentinel in [("null", None), ("sentinel_-999", -999.0)]:
-        prepared = right_size(modeling.prepare(stratified_folds(sentinel_variant(e, sentinel)), feats))
-        for model_name, make in learners.items():
-            r = modeling.cross_validate(prepared, make(), feats, parallelism=5).first()
-            rows.append((name, model_name, r["cv_auc_mean"], r["cv_auc_std"]))
-        prepared.unpersist()
-    return spark.createDataFrame(rows, "variant string, model string, cv_auc_mean double, cv_auc_std double")
-
-
-def _tree_matrix(spark, sf):
-    from benefitlens.operators.encode import category_codes
-    d = _dedup(spark, sf).filter(F.col("salary").isNotNull())
-    d = category_codes(d, "employment_type")
-    return d.select("employee_id", F.col("salary").cast("double").alias("salary"),
-                    F.col("age").cast("double").alias("age"),
-                    (F.col("has_dependents") == "Yes").cast("double").alias("has_dep_num"),
-                    F.col("employment_type_code").cast("double").alias("emp_type_num"),
-                    F.col("enrolled").cast("double").alias("label"))
-
-
-def _tree_accuracy(frame, depth):
-    from pyspark.ml.classification import DecisionTreeClassifier
-    from pyspark.ml.feature import VectorAssembler
-    asm = VectorAssembler(inputCols=["salary", "age", "has_dep_num", "emp_type_num"], outputCol="features")
-    data = asm.transform(frame)
-    m = DecisionTreeClassifier(maxDepth=depth, seed=42, labelCol="label").fit(data)
-    acc = m.transform(data).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
-    return m, float(acc)
+    from benefitlens.plans.probes import sentinel_experiment
+    return sentinel_experiment(_eng(spark, sf))
 
 
 @query("tree_probe")
 def q_tree_probe(spark, sf):
-    """M7: how well a shallow tree recovers the label from four raw columns."""
-    from pyspark import StorageLevel
-    frame = _tree_matrix(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
-    for depth in (4, 5, 10):
-        m, acc = _tree_accuracy(frame, depth)
-        rows.append((depth, acc, m.numNodes, m.toDebugString))
-    frame.unpersist()
-    return spark.createDataFrame(rows, "depth int, accuracy double, n_nodes int, rules string")
+    from benefitlens.plans.probes import tree_probe
+    return tree_probe(_dedup(spark, sf))
 
 
 @query("tree_depth_sweep")
 def q_tree_depth_sweep(spark, sf):
-    """M8: training accuracy for depths 1..7 on one persisted frame."""
-    from pyspark import StorageLevel
-    frame = _tree_matrix(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = [(d, _tree_accuracy(frame, d)[1]) for d in range(1, 8)]
-    frame.unpersist()
-    return spark.createDataFrame(rows, "depth int, accuracy double")
+    from benefitlens.plans.probes import tree_depth_sweep
+    return tree_depth_sweep(_dedup(spark, sf))
 
 
 @query("label_encode_all")
@@ -989,19 +941,8 @@ def q_label_encode_all(spark, sf):
 
 @query("forest_importance")
 def q_forest_importance(spark, sf):
-    """M9: random-forest importances over all label-encoded raw columns."""
-    from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.feature import VectorAssembler
-    from benefitlens.operators.encode import label_encode_all
-    enc = label_encode_all(_emp(spark, sf))
-    feats = [c for c in enc.columns if c not in ("employee_id", "enrolled")]
-    data = VectorAssembler(inputCols=feats, outputCol="features").transform(enc) \
-        .withColumn("label", F.col("enrolled").cast("double"))
-    m = RandomForestClassifier(numTrees=100, seed=42, maxBins=64).fit(data)
-    imp = m.featureImportances.toArray().tolist()
-    rows = sorted(zip(feats, imp), key=lambda r: -r[1])
-    return spark.createDataFrame([(n, float(v), i + 1) for i, (n, v) in enumerate(rows)],
-                                 "feature string, importance double, rank int")
+    from benefitlens.plans.probes import forest_importance
+    return forest_importance(_emp(spark, sf))
 
 
 @query("feature_importance")
@@ -1047,19 +988,13 @@ def q_ablation(spark, sf):
 
 @query("score_reproducible")
 def q_score_reproducible(spark, sf):
-    """Two scorings of the same rows agree (max |diff| and classes)."""
+    """Two scorings of the same test rows agree."""
     from benefitlens.plans import modeling
+    from benefitlens.plans.outreach import score_agreement
     from benefitlens.plans.training import test_frame
     model, _ = _final_model(spark, sf)
     test = test_frame(_eng(spark, sf))
-    a = modeling.score(model, test).select("employee_id", F.col("predicted_probability").alias("a"),
-                                           F.col("predicted_class").alias("ca"))
-    b = modeling.score(model, test).select("employee_id", F.col("predicted_probability").alias("b"),
-                                           F.col("predicted_class").alias("cb"))
-    j = a.join(b, "employee_id")
-    return j.agg(F.count(F.lit(1)).cast("bigint").alias("n"),
-                 F.max(F.abs(F.col("a") - F.col("b"))).alias("max_abs_diff"),
-                 F.min((F.col("ca") == F.col("cb")).cast("int")).alias("classes_equal"))
+    return score_agreement(modeling.score(model, test), modeling.score(model, test))
 
 
 @query("model_roundtrip")
@@ -1067,63 +1002,26 @@ def q_model_roundtrip(spark, sf):
     """IO8: save the whole pipeline to the shared folder, reload, re-score."""
     import uuid
     from benefitlens.plans import modeling
+    from benefitlens.plans.outreach import score_agreement
     from benefitlens.plans.training import test_frame
     from benefitlens.session import shared_path
     model, scored = _final_model(spark, sf)
     loaded = modeling.save_and_reload(model, shared_path(spark, "models", uuid.uuid4().hex))
-    test = test_frame(_eng(spark, sf))
-    again = modeling.score(loaded, test).select("employee_id", F.col("predicted_probability").alias("b"))
-    j = scored.select("employee_id", F.col("predicted_probability").alias("a")).join(again, "employee_id")
-    return j.agg(F.count(F.lit(1)).cast("bigint").alias("n"),
-                 F.max(F.abs(F.col("a") - F.col("b"))).alias("max_abs_diff"))
+    return score_agreement(scored, modeling.score(loaded, test_frame(_eng(spark, sf))))
 
 
 @query("score_requests")
 def q_score_requests(spark, sf):
-    """L4: refusals for leaky feature requests, scores (with raw and clean
-    attributes) for the rest; unknown ids drop out and are listed by
-    ``missing_requests``."""
-    from benefitlens.constants import TIER_MAP
-    from benefitlens.functions.canon import lookup_trim_retry
-    from benefitlens.operators.governance import refuse_leakage
-    from benefitlens.plans import modeling
-    from benefitlens.plans.features import preprocess_scoring
-    from benefitlens.operators.joins import match_requests
+    from benefitlens.plans.outreach import score_requests
     model, _ = _final_model(spark, sf)
-    req = refuse_leakage(_requests(spark, sf))
-    raw = _dedup(spark, sf)
-    ok, not_found = match_requests(req.filter(F.col("status") == "ok").select("request_id", "employee_id"), raw)
-    matched = raw.join(ok.select("employee_id").distinct(), "employee_id", "left_semi")
-    scores = modeling.score(model, modeling.prepare(preprocess_scoring(matched, _reg(spark, sf))))
-    attrs = matched.select("employee_id", "salary", "region",
-                           lookup_trim_retry("plan_tier_requested", TIER_MAP).alias("plan_tier_requested_clean"))
-    scored = (ok.join(attrs, "employee_id").join(scores.select("employee_id", "predicted_probability",
-                                                               "predicted_class"), "employee_id")
-              .select("request_id", "employee_id", F.lit("success").alias("status"), "salary", "region",
-                      "plan_tier_requested_clean",
-                      F.round("predicted_probability", 4).alias("enrollment_probability"),
-                      F.col("predicted_class").alias("predicted_enrolled")))
-    refused = req.filter(F.col("status") == "refusal").select("request_id", "employee_id",
-                                                                 F.lit("refusal").alias("status"))
-    missing = not_found.select("request_id", "employee_id", F.lit("not_found").alias("status"))
-    scored = scored.unionByName(missing, allowMissingColumns=True)
-    return scored.unionByName(refused, allowMissingColumns=True)
+    return score_requests(model, _requests(spark, sf), _dedup(spark, sf), _reg(spark, sf))
 
 
 @query("score_records")
 def q_score_records(spark, sf):
-    """Score supplied records; invalid ones carry an error instead of a score."""
-    from benefitlens.plans import modeling
-    from benefitlens.plans.features import preprocess_scoring
+    from benefitlens.plans.outreach import score_records
     model, _ = _final_model(spark, sf)
-    feats = preprocess_scoring(_arriving_records(spark, sf), _reg(spark, sf))
-    s = modeling.score(model, modeling.prepare(feats))
-    valid = F.col("reason").isNull()
-    return s.select("employee_id",
-                    F.when(valid, F.lit("success")).otherwise(F.lit("error")).alias("status"),
-                    F.when(valid, F.round("predicted_probability", 4)).alias("enrollment_probability"),
-                    F.when(valid, F.col("predicted_class")).alias("predicted_enrolled"),
-                    F.col("reason").alias("error"))
+    return score_records(model, _arriving_records(spark, sf), _reg(spark, sf))
 
 
 # --------------------------------------------------------------------------- streaming
