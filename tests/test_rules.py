@@ -52,3 +52,27 @@ def test_scoring_output_format_and_reproducibility(spark):
     assert max(abs(ra[k].predicted_probability - rb[k].predicted_probability) for k in ra) < 1e-9
     assert all(r.predicted_class == r.predicted_enrolled == int(r.predicted_probability >= 0.5) for r in ra.values())
     train.unpersist()
+
+
+def test_request_and_record_scoring_rows(spark):
+    from benefitlens import catalog as C
+    from benefitlens.plans import modeling
+    from benefitlens.plans.outreach import score_records, score_requests
+    from benefitlens.plans.training import split_frames
+    from tests.conftest import SF0001
+    e = C._eng(spark, SF0001)
+    train, _ = split_frames(e)
+    model = modeling.tree_pipeline(train, modeling.gbt(max_iter=3)).fit(train)
+    raw, regs = C._dedup(spark, SF0001), C._reg(spark, SF0001)
+    some_id = raw.select("employee_id").first()[0]
+    req = spark.createDataFrame([(1, some_id, "salary"), (2, some_id, "Legacy_Propensity_Score"),
+                                 (3, 10**9, None)], "request_id long, employee_id long, feature_requested string")
+    got = {r.request_id: r for r in score_requests(model, req, raw, regs).collect()}
+    assert got[1].status == "success" and 0 <= got[1].enrollment_probability <= 1
+    assert got[2].status == "refusal" and got[3].status == "not_found"
+    assert "age" not in score_requests(model, req, raw, regs).columns
+    rec = C._arriving_records(spark, SF0001)
+    out = {r.status: r for r in score_records(model, rec, regs).collect()}
+    assert out["error"].enrollment_probability is None and out["error"].error in ("missing_region", "unknown_region")
+    assert out["success"].error is None
+    train.unpersist()
