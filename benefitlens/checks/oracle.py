@@ -438,7 +438,7 @@ JOIN reg r ON s.region = r.region WHERE s.rank <= least(r.hr_outreach_capacity,
 """, ints=["rank"], floats=["p"])
 oracle("rank_summary", """
 SELECT c.region, c.total_eligible, r.hr_outreach_capacity AS hr_capacity_cap_applied,
-  least(c.total_eligible, coalesce(r.hr_outreach_capacity, c.total_eligible)) AS returned_count
+  least(c.total_eligible, coalesce(r.hr_outreach_capacity, 10)) AS returned_count
 FROM (SELECT region, CAST(count(*) AS BIGINT) AS total_eligible FROM scored GROUP BY region) c
 LEFT JOIN reg r ON c.region = r.region
 """, ints=["returned_count"])

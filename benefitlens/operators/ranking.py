@@ -44,15 +44,20 @@ def filter_ci(df: DataFrame, column: str, value: str) -> DataFrame:
     return df.filter(F.lower(F.col(column)) == F.lit(value.lower()))
 
 
+DEFAULT_TOP_K = 10
+
+
 def rank_capacity(scored: DataFrame, regions: DataFrame, top_k: int | None = None,
                   score="p", ascending=False, tiebreak="employee_id",
                   region_filter: str | None = None,
                   employment_type: str | None = None) -> DataFrame:
     """Per-region ranking capped at ``min(top_k, hr_outreach_capacity)``.
 
-    ``top_k=None`` means "use the capacity".  All regions are ranked in one
-    job.  Regions are few and skewed, so the rank is first cut at the largest
-    cap (a literal read from the small dimension): Spark then plans a
+    ``top_k=None`` means "use the capacity".  A region without a capacity
+    row falls back to ``top_k`` (default 10), as the reference does when its
+    capacity lookup finds nothing.  All regions are ranked in one job.
+    Regions are few and skewed, so the rank is first cut at the largest
+    possible K (a literal from the small dimension): Spark then plans a
     WindowGroupLimit that keeps only that many rows per region in every map
     task before the shuffle, and the hot region never lands whole in one task.
     """
@@ -60,18 +65,19 @@ def rank_capacity(scored: DataFrame, regions: DataFrame, top_k: int | None = Non
         scored = filter_ci(scored, "region", region_filter)
     if employment_type is not None:
         scored = filter_ci(scored, "employment_type", employment_type)
+    fallback = int(top_k) if top_k is not None else DEFAULT_TOP_K
     cap = F.col("hr_outreach_capacity").cast("int")
     k_eff = cap if top_k is None else F.least(cap, F.lit(int(top_k)))
     caps = regions.select("region", cap.alias("capacity"), k_eff.alias("k_eff"))
     # one small job on the dimension: the largest cap and the row count
     stats = caps.agg(F.max("k_eff").alias("k"), F.count(F.lit(1)).alias("n")).first()
-    max_k, n_caps = int(stats["k"] or 0), int(stats["n"])
+    max_k, n_caps = max(int(stats["k"] or 0), fallback), int(stats["n"])
     _ensure_group_limit(scored.sparkSession, max_k)
     w = Window.partitionBy("region").orderBy(*_order(score, ascending, tiebreak))
     ranked = scored.select("*", F.row_number().over(w).alias("rank")).filter(F.col("rank") <= F.lit(max_k))
     caps_side = F.broadcast(caps) if n_caps <= BROADCAST_MAX_ROWS else caps
-    return (ranked.join(caps_side, "region", "inner")
-            .filter(F.col("rank") <= F.col("k_eff"))
+    return (ranked.join(caps_side, "region", "left")
+            .filter(F.col("rank") <= F.coalesce(F.col("k_eff"), F.lit(fallback)))
             .drop("k_eff"))
 
 
@@ -79,14 +85,12 @@ def rank_summary(scored: DataFrame, regions: DataFrame, top_k: int | None = None
     """Eligible rows, returned rows and the applied cap, per region."""
     caps = regions.select("region", F.col("hr_outreach_capacity").cast("int").alias("capacity"))
     k_eff = F.col("capacity") if top_k is None else F.least(F.col("capacity"), F.lit(int(top_k)))
+    fallback = int(top_k) if top_k is not None else DEFAULT_TOP_K
     counts = scored.groupBy("region").agg(F.count(F.lit(1)).cast("bigint").alias("total_eligible"))
-    return (counts.join(broadcast_if_small(caps), "region", "left")
-            .withColumn("hr_capacity_cap_applied", k_eff)
-            .withColumn("returned_count",
-                        F.least(F.col("total_eligible"),
-                                F.coalesce(F.col("hr_capacity_cap_applied").cast("bigint"),
-                                           F.col("total_eligible"))))
-            .drop("capacity"))
+    j = counts.join(broadcast_if_small(caps), "region", "left")
+    return j.select("region", "total_eligible", k_eff.alias("hr_capacity_cap_applied"),
+                    F.least(F.col("total_eligible"), F.coalesce(k_eff, F.lit(fallback)).cast("bigint"))
+                    .alias("returned_count"))
 
 
 def region_profile_lookup(regions: DataFrame, region: str | None = None) -> DataFrame:

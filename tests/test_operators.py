@@ -185,3 +185,13 @@ def test_exact_quantiles_match_numpy_linear(spark):
         vals = [v for k, v in rows if k == g and v is not None]
         for p in probs:
             assert math.isclose(got[(g, p)], float(np.percentile(vals, p * 100)), rel_tol=1e-12, abs_tol=1e-9)
+
+
+def test_region_without_capacity_falls_back_to_top_k(spark):
+    df, rows = _scored(spark)
+    regs = spark.createDataFrame([("N", 3)], "region string, hr_outreach_capacity int")
+    got = ranking.rank_capacity(df, regs, top_k=None).groupBy("region").count().collect()
+    assert {r.region: r["count"] for r in got} == {"N": 3, "S": 10, "E": 10}
+    summ = {r.region: r for r in ranking.rank_summary(df, regs).collect()}
+    assert summ["N"].returned_count == 3 and summ["S"].hr_capacity_cap_applied is None
+    assert summ["S"].returned_count == 10
