@@ -75,39 +75,61 @@ def ranking_metrics(df: DataFrame, score: str = "p", label: str = "enrolled", gr
         F.sum(F.col("pos") / F.col("pos_total").cast("double") * tp / (tp + fp)).alias("average_precision"))
 
 
-def _counts(df: DataFrame, score: str, label: str, threshold: float):
+def _count_exprs(score: str, label: str, threshold: float):
     pred = (F.col(score) >= F.lit(threshold)).cast("int")
     y = F.col(label).cast("int")
-    return df.agg(
-        F.count_if((pred == 1) & (y == 1)).cast("bigint").alias("tp"),
-        F.count_if((pred == 1) & (y == 0)).cast("bigint").alias("fp"),
-        F.count_if((pred == 0) & (y == 1)).cast("bigint").alias("fn"),
-        F.count_if((pred == 0) & (y == 0)).cast("bigint").alias("tn"))
+    return [F.count_if((pred == 1) & (y == 1)).cast("bigint").alias("tp"),
+            F.count_if((pred == 1) & (y == 0)).cast("bigint").alias("fp"),
+            F.count_if((pred == 0) & (y == 1)).cast("bigint").alias("fn"),
+            F.count_if((pred == 0) & (y == 0)).cast("bigint").alias("tn")]
 
 
-def threshold_metrics(df: DataFrame, score: str = "p", label: str = "enrolled",
-                      threshold: float = 0.5) -> DataFrame:
-    """Accuracy, precision, recall, F1 at ``score >= threshold``."""
-    c = _counts(df, score, label, threshold)
+def _counts(df: DataFrame, score: str, label: str, threshold: float):
+    return df.agg(*_count_exprs(score, label, threshold))
+
+
+def _with_rates(c: DataFrame) -> DataFrame:
     tp, fp, fn, tn = (F.col(x).cast("double") for x in ("tp", "fp", "fn", "tn"))
     prec = F.coalesce(F.try_divide(tp, tp + fp), F.lit(0.0))
     rec = F.coalesce(F.try_divide(tp, tp + fn), F.lit(0.0))
-    return c.select("tp", "fp", "fn", "tn",
-                    ((tp + tn) / (tp + fp + fn + tn)).alias("accuracy"),
-                    prec.alias("precision"), rec.alias("recall"),
-                    F.coalesce(F.try_divide(2 * tp, 2 * tp + fp + fn), F.lit(0.0)).alias("f1"))
+    return c.withColumns({"accuracy": (tp + tn) / (tp + fp + fn + tn), "precision": prec, "recall": rec,
+                          "f1": F.coalesce(F.try_divide(2 * tp, 2 * tp + fp + fn), F.lit(0.0))})
+
+
+def threshold_metrics(df: DataFrame, score: str = "p", label: str = "enrolled",
+                      threshold: float = 0.5) -> DataFrame:
+    """Accuracy, precision, recall, F1 at ``score >= threshold``."""
+    return _with_rates(_counts(df, score, label, threshold)).select(
+        "tp", "fp", "fn", "tn", "accuracy", "precision", "recall", "f1")
+
+
+def _brier_expr(score: str, label: str):
+    return F.avg(F.pow(F.col(score) - F.col(label), 2)).alias("brier")
+
+
+def _log_loss_expr(score: str, label: str, eps: float = 1e-15):
+    p = F.least(F.greatest(F.col(score), F.lit(eps)), F.lit(1 - eps))
+    y = F.col(label)
+    return F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("log_loss")
 
 
 def brier(df: DataFrame, score: str = "p", label: str = "enrolled") -> DataFrame:
     """M15."""
-    return df.agg(F.avg(F.pow(F.col(score) - F.col(label), 2)).alias("brier"))
+    return df.agg(_brier_expr(score, label))
 
 
 def log_loss(df: DataFrame, score: str = "p", label: str = "enrolled", eps: float = 1e-15) -> DataFrame:
     """Mean negative log-likelihood with probabilities clipped to [eps, 1-eps]."""
-    p = F.least(F.greatest(F.col(score), F.lit(eps)), F.lit(1 - eps))
-    y = F.col(label)
-    return df.agg(F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("log_loss"))
+    return df.agg(_log_loss_expr(score, label, eps))
+
+
+def pointwise_metrics(df: DataFrame, score: str = "p", label: str = "enrolled",
+                      threshold: float = 0.5) -> DataFrame:
+    """M14-M16 in one aggregate pass: threshold metrics, Brier and log loss."""
+    c = df.agg(*_count_exprs(score, label, threshold), _brier_expr(score, label),
+               _log_loss_expr(score, label))
+    return _with_rates(c).select("tp", "fp", "fn", "tn", "accuracy", "precision", "recall", "f1",
+                                 "brier", "log_loss")
 
 
 def confusion_matrix(df: DataFrame, score: str = "p", label: str = "enrolled",

@@ -15,6 +15,8 @@ from benefitlens.operators import metrics as M
 from benefitlens.operators.split import stratified_folds, stratified_split
 from benefitlens.plans import modeling
 from benefitlens.plans.features import apply_domains
+from benefitlens.session import ensure_checkpoint_dir
+from benefitlens.sources.tables import input_fingerprint, path_exists
 
 
 ROWS_PER_PARTITION = 500_000
@@ -35,9 +37,16 @@ def right_size(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> D
 
 
 def split_frames(engineered: DataFrame, features=EXPECTED_FEATURES):
-    """Prepared (train, test) frames from one stratified split."""
+    """Prepared (train, test) frames from one stratified split.
+
+    The prepared split is checkpointed to the shared folder once: the fit, the
+    row count and the test scoring then read that table instead of each
+    recomputing the split (its ranking scan included), and an iterative fit
+    no longer depends on the split's lineage when an executor is lost.
+    """
+    ensure_checkpoint_dir(engineered.sparkSession)
     s = apply_domains(stratified_split(engineered))
-    prepared = modeling.prepare(s, features)
+    prepared = modeling.prepare(s, features).checkpoint(eager=True)
     train = right_size(prepared.filter(F.col("split") == "train"))
     test = prepared.filter(F.col("split") == "test")
     return train, test
@@ -55,10 +64,8 @@ def evaluate(scored: DataFrame, name: str) -> dict:
         .persist(StorageLevel.MEMORY_AND_DISK)
     out = {"model": name}
     out.update(M.ranking_metrics(s).first().asDict())
-    th = M.threshold_metrics(s).first().asDict()
-    out.update({k: th[k] for k in ("accuracy", "precision", "recall", "f1")})
-    out.update(M.brier(s).first().asDict())
-    out.update(M.log_loss(s).first().asDict())
+    pw = M.pointwise_metrics(s).first().asDict()
+    out.update({k: pw[k] for k in ("accuracy", "precision", "recall", "f1", "brier", "log_loss")})
     s.unpersist()
     return out
 
@@ -115,21 +122,6 @@ def ablation_features():
             "with_leaky_column": base + ["legacy_propensity_score"]}
 
 
-def input_fingerprint(spark, sf_dir: str, tables=("customer", "orders", "nation", "region")) -> str:
-    """Identity of the model's inputs: paths, sizes and modification times
-    of the source files (file metadata only, no data is read)."""
-    import hashlib
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    parts = []
-    for t in tables:
-        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
-        fs = path.getFileSystem(conf)
-        for st in fs.listStatus(path) if fs.getFileStatus(path).isDirectory() else [fs.getFileStatus(path)]:
-            parts.append(f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
-    return hashlib.sha1("|".join(sorted(parts)).encode()).hexdigest()[:16]
-
-
 MODEL_VERSION = "gbt-150-0.05-5-v3"
 
 
@@ -139,9 +131,7 @@ def final_model(spark, sf_dir: str, engineered: DataFrame):
     from pyspark.ml import PipelineModel
     from benefitlens.session import shared_path
     path = shared_path(spark, "models", f"{MODEL_VERSION}-{input_fingerprint(spark, sf_dir)}")
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path + "/metadata")
-    if hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath):
+    if path_exists(spark, path + "/metadata"):
         return PipelineModel.load(path)
     model, _, train = fit_and_score(engineered, "gbt")
     train.unpersist()
