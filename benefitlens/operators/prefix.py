@@ -35,6 +35,8 @@ def prefix_sums(df: DataFrame, order: str, sums, groups=(), rows_per_partition:
         df = df.checkpoint(eager=True)
     n = df.count()
     parts = max(1, -(-n // rows_per_partition))
+    if parts == 1:
+        return _one_slice(df, order, sums, groups)
     ranged = df.repartitionByRange(parts, *groups, order).sortWithinPartitions(*groups, order)
 
     out_schema = T.StructType(list(ranged.schema.fields)
@@ -86,12 +88,32 @@ def prefix_sums(df: DataFrame, order: str, sums, groups=(), rows_per_partition:
         *[F.sum(f"_t_{c}").over(w_all).alias(f"{c}_total") for c in sums])
     # (partition, group) pairs: at most #partitions + #groups rows
     small = parts + (n if groups else 0) <= 2_000_000
-    j = scanned.join(F.broadcast(offsets) if small else offsets, ["_pid", *groups])
+    # null-safe on the group keys: a null group is a group of its own here
+    renamed = offsets.select(F.col("_pid").alias("_o_pid"),
+                             *[F.col(g).alias(f"_o_g{i}") for i, g in enumerate(groups)],
+                             *[c for c in offsets.columns if c != "_pid" and c not in groups])
+    cond = [F.col("_pid") == F.col("_o_pid")] + [F.col(g).eqNullSafe(F.col(f"_o_g{i}"))
+                                                 for i, g in enumerate(groups)]
+    j = scanned.join(F.broadcast(renamed) if small else renamed, cond)
     return j.select(*df.columns,
                     *[(F.col(f"_off_{c}") + F.col(f"_{c}_upto") - F.col(c)).alias(f"{c}_below") for c in sums],
                     *[F.col(f"{c}_total") for c in sums])
 
 
+def _one_slice(df: DataFrame, order: str, sums, groups) -> DataFrame:
+    """The same sums when the counted input fits in one slice: the range
+    partitioning would give a single task anyway, so a running-sum window does
+    that bounded work in the JVM (no Python worker, no offsets join)."""
+    w_before = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy(*groups)
+    return df.select(
+        *df.columns,
+        # "+ c - c" keeps the scan path's null for a row whose own value is null
+        *[(F.coalesce(F.sum(c).over(w_before), F.lit(0)).cast("long") + F.col(c) - F.col(c))
+          .alias(f"{c}_below") for c in sums],
+        *[F.sum(c).over(w_all).cast("long").alias(f"{c}_total") for c in sums])
+
+
 def dense_codes(df: DataFrame, column: str, code: str | None = None, groups=()) -> DataFrame:
     """Alphabetical 0-based code of every distinct non-null value of ``column``
     (per group), as a (groups..., column, code) table."""

@@ -195,3 +195,25 @@ def test_region_without_capacity_falls_back_to_top_k(spark):
     summ = {r.region: r for r in ranking.rank_summary(df, regs).collect()}
     assert summ["N"].returned_count == 3 and summ["S"].hr_capacity_cap_applied is None
     assert summ["S"].returned_count == 10
+
+
+def test_prefix_sums_one_slice_window_equals_distributed_scan(spark):
+    from benefitlens.operators.prefix import prefix_sums
+    rows = [(a, b, float(i), (i % 4) or None) for i in range(80)
+            for a, b in [(("x" if i % 3 else None), i % 2)]]
+    df = spark.createDataFrame(rows, "a string, b int, o double, w long")
+    cols = ["a", "b", "o", "w", "w_below", "w_total"]
+
+    def run(rpp, groups):
+        return sorted((tuple(r[c] for c in cols)
+                       for r in prefix_sums(df, "o", ["w"], groups, rows_per_partition=rpp).collect()),
+                      key=lambda t: t[2])
+
+    for groups in (["a", "b"], []):
+        one, many = run(10_000, groups), run(9, groups)
+        assert len(one) == len(rows)
+        assert one == many
+        for a, b, o, w, below, total in one:
+            same = [x for x in rows if not groups or (x[0] == a and x[1] == b)]
+            assert total == sum(x[3] or 0 for x in same)
+            assert below == (None if w is None else sum(x[3] or 0 for x in same if x[2] < o))
