@@ -217,3 +217,13 @@ def test_prefix_sums_one_slice_window_equals_distributed_scan(spark):
             same = [x for x in rows if not groups or (x[0] == a and x[1] == b)]
             assert total == sum(x[3] or 0 for x in same)
             assert below == (None if w is None else sum(x[3] or 0 for x in same if x[2] < o))
+
+
+def test_pointwise_metrics_equal_the_separate_passes(spark):
+    df, _ = _scored(spark)
+    one = metrics.pointwise_metrics(df).first().asDict()
+    sep = {**metrics.threshold_metrics(df).first().asDict(), **metrics.brier(df).first().asDict(),
+           **metrics.log_loss(df).first().asDict()}
+    assert set(one) == set(sep)
+    for k, v in sep.items():
+        assert math.isclose(one[k], v, rel_tol=1e-12, abs_tol=1e-15), k

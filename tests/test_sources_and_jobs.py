@@ -96,3 +96,15 @@ def test_model_scores_edge_cases_and_reloads(spark):
     b = {r.employee_id: r.predicted_probability for r in again.collect()}
     assert all(abs(a[k] - b[k]) < 1e-9 for k in a)
     train.unpersist()
+
+
+def test_written_fact_fixture_equals_the_view(spark):
+    from benefitlens.sources import fixtures
+    table = fixtures.emp_raw(spark, SF0001)
+    view = fixtures._emp_raw(spark, SF0001)
+    assert table.schema.names == view.schema.names
+    assert [f.dataType for f in table.schema] == [f.dataType for f in view.schema]
+    assert table.exceptAll(view).count() == 0 and view.exceptAll(table).count() == 0
+    # the table is a scan of the written files, not the view's joins
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "Join" not in plan
