@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benefitlens.operators.joins import broadcast_if_small
 from benefitlens.operators.prefix import prefix_sums
 from benefitlens.operators.ranking import rank_capacity
 
@@ -208,5 +207,8 @@ def precision_lift_at_k(scored: DataFrame, regions: DataFrame, score: str = "p",
                                      F.avg(F.col(label).cast("double")).alias("precision_at_k"))
     base = scored.groupBy("region").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
                                         F.avg(F.col(label).cast("double")).alias("base_rate"))
-    return (base.join(broadcast_if_small(prec), "region", "left")
+    # Both sides are aggregates already hash-partitioned on region, so the
+    # join adds no exchange; sizing ``prec`` for a broadcast would run the
+    # whole ranking once more just to count it.
+    return (base.join(prec, "region", "left")
             .withColumn("lift_at_k", F.try_divide(F.col("precision_at_k"), F.col("base_rate"))))
