@@ -33,7 +33,9 @@ def class_rank(df: DataFrame, label: str = "enrolled", key: str = "employee_id",
     # at most (#classes x 65,536) rows: small enough for a per-class running sum
     w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_nb").over(w), F.lit(0))).drop("_nb")
-    w_in = Window.partitionBy(label, "_b").orderBy("_h")
+    # ties on ``_h`` only come from copies of one id; ordering them by a hash of
+    # the row's content keeps the rank reproducible (identical rows are interchangeable)
+    w_in = Window.partitionBy(label, "_b").orderBy("_h", F.xxhash64(*[F.col(c) for c in df.columns]))
     ranked = h.withColumn("_rn", F.row_number().over(w_in))
     j = ranked.join(F.broadcast(offsets), [label, "_b"])
     keep = [c for c in j.columns if c not in ("_b", "_rn", "_off")]

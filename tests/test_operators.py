@@ -227,3 +227,17 @@ def test_pointwise_metrics_equal_the_separate_passes(spark):
     assert set(one) == set(sep)
     for k, v in sep.items():
         assert math.isclose(one[k], v, rel_tol=1e-12, abs_tol=1e-15), k
+
+
+def test_split_of_duplicated_ids_is_reproducible(spark):
+    rows = [(i % 40, 1 if i % 3 else 0, float(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "employee_id int, enrolled int, salary double")
+
+    def assign(d):
+        return sorted((r.employee_id, r.salary, r.split, r.class_rank) for r in split.stratified_split(d).collect())
+
+    a = assign(df.repartition(1))
+    assert a == assign(df.repartition(7)) == assign(df.orderBy(F.rand(5)).repartition(3))
+    for cls in (0, 1):
+        ranks = sorted(r.class_rank for r in split.stratified_split(df).collect() if r.enrolled == cls)
+        assert ranks == list(range(len(ranks)))
