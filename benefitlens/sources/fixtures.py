@@ -105,10 +105,26 @@ def _materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "fixtures", f"{FIXTURE_VERSION}-{input_fingerprint(spark, sf_dir)}")
     view = _emp_raw(spark, sf_dir)
     if not path_exists(spark, path + "/_SUCCESS"):
-        view.write.mode("overwrite").parquet(path)
+        _publish(spark, view, path)
     return spark.read.schema(view.schema).parquet(path)
 
 
+def _publish(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Write to a fresh sibling folder, then rename it into place: a reader
+    never sees a half-written table, and when two jobs race the first rename
+    wins and the other's copy is dropped (both hold the same rows)."""
+    import uuid
+    tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+    df.write.parquet(tmp)
+    jvm = spark._jvm
+    src, dst = jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(path)
+    fs = dst.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(dst) and not fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")):
+        fs.delete(dst, True)  # an unfinished direct write; a renamed folder always has _SUCCESS
+    if fs.exists(dst) or not fs.rename(src, dst):
+        fs.delete(src, True)
+
+
 def region_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The regional dimension (9 columns, dirty mandate labels)."""
     return _memo("region_profile", spark, sf_dir, lambda: _region_profile(spark, sf_dir))

@@ -108,3 +108,15 @@ def test_written_fact_fixture_equals_the_view(spark):
     # the table is a scan of the written files, not the view's joins
     plan = table._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "Join" not in plan
+
+
+def test_fixture_publish_replaces_an_unfinished_folder_and_keeps_a_finished_one(spark):
+    from benefitlens.sources.fixtures import _publish
+    base = tempfile.mkdtemp(prefix="bl-pub-")
+    path = os.path.join(base, "t")
+    os.makedirs(path)                       # left behind without _SUCCESS
+    _publish(spark, spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5
+    _publish(spark, spark.range(9), path)   # a finished table is kept; the late copy is dropped
+    assert spark.read.parquet(path).count() == 5
+    assert [n for n in os.listdir(base) if ".tmp-" in n] == []
