@@ -43,3 +43,19 @@ def on_workers(spark: SparkSession) -> None:
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+
+
+#: A group with this share of all rows or more is hot; at most 1 / HOT_SHARE groups are.
+HOT_SHARE = 0.001
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """rows with the columns of their group (one row a key, ``size`` counts its rows), without moving hot groups.
+
+    At most 1 / HOT_SHARE groups can hold that share of all rows each, so those are broadcast and their rows stay
+    where they are; the others are joined by key.
+    """
+    hot_size = max(2, HOT_SHARE * rows.count())
+    hot, rest = F.broadcast(groups.filter(F.col(size) >= hot_size)), groups.filter(F.col(size) < hot_size)
+    cold = rows.join(hot.select(key), key, "left_anti")
+    return rows.join(hot, key).unionByName(cold.join(rest, key))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from benefitlens.llm import bpe, packing, token_counts, token_files
+from benefitlens.llm import bpe, exact_dedup, html_layout, imatch, ngram_join, packing, quotes, token_counts, token_files, toxicity
 from benefitlens.llm.common import fresh_folder, table
 
 
@@ -14,6 +14,15 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = exact_dedup.DigestIndex(spark, fresh_folder(spark, "digest-index"))
+    return exact_dedup.dedup(table(spark, sf_dir, "documents"), index, "documents").drop("row")
+
+
+def op3_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -24,16 +33,30 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.ids_digest(token_files.read_token_ids(spark, path))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+def op8_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_layout.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_budget(token_counts.prefix_token_counts(table(spark, sf_dir, "documents")), 1024)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_byte_bpe": op1_byte_bpe,
-    "op4_best_fit_packing": op4_best_fit_packing,
-    "op5_token_files": op5_token_files,
-    "op9_token_counts": op9_token_counts,
-}
+def op10_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotations(table(spark, sf_dir, "conversations"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_byte_bpe, op2_exact_dedup, op3_toxicity_chain, op4_best_fit_packing, op5_token_files,
+    op6_ngram_jaccard, op7_imatch, op8_html_layout, op9_token_counts, op10_quotation_links,
+)}
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact_dedup.ORACLE, "op10_quotation_links": quotes.ORACLE}

@@ -47,7 +47,7 @@ def char_classes() -> np.ndarray:
 
 
 @functools.cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash's base and of its inverse modulo 2**64."""
     inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
     up, down = np.full(n, _BASE), np.full(n, inverse)
@@ -158,7 +158,7 @@ class WordTable:
         kind[0] = BREAK
         kind[breaks] = BREAK
         start = word_starts(code, kind, self.joined_space)
-        up, down = _powers(1 << max(16, int(len(code)).bit_length()))
+        up, down = powers(1 << max(16, int(len(code)).bit_length()))
         sums = np.zeros(len(code) + 1, np.uint64)
         np.cumsum((code.astype(np.uint64) + np.uint64(1)) * _MIX * up[: len(code)], out=sums[1:])
         end = np.append(start[1:], len(code))
