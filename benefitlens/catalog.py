@@ -75,7 +75,8 @@ def _as_csv(spark, df, name):
     import uuid
     from benefitlens.session import shared_path
     path = shared_path(spark, "landing", name, uuid.uuid4().hex)
-    df.write.mode("overwrite").option("header", True).csv(path)
+    (df.write.mode("overwrite").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 
@@ -83,7 +84,7 @@ def _as_csv(spark, df, name):
 def q_io_read_raw(spark, sf):
     """IO1: header CSV -> declared schema, pandas null tokens, typed columns."""
     from benefitlens.sources.readers import read_employees_csv
-    return read_employees_csv(spark, _as_csv(spark, _emp(spark, sf), "employees"))
+    return read_employees_csv(spark, _as_csv(spark, _emp(spark, sf), "employees"), multi_line=True)
 
 
 @query("io_read_region")

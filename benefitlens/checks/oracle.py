@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from benefitlens.sources.fixtures import duckdb_fixture_ctes
 
-APP_FORMATS = "['%Y-%m-%d', '%d/%m/%Y', '%m/%d/%Y']"
-CONTACT_FORMATS = "['%Y-%m-%d', '%m/%d/%Y', '%d/%m/%Y']"
+_ISO_FORMATS = "'%Y-%m-%d', '%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S', '%Y%m%d'"
+APP_FORMATS = f"[{_ISO_FORMATS}, '%d/%m/%y', '%m/%d/%y', '%d/%m/%Y', '%m/%d/%Y', '%d-%m-%Y', '%m-%d-%Y', '%B %d, %Y']"
+CONTACT_FORMATS = f"[{_ISO_FORMATS}, '%m/%d/%y', '%d/%m/%y', '%m/%d/%Y', '%d/%m/%Y', '%m-%d-%Y', '%d-%m-%Y', '%B %d, %Y']"
 
 BASE = """
 emp AS (SELECT * REPLACE (CAST(employee_id AS BIGINT) AS employee_id, CAST(age AS BIGINT) AS age,
@@ -51,10 +52,10 @@ splits AS (SELECT r.employee_id, r.enrolled, CAST(r.class_rank AS BIGINT) AS cla
 
 def eng_sql(src: str) -> str:
     """The feature job restated in SQL over any raw-shaped relation ``src``."""
-    return f"""SELECT *,
-    CAST(app_date IS NOT NULL AS BIGINT) AS has_application_date,
-    CAST(date_diff('day', contact_date, app_date) AS BIGINT) AS days_contact_to_app,
-    CAST(coalesce(contact_date > app_date, false) AS BIGINT) AS contact_after_app,
+    return f"""SELECT * EXCLUDE (app_ts, contact_ts), CAST(app_ts AS DATE) AS app_date, CAST(contact_ts AS DATE) AS contact_date,
+    CAST(app_ts IS NOT NULL AS BIGINT) AS has_application_date,
+    CAST(floor((epoch(app_ts) - epoch(contact_ts)) / 86400) AS BIGINT) AS days_contact_to_app,
+    CAST(coalesce(contact_ts > app_ts, false) AS BIGINT) AS contact_after_app,
     CAST(coalesce(prior_year_enrolled = -1, false) AS BIGINT) AS no_prior_record,
     CAST(coalesce(prior_year_enrolled = 1, false) AS BIGINT) AS prior_year_enrolled_clean,
     coalesce(CASE last_contact_channel WHEN 'EMAIL' THEN 'Email' WHEN 'email' THEN 'Email'
@@ -74,8 +75,8 @@ def eng_sql(src: str) -> str:
   FROM (SELECT d.*, r.n_employees_region, r.hist_enrollment_rate_region, r.avg_salary_region,
           r.avg_premium_cost_usd, r.benefits_broker_rating, r.hr_outreach_capacity,
           r.open_enrollment_window_days, r.state_mandate_level,
-          CAST(try_strptime(trim(d.application_date), {APP_FORMATS}) AS DATE) AS app_date,
-          CAST(try_strptime(trim(d.last_contact_date), {CONTACT_FORMATS}) AS DATE) AS contact_date
+          try_strptime(trim(d.application_date), {APP_FORMATS}) AS app_ts,
+          try_strptime(trim(d.last_contact_date), {CONTACT_FORMATS}) AS contact_ts
         FROM {src} d LEFT JOIN regc r ON d.region = r.region) e0"""
 
 
@@ -111,15 +112,16 @@ def oracle(name, body, ints=(), floats=(), dates=()):
 oracle("rank_capacity", """
 SELECT s.region, s.rank, s.employee_id, s.employment_type, s.enrolled, s.p, r.capacity
 FROM (SELECT *, row_number() OVER (PARTITION BY region ORDER BY p DESC, employee_id) AS rank FROM scored) s
-JOIN (SELECT region, hr_outreach_capacity AS capacity FROM reg) r ON s.region = r.region
-WHERE s.rank <= r.capacity
+LEFT JOIN (SELECT region, hr_outreach_capacity AS capacity FROM reg) r ON s.region = r.region
+WHERE r.capacity IS NULL OR s.rank <= r.capacity
 """, floats=["p"])
 
 # --------------------------------------------------------------------------- sources
 EMP_FLOATS = ["salary", "tenure_years", "legacy_propensity_score"]
 REG_FLOATS = ["hist_enrollment_rate_region", "avg_salary_region", "benefits_broker_rating"]
 
-oracle("io_read_raw", "SELECT * FROM emp", floats=EMP_FLOATS)
+oracle("io_read_raw", "SELECT * REPLACE (CASE WHEN outreach_notes NOT IN ('NA', 'n/a') THEN outreach_notes END AS outreach_notes) FROM emp",
+       floats=EMP_FLOATS)
 oracle("io_read_region", "SELECT * FROM reg", floats=REG_FLOATS)
 oracle("io_validate_records", """
 SELECT employee_id, region,

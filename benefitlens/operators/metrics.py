@@ -15,6 +15,25 @@ from benefitlens.operators.prefix import prefix_sums
 from benefitlens.operators.ranking import rank_capacity
 
 
+def _big(c):
+    """Row counts multiply beyond 64 bits from a few billion rows on."""
+    return (F.col(c) if isinstance(c, str) else c).cast("decimal(38,0)")
+
+
+def _auc_expr():
+    """Rank-sum form, exact integers up to the final division; null without both classes."""
+    twice_wins = F.sum(_big("pos") * (_big("neg_below") * 2 + _big("neg")))
+    pairs = _big(F.sum(_big("pos"))) * _big(F.sum(_big("neg")))
+    return F.try_divide(twice_wins.cast("double"), pairs.cast("double") * 2).alias("roc_auc")
+
+
+def _average_precision_expr():
+    """Recall steps times precision; null without positives."""
+    tp = (F.col("pos_total") - F.col("pos_below")).cast("double")
+    fp = (F.col("neg_total") - F.col("neg_below")).cast("double")
+    step = F.try_divide(F.col("pos").cast("double"), F.col("pos_total").cast("double"))
+    return F.sum(step * F.try_divide(tp, tp + fp)).alias("average_precision")
+
 
 def score_histogram(df: DataFrame, score: str = "p", label: str = "enrolled", groups=()) -> DataFrame:
     """Per (group, distinct score): positives and negatives (combined map-side)."""
@@ -40,9 +59,7 @@ def score_cumulative(df: DataFrame, score: str = "p", label: str = "enrolled",
 
 def auc_from_cumulative(c: DataFrame, groups=()) -> DataFrame:
     return c.groupBy(*groups).agg(
-        (F.sum(F.col("pos") * (F.col("neg_below") * 2 + F.col("neg"))).cast("double")
-         / (F.sum("pos") * F.sum("neg") * 2).cast("double")).alias("roc_auc"),
-        F.sum("pos").cast("bigint").alias("n_pos"), F.sum("neg").cast("bigint").alias("n_neg"))
+        _auc_expr(), F.sum("pos").cast("bigint").alias("n_pos"), F.sum("neg").cast("bigint").alias("n_neg"))
 
 
 def auc(df: DataFrame, score: str = "p", label: str = "enrolled", groups=()) -> DataFrame:
@@ -56,22 +73,12 @@ def auc(df: DataFrame, score: str = "p", label: str = "enrolled", groups=()) ->
 def average_precision(df: DataFrame, score: str = "p", label: str = "enrolled") -> DataFrame:
     """Step-wise average precision (sum of recall steps x precision at
     each distinct threshold, scores at or above it count as positive)."""
-    c = score_cumulative(df, score, label)
-    tp = F.col("pos_total") - F.col("pos_below")
-    fp = F.col("neg_total") - F.col("neg_below")
-    return c.agg(F.sum(F.col("pos") / F.col("pos_total").cast("double") * tp / (tp + fp))
-                 .alias("average_precision"))
+    return score_cumulative(df, score, label).agg(_average_precision_expr())
 
 
 def ranking_metrics(df: DataFrame, score: str = "p", label: str = "enrolled", groups=()) -> DataFrame:
     """M12 and M13 from one scan: exact ROC-AUC and step-wise average precision."""
-    c = score_cumulative(df, score, label, groups)
-    tp = F.col("pos_total") - F.col("pos_below")
-    fp = F.col("neg_total") - F.col("neg_below")
-    return c.groupBy(*groups).agg(
-        (F.sum(F.col("pos") * (F.col("neg_below") * 2 + F.col("neg"))).cast("double")
-         / (F.sum("pos") * F.sum("neg") * 2).cast("double")).alias("roc_auc"),
-        F.sum(F.col("pos") / F.col("pos_total").cast("double") * tp / (tp + fp)).alias("average_precision"))
+    return score_cumulative(df, score, label, groups).groupBy(*groups).agg(_auc_expr(), _average_precision_expr())
 
 
 def _count_exprs(score: str, label: str, threshold: float):
@@ -91,7 +98,7 @@ def _with_rates(c: DataFrame) -> DataFrame:
     tp, fp, fn, tn = (F.col(x).cast("double") for x in ("tp", "fp", "fn", "tn"))
     prec = F.coalesce(F.try_divide(tp, tp + fp), F.lit(0.0))
     rec = F.coalesce(F.try_divide(tp, tp + fn), F.lit(0.0))
-    return c.withColumns({"accuracy": (tp + tn) / (tp + fp + fn + tn), "precision": prec, "recall": rec,
+    return c.withColumns({"accuracy": F.try_divide(tp + tn, tp + fp + fn + tn), "precision": prec, "recall": rec,
                           "f1": F.coalesce(F.try_divide(2 * tp, 2 * tp + fp + fn), F.lit(0.0))})
 
 
@@ -162,7 +169,7 @@ def classification_report(df: DataFrame, score: str = "p", label: str = "enrolle
                      *[((F.col(f"r0.{m}") + F.col(f"r1.{m}")) / 2).alias(m) for m in ("precision", "recall", "f1")],
                      n.alias("support"))
     weighted = F.struct(F.lit("weighted avg").alias("label"),
-                        *[((F.col(f"r0.{m}") * F.col("r0.support") + F.col(f"r1.{m}") * F.col("r1.support")) / n).alias(m)
+                        *[F.try_divide(F.col(f"r0.{m}") * F.col("r0.support") + F.col(f"r1.{m}") * F.col("r1.support"), n).alias(m)
                           for m in ("precision", "recall", "f1")],
                         n.alias("support"))
     out = base.select(F.explode(F.array(F.col("r0"), F.col("r1"), macro, weighted)).alias("r"))
@@ -189,11 +196,11 @@ def naive_baselines(df: DataFrame, label: str = "enrolled", rule: str = "has_dep
                F.count_if((s == 0) & (y == 1)).alias("fn"), F.count_if((s == 0) & (y == 0)).alias("tn"))
     tp, fp, fn, tn = (F.col(x).cast("double") for x in ("tp", "fp", "fn", "tn"))
     n = tp + fp + fn + tn
-    pos_rate = (tp + fn) / n
+    pos_rate = F.try_divide(tp + fn, n)
     return c.select(
         F.greatest(pos_rate, 1 - pos_rate).alias("majority_accuracy"),
-        ((tp + tn) / n).alias("rule_accuracy"),
-        ((tp * tn + (tp * fp + fn * tn) / 2) / ((tp + fn) * (fp + tn))).alias("rule_auc"))
+        F.try_divide(tp + tn, n).alias("rule_accuracy"),
+        F.try_divide(tp * tn + (tp * fp + fn * tn) / 2, (tp + fn) * (fp + tn)).alias("rule_auc"))
 
 
 def precision_lift_at_k(scored: DataFrame, regions: DataFrame, score: str = "p",

@@ -1,11 +1,10 @@
 """Distributed exclusive running sums (a scan) without a single-task window.
 
-Rows are range-partitioned on (groups..., order) so each task holds one
-contiguous, sorted slice; each task takes vectorised running sums of its
-slice (numpy, per group, carried across Arrow batches) and tags rows with its
-partition index.  Per (partition, group) totals form a small table (at most
-#partitions + #groups rows, since slices are contiguous) that is
-prefix-summed and broadcast back as offsets.
+Rows are range-partitioned on (groups..., order), so each slice holds one
+contiguous run of the order; the number of slices is Spark's shuffle-partition
+setting (AQE merges small ones).  Sums inside a slice are a window over (slice,
+groups).  The slices' totals, at most #slices + #groups rows since slices are
+contiguous, are turned into offsets per group and joined back.
 
 Used for exact ranking metrics (per distinct score) and for dense codes of
 sorted distinct levels; both inputs are "one row per distinct key", so a hot
@@ -16,102 +15,47 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from benefitlens.session import ensure_checkpoint_dir
 
-ROWS_PER_PARTITION = 1_000_000
 
-
-def prefix_sums(df: DataFrame, order: str, sums, groups=(), rows_per_partition: int = ROWS_PER_PARTITION,
-                checkpoint: bool = True) -> DataFrame:
+def prefix_sums(df: DataFrame, order: str, sums, groups=(), slices: int | None = None) -> DataFrame:
     """Adds ``<c>_below`` (sum over rows of the same group with a strictly
     smaller ``order`` value; ``order`` values must be unique within a group)
-    and ``<c>_total`` (group total) for every column ``c`` in ``sums``."""
-    groups, sums = list(groups), list(sums)
-    spark = df.sparkSession
-    if checkpoint:
-        ensure_checkpoint_dir(spark)
-        df = df.checkpoint(eager=True)
-    n = df.count()
-    parts = max(1, -(-n // rows_per_partition))
-    if parts == 1:
-        return _one_slice(df, order, sums, groups)
-    ranged = df.repartitionByRange(parts, *groups, order).sortWithinPartitions(*groups, order)
+    and ``<c>_total`` (group total) for every column ``c`` in ``sums``.
 
-    out_schema = T.StructType(list(ranged.schema.fields)
-                              + [T.StructField("_pid", T.IntegerType())]
-                              + [T.StructField(f"_{c}_upto", T.LongType()) for c in sums])
-
-    def scan(batches):
-        import numpy as np
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        carry_key, carry = None, {c: 0 for c in sums}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if groups:
-                g = pdf[groups]
-                prev = g.shift(1)
-                # vectorised, null-aware "key differs from the previous row"
-                same = ((g == prev) | (g.isna() & prev.isna())).all(axis=1).to_numpy()
-                first = tuple(None if v is None or v != v else v for v in g.iloc[0].tolist())
-                same[0] = carry_key is not None and first == carry_key
-                new_group = ~same
-                gid = np.cumsum(new_group)
-                for c in sums:
-                    v = pdf[c].fillna(0).astype("int64").to_numpy()
-                    cs = pdf.assign(_g=gid, _v=v).groupby("_g")["_v"].cumsum().to_numpy()
-                    if same[0]:
-                        cs = cs + np.where(gid == gid[0], carry[c], 0)
-                    pdf[f"_{c}_upto"] = cs
-                    carry[c] = int(cs[-1])
-                carry_key = tuple(None if v is None or v != v else v for v in g.iloc[-1].tolist())
-            else:
-                for c in sums:
-                    cs = pdf[c].fillna(0).astype("int64").to_numpy().cumsum() + carry[c]
-                    pdf[f"_{c}_upto"] = cs
-                    carry[c] = int(cs[-1])
-            pdf["_pid"] = pid
-            yield pdf
+    ``slices`` overrides the number of slices (for tests and tuning).  The
+    sliced rows are checkpointed, because a slice's number has to stay with its
+    rows.  Null sums count as zero; a null group is a group of its own.
+    """
+    groups, sums = list(groups), list(sums)
+    ensure_checkpoint_dir(df.sparkSession)
+    keys = [*groups, order]
+    ranged = df.repartitionByRange(slices, *keys) if slices else df.repartitionByRange(*keys)
+    ranged = ranged.withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
+    zero = F.lit(0).cast("long")
+    inside = Window.partitionBy("_slice", *groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    scanned = ranged.withColumns({f"_{c}_inside": F.coalesce(F.sum(c).over(inside), zero) for c in sums})
 
-    scanned = ranged.mapInPandas(scan, out_schema)
-    if checkpoint:
-        scanned = scanned.checkpoint(eager=True)
-    totals = scanned.groupBy("_pid", *groups).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
-    w_before = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*groups)
-    offsets = totals.select(
-        "_pid", *groups,
-        *[F.coalesce(F.sum(f"_t_{c}").over(w_before), F.lit(0)).alias(f"_off_{c}") for c in sums],
-        *[F.sum(f"_t_{c}").over(w_all).alias(f"{c}_total") for c in sums])
-    # (partition, group) pairs: at most #partitions + #groups rows
-    small = parts + (n if groups else 0) <= 2_000_000
-    # null-safe on the group keys: a null group is a group of its own here
-    renamed = offsets.select(F.col("_pid").alias("_o_pid"),
-                             *[F.col(g).alias(f"_o_g{i}") for i, g in enumerate(groups)],
-                             *[c for c in offsets.columns if c != "_pid" and c not in groups])
-    cond = [F.col("_pid") == F.col("_o_pid")] + [F.col(g).eqNullSafe(F.col(f"_o_g{i}"))
-                                                 for i, g in enumerate(groups)]
-    j = scanned.join(F.broadcast(renamed) if small else renamed, cond)
-    return j.select(*df.columns,
-                    *[(F.col(f"_off_{c}") + F.col(f"_{c}_upto") - F.col(c)).alias(f"{c}_below") for c in sums],
-                    *[F.col(f"{c}_total") for c in sums])
+    totals = ranged.groupBy("_slice", *groups).agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in sums])
+    # one array of slices per group: as long as there are slices, whatever the data
+    lists = totals.groupBy(*groups).agg(F.array_sort(F.collect_list(F.struct("_slice", *sums))).alias("_slices"))
 
+    def upto(slice_list, i, c):
+        return F.aggregate(F.slice(slice_list, 1, i), zero, lambda acc, s: acc + s[c])
 
-def _one_slice(df: DataFrame, order: str, sums, groups) -> DataFrame:
-    """The same sums when the counted input fits in one slice: the range
-    partitioning would give a single task anyway, so a running-sum window does
-    that bounded work in the JVM (no Python worker, no offsets join)."""
-    w_before = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*groups)
-    return df.select(
+    offsets = lists.select(
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
+        F.explode(F.transform(F.col("_slices"), lambda s, i: F.struct(
+            s["_slice"].alias("slice"),
+            *[upto(F.col("_slices"), i, c).alias(f"{c}_before") for c in sums],
+            *[upto(F.col("_slices"), F.size("_slices"), c).alias(f"{c}_total") for c in sums]))).alias("_o"))
+    matches = [F.col("_slice") == F.col("_o.slice")] + [F.col(g).eqNullSafe(F.col(f"_g{i}"))
+                                                        for i, g in enumerate(groups)]
+    return scanned.join(offsets, matches).select(
         *df.columns,
-        # "+ c - c" keeps the scan path's null for a row whose own value is null
-        *[(F.coalesce(F.sum(c).over(w_before), F.lit(0)).cast("long") + F.col(c) - F.col(c))
-          .alias(f"{c}_below") for c in sums],
-        *[F.sum(c).over(w_all).cast("long").alias(f"{c}_total") for c in sums])
+        *[(F.col(f"_o.{c}_before") + F.col(f"_{c}_inside")).alias(f"{c}_below") for c in sums],
+        *[F.col(f"_o.{c}_total").alias(f"{c}_total") for c in sums])
 
 
 def dense_codes(df: DataFrame, column: str, code: str | None = None, groups=()) -> DataFrame:

@@ -40,7 +40,7 @@ def missing_profile(df: DataFrame, only_missing: bool = True) -> DataFrame:
     agg = df.agg(F.count(F.lit(1)).alias("_rows"),
                  *[F.count_if(F.col(f"`{c}`").isNull()).cast("bigint").alias(c) for c in cols])
     long = agg.unpivot(["_rows"], cols, "column_name", "null_count")
-    long = long.withColumn("null_pct", F.col("null_count") * 100.0 / F.col("_rows")).drop("_rows")
+    long = long.withColumn("null_pct", F.try_divide(F.col("null_count") * 100.0, F.col("_rows"))).drop("_rows")
     return long.filter(F.col("null_count") > 0) if only_missing else long
 
 
@@ -146,9 +146,8 @@ def first_by_group(df: DataFrame, by: str, column: str) -> DataFrame:
                  (F.min(column).eqNullSafe(F.max(column))).alias("is_constant")))
 
 
-def crosstab(df: DataFrame, row: str, col: str, levels=None) -> DataFrame:
-    """Counts pivoted on known column levels (zero-filled)."""
-    levels = levels if levels is not None else [0, 1]
+def crosstab(df: DataFrame, row: str, col: str, levels) -> DataFrame:
+    """Counts pivoted on the given column levels (zero-filled)."""
     p = df.groupBy(row).pivot(col, levels).agg(F.count(F.lit(1)))
     return p.select(row, *[F.coalesce(F.col(str(v)), F.lit(0)).cast("bigint").alias(f"{col}_{v}")
                            for v in levels])
@@ -165,14 +164,14 @@ def crosstab_margins(df: DataFrame, row: str, col: str) -> DataFrame:
         "count")
 
 
-def crosstab_rowpct(df: DataFrame, row: str, col: str, levels=None, missing: str = "Missing") -> DataFrame:
-    """Row-normalised cross-tab, nulls shown as ``Missing``."""
-    levels = levels if levels is not None else [0, 1]
+def crosstab_rowpct(df: DataFrame, row: str, col: str, levels, missing: str = "Missing") -> DataFrame:
+    """Cross-tab over the given column levels as shares of their row, nulls
+    shown as ``Missing``; a row value that has none of the levels is left out."""
     filled = df.withColumn(row, F.coalesce(F.col(row).cast("string"), F.lit(missing)))
     p = filled.groupBy(row).pivot(col, levels).agg(F.count(F.lit(1)))
     total = sum((F.coalesce(F.col(str(v)), F.lit(0)) for v in levels), F.lit(0))
-    return p.select(row, *[(F.coalesce(F.col(str(v)), F.lit(0)) / total).alias(f"{col}_{v}")
-                           for v in levels])
+    return p.filter(total > 0).select(row, *[(F.coalesce(F.col(str(v)), F.lit(0)) / total).alias(f"{col}_{v}")
+                                             for v in levels])
 
 
 def corr_with_target(df: DataFrame, columns, target: str = "enrolled") -> DataFrame:

@@ -31,12 +31,25 @@ def rank_topk(df: DataFrame, k: int, score="p", ascending=False,
     return top.withColumn("rank", F.row_number().over(w))
 
 
-def _ensure_group_limit(spark, k: int) -> None:
-    """Let the optimizer insert a map-side WindowGroupLimit for this k."""
-    key = "spark.sql.optimizer.windowGroupLimitThreshold"
-    cur = int(spark.conf.get(key, "1000"))
-    if k > cur:
-        spark.conf.set(key, str(k))
+#: Parts in which a region's rows are first cut to K when K exceeds Spark's own limit for that.
+RANK_PARTS = 32
+
+
+def _best_per_region(scored: DataFrame, k: int, order: list[Column]) -> DataFrame:
+    """Rows ranked up to ``k`` in their region.
+
+    Up to the session's window-group limit Spark keeps only k rows a region in
+    every map task.  Beyond it a region's rows are dealt into ``RANK_PARTS``
+    parts, each cut to its own k best, so no task sorts a whole hot region.
+    """
+    limit = int(scored.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if k > limit:
+        part = F.pmod(F.xxhash64(*scored.columns), F.lit(RANK_PARTS))
+        inner = Window.partitionBy("region", "_part").orderBy(*order)
+        scored = (scored.withColumn("_part", part).withColumn("_rn", F.row_number().over(inner))
+                  .filter(F.col("_rn") <= F.lit(k)).drop("_part", "_rn"))
+    w = Window.partitionBy("region").orderBy(*order)
+    return scored.select("*", F.row_number().over(w).alias("rank")).filter(F.col("rank") <= F.lit(k))
 
 
 def filter_ci(df: DataFrame, column: str, value: str) -> DataFrame:
@@ -44,18 +57,15 @@ def filter_ci(df: DataFrame, column: str, value: str) -> DataFrame:
     return df.filter(F.lower(F.col(column)) == F.lit(value.lower()))
 
 
-DEFAULT_TOP_K = 10
-
-
 def rank_capacity(scored: DataFrame, regions: DataFrame, top_k: int | None = None,
                   score="p", ascending=False, tiebreak="employee_id",
                   region_filter: str | None = None,
                   employment_type: str | None = None) -> DataFrame:
     """Per-region ranking capped at ``min(top_k, hr_outreach_capacity)``.
 
-    ``top_k=None`` means "use the capacity".  A region without a capacity
-    row falls back to ``top_k`` (default 10), as the reference does when its
-    capacity lookup finds nothing.  All regions are ranked in one job.
+    ``top_k=None`` means "use the capacity".  A region without a capacity (no
+    row, or a null one) is cut at ``top_k``, and not at all when no ``top_k``
+    is given.  All capped regions are ranked in one job.
     Regions are few and skewed, so the rank is first cut at the largest
     possible K (a literal from the small dimension): Spark then plans a
     WindowGroupLimit that keeps only that many rows per region in every map
@@ -65,31 +75,34 @@ def rank_capacity(scored: DataFrame, regions: DataFrame, top_k: int | None = Non
         scored = filter_ci(scored, "region", region_filter)
     if employment_type is not None:
         scored = filter_ci(scored, "employment_type", employment_type)
-    fallback = int(top_k) if top_k is not None else DEFAULT_TOP_K
+    order = _order(score, ascending, tiebreak)
     cap = F.col("hr_outreach_capacity").cast("int")
     k_eff = cap if top_k is None else F.least(cap, F.lit(int(top_k)))
     caps = regions.select("region", cap.alias("capacity"), k_eff.alias("k_eff"))
     # one small job on the dimension: the largest cap and the row count
-    stats = caps.agg(F.max("k_eff").alias("k"), F.count(F.lit(1)).alias("n")).first()
-    max_k, n_caps = max(int(stats["k"] or 0), fallback), int(stats["n"])
-    _ensure_group_limit(scored.sparkSession, max_k)
-    w = Window.partitionBy("region").orderBy(*_order(score, ascending, tiebreak))
-    ranked = scored.select("*", F.row_number().over(w).alias("rank")).filter(F.col("rank") <= F.lit(max_k))
-    caps_side = F.broadcast(caps) if n_caps <= BROADCAST_MAX_ROWS else caps
-    return (ranked.join(caps_side, "region", "left")
-            .filter(F.col("rank") <= F.coalesce(F.col("k_eff"), F.lit(fallback)))
-            .drop("k_eff"))
+    stats = caps.agg(F.max("k_eff").alias("k"), F.count(F.lit(1)).alias("n"), F.count("k_eff").alias("known")).first()
+    side = F.broadcast if stats["n"] <= BROADCAST_MAX_ROWS else (lambda d: d)
+    if top_k is not None:
+        ranked = _best_per_region(scored, max(int(stats["k"] or 0), int(top_k)), order)
+        return (ranked.join(side(caps), "region", "left")
+                .filter(F.col("rank") <= F.coalesce(F.col("k_eff"), F.lit(int(top_k)))).drop("k_eff"))
+    known = caps.filter(F.col("k_eff").isNotNull())
+    capped = _best_per_region(scored.join(side(known.select("region")), "region", "left_semi"), int(stats["k"] or 0), order)
+    capped = capped.join(side(known), "region").filter(F.col("rank") <= F.col("k_eff")).drop("k_eff")
+    uncapped = scored.join(side(known.select("region")), "region", "left_anti")
+    w = Window.partitionBy("region").orderBy(*order)
+    uncapped = uncapped.select("*", F.row_number().over(w).alias("rank"), F.lit(None).cast("int").alias("capacity"))
+    return capped.unionByName(uncapped)
 
 
 def rank_summary(scored: DataFrame, regions: DataFrame, top_k: int | None = None) -> DataFrame:
     """Eligible rows, returned rows and the applied cap, per region."""
     caps = regions.select("region", F.col("hr_outreach_capacity").cast("int").alias("capacity"))
     k_eff = F.col("capacity") if top_k is None else F.least(F.col("capacity"), F.lit(int(top_k)))
-    fallback = int(top_k) if top_k is not None else DEFAULT_TOP_K
     counts = scored.groupBy("region").agg(F.count(F.lit(1)).cast("bigint").alias("total_eligible"))
     j = counts.join(broadcast_if_small(caps), "region", "left")
     return j.select("region", "total_eligible", k_eff.alias("hr_capacity_cap_applied"),
-                    F.least(F.col("total_eligible"), F.coalesce(k_eff, F.lit(fallback)).cast("bigint"))
+                    F.least(F.col("total_eligible"), k_eff.cast("bigint"), F.lit(top_k).cast("bigint"))
                     .alias("returned_count"))
 
 

@@ -1,11 +1,14 @@
 """Exact, seeded, stratified split and folds without a global sort.
 
 Rows are ordered inside each class by ``md5(seed || ':' || id)``.  The class
-rank of a row is computed in two levels: rows are grouped into 65,536
-buckets by the first four hex digits of that hash, bucket sizes (a bounded
-table) are prefix-summed per class, and a row_number is taken inside each
-(class, bucket).  No task ever sorts a whole class, and the result equals a
-per-class ``row_number() over (order by hash)``.
+rank of a row is computed in two levels: rows are grouped into buckets by the
+first hex digits of that hash (four unless the caller gives more), bucket sizes
+are prefix-summed per class, and a row_number is taken inside each (class,
+bucket).  No task ever sorts a whole class, and the result equals a per-class
+``row_number() over (order by hash)``.
+
+Rows without a label or an id belong to no class: they keep all their columns,
+with null rank, side and fold.
 """
 
 from __future__ import annotations
@@ -15,29 +18,34 @@ from pyspark.sql import functions as F
 
 from benefitlens.constants import N_FOLDS, SPLIT_SEED, TEST_FRACTION_DENOMINATOR
 
+#: Hex digits of the hash that name a bucket; a bucket holds about n / 16**BUCKET_DIGITS rows of a class.
+BUCKET_DIGITS = 4
+
 
 def order_key(key: str = "employee_id", seed: int = SPLIT_SEED):
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
 def class_rank(df: DataFrame, label: str = "enrolled", key: str = "employee_id",
-               seed: int = SPLIT_SEED, with_sizes: bool = False):
-    """Adds ``_h`` (hash text) and ``class_rank`` (0-based rank in the class).
+               seed: int = SPLIT_SEED, with_sizes: bool = False, digits: int = BUCKET_DIGITS):
+    """Adds ``_h`` (hash text) and ``class_rank`` (0-based rank in the class,
+    null for a row without label or id).
 
     With ``with_sizes`` the (class, bucket) size table is returned too, so
     callers derive class counts from it instead of scanning the input again.
     """
     k = order_key(key, seed)
-    h = df.withColumns({"_h": k, "_b": F.substring(k, 1, 4)})
-    sizes = h.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_nb"))
-    # at most (#classes x 65,536) rows: small enough for a per-class running sum
+    h = df.withColumns({"_h": k, "_b": F.substring(k, 1, digits)})
+    # at most #classes x 16**digits rows: small enough for a per-class running sum
+    sizes = h.filter(F.col(label).isNotNull()).groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_nb")) \
+        .filter(F.col("_b").isNotNull())
     w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_nb").over(w), F.lit(0))).drop("_nb")
     # ties on ``_h`` only come from copies of one id; ordering them by a hash of
     # the row's content keeps the rank reproducible (identical rows are interchangeable)
     w_in = Window.partitionBy(label, "_b").orderBy("_h", F.xxhash64(*[F.col(c) for c in df.columns]))
     ranked = h.withColumn("_rn", F.row_number().over(w_in))
-    j = ranked.join(F.broadcast(offsets), [label, "_b"])
+    j = ranked.join(offsets, [label, "_b"], "left")
     keep = [c for c in j.columns if c not in ("_b", "_rn", "_off")]
     out = j.select(*keep, (F.col("_off") + F.col("_rn") - 1).cast("bigint").alias("class_rank"))
     return (out, sizes) if with_sizes else out
@@ -56,8 +64,9 @@ def test_allocation(df: DataFrame, label: str = "enrolled", counts: DataFrame |
     d = TEST_FRACTION_DENOMINATOR
     a = (cls.withColumn("_n", F.sum("n_c").over(every))
             .withColumn("_nt", F.expr(f"CAST((_n + {d - 1}) div {d} AS BIGINT)"))
-            .withColumn("_base", F.expr("(_nt * n_c) div _n"))
-            .withColumn("_rem", F.expr("(_nt * n_c) % _n")))
+            # the product of two row counts leaves 64 bits from a few billion rows on
+            .withColumn("_base", F.expr("(CAST(_nt AS DECIMAL(38,0)) * CAST(n_c AS DECIMAL(38,0))) div CAST(_n AS DECIMAL(38,0))"))
+            .withColumn("_rem", F.expr("(CAST(_nt AS DECIMAL(38,0)) * CAST(n_c AS DECIMAL(38,0))) % CAST(_n AS DECIMAL(38,0))")))
     a = (a.withColumn("_left", F.col("_nt") - F.sum("_base").over(every))
           .withColumn("_rk", F.row_number().over(Window.orderBy(F.col("_rem").desc(), F.col(label).asc()))))
     return a.select(label, (F.col("_base") + (F.col("_rk") <= F.col("_left")).cast("bigint")).alias("n_test"))
@@ -69,11 +78,11 @@ def stratified_split(df: DataFrame, label: str = "enrolled", key: str = "employe
     ranked, sizes = class_rank(df, label, key, seed, with_sizes=True)
     counts = sizes.groupBy(label).agg(F.sum("_nb").cast("bigint").alias("n_c"))
     alloc = test_allocation(df, label, counts)
-    j = ranked.join(F.broadcast(alloc), label)
+    j = ranked.join(alloc, label, "left")
     keep = [c for c in j.columns if c not in ("_h", "n_test")]
     return j.select(*keep,
-                    F.when(F.col("class_rank") < F.col("n_test"), F.lit("test")).otherwise(F.lit("train"))
-                    .alias("split"),
+                    F.when(F.col("class_rank") < F.col("n_test"), F.lit("test"))
+                    .when(F.col("class_rank").isNotNull(), F.lit("train")).alias("split"),
                     (F.col("class_rank") % N_FOLDS).cast("int").alias("fold"))
 
 

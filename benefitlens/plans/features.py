@@ -27,17 +27,22 @@ def add_features(df: DataFrame) -> DataFrame:
     app = dates.parse_day_first("application_date")
     contact = dates.parse_month_first("last_contact_date")
     df = df.withColumns({"app_date": app, "contact_date": contact})
+    # an impossible time of day makes the whole value unparseable
+    df = df.withColumns({"_app": dates.moment(F.col("app_date"), "application_date"),
+                         "_contact": dates.moment(F.col("contact_date"), "last_contact_date")})
+    df = df.withColumns({"app_date": F.when(F.col("_app").isNotNull(), F.col("app_date")),
+                         "contact_date": F.when(F.col("_contact").isNotNull(), F.col("contact_date"))})
     return df.withColumns({
         "has_application_date": dates.present_flag(F.col("app_date")),
-        "days_contact_to_app": dates.days_between(F.col("app_date"), F.col("contact_date")),
-        "contact_after_app": dates.after_flag(F.col("contact_date"), F.col("app_date")),
+        "days_contact_to_app": dates.days_between_moments(F.col("_app"), F.col("_contact")),
+        "contact_after_app": dates.after_flag(F.col("_contact"), F.col("_app")),
         **flags.sentinel_flags("prior_year_enrolled"),
         "last_contact_channel_clean": canon.canon_channel("last_contact_channel"),
         "plan_tier_requested_clean": canon.canon_tier("plan_tier_requested"),
         "broker_channel_clean": canon.fill_unknown("broker_channel"),
         "has_dependents_bin": flags.dependents_flag("has_dependents"),
         "tenure_inconsistent": flags.tenure_flag("tenure_years", "age"),
-    })
+    }).drop("_app", "_contact")
 
 
 def engineer_features(emp: DataFrame, regions: DataFrame, dedup: bool = True) -> DataFrame:

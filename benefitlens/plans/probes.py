@@ -12,7 +12,7 @@ from benefitlens.operators.encode import category_codes, label_encode_all
 from benefitlens.operators.split import stratified_folds
 from benefitlens.plans import modeling
 from benefitlens.plans.features import sentinel_variant
-from benefitlens.plans.training import right_size
+from benefitlens.plans.training import learner_input
 
 PROBE_COLUMNS = ["salary", "age", "has_dep_num", "emp_type_num"]
 
@@ -77,7 +77,7 @@ def sentinel_experiment(engineered: DataFrame) -> DataFrame:
     rows = []
     for name, sentinel in [("null", None), ("sentinel_-999", -999.0)]:
         v = stratified_folds(sentinel_variant(engineered, sentinel))
-        prepared = right_size(modeling.prepare(v, SENTINEL_FEATURES))
+        prepared = learner_input(modeling.prepare(v, SENTINEL_FEATURES).checkpoint(eager=True))
         for model_name, make in learners.items():
             r = modeling.cross_validate(prepared, make(), SENTINEL_FEATURES, parallelism=5).first()
             rows.append((name, model_name, r["cv_auc_mean"], r["cv_auc_std"]))

@@ -19,21 +19,21 @@ from benefitlens.session import ensure_checkpoint_dir
 from benefitlens.sources.tables import input_fingerprint, path_exists
 
 
-ROWS_PER_PARTITION = 500_000
+#: Session setting and default for the number of partitions of a learner's input.
+PARTITIONS_CONF, DEFAULT_PARTITIONS = "spark.benefitlens.learner.partitions", "4"
 
 
-def right_size(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Persist a learner's input with about ``rows_per_partition`` rows per task.
+def learner_input(df: DataFrame, key: str = "employee_id") -> DataFrame:
+    """Persist a learner's input, dealt by a hash of the id into a set number of partitions.
 
-    Iterative learners run several jobs per round over RDD partitions that
-    AQE cannot coalesce; many near-empty partitions only add task overhead.
-    The row count is the one action needed; large inputs keep their width.
+    Forests draw their bootstrap per partition, so a model must not depend on
+    how many rows there happen to be: the number comes from the session setting
+    ``spark.benefitlens.learner.partitions`` alone.  Set it to the cluster's
+    cores for large inputs; iterative learners run several jobs a round, and
+    near-empty partitions only add task overhead.
     """
-    n = df.count()
-    want = max(1, -(-n // rows_per_partition))
-    if want < df.rdd.getNumPartitions():
-        df = df.coalesce(want)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = int(df.sparkSession.conf.get(PARTITIONS_CONF, DEFAULT_PARTITIONS))
+    return df.repartition(n, key).sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def split_frames(engineered: DataFrame, features=EXPECTED_FEATURES):
@@ -47,7 +47,7 @@ def split_frames(engineered: DataFrame, features=EXPECTED_FEATURES):
     ensure_checkpoint_dir(engineered.sparkSession)
     s = apply_domains(stratified_split(engineered))
     prepared = modeling.prepare(s, features).checkpoint(eager=True)
-    train = right_size(prepared.filter(F.col("split") == "train"))
+    train = learner_input(prepared.filter(F.col("split") == "train"))
     test = prepared.filter(F.col("split") == "test")
     return train, test
 
@@ -105,7 +105,7 @@ def cross_validate(engineered: DataFrame, learner_name: str = "gbt", features=EX
     """M5 on the train split, with stratified folds assigned on the train rows."""
     s = stratified_split(engineered).filter(F.col("split") == "train").drop("fold", "class_rank")
     folded = apply_domains(stratified_folds(s, n_folds=n_folds))
-    prepared = right_size(modeling.prepare(folded, features))
+    prepared = learner_input(modeling.prepare(folded, features).checkpoint(eager=True))
     learner = {"gbt": modeling.gbt, "gbt_default": modeling.gbt_default, "forest": modeling.forest}[learner_name]()
     try:
         res = modeling.cross_validate(prepared, learner, features, parallelism=n_folds)

@@ -8,6 +8,8 @@ views use SQL; the operators are DataFrame code.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from benefitlens.sources.tables import read_table
@@ -23,23 +25,30 @@ WITH last_order AS (
                 JOIN {region} ON n_regionkey = r_regionkey
                 LEFT JOIN last_order ON o_custkey = c_custkey
 ), e AS (
-  SELECT k AS employee_id, 21 + (k * 7) % 45 AS age,
+  SELECT k AS employee_id, CASE WHEN k % 41 = 0 THEN 44 ELSE 21 + (k * 7) % 45 END AS age,
     CASE k % 3 WHEN 0 THEN 'Female' WHEN 1 THEN 'Male' ELSE 'Other' END AS gender,
     CASE k % 4 WHEN 0 THEN 'Married' WHEN 1 THEN 'Single' WHEN 2 THEN 'Divorced' ELSE 'Widowed' END AS marital_status,
-    (c_acctbal + 1000e0) * 10e0 AS salary,
+    CASE WHEN k % 41 = 0 THEN 52000e0 ELSE (c_acctbal + 1000e0) * 10e0 END AS salary,
     CASE c_mktsegment WHEN 'BUILDING' THEN 'Part-time' WHEN 'MACHINERY' THEN 'Contract' ELSE 'Full-time' END AS employment_type,
-    r_name AS region,
+    CASE WHEN k % 97 = 0 THEN 'Offshore' ELSE REGION_OF END AS region,
     CASE WHEN (k * 13) % 10 < 4 THEN 'Yes' ELSE 'No' END AS has_dependents,
     CAST((k * 11) % 30 AS DOUBLE) AS tenure_years,
     CASE WHEN k % 14 = 0 THEN NULL
+         WHEN k % 53 = 0 THEN 'not a date'
+         WHEN k % 29 = 3 THEN ods || ' 10:30:00'
+         WHEN k % 29 = 5 THEN ods || 'T06:00:00'
+         WHEN k % 29 = 7 THEN replace(ods, '-', '')
+         WHEN k % 29 = 9 THEN substr(ods, 9, 2) || '/' || substr(ods, 6, 2) || '/' || substr(ods, 3, 2)
+         WHEN k % 29 = 11 THEN substr(ods, 9, 2) || '-' || substr(ods, 6, 2) || '-' || substr(ods, 1, 4)
+         WHEN k % 29 = 13 AND substr(ods, 6, 2) = '07' THEN 'July ' || substr(ods, 9, 2) || ', ' || substr(ods, 1, 4)
          WHEN k % 2 = 0 THEN substr(ods, 9, 2) || '/' || substr(ods, 6, 2) || '/' || substr(ods, 1, 4)
          ELSE ods END AS application_date,
-    cds AS last_contact_date,
+    CASE WHEN k % 59 = 0 THEN '31/02/2024' WHEN k % 29 = 4 THEN cds || ' 23:00:00' ELSE cds END AS last_contact_date,
     CASE k % 13 WHEN 0 THEN 'EMAIL' WHEN 1 THEN 'email' WHEN 2 THEN 'e-mail' WHEN 3 THEN 'Email' WHEN 4 THEN 'PHONE'
-      WHEN 5 THEN 'phone' WHEN 6 THEN 'Call' WHEN 7 THEN 'SMS' WHEN 8 THEN 'sms' WHEN 9 THEN 'Text' WHEN 10 THEN 'none' WHEN 11 THEN 'fax' END AS last_contact_channel,
+      WHEN 5 THEN 'phone' WHEN 6 THEN 'Call' WHEN 7 THEN 'SMS' WHEN 8 THEN 'sms' WHEN 9 THEN 'Text' WHEN 10 THEN 'none' WHEN 11 THEN 'fax' ELSE ' Phone ' END AS last_contact_channel,
     CASE k % 19 WHEN 0 THEN 'STANDARD' WHEN 1 THEN 'Standard' WHEN 2 THEN 'Silver' WHEN 3 THEN 'silver plan' WHEN 4 THEN 'Bronze'
       WHEN 5 THEN 'BASIC' WHEN 6 THEN 'basic' WHEN 7 THEN 'premium plan' WHEN 8 THEN 'PREMIUM' WHEN 9 THEN 'gold' WHEN 10 THEN 'Gold Plan'
-      WHEN 11 THEN 'Platinum' WHEN 12 THEN 'Basic' WHEN 13 THEN 'Premium' WHEN 14 THEN 'Gold' WHEN 15 THEN 'standard' END AS plan_tier_requested,
+      WHEN 11 THEN 'Platinum' WHEN 12 THEN 'Basic' WHEN 13 THEN 'Premium' WHEN 14 THEN 'Gold' WHEN 15 THEN 'standard' WHEN 16 THEN 'Gold ' END AS plan_tier_requested,
     CASE k % 21 WHEN 0 THEN NULL ELSE CASE k % 3 WHEN 0 THEN 'Direct' WHEN 1 THEN 'Employer-Sponsored' ELSE 'Third-Party' END END AS broker_channel,
     (k % 5) % 3 - 1 AS prior_year_enrolled
   FROM b
@@ -51,7 +60,10 @@ WITH last_order AS (
 ), f AS (
   SELECT l.*, CASE WHEN employee_id % 11 = 0 THEN NULL
       ELSE (CASE WHEN enrolled = 1 THEN 0.8e0 ELSE 0.1e0 END) + (employee_id % 10) / 100e0 END AS legacy_propensity_score,
-      CASE WHEN employee_id % 7 = 0 THEN NULL ELSE 'note ' || CAST(employee_id % 5 AS STRING) END AS outreach_notes
+      CASE WHEN employee_id % 7 = 0 THEN NULL WHEN employee_id % 31 = 1 THEN 'said "call me", ok'
+           WHEN employee_id % 31 = 2 THEN 'two' || chr(10) || 'lines, "quoted"' WHEN employee_id % 31 = 3 THEN ' NA '
+           WHEN employee_id % 31 = 4 THEN 'NA' WHEN employee_id % 31 = 5 THEN 'n/a'
+           ELSE 'note ' || CAST(employee_id % 5 AS STRING) END AS outreach_notes
   FROM l
 )
 SELECT employee_id, age, gender, marital_status, salary, employment_type, region, has_dependents, tenure_years, application_date,
@@ -63,14 +75,22 @@ WHERE employee_id % 187 = 0
 """
 
 REGION_PROFILE_SQL = """
-SELECT r_name AS region, CAST(2400 + 20 * r_regionkey AS INT) AS n_employees_region,
+SELECT REGION_OF AS region, CAST(2400 + 20 * r_regionkey AS INT) AS n_employees_region,
   0.61e0 + r_regionkey / 200e0 AS hist_enrollment_rate_region, 64000e0 + 250e0 * r_regionkey AS avg_salary_region,
   CAST(455 + 30 * r_regionkey AS INT) AS avg_premium_cost_usd, 3.1e0 + r_regionkey / 4e0 AS benefits_broker_rating,
   CAST(15 + 20 * r_regionkey AS INT) AS hr_outreach_capacity, CAST(17 + 5 * r_regionkey AS INT) AS open_enrollment_window_days,
   CASE r_regionkey WHEN 0 THEN 'High' WHEN 1 THEN 'low' WHEN 2 THEN 'MED' WHEN 3 THEN 'Low' ELSE 'SEVERE' END AS state_mandate_level
 FROM {region}
+UNION ALL
+SELECT 'Unstaffed', 0, 0.5e0, 60000e0, 500, 3e0, 10, 20, 'Low'
 """
 
+# Four regions carry the names that the model's domain knows; the fifth stays outside it.
+_REGION_OF = ("CASE r_name WHEN 'AFRICA' THEN 'Midwest' WHEN 'AMERICA' THEN 'Northeast' WHEN 'ASIA' THEN 'South' "
+              "WHEN 'EUROPE' THEN 'West' ELSE r_name END")
+EMP_RAW_SQL = EMP_RAW_SQL.replace("REGION_OF", _REGION_OF)
+REGION_PROFILE_SQL = REGION_PROFILE_SQL.replace("REGION_OF", _REGION_OF)
+
 
 _PLANS: dict = {}
 
@@ -78,13 +98,14 @@ _PLANS: dict = {}
 def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
     """Reuse the analysed (lazy) plan of a view within one session: it is the
     same query text over the same files, so only the parsing is saved."""
-    key = (kind, id(spark._jsparkSession), sf_dir.rstrip("/"))
+    key = (kind, spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID(), sf_dir.rstrip("/"))
     if key not in _PLANS:
         _PLANS[key] = build()
     return _PLANS[key]
 
 
-FIXTURE_VERSION = "emp_raw-v1"
+# A changed view text is another table.
+FIXTURE_VERSION = f"emp_raw-{hashlib.md5(EMP_RAW_SQL.encode()).hexdigest()[:12]}"
 
 
 def emp_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

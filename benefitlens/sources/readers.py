@@ -13,13 +13,13 @@ from benefitlens.schemas import EMP_SCHEMA, REGION_SCHEMA
 def null_tokens_to_null(df: DataFrame, columns=None) -> DataFrame:
     """Turn pandas-style null tokens in text columns into SQL NULL.
 
-    Spark's CSV reader knows a single ``nullValue``; pandas knows a list.  The
-    word ``none`` is not in the list and stays a value.
+    Spark's CSV reader knows a single ``nullValue``; pandas knows a list, which
+    it compares exactly: `` NA `` with blanks stays, and so does the word ``none``.
     """
     cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     tokens = F.array(*[F.lit(t) for t in CSV_NULL_TOKENS])
     return df.withColumns({
-        c: F.when(F.array_contains(tokens, F.trim(F.col(c))), F.lit(None).cast("string"))
+        c: F.when(F.array_contains(tokens, F.col(c)), F.lit(None).cast("string"))
             .otherwise(F.col(c))
         for c in cols
     })
@@ -33,24 +33,28 @@ def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
         if isinstance(f.dataType, T.StringType):
             out.append(c.alias(f.name))
         else:
-            out.append(F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})").alias(f.name))
+            out.append(F.trim(c).try_cast(f.dataType).alias(f.name))
     return df.select(*out)
 
 
-def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """IO1/IO2: header CSV read as text, null tokens cleared, then typed.
 
+    Quotes inside quoted fields are doubled, as pandas reads them.
+    ``multi_line`` allows line breaks inside quoted fields; files then can't be
+    split among tasks, so it's an option for files that have such breaks.
+
     Reading every column as text first keeps pandas' wider null-token list and
     lets malformed numbers become null instead of failing the scan.
     """
     text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = (spark.read.schema(text_schema).option("header", True)
-           .option("mode", "PERMISSIVE").csv(path))
+    raw = (spark.read.schema(text_schema).option("header", True).option("quote", '"').option("escape", '"')
+           .option("multiLine", multi_line).option("mode", "PERMISSIVE").csv(path))
     return _typed(null_tokens_to_null(raw), schema)
 
 
-def read_employees_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv_typed(spark, path, EMP_SCHEMA)
+def read_employees_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return read_csv_typed(spark, path, EMP_SCHEMA, multi_line)
 
 
 def read_regions_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -22,6 +22,13 @@ DATE_CASES = [
     ("2024/01/02", D(2024, 1, 2), D(2024, 1, 2)),
     ("Jan 5 2024", D(2024, 1, 5), D(2024, 1, 5)),
     ("2024-13-01", None, None),
+    ("2024-01-02 10:00:00", D(2024, 1, 2), D(2024, 1, 2)),
+    ("2024-01-02T06:00:00", D(2024, 1, 2), D(2024, 1, 2)),
+    ("13/07/24", D(2024, 7, 13), D(2024, 7, 13)),
+    ("02/01/95", D(1995, 1, 2), D(1995, 2, 1)),
+    ("13-07-2024", D(2024, 7, 13), D(2024, 7, 13)),
+    ("20240102", D(2024, 1, 2), D(2024, 1, 2)),
+    ("July 13, 2024", D(2024, 7, 13), D(2024, 7, 13)),
 ]
 
 
@@ -82,3 +89,14 @@ def test_categorical_domain(spark):
     df = spark.createDataFrame([("Consultant",), ("Contract",), (None,)], "employment_type string")
     got = [r.e for r in df.select(canon.in_domain("employment_type", ["Contract", "Full-time"]).alias("e")).collect()]
     assert got == [None, "Contract", None]
+
+
+def test_day_gaps_of_timestamps_are_floored(spark):
+    from benefitlens.plans.features import add_features
+    from benefitlens.schemas import EMP_SCHEMA
+    rows = [("2024-01-02", "2024-01-02 06:00:00"), ("2024-01-02 10:00:00", "2024-01-02 06:00:00"),
+            ("2024-01-05T06:00:00", "2024-01-02"), ("2024-01-02 25:00:00", "2024-01-01"), (None, "2024-01-01")]
+    df = spark.createDataFrame(rows, "application_date string, last_contact_date string")
+    df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in EMP_SCHEMA.fields if f.name not in df.columns})
+    got = add_features(df).select("days_contact_to_app", "contact_after_app", "has_application_date").collect()
+    assert [tuple(r) for r in got] == [(-1, 1, 1), (0, 0, 1), (3, 0, 1), (None, 0, 0), (None, 0, 0)]

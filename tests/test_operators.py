@@ -96,8 +96,8 @@ def test_prefix_sums_across_slices_batches_and_groups(spark):
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
     try:
-        c = prefix_sums(hist, "score", ["pos", "neg"], ["region"], rows_per_partition=7).collect()
-        flat = prefix_sums(metrics.score_histogram(df), "score", ["pos", "neg"], rows_per_partition=5).collect()
+        c = prefix_sums(hist, "score", ["pos", "neg"], ["region"], slices=9).collect()
+        flat = prefix_sums(metrics.score_histogram(df), "score", ["pos", "neg"], slices=11).collect()
         codes = {r.v: r.v_code for r in dense_codes(
             spark.createDataFrame([(x,) for x in "qwertyuiopasdfghjklzxcvbnmq"] + [(None,)], "v string"),
             "v").collect()}
@@ -163,7 +163,7 @@ def test_prefix_sums_two_group_columns_with_null_keys(spark):
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
     try:
-        got = prefix_sums(df, "o", ["w"], ["a", "b"], rows_per_partition=9).collect()
+        got = prefix_sums(df, "o", ["w"], ["a", "b"], slices=7).collect()
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     for r in got:
@@ -187,57 +187,84 @@ def test_exact_quantiles_match_numpy_linear(spark):
             assert math.isclose(got[(g, p)], float(np.percentile(vals, p * 100)), rel_tol=1e-12, abs_tol=1e-9)
 
 
-def test_region_without_capacity_falls_back_to_top_k(spark):
+def test_region_without_capacity_is_cut_only_by_top_k(spark):
     df, rows = _scored(spark)
-    regs = spark.createDataFrame([("N", 3)], "region string, hr_outreach_capacity int")
+    eligible = {k: sum(1 for r in rows if r[1] == k) for k in "NSE"}
+    regs = spark.createDataFrame([("N", 3), ("S", None)], "region string, hr_outreach_capacity int")
     got = ranking.rank_capacity(df, regs, top_k=None).groupBy("region").count().collect()
-    assert {r.region: r["count"] for r in got} == {"N": 3, "S": 10, "E": 10}
+    assert {r.region: r["count"] for r in got} == {"N": 3, "S": eligible["S"], "E": eligible["E"]}
+    got = ranking.rank_capacity(df, regs, top_k=7).groupBy("region").count().collect()
+    assert {r.region: r["count"] for r in got} == {"N": 3, "S": 7, "E": 7}
     summ = {r.region: r for r in ranking.rank_summary(df, regs).collect()}
     assert summ["N"].returned_count == 3 and summ["S"].hr_capacity_cap_applied is None
-    assert summ["S"].returned_count == 10
+    assert summ["S"].returned_count == eligible["S"]
 
 
-def test_prefix_sums_one_slice_window_equals_distributed_scan(spark):
+def test_ranks_beyond_the_window_group_limit(spark):
+    df, rows = _scored(spark)
+    regs = spark.createDataFrame([(r, 9) for r in "NSE"], "region string, hr_outreach_capacity int")
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    want = sorted(map(tuple, ranking.rank_capacity(df, regs).collect()))
+    spark.conf.set(key, "4")
+    try:
+        assert sorted(map(tuple, ranking.rank_capacity(df, regs).collect())) == want
+        assert spark.conf.get(key) == "4"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_metrics_at_row_counts_beyond_64_bits(spark):
+    big = 10**11
+    c = spark.createDataFrame([(0.2, big, big, 0, 0), (0.8, big, big, big, big)], "score double, pos long, neg long, pos_below long, neg_below long")
+    c = c.withColumns({"pos_total": F.lit(2 * big), "neg_total": F.lit(2 * big)})
+    got = metrics.auc_from_cumulative(c).first()
+    assert got.roc_auc == 0.5 and got.n_pos == 2 * big
+    sizes = spark.createDataFrame([(0, 3 * big), (1, big)], "enrolled int, n_c long")
+    assert {r.enrolled: r.n_test for r in split.test_allocation(None, counts=sizes).collect()} == {0: 3 * big // 5, 1: big // 5}
+
+
+def test_reports_of_one_class_and_of_nothing(spark):
+    one = spark.createDataFrame([(0.1, 1), (0.7, 1)], "p double, enrolled int")
+    none = one.limit(0)
+    assert metrics.auc(one).first().roc_auc is None
+    assert metrics.average_precision(one).first().average_precision == 1.0
+    assert metrics.ranking_metrics(none).collect()[0].roc_auc is None
+    assert metrics.threshold_metrics(none).first().accuracy is None
+    assert len(metrics.classification_report(none).collect()) == 4
+    assert metrics.naive_baselines(one.withColumn("has_dependents_bin", F.lit(1))).first().rule_auc is None
+    from benefitlens.operators import profile
+    assert profile.missing_profile(none, only_missing=False).count() == 2
+    t = spark.createDataFrame([("a", 1), ("a", 0), ("b", None)], "r string, c int")
+    assert [tuple(r) for r in profile.crosstab_rowpct(t, "r", "c", [0, 1]).collect()] == [("a", 0.5, 0.5)]
+
+
+def test_rows_without_label_or_id_stay_outside_the_split(spark):
+    rows = [(i if i % 10 else None, i % 2 if i % 7 else None, i) for i in range(200)]
+    df = spark.createDataFrame(rows, "employee_id int, enrolled int, n int")
+    got = {r.n: r for r in split.stratified_split(df).collect()}
+    assert len(got) == 200
+    outside = {i for i in range(200) if i % 10 == 0 or i % 7 == 0}
+    assert {n for n, r in got.items() if r.split is None} == outside
+    assert all(got[n].fold is None and got[n].class_rank is None for n in outside)
+    inside = [r for n, r in got.items() if n not in outside]
+    assert sum(r.split == "test" for r in inside) == -(-len(inside) // 5)
+
+
+def test_prefix_sums_do_not_depend_on_slices(spark):
     from benefitlens.operators.prefix import prefix_sums
     rows = [(a, b, float(i), (i % 4) or None) for i in range(80)
             for a, b in [(("x" if i % 3 else None), i % 2)]]
     df = spark.createDataFrame(rows, "a string, b int, o double, w long")
-    cols = ["a", "b", "o", "w", "w_below", "w_total"]
 
-    def run(rpp, groups):
-        return sorted((tuple(r[c] for c in cols)
-                       for r in prefix_sums(df, "o", ["w"], groups, rows_per_partition=rpp).collect()),
-                      key=lambda t: t[2])
+    def run(slices, groups):
+        return sorted((r.o, r.w_below, r.w_total) for r in prefix_sums(df, "o", ["w"], groups, slices=slices).collect())
 
-    for groups in (["a", "b"], []):
-        one, many = run(10_000, groups), run(9, groups)
-        assert len(one) == len(rows)
-        assert one == many
-        for a, b, o, w, below, total in one:
-            same = [x for x in rows if not groups or (x[0] == a and x[1] == b)]
-            assert total == sum(x[3] or 0 for x in same)
-            assert below == (None if w is None else sum(x[3] or 0 for x in same if x[2] < o))
+    for groups, same in ((["a", "b"], lambda x, y: x[:2] == y[:2]), ([], lambda x, y: True)):
+        want = sorted((x[2], sum(y[3] or 0 for y in rows if same(x, y) and y[2] < x[2]), sum(y[3] or 0 for y in rows if same(x, y))) for x in rows)
+        assert run(1, groups) == want and run(9, groups) == want
 
 
-def test_pointwise_metrics_equal_the_separate_passes(spark):
+def test_auc_plan_has_no_single_task_window(spark):
     df, _ = _scored(spark)
-    one = metrics.pointwise_metrics(df).first().asDict()
-    sep = {**metrics.threshold_metrics(df).first().asDict(), **metrics.brier(df).first().asDict(),
-           **metrics.log_loss(df).first().asDict()}
-    assert set(one) == set(sep)
-    for k, v in sep.items():
-        assert math.isclose(one[k], v, rel_tol=1e-12, abs_tol=1e-15), k
-
-
-def test_split_of_duplicated_ids_is_reproducible(spark):
-    rows = [(i % 40, 1 if i % 3 else 0, float(i)) for i in range(400)]
-    df = spark.createDataFrame(rows, "employee_id int, enrolled int, salary double")
-
-    def assign(d):
-        return sorted((r.employee_id, r.salary, r.split, r.class_rank) for r in split.stratified_split(d).collect())
-
-    a = assign(df.repartition(1))
-    assert a == assign(df.repartition(7)) == assign(df.orderBy(F.rand(5)).repartition(3))
-    for cls in (0, 1):
-        ranks = sorted(r.class_rank for r in split.stratified_split(df).collect() if r.enrolled == cls)
-        assert ranks == list(range(len(ranks)))
+    p = metrics.auc(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in p and all("_slice" in line for line in p.splitlines() if "Window [" in line)

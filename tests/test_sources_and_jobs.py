@@ -120,3 +120,13 @@ def test_fixture_publish_replaces_an_unfinished_folder_and_keeps_a_finished_one(
     _publish(spark, spark.range(9), path)   # a finished table is kept; the late copy is dropped
     assert spark.read.parquet(path).count() == 5
     assert [n for n in os.listdir(base) if ".tmp-" in n] == []
+
+
+def test_csv_is_read_as_pandas_reads_it(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from benefitlens.sources import readers
+    (tmp_path / "t.csv").write_text('id,note,x\n1,"say ""hi"", ok",1.5\n2,"two\nlines",NA\n3, NA ,n/a\n4,none,\n5,NA, 7\n')
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("note", T.StringType()), T.StructField("x", T.DoubleType())])
+    got = [tuple(r) for r in readers.read_csv_typed(spark, str(tmp_path / "t.csv"), schema, multi_line=True).orderBy("id").collect()]
+    assert got == [(1, 'say "hi", ok', 1.5), (2, "two\nlines", None), (3, " NA ", None), (4, "none", None), (5, None, 7.0)]
