@@ -182,7 +182,7 @@ def q_filter_eq(spark, sf):
 @query("filter_ci")
 def q_filter_ci(spark, sf):
     from benefitlens.operators.ranking import filter_ci
-    return filter_ci(_dedup(spark, sf), "region", "Europe").select("employee_id", "region")
+    return filter_ci(_dedup(spark, sf), "region", "WEST").select("employee_id", "region")
 
 
 @query("filter_isin")
@@ -501,7 +501,7 @@ def q_rank_topk(spark, sf):
 def q_rank_filtered(spark, sf):
     from benefitlens.operators.ranking import rank_capacity
     r = rank_capacity(_scored(spark, sf), _reg(spark, sf), top_k=10, ascending=True,
-                      region_filter="europe", employment_type="full-time")
+                      region_filter="west", employment_type="full-time")
     return r.select("region", "rank", "employee_id", "employment_type", "p")
 
 
@@ -1025,6 +1025,67 @@ def q_score_records(spark, sf):
     return score_records(model, _arriving_records(spark, sf), _reg(spark, sf))
 
 
+# ------------------------------------------------- model-backed jobs, composed, and their deterministic parts
+@query("score_batch_ids")
+def q_score_batch_ids(spark, sf):
+    return q_score_batch(spark, sf).select("employee_id", "reason")
+
+
+@query("score_records_status")
+def q_score_records_status(spark, sf):
+    return q_score_records(spark, sf).select("employee_id", "status", "error")
+
+
+@query("score_requests_status")
+def q_score_requests_status(spark, sf):
+    return q_score_requests(spark, sf).select("request_id", "employee_id", "status")
+
+
+@query("explain_narrative_fields")
+def q_explain_narrative_fields(spark, sf):
+    return q_explain_narrative(spark, sf).select("employee_id", "enrollment_probability", "predicted_enrolled")
+
+
+@query("io_json_parsed")
+def q_io_json_parsed(spark, sf):
+    """IO7 read back: the fields of the emitted JSON rows."""
+    shape = "rank int, employee_id bigint, region string, enrollment_probability double, predicted_enrolled int"
+    return q_io_json_rows(spark, sf).select(F.from_json("json", shape).alias("j")).select("j.*")
+
+
+def _unique_records(spark, sf):
+    e = _dedup(spark, sf).select("employee_id")
+    return _arriving_records(spark, sf).join(e, "employee_id", "left_semi")
+
+
+@query("rank_model")
+def q_rank_model(spark, sf):
+    """C2 -> M11 -> W6: outreach ranking on the fitted model's probabilities."""
+    from benefitlens.plans.outreach import rank_scored
+    model, _ = _final_model(spark, sf)
+    return rank_scored(model, _unique_records(spark, sf), _reg(spark, sf))[0]
+
+
+@query("rank_model_summary")
+def q_rank_model_summary(spark, sf):
+    from benefitlens.plans.outreach import rank_scored
+    model, _ = _final_model(spark, sf)
+    return rank_scored(model, _unique_records(spark, sf), _reg(spark, sf))[1]
+
+
+@query("fairness_model")
+def q_fairness_model(spark, sf):
+    """M11 -> A13/L10: the fairness audit of the fitted model on the test split."""
+    from benefitlens.plans.outreach import audit_scored
+    _, scored = _final_model(spark, sf)
+    return audit_scored(scored, _dedup(spark, sf))
+
+
+@query("fairness_model_base")
+def q_fairness_model_base(spark, sf):
+    return q_fairness_model(spark, sf).select("dimension", "level", "count", "actual_rate")
+
+
 # --------------------------------------------------------------------------- streaming
 @query("stream_preprocess_scoring")
 def q_stream_preprocess_scoring(spark, sf):

@@ -179,7 +179,7 @@ FROM (VALUES {_REG_ROWS}) r(column_name, role, position) LEFT JOIN nulls n ON r.
 """.replace("\n, nulls AS", "\nSELECT * FROM (WITH nulls AS", 1).rstrip() + ")", ints=["position"])
 oracle("filter_eq", "SELECT employee_id, legacy_propensity_score FROM eng WHERE enrolled = 1",
        floats=["legacy_propensity_score"])
-oracle("filter_ci", "SELECT employee_id, region FROM dedup WHERE lower(region) = 'europe'")
+oracle("filter_ci", "SELECT employee_id, region FROM dedup WHERE lower(region) = 'west'")
 oracle("filter_isin", """
 SELECT employee_id, region, salary FROM dedup
 WHERE employee_id IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
@@ -435,12 +435,12 @@ ORDER BY p DESC, employee_id LIMIT 10
 oracle("rank_filtered", """
 SELECT s.region, s.rank, s.employee_id, s.employment_type, s.p FROM (
   SELECT *, row_number() OVER (PARTITION BY region ORDER BY p ASC, employee_id) AS rank FROM scored
-  WHERE lower(region) = 'europe' AND lower(employment_type) = 'full-time') s
+  WHERE lower(region) = 'west' AND lower(employment_type) = 'full-time') s
 JOIN reg r ON s.region = r.region WHERE s.rank <= least(r.hr_outreach_capacity, 10)
 """, ints=["rank"], floats=["p"])
 oracle("rank_summary", """
 SELECT c.region, c.total_eligible, r.hr_outreach_capacity AS hr_capacity_cap_applied,
-  least(c.total_eligible, coalesce(r.hr_outreach_capacity, 10)) AS returned_count
+  least(c.total_eligible, r.hr_outreach_capacity) AS returned_count
 FROM (SELECT region, CAST(count(*) AS BIGINT) AS total_eligible FROM scored GROUP BY region) c
 LEFT JOIN reg r ON c.region = r.region
 """, ints=["returned_count"])
@@ -768,6 +768,42 @@ oracle("fairness_audit", _AUD.replace(HEAD, ""), floats=["actual_rate", "pred_ra
 oracle("fairness_gap", f"SELECT dimension, level, actual_rate, pred_rate, pred_rate - actual_rate AS gap FROM ({_AUD}) g",
        floats=["actual_rate", "pred_rate", "gap"])
 
+# --------------------------------------------------------------------------- deterministic parts of model-backed jobs
+_TEST = "SELECT s.employee_id, s.enrolled FROM splits s WHERE s.split = 'test'"
+for _key in ("score_reproducible", "model_roundtrip"):
+    oracle(_key, f"SELECT CAST(count(*) AS BIGINT) AS n, 0e0 AS max_abs_diff, 1 AS classes_equal FROM ({_TEST}) t",
+           ints=["classes_equal"], floats=["max_abs_diff"])
+_ARRIVING = """SELECT *, CASE WHEN region IS NULL THEN 'missing_region'
+    WHEN NOT EXISTS (SELECT 1 FROM reg r WHERE r.region = x.region) THEN 'unknown_region' END AS reason
+  FROM (SELECT employee_id, CASE WHEN employee_id % 50 = 0 THEN NULL WHEN employee_id % 50 = 1 THEN lower(region)
+        ELSE region END AS region FROM emp) x"""
+oracle("score_batch_ids", f"SELECT employee_id, reason FROM ({_ARRIVING}) a")
+oracle("score_records_status", f"""
+SELECT employee_id, CASE WHEN reason IS NULL THEN 'success' ELSE 'error' END AS status, reason AS error
+FROM ({_ARRIVING}) a""")
+oracle("score_requests_status", """
+SELECT q.request_id, q.employee_id,
+  CASE WHEN q.k IN (0, 1) THEN 'refusal' WHEN d.employee_id IS NULL THEN 'not_found'
+       WHEN r.region IS NULL THEN 'error' ELSE 'success' END AS status
+FROM (SELECT CAST(o_orderkey AS BIGINT) AS request_id, CAST(o_custkey AS BIGINT) AS employee_id, o_orderkey % 5 AS k FROM orders) q
+LEFT JOIN dedup d ON d.employee_id = q.employee_id LEFT JOIN reg r ON r.region = d.region""")
+oracle("explain_narrative_fields", """
+SELECT employee_id, round(p, 4) AS enrollment_probability, CAST(p >= 0.5e0 AS BIGINT) AS predicted_enrolled FROM scored""",
+       floats=["enrollment_probability"])
+oracle("io_json_parsed", """
+SELECT s.rank, s.employee_id, s.region, round(s.p, 4) AS enrollment_probability,
+  CAST(s.p >= 0.5e0 AS BIGINT) AS predicted_enrolled
+FROM (SELECT *, row_number() OVER (PARTITION BY region ORDER BY p DESC, employee_id) AS rank FROM scored) s
+LEFT JOIN reg r ON s.region = r.region WHERE s.rank <= least(r.hr_outreach_capacity, 10)""",
+       ints=["rank"], floats=["enrollment_probability"])
+oracle("rank_model_summary", f"""
+SELECT c.region, c.n AS total_eligible, r.hr_outreach_capacity AS hr_capacity_cap_applied,
+  least(c.n, r.hr_outreach_capacity) AS returned_count
+FROM (SELECT region, CAST(count(*) AS BIGINT) AS n FROM ({_ARRIVING}) a
+      WHERE reason IS NULL AND employee_id IN (SELECT employee_id FROM dedup) GROUP BY region) c
+LEFT JOIN reg r ON c.region = r.region""", ints=["returned_count"])
+oracle("fairness_model_base", f"SELECT dimension, level, count, actual_rate FROM ({_AUD}) g", floats=["actual_rate"])
+
 # --------------------------------------------------------------------------- streaming
 ORACLE["stream_preprocess_scoring"] = ORACLE["preprocess_scoring"]
 

@@ -209,7 +209,9 @@ def precision_lift_at_k(scored: DataFrame, regions: DataFrame, score: str = "p",
     over the region's base rate."""
     caps = regions.withColumn("hr_outreach_capacity",
                               F.round(F.col("hr_outreach_capacity") / 5.0).cast("int"))
-    top = rank_capacity(scored, caps, top_k=None, score=score)
+    # a region without a capacity has no K: it keeps its base rate and no precision
+    known = caps.filter(F.col("hr_outreach_capacity").isNotNull()).select("region")
+    top = rank_capacity(scored.join(known, "region", "left_semi"), caps, top_k=None, score=score)
     prec = top.groupBy("region").agg(F.count(F.lit(1)).cast("bigint").alias("k"),
                                      F.avg(F.col(label).cast("double")).alias("precision_at_k"))
     base = scored.groupBy("region").agg(F.count(F.lit(1)).cast("bigint").alias("n"),

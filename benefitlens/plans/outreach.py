@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from benefitlens.constants import TIER_MAP
 from benefitlens.functions.canon import lookup_trim_retry
-from benefitlens.operators.governance import refuse_leakage
+from benefitlens.operators.governance import fairness_audit, refuse_leakage
 from benefitlens.operators.joins import match_requests
+from benefitlens.operators.ranking import rank_capacity, rank_summary
 from benefitlens.plans import modeling
 from benefitlens.plans.features import preprocess_scoring
 
@@ -30,7 +31,8 @@ def score_requests(model: PipelineModel, requests: DataFrame, raw: DataFrame, re
 
     Leaky feature requests become refusal rows; unknown ids become
     ``not_found`` rows (G19); the rest are scored through the shared C2 job
-    and returned with raw and clean attributes (no protected columns).
+    and returned with raw and clean attributes (no protected columns). A
+    record that C2 rejects is an ``error`` row, as in ``score_records``.
     """
     req = refuse_leakage(requests)
     ok, not_found = match_requests(req.filter(F.col("status") == "ok").select("request_id", "employee_id"), raw)
@@ -38,12 +40,14 @@ def score_requests(model: PipelineModel, requests: DataFrame, raw: DataFrame, re
     scores = modeling.score(model, modeling.prepare(preprocess_scoring(matched, regions)))
     attrs = matched.select("employee_id", "salary", "region",
                            lookup_trim_retry("plan_tier_requested", TIER_MAP).alias("plan_tier_requested_clean"))
+    valid = F.col("reason").isNull()
     scored = (ok.join(attrs, "employee_id")
-              .join(scores.select("employee_id", "predicted_probability", "predicted_class"), "employee_id")
-              .select("request_id", "employee_id", F.lit("success").alias("status"), "salary", "region",
-                      "plan_tier_requested_clean",
-                      F.round("predicted_probability", 4).alias("enrollment_probability"),
-                      F.col("predicted_class").alias("predicted_enrolled")))
+              .join(scores.select("employee_id", "reason", "predicted_probability", "predicted_class"), "employee_id")
+              .select("request_id", "employee_id", F.when(valid, F.lit("success")).otherwise(F.lit("error")).alias("status"),
+                      "salary", "region", "plan_tier_requested_clean",
+                      F.when(valid, F.round("predicted_probability", 4)).alias("enrollment_probability"),
+                      F.when(valid, F.col("predicted_class")).alias("predicted_enrolled"),
+                      F.col("reason").alias("error")))
     refused = req.filter(F.col("status") == "refusal").select("request_id", "employee_id",
                                                                  F.lit("refusal").alias("status"))
     missing = not_found.select("request_id", "employee_id", F.lit("not_found").alias("status"))
@@ -51,6 +55,24 @@ def score_requests(model: PipelineModel, requests: DataFrame, raw: DataFrame, re
                   .unionByName(refused, allowMissingColumns=True))
 
 
+def rank_scored(model: PipelineModel, records: DataFrame, regions: DataFrame, top_k: int | None = None):
+    """C2 -> M11 -> W6/W8: the capacity ranking of records scored by the model, and its summary per region.
+
+    Records that C2 rejects (no region, or an unknown one) aren't eligible.
+    """
+    prepared = modeling.prepare(preprocess_scoring(records, regions).filter(F.col("reason").isNull()))
+    scored = (modeling.score(model, prepared).select("employee_id", F.col("predicted_probability").alias("p"), "predicted_class")
+              .join(records.select("employee_id", "region", "employment_type"), "employee_id"))
+    return rank_capacity(scored, regions, top_k), rank_summary(scored, regions, top_k)
+
+
+def audit_scored(scored: DataFrame, demographics: DataFrame) -> DataFrame:
+    """M11 -> A13: the fairness audit of the model's own test scores."""
+    audit = scored.select("employee_id", "enrolled", F.col("predicted_probability").alias("p")).join(
+        demographics.select("employee_id", "gender", "age", "marital_status"), "employee_id")
+    return fairness_audit(audit)
+
+
 def score_agreement(a: DataFrame, b: DataFrame) -> DataFrame:
     """M24/IO8: rows compared by key: count, max |p_a - p_b| and class agreement."""
     x = a.select("employee_id", F.col("predicted_probability").alias("_a"), F.col("predicted_class").alias("_ca"))
