@@ -13,8 +13,9 @@ in blocks of columns, and pairs whose sizes already rule them out never arise:
   sizes themselves have to lie within 0.8 of each other.
 
 In a group of near copies every pair would pass these bounds, so the product goes
-in two steps. First each column links its rows to one of them, a pivot; the
-overlaps of these pairs are completed from the full rows, and what links becomes
+in two steps. First each column links its rows to one of them, a pivot (the row
+in which the fewest rarer columns come before, as in the text that the others were
+copied from); the overlaps of these pairs are completed from the full rows, and what links becomes
 components. Then, for each column, only pairs of rows from different components
 are left to multiply. No pair of different components that could link is left
 out, and within a component no further link changes the result.
@@ -47,8 +48,8 @@ WORDS = 5
 #: Link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Columns that the order puts last, at most, and how often a column must occur among the rows of a task's run.
-COMMON, COMMON_IN_RUN = 1 << 17, 4
-RUN_SHINGLES = 2_000_000
+COMMON, COMMON_IN_RUN = 1 << 17, 3
+RUN_SHINGLES = 4_000_000
 GROUP_BYTES = 4_000_000
 #: Bits of the bitmap that says which classes occur in a pair.
 BITMAP_BITS = 23
@@ -214,30 +215,41 @@ def possible(n: np.ndarray, place: np.ndarray, m: np.ndarray, other: np.ndarray)
     return (100 * low >= PERCENT * high) & ((100 + PERCENT) * most.astype(np.int64) >= PERCENT * (low + high))
 
 
+_PAIRS = "a bigint, b bigint, shared bigint"
+
+
 def _pairs(block: list[np.ndarray], choose: Callable) -> pa.RecordBatch:
-    """Pairs of classes of a block of columns, each once, with the columns they share in it."""
+    """Pairs of classes of a block of columns, each once, with the columns of it at which they are possible."""
     column = block[0]
     begins = np.ones(len(column), bool)
     begins[1:] = column[1:] != column[:-1]
     first = np.flatnonzero(begins)
-    pairs = [p for f, e in zip(first, np.append(first[1:], len(column))) if e - f > 1 for p in choose(*(x[f:e] for x in block[1:]))]
+    class_ = block[1]
+    pairs = [(f + p[0], f + p[1]) for f, e in zip(first, np.append(first[1:], len(column))) if e - f > 1 for p in choose(*(x[f:e] for x in block[1:]))]
     x = np.concatenate([p[0] for p in pairs]) if pairs else np.zeros(0, np.int64)
     y = np.concatenate([p[1] for p in pairs]) if pairs else np.zeros(0, np.int64)
-    a, b = np.minimum(x, y), np.maximum(x, y)
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
+    x, y = np.where(class_[x] < class_[y], x, y), np.where(class_[x] < class_[y], y, x)
+    order = np.lexsort((class_[y], class_[x]))
+    x, y = x[order], y[order]
+    a, b = class_[x], class_[y]
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
     at = np.flatnonzero(new)
     return pa.RecordBatch.from_arrays([pa.array(a[at]), pa.array(b[at]), pa.array(np.diff(np.append(at, len(a))))], names=["a", "b", "shared"])
 
 
+def _summed(blocks: DataFrame) -> DataFrame:
+    """The blocks' pairs as one matrix: each pair once."""
+    return blocks.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+
+
 def _pivot(class_, n, place):
-    """A column's rows with the row whose size lies in their middle."""
-    p = len(class_) // 2
+    """A column's rows with the row that has the fewest columns before this one."""
+    p = int(place.argmin())
     fits = possible(n, place, n[p], place[p])
     fits[p] = False
-    yield class_[fits], np.full(int(fits.sum()), class_[p])
+    others = np.flatnonzero(fits)
+    yield others, np.full(len(others), p)
 
 
 def _across(class_, n, place, label):
@@ -247,10 +259,9 @@ def _across(class_, n, place, label):
     reach = np.searchsorted(n, 100 * n // PERCENT, side="right")
     for i in range(len(class_) - 1):
         s = slice(i + 1, reach[i])
-        fits = (label[s] != label[i]) & possible(n[i], place[i], n[s], place[s])
-        if fits.any():
-            others = class_[s][fits]
-            yield others, np.full(len(others), class_[i])
+        others = i + 1 + np.flatnonzero((label[s] != label[i]) & possible(n[i], place[i], n[s], place[s]))
+        if len(others):
+            yield others, np.full(len(others), i)
 
 
 def _first_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,12 +338,12 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     members = incidence.filter("class IS NOT NULL").select("doc_id", "n", "class")
     entries = _prefixes(d, _common_columns(incidence)).repartition("column").mapInArrow(_shared_columns, "column bigint, class bigint, n int, place int")
     entries = written(entries, "shared-columns")
-    firsts = entries.repartition("column").sortWithinPartitions("column", "n", "class").mapInArrow(_first_pairs, "a bigint, b bigint, shared bigint")
-    firsts = written(firsts.groupBy("a", "b").agg(F.sum("shared").alias("shared")), "first-pairs")
+    firsts = entries.repartition("column").sortWithinPartitions("column", "n", "class").mapInArrow(_first_pairs, _PAIRS)
+    firsts = written(_summed(firsts), "first-pairs")
     links = written(_linked(d, firsts), "first-links")
     labels = components(links)
     labelled = entries.join(labels.withColumnRenamed("node", "class"), "class", "left").select("column", "class", "n", "place", F.coalesce("label", "class").alias("label"))
-    others = labelled.repartition("column").mapInArrow(_other_pairs, "a bigint, b bigint, shared bigint").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+    others = _summed(labelled.repartition("column").mapInArrow(_other_pairs, _PAIRS))
     others = written(others.join(firsts.select("a", "b"), ["a", "b"], "left_anti"), "other-pairs")
     return members, written(links.unionByName(_linked(d, others)), "links")
 
