@@ -7,6 +7,11 @@ takes each word's lowest rank, leftmost first, contracts that pair, and goes on
 with the words that changed until none does. A word that is a token itself is that
 token. Texts are the concatenation of their words (``words.WordTable``).
 
+A recursive query keeps the rows of all its rounds, which for a word of thousands
+of bytes would be millions. Such words are contracted round by round in a table,
+all occurrences of the lowest pair at once wherever the new token can't take part
+in a pair of lower rank (then it's the same as one after the other).
+
 Decoding: token-position rows join the vocabulary, and an ordered aggregation
 strings each document's bytes together.
 
@@ -30,8 +35,9 @@ from benefitlens.llm.common import id_text, on_workers
 from benefitlens.llm.tokenizer_ids import vocabulary_path
 from benefitlens.llm.words import WordTable, groups
 
-#: Words contracted by one recursive query.
+#: Words contracted by one recursive query, and the bytes from which a word is contracted in a table.
 WORDS_A_QUERY = 50_000
+LONG_WORD = 512
 
 # The rank of a merge is the id it gives, so the lowest id is the lowest rank. A step keeps the words that it changed;
 # what a word looked like at its last step is its encoding.
@@ -55,6 +61,27 @@ JOIN (SELECT word, max(round) AS round FROM step GROUP BY word) z ON z.word = s.
 ORDER BY s.word, s.pos
 """
 
+# Neighbouring hits overlap (only where both tokens are the same): of each run the first, third and so on are taken.
+_LONG_ROUND = """
+CREATE OR REPLACE TABLE long_words AS
+WITH found AS (
+  SELECT p.word, p.pos, m.id, m.alone
+  FROM (SELECT word, pos, token, lead(token) OVER (PARTITION BY word ORDER BY pos) AS next FROM long_words) p
+  JOIN merges m ON m.a = p.token AND m.b = p.next),
+lowest AS (SELECT word, min(id) AS id FROM found GROUP BY word),
+hits AS (
+  SELECT f.*, f.pos - row_number() OVER (PARTITION BY f.word ORDER BY f.pos) AS run
+  FROM found f JOIN lowest l ON l.word = f.word AND l.id = f.id),
+taken AS (
+  SELECT word, pos, id FROM (
+    SELECT *, row_number() OVER (PARTITION BY word, run ORDER BY pos) AS nth,
+           row_number() OVER (PARTITION BY word ORDER BY pos) AS first FROM hits)
+  WHERE nth % 2 = 1 AND (first = 1 OR NOT alone))
+SELECT s.word, (row_number() OVER (PARTITION BY s.word ORDER BY s.pos) - 1)::INT AS pos, coalesce(t.id, s.token)::INT AS token
+FROM long_words s LEFT JOIN taken t ON t.word = s.word AND t.pos = s.pos
+WHERE NOT EXISTS (SELECT 1 FROM taken b WHERE b.word = s.word AND b.pos + 1 = s.pos)
+"""
+
 _DECODE = """
 SELECT doc, string_agg(piece, '' ORDER BY first_pos) AS piece FROM (
   SELECT doc, block, min(pos) AS first_pos, string_agg(piece, '') AS piece
@@ -79,10 +106,12 @@ class Bpe:
         pairs = [(a, b, r) for token, r in self.ranks.items() for i in range(1, len(token)) if (a := self.ranks.get(token[:i])) is not None and (b := self.ranks.get(token[i:])) is not None]
         self.db = duckdb.connect(":memory:", config={"threads": 1, "preserve_insertion_order": True})
         # a byte is written as the code point of its number, which keeps ordered text aggregation to bytes
-        for name, columns in (("merges", dict(zip(("a", "b", "id"), map(list, zip(*pairs))))), ("vocabulary", {"id": list(self.ranks.values()), "piece": [t.decode("latin-1") for t in self.ranks]})):
+        lower = {x for a, b, r in pairs for x in (a, b) if x > r}  # tokens that take part in a pair of lower rank
+        merges = dict(zip(("a", "b", "id", "alone"), map(list, zip(*((a, b, r, int(r in lower)) for a, b, r in pairs)))))
+        for name, columns in (("merges", merges), ("vocabulary", {"id": list(self.ranks.values()), "piece": [t.decode("latin-1") for t in self.ranks]})):
             given = pa.table({k: pa.array(v, pa.string() if k == "piece" else pa.int32()) for k, v in columns.items()})
             self.db.register("given", given)
-            self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
+            self.db.execute(f"CREATE TABLE {name} AS SELECT * REPLACE (alone = 1 AS alone) FROM given" if name == "merges" else f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
         self.words = WordTable(self.encode_words)
 
@@ -93,27 +122,43 @@ class Bpe:
 
     def _contract(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         whole = np.array([self.ranks.get(w, -1) for w in words], np.int64)
-        open_ = np.flatnonzero(whole < 0)
         sizes = np.ones(len(words), np.int64)
-        if not len(open_):
-            return whole, sizes
-        length = np.array([len(words[i]) for i in open_], np.int64)
-        token = self.of_byte[np.frombuffer(b"".join(words[i] for i in open_), np.uint8)]
-        end = np.cumsum(length)
-        pos = np.arange(len(token)) - np.repeat(end - length, length)
-        after = np.append(token[1:], -1)
-        after[end - 1] = -1
-        self.db.register("bytes", pa.table({"word": np.repeat(open_, length).astype(np.int32), "pos": pos.astype(np.int32), "token": token, "next": after.astype(np.int32)}))
-        got = self.db.execute(_CONTRACT).fetchnumpy()
-        self.db.unregister("bytes")
-        sizes[open_] = np.bincount(got["word"], minlength=len(words))[open_]
+        length = np.array([len(w) for w in words], np.int64)
+        got = []
+        for part, run in (((whole < 0) & (length < LONG_WORD), self._recursive), ((whole < 0) & (length >= LONG_WORD), self._in_rounds)):
+            open_ = np.flatnonzero(part)
+            if len(open_):
+                token = self.of_byte[np.frombuffer(b"".join(words[i] for i in open_), np.uint8)]
+                end = np.cumsum(length[open_])
+                pos = np.arange(len(token)) - np.repeat(end - length[open_], length[open_])
+                after = np.append(token[1:], -1)
+                after[end - 1] = -1
+                self.db.register("bytes", pa.table({"word": np.repeat(open_, length[open_]).astype(np.int32), "pos": pos.astype(np.int32), "token": token, "next": after.astype(np.int32)}))
+                rows = run()
+                self.db.unregister("bytes")
+                sizes[open_] = np.bincount(rows["word"], minlength=len(words))[open_]
+                got.append(rows)
         ids = np.empty(int(sizes.sum()), np.int64)
         first = np.cumsum(sizes) - sizes
         closed = whole >= 0
         ids[first[closed]] = whole[closed]
-        ids[first[got["word"]] + got["pos"]] = got["token"]
+        for rows in got:
+            ids[first[rows["word"]] + rows["pos"]] = rows["token"]
         return ids, sizes
 
+    def _recursive(self) -> dict[str, np.ndarray]:
+        return self.db.execute(_CONTRACT).fetchnumpy()
+
+    def _in_rounds(self) -> dict[str, np.ndarray]:
+        self.db.execute("CREATE OR REPLACE TABLE long_words AS SELECT word, pos, token FROM bytes")
+        rows, before = self.db.execute("SELECT count(*) FROM long_words").fetchall()[0][0], -1
+        while rows != before:
+            self.db.execute(_LONG_ROUND)
+            rows, before = self.db.execute("SELECT count(*) FROM long_words").fetchall()[0][0], rows
+        got = self.db.execute("SELECT word, pos, token FROM long_words").fetchnumpy()
+        self.db.execute("DROP TABLE long_words")
+        return got
+
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """The bytes of each document's ids."""
         ends = np.cumsum(sizes)

@@ -51,7 +51,9 @@ def test_ids_are_the_librarys(library):
 
 
 def test_duckdb_encoding_and_decoding(ranked):
-    texts = [*strings(3000), "a" * 500, " " * 500]
+    rng = random.Random(9)
+    long = ["".join(rng.choice("abcdeinorst") for _ in range(n)) for n in (511, 512, 700, 3000)]
+    texts = [*strings(3000), "a" * 500, " " * 500, "a" * 20001, " " * 3001, "ab" * 900, "xyz!" * 1500, *long]
     both = bpe.bpe("byte_bpe_multi_50k.tiktoken")
     ids, sizes = both.words.values_of(texts)
     for t, n, e in zip(texts, sizes, np.cumsum(sizes)):
