@@ -123,6 +123,34 @@ def ablation_features():
 
 
 MODEL_VERSION = "gbt-150-0.05-5-v3"
+#: Written last into a model's folder: a folder without it was never finished.
+MODEL_MARK = "_COMPLETE"
+
+
+def _model_key() -> str:
+    """Changes with the fixture's text, the features and the domains, so that no older model is served."""
+    import hashlib
+    from benefitlens.constants import CATEGORICAL_LEVELS
+    from benefitlens.sources.fixtures import EMP_RAW_SQL, REGION_PROFILE_SQL
+    text = repr((EMP_RAW_SQL, REGION_PROFILE_SQL, list(EXPECTED_FEATURES), CATEGORICAL_LEVELS))
+    return f"{MODEL_VERSION}-{hashlib.md5(text.encode()).hexdigest()[:12]}"
+
+
+def publish_model(spark, model, path: str) -> None:
+    """Save to a fresh folder, mark it finished, then rename it into place: a job
+    killed while saving leaves nothing that a later one would load, and of two
+    jobs that race the first rename wins."""
+    import uuid
+    tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+    model.write().save(tmp)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    src, dst = hadoop(tmp), hadoop(path)
+    fs = dst.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.create(hadoop(f"{tmp}/{MODEL_MARK}")).close()
+    if fs.exists(dst) and not fs.exists(hadoop(f"{path}/{MODEL_MARK}")):
+        fs.delete(dst, True)  # unfinished
+    if fs.exists(dst) or not fs.rename(src, dst):
+        fs.delete(src, True)
 
 
 def final_model(spark, sf_dir: str, engineered: DataFrame):
@@ -130,10 +158,10 @@ def final_model(spark, sf_dir: str, engineered: DataFrame):
     instead of refitting (fit once, score many times)."""
     from pyspark.ml import PipelineModel
     from benefitlens.session import shared_path
-    path = shared_path(spark, "models", f"{MODEL_VERSION}-{input_fingerprint(spark, sf_dir)}")
-    if path_exists(spark, path + "/metadata"):
+    path = shared_path(spark, "models", f"{_model_key()}-{input_fingerprint(spark, sf_dir)}")
+    if path_exists(spark, f"{path}/{MODEL_MARK}"):
         return PipelineModel.load(path)
     model, _, train = fit_and_score(engineered, "gbt")
     train.unpersist()
-    model.write().overwrite().save(path)
+    publish_model(spark, model, path)
     return model

@@ -130,3 +130,17 @@ def test_csv_is_read_as_pandas_reads_it(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("note", T.StringType()), T.StructField("x", T.DoubleType())])
     got = [tuple(r) for r in readers.read_csv_typed(spark, str(tmp_path / "t.csv"), schema, multi_line=True).orderBy("id").collect()]
     assert got == [(1, 'say "hi", ok', 1.5), (2, "two\nlines", None), (3, " NA ", None), (4, "none", None), (5, None, 7.0)]
+
+
+def test_a_half_written_model_is_replaced(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    from benefitlens.plans import training
+    from benefitlens.sources.tables import path_exists
+    path = str(tmp_path / "model")
+    PipelineModel([]).write().save(path)  # as a job leaves it that was killed before the mark
+    assert not path_exists(spark, f"{path}/{training.MODEL_MARK}")
+    training.publish_model(spark, PipelineModel([]), path)
+    assert path_exists(spark, f"{path}/{training.MODEL_MARK}") and PipelineModel.load(path).stages == []
+    training.publish_model(spark, PipelineModel([]), path)  # the first one stays
+    assert [p.name for p in tmp_path.iterdir()] == ["model"]
