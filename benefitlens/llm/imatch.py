@@ -51,16 +51,18 @@ def lexicon(docs: DataFrame, text_col: str = "text", min_share: float = MIN_SHAR
 
 
 def _subset(terms: Column, k: int) -> Column:
-    """Hash of the sorted terms that the k-th subset holds; null where it holds none."""
+    """The terms that the k-th subset of the lexicon holds."""
     zeros = (1 << SUBSET_BITS[k]) - 1
-    mine = F.filter(terms, lambda t: F.xxhash64(t, F.lit(k)).bitwiseAND(zeros) == 0)
-    return F.when(F.size(mine) > 0, F.xxhash64(mine))
+    return F.filter(terms, lambda t: F.xxhash64(t, F.lit(k)).bitwiseAND(zeros) == 0)
 
 
-def fingerprint(terms: Column) -> tuple[Column, Column]:
-    """(hash of all in-band terms, hashes of the subsets) of an array of in-band terms."""
-    ordered = F.array_sort(terms)
-    return F.xxhash64(ordered), F.array(*(_subset(ordered, k) for k in range(len(SUBSET_BITS))))
+def with_fingerprint(df: DataFrame, terms: str, whole: str, subsets: str) -> DataFrame:
+    """Replaces an array of distinct in-band terms by the hash of all of them, sorted, and the hashes of the subsets
+    (null for an empty one). Each step is a projection of its own, so that a list is sorted and cut only once."""
+    df = df.withColumn(terms, F.sort_array(terms))
+    df = df.withColumn("_cuts", F.array(*(_subset(F.col(terms), k) for k in range(len(SUBSET_BITS)))))
+    hashes = F.transform("_cuts", lambda cut: F.when(F.size(cut) > 0, F.xxhash64(cut)))
+    return df.withColumns({whole: F.xxhash64(terms), subsets: hashes}).drop(terms, "_cuts")
 
 
 def as_text(whole: Column, subsets: Column) -> Column:
@@ -77,14 +79,17 @@ def likeness(whole: Column, subsets: Column, other_whole: Column, other_subsets:
     return F.when(whole == other_whole, 1.0).when(either > 0, equal / either).otherwise(0.0).cast("double")
 
 
-def fingerprints(bodies: DataFrame, terms_of_band: DataFrame, key: str, body: str, *carried: str) -> DataFrame:
-    """key, carried columns, whole, subsets of each row's text. Rows must be partitioned by ``key`` and differ in it."""
-    rows = bodies.select(key, *carried, F.explode(term_hashes(F.col(body))).alias("term"))
-    small = terms_of_band.count() <= BROADCAST_ROWS
-    held = rows.join(F.broadcast(terms_of_band) if small else terms_of_band, "term")
-    terms = held.groupBy(key, *carried).agg(F.collect_list("term").alias("terms"))
-    whole, subsets = fingerprint(F.array_remove(F.col("terms"), F.xxhash64(F.lit(_NOTHING))))
-    return terms.select(key, *carried, whole.alias("whole"), subsets.alias("subsets"))
+def terms_in_band(bodies: DataFrame, band: DataFrame) -> DataFrame:
+    """doc_id and, for variant 0 and 1 of its text, the distinct terms of the band.
+
+    ``bodies`` (doc_id, variant, body) must be partitioned by doc_id; only ids and hashes take part in the grouping.
+    """
+    rows = bodies.select("doc_id", "variant", F.explode(term_hashes(F.col("body"))).alias("term"))
+    small = band.count() <= BROADCAST_ROWS
+    held = rows.join(F.broadcast(band) if small else band, "term")
+    terms = held.groupBy("doc_id").agg(*(F.collect_list(F.when(F.col("variant") == v, F.col("term"))).alias(f"terms_{v}") for v in (0, 1)))
+    nothing = F.xxhash64(F.lit(_NOTHING))
+    return terms.select("doc_id", *(F.array_remove(f"terms_{v}", nothing).alias(f"terms_{v}") for v in (0, 1)))
 
 
 def one_row_per_document(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -131,12 +136,13 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     n = F.char_length("text")
     edited = edited.select("doc_id", "text", F.concat(F.col("text").substr(F.lit(1), n - F.floor(n / 3).cast("int")), "head").alias("edited"))
     bodies = edited.select("doc_id", F.posexplode(F.array("text", "edited")).alias("variant", "body"))
-    bodies = bodies.select("doc_id", "variant", "body", F.when(F.col("variant") == 1, F.sha2("body", 256)).alias("sha"))
-    both = written(fingerprints(bodies, band, "doc_id", "body", "variant", "sha"), "fingerprints")
-    own = both.filter("variant = 0").select("doc_id", "whole", "subsets")
-    changed = both.filter("variant = 1").select("doc_id", F.col("sha").alias("edited_sha256"), F.col("whole").alias("e_whole"), F.col("subsets").alias("e_subsets"))
-    following = own.select(F.col("doc_id").alias("next_id"), F.col("whole").alias("n_whole"), F.col("subsets").alias("n_subsets"))
-    rows = order.join(own, "doc_id").join(changed, "doc_id").join(following, "next_id")
+    digests = edited.select(F.col("doc_id").alias("id"), F.sha2("edited", 256).alias("edited_sha256"))
+    terms = terms_in_band(bodies, band)
+    both = terms.join(digests.hint("merge"), terms["doc_id"] == digests["id"])
+    both = with_fingerprint(with_fingerprint(both, "terms_0", "whole", "subsets"), "terms_1", "e_whole", "e_subsets")
+    both = written(both.select("doc_id", "edited_sha256", "whole", "subsets", "e_whole", "e_subsets"), "fingerprints")
+    following = both.select(F.col("doc_id").alias("next_id"), F.col("whole").alias("n_whole"), F.col("subsets").alias("n_subsets"))
+    rows = order.join(both, "doc_id").join(following, "next_id")
     c = F.col
     return rows.select(
         F.when(c("doc_id") != NO_ID, c("doc_id")).alias("doc_id"), "n_chars", "edited_sha256", as_text(c("whole"), c("subsets")).alias("fingerprint"), as_text(c("e_whole"), c("e_subsets")).alias("edited_fingerprint"),
