@@ -39,8 +39,8 @@ from benefitlens.llm.common import id_text, on_workers, written
 from benefitlens.llm.words import WordTable, groups, ragged
 
 #: Bounds of the training: labelled rows, features of each category, partitions of the sample.
-SAMPLE, FEATURES, SAMPLE_PARTS = 24_000, 256, 8
-FOLDS, ITERATIONS, REGULARISATION = 3, 40, 3e-4
+SAMPLE, FEATURES, SAMPLE_PARTS = 24_000, 256, 4
+FOLDS, ITERATIONS, TOLERANCE, REGULARISATION = 3, 30, 1e-4, 3e-4
 #: A feature must occur in this many documents of one partition of the sample to be counted.
 LEAST_DOCUMENTS = 3
 #: Probabilities that a category's decision may begin at; the held-out predictions choose among them.
@@ -123,7 +123,7 @@ def _fit(rows: DataFrame, label: str, size: int) -> tuple[np.ndarray, float]:
     counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
     if len(counts) < 2:
         return np.zeros(size), (40.0 if counts.get(1) else -40.0)
-    model = LogisticRegression(featuresCol="x", labelCol=label, maxIter=ITERATIONS, regParam=REGULARISATION, standardization=False).fit(rows)
+    model = LogisticRegression(featuresCol="x", labelCol=label, maxIter=ITERATIONS, tol=TOLERANCE, regParam=REGULARISATION, standardization=False).fit(rows)
     return model.coefficients.toArray(), float(model.intercept)
 
 
