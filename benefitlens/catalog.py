@@ -179,6 +179,20 @@ def q_filter_eq(spark, sf):
     return _eng(spark, sf).filter(F.col("enrolled") == 1).select("employee_id", "legacy_propensity_score")
 
 
+@query("filter_ci_status")
+def q_filter_ci_status(spark, sf):
+    from benefitlens.operators.ranking import filter_ci_status
+    return filter_ci_status(_dedup(spark, sf), "region", ["WEST", "south", "Atlantis"])
+
+
+@query("canon_no_nulls")
+def q_canon_no_nulls(spark, sf):
+    """F11's assertion: no canonical label is null after the dictionaries."""
+    from benefitlens.operators.joins import null_report
+    r = null_report(_eng(spark, sf), ["last_contact_channel_clean", "plan_tier_requested_clean", "broker_channel_clean"])
+    return r.withColumn("no_nulls", F.col("null_count") == 0)
+
+
 @query("filter_ci")
 def q_filter_ci(spark, sf):
     from benefitlens.operators.ranking import filter_ci

@@ -768,6 +768,15 @@ oracle("fairness_audit", _AUD.replace(HEAD, ""), floats=["actual_rate", "pred_ra
 oracle("fairness_gap", f"SELECT dimension, level, actual_rate, pred_rate, pred_rate - actual_rate AS gap FROM ({_AUD}) g",
        floats=["actual_rate", "pred_rate", "gap"])
 
+oracle("filter_ci_status", """
+SELECT w.requested, CAST(count(d.employee_id) AS BIGINT) AS n_matches,
+  CASE WHEN count(d.employee_id) > 0 THEN 'ok' ELSE 'no_match' END AS status
+FROM (VALUES ('WEST'), ('south'), ('Atlantis')) w(requested) LEFT JOIN dedup d ON lower(d.region) = lower(w.requested)
+GROUP BY w.requested""")
+oracle("canon_no_nulls", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST(count(*) - count({c}) AS BIGINT) AS null_count, count(*) = count({c}) AS no_nulls FROM eng"
+    for c in ("last_contact_channel_clean", "plan_tier_requested_clean", "broker_channel_clean")))
+
 # --------------------------------------------------------------------------- deterministic parts of model-backed jobs
 _TEST = "SELECT s.employee_id, s.enrolled FROM splits s WHERE s.split = 'test'"
 for _key in ("score_reproducible", "model_roundtrip"):

@@ -57,6 +57,17 @@ def filter_ci(df: DataFrame, column: str, value: str) -> DataFrame:
     return df.filter(F.lower(F.col(column)) == F.lit(value.lower()))
 
 
+def filter_ci_status(df: DataFrame, column: str, values) -> DataFrame:
+    """PF5's outcome per requested value: how many rows match, and ``no_match``
+    where none does, so an empty answer isn't mistaken for a valid one."""
+    # the requests come from the caller, so their number is known
+    wanted = df.sparkSession.createDataFrame([(v, v.lower()) for v in values], "requested string, _key string")
+    counts = df.groupBy(F.lower(F.col(column)).alias("_key")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    n = F.coalesce("n", F.lit(0).cast("bigint"))
+    return (wanted.join(counts, "_key", "left")
+            .select("requested", n.alias("n_matches"), F.when(n > 0, F.lit("ok")).otherwise(F.lit("no_match")).alias("status")))
+
+
 def rank_capacity(scored: DataFrame, regions: DataFrame, top_k: int | None = None,
                   score="p", ascending=False, tiebreak="employee_id",
                   region_filter: str | None = None,

@@ -142,13 +142,19 @@ def cross_validate(df: DataFrame, learner, features=EXPECTED_FEATURES, paralleli
 
 
 def feature_importance(model: PipelineModel, names) -> DataFrame:
-    """The fitted ensemble's importances zipped to the assembled names."""
+    """The fitted ensemble's gain importances and the number of its splits
+    on each feature, zipped to the assembled names."""
+    import re
+    from collections import Counter
     from pyspark.sql import SparkSession
-    imp = model.stages[-1].featureImportances.toArray().tolist()
+    ensemble = model.stages[-1]
+    imp = ensemble.featureImportances.toArray().tolist()
+    # each split is written once as the If branch of its tree
+    splits = Counter(int(k) for t in ensemble.trees for k in re.findall(r"If \(feature (\d+) ", t.toDebugString))
     spark = SparkSession.getActiveSession()
-    rows = sorted(zip(names, [float(x) for x in imp]), key=lambda r: -r[1])
-    return spark.createDataFrame([(n, v, i + 1) for i, (n, v) in enumerate(rows)],
-                                 "feature string, importance double, rank int")
+    rows = sorted(((n, float(v), splits[i]) for i, (n, v) in enumerate(zip(names, imp))), key=lambda r: -r[1])
+    return spark.createDataFrame([(n, v, s, i + 1) for i, (n, v, s) in enumerate(rows)],
+                                 "feature string, importance double, split_count int, rank int")
 
 
 def save_and_reload(model: PipelineModel, path: str) -> PipelineModel:
