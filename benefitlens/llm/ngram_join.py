@@ -48,7 +48,7 @@ WORDS = 5
 #: Link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Columns that the order puts last, at most, and how often a column must occur among the rows of a task's run.
-COMMON, COMMON_IN_RUN = 1 << 17, 3
+COMMON, COMMON_IN_RUN = 1 << 19, 3
 RUN_SHINGLES = 4_000_000
 GROUP_BYTES = 4_000_000
 #: Bits of the bitmap that says which classes occur in a pair.
