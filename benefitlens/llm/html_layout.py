@@ -3,7 +3,7 @@
 A page is read into a tree the way browsers do it in outline: void elements have
 no end, raw-text elements hold no tags, and an element's end is implied where the
 next one can't stand inside it (a paragraph before a block, a list item before the
-next, cells and rows of tables, options, terms). Elements that a browser doesn't
+next, cells and rows of tables, options, terms); a cell outside a row gets one. Elements that a browser doesn't
 show are dropped with all they hold. The rest is laid out as text: blocks on lines
 of their own, paragraphs and headings apart by an empty line, list items with
 bullets or numbers and indented by level, table cells padded to the width of
@@ -52,6 +52,12 @@ IMPLIED = {
     "optgroup": (frozenset(["option", "optgroup"]), frozenset(["select"])),
     "body": (frozenset(["head"]), frozenset()),
 }
+#: What a part of a table stands in: all that is open inside the innermost of these ends before it, as in browsers.
+TAKES = {
+    **dict.fromkeys(("td", "th"), frozenset("tr tbody thead tfoot table template".split())),
+    "tr": frozenset("tbody thead tfoot table template".split()),
+    **dict.fromkeys(("tbody", "thead", "tfoot"), frozenset("table template".split())),
+}
 #: Elements open at once (deeper ones become siblings, as in browsers), and lists and tables laid out inside each other.
 MOST_OPEN, MOST_NESTED = 512, 60
 #: End tags don't reach past these.
@@ -124,12 +130,17 @@ def tree(page: str) -> Node:
                     if open_[i].tag == tag:
                         del open_[i:]
                         break
-                    if open_[i].tag in SCOPE and tag not in ("table", "tr", "tbody", "thead", "tfoot"):
+                    if open_[i].tag in SCOPE and tag not in ("table", "tr", "tbody", "thead", "tfoot", "template"):
                         break
             continue
         if tag in CLOSES_P:
             close(frozenset(["p"]), SCOPE)
-        if tag in IMPLIED:
+        if tag in TAKES and (i := next((i for i in range(len(open_) - 1, 0, -1) if open_[i].tag in TAKES[tag]), 0)):
+            del open_[i + 1 :]
+            if tag in ("td", "th") and open_[i].tag not in ("tr", "template") and len(open_) < MOST_OPEN:
+                open_.append(Node("tr"))
+                open_[i].children.append(open_[-1])
+        elif tag in IMPLIED:
             close(*IMPLIED[tag])
         elif tag in BLOCK and any(n.tag == "head" for n in open_):
             close(frozenset(["head"]), frozenset())
@@ -237,13 +248,21 @@ def _list(node: Node, depth: int) -> list[str]:
     return [x.rstrip() for x in out]
 
 
-def _rows(node: Node) -> Iterator[Node]:
+def _parts(node: Node) -> Iterator[tuple[Node | None, list]]:
+    """The rows of a table and its sections in order, each with what stands loose before it; last, what is left over."""
+    loose: list = []
     for child in node.children:
-        if isinstance(child, Node) and not child.hidden():
-            if child.tag == "tr":
-                yield child
-            elif child.tag in ("tbody", "thead", "tfoot"):
-                yield from (c for c in child.children if isinstance(c, Node) and c.tag == "tr" and not c.hidden())
+        if isinstance(child, Node) and child.tag in ("tbody", "thead", "tfoot"):
+            for row, before in [] if child.hidden() else _parts(child):
+                yield row, loose + before
+                loose = []
+        elif isinstance(child, Node) and child.tag == "tr":
+            if not child.hidden():
+                yield child, loose
+                loose = []
+        else:
+            loose.append(child)
+    yield None, loose
 
 
 def _span(cell: Node, name: str) -> int:
@@ -251,21 +270,26 @@ def _span(cell: Node, name: str) -> int:
     return min(max(int(value), 1), 1000) if value.isdecimal() else 1
 
 
+def _loose(children: list, depth: int) -> list[str]:
+    """What stands in a table outside of its cells; browsers show it before the table."""
+    node = Node("#loose")
+    node.children = children
+    return _block(node, depth + 1)
+
+
 def _table(node: Node, depth: int) -> list[str]:
-    """Caption and other text above, then the rows with cells padded to their column's width."""
+    """Caption and all else outside the cells above, then the rows with cells padded to their column's width."""
     above, grid, widths = [], [], {}
-    for child in node.children:
-        if isinstance(child, str):
-            above.extend([_SPACE.sub(" ", child).strip()] if child.strip() else [])
-        elif child.tag not in ("tr", "tbody", "thead", "tfoot") and not child.hidden():
-            above.extend(_block(child, depth + 1))
     taken: dict[int, int] = {}  # columns that a cell of an earlier row reaches down into, and for how many rows
-    for row in _rows(node):
+    for row, loose in _parts(node):
+        above.extend(_loose(loose, depth))
+        if row is None:
+            continue
         cells, column = [], 0
+        loose = []
         for cell in row.children:
-            if isinstance(cell, str):
-                if cell.strip():
-                    above.append(_SPACE.sub(" ", cell).strip())
+            if isinstance(cell, str) or cell.tag not in ("td", "th"):
+                loose.append(cell)
                 continue
             if cell.hidden():
                 continue
@@ -280,6 +304,7 @@ def _table(node: Node, depth: int) -> list[str]:
                 for c in range(column, column + wide):
                     taken[c] = deep
             column += wide
+        above.extend(_loose(loose, depth))
         taken = {c: n - 1 for c, n in taken.items() if n > 1}
         if cells:
             grid.append(cells)

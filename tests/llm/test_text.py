@@ -93,6 +93,23 @@ def test_layout(page, text):
     assert html_layout.visible_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<table><thead><th>Name</th><th>n</th></thead><tbody><tr><td>a</td><td>1</td></tr></table>", "Name  n\na     1"),
+        ("<table><tbody><td>a<td>b<tr><td>cc<td>d</table>", "a   b\ncc  d"),
+        ("<table><td>a<td>b</table>c", "a  b\n\nc"),
+        ("<table><tbody><form><tr><td>a</td><td>b</td></tr><tr><form><td>cc</td><td>d</td></form></tr></form></tbody></table>", "a   b\ncc  d"),
+        ("<table><tbody>bare <b>text</b><tr><td>a</td></tr></tbody><tfoot>foot</tfoot></table>", "bare text\nfoot\na"),
+        ("<table><tbody><div>x<tr><td>a</table>", "x\na"),
+        ("<table><tbody hidden><td>a</tbody><tbody><tr><td><table><tbody><td>b<td>c</table><td>d</table>", "b  c  d"),
+        ("<table><template><td>a</template><caption>cap<tr><td>b</table>", "cap\nb"),
+    ],
+)
+def test_table_sections(page, text):
+    assert html_layout.visible_text(page) == text
+
+
 class Visible(HTMLParser):
     """The words that a plain parser finds outside of what is never shown."""
 
