@@ -3,11 +3,13 @@
 A page is read into a tree the way browsers do it in outline: void elements have
 no end, raw-text elements hold no tags, and an element's end is implied where the
 next one can't stand inside it (a paragraph before a block, a list item before the
-next, cells and rows of tables, options, terms); a cell outside a row gets one. Elements that a browser doesn't
-show are dropped with all they hold. The rest is laid out as text: blocks on lines
-of their own, paragraphs and headings apart by an empty line, list items with
-bullets or numbers and indented by level, table cells padded to the width of
-their column, preformatted text as it is, and other white space as one space.
+next, cells and rows of tables, options, terms). A cell outside a row gets one, and
+a head ends where text or an element that can't stand in it begins. Elements that a
+browser doesn't show are dropped with all they hold. The rest is laid out as text:
+blocks on lines of their own, paragraphs and headings apart by an empty line, list
+items with bullets or numbers and indented by level, table cells padded to the
+width of their column, preformatted text as it is, and other white space as one
+space.
 
 Tasks take pages one by one, whole; nothing is shuffled.
 
@@ -50,8 +52,9 @@ IMPLIED = {
     "tfoot": (frozenset("tbody thead tfoot tr td th caption colgroup".split()), frozenset(["table"])),
     "option": (frozenset(["option"]), frozenset("select datalist optgroup".split())),
     "optgroup": (frozenset(["option", "optgroup"]), frozenset(["select"])),
-    "body": (frozenset(["head"]), frozenset()),
 }
+#: Start tags that may stand in a head; any other ends it, as non-blank text does.
+IN_HEAD = frozenset("html head title meta link base basefont bgsound style script noscript noframes template".split())
 #: What a part of a table stands in: all that is open inside the innermost of these ends before it, as in browsers.
 TAKES = {
     **dict.fromkeys(("td", "th"), frozenset("tr tbody thead tfoot table template".split())),
@@ -99,6 +102,7 @@ def tree(page: str) -> Node:
     root = Node("#root")
     open_ = [root]
     at, end = 0, len(page)
+    headed = False  # whether a head may be open
 
     def close(tags: frozenset, until: frozenset) -> None:
         for i in range(len(open_) - 1, 0, -1):
@@ -111,11 +115,22 @@ def tree(page: str) -> Node:
                     close(tags, until)
                 return
 
+    def close_head(always: bool) -> None:
+        """Ends an open head, unless what comes stands in its hidden noscript or template."""
+        nonlocal headed
+        i = next((i for i, n in enumerate(open_) if n.tag == "head"), 0) if headed else 0
+        headed = i > 0
+        if i and (always or not any(n.tag in ("noscript", "template") for n in open_[i:])):
+            del open_[i:]
+
     while at < end:
         m = _TOKEN.search(page, at)
         text = page[at : m.start() if m else end]
         if text:
-            open_[-1].children.append(html.unescape(text))
+            text = html.unescape(text)
+            if text.strip(" \t\n\f\r"):
+                close_head(False)
+            open_[-1].children.append(text)
         if not m:
             break
         at = m.end()
@@ -133,6 +148,8 @@ def tree(page: str) -> Node:
                     if open_[i].tag in SCOPE and tag not in ("table", "tr", "tbody", "thead", "tfoot", "template"):
                         break
             continue
+        if tag not in IN_HEAD:
+            close_head(tag == "body")
         if tag in CLOSES_P:
             close(frozenset(["p"]), SCOPE)
         if tag in TAKES and (i := next((i for i in range(len(open_) - 1, 0, -1) if open_[i].tag in TAKES[tag]), 0)):
@@ -142,8 +159,6 @@ def tree(page: str) -> Node:
                 open_[i].children.append(open_[-1])
         elif tag in IMPLIED:
             close(*IMPLIED[tag])
-        elif tag in BLOCK and any(n.tag == "head" for n in open_):
-            close(frozenset(["head"]), frozenset())
         node = Node(tag, m[3])
         open_[-1].children.append(node)
         if tag in RAW:
@@ -153,6 +168,7 @@ def tree(page: str) -> Node:
             at = stop.end() if stop else end
         elif tag not in VOID and len(open_) < MOST_OPEN:
             open_.append(node)
+            headed = headed or tag == "head"
     return root
 
 

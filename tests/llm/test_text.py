@@ -110,6 +110,22 @@ def test_table_sections(page, text):
     assert html_layout.visible_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<head><title>t</title>Hello <b>x</b><br>bye", "Hello x\nbye"),
+        ("<html><head><meta charset=utf-8>\n<title>t</title>\n<a href=x>link</a> more<p>block", "link more\n\nblock"),
+        ("<head><title>t</title><img alt=pic><span>s</span><font>f</font>", "pics" + "f"),
+        ("<head><title>t</title><br>a", "a"),
+        ("<head><noscript><img alt=no><p>no</noscript><template><div>no</div>no</template><style>no</style> <!-- no --></head>yes", "yes"),
+        ("<head><head><title>t</title></head>a", "a"),
+        ("<head><noscript><link rel=x><body>a", "a"),
+    ],
+)
+def test_open_heads(page, text):
+    assert html_layout.visible_text(page) == text
+
+
 class Visible(HTMLParser):
     """The words that a plain parser finds outside of what is never shown."""
 
