@@ -10,8 +10,10 @@ sequence, with the fewest patterns" is solved:
   under-covered and lowered while it's over-covered;
 * pricing by an unbounded-knapsack dynamic program over the capacity, which gives,
   for every length at once, the most valuable pattern that holds it;
-* rounding: patterns are used a whole number of times, never beyond what is left;
-  what the fractions leave is packed best-fit on the histogram.
+* rounding: patterns are used a whole number of times, never beyond what is left.
+  What the fractions leave is priced anew round by round, with patterns of pieces
+  that are left, until no pattern fills a sequence as far as the lengths left can;
+* the tail, the last pieces that no such pattern takes, is packed best-fit.
 
 The resulting plan is a list of (pattern, times). A piece finds its place by
 arithmetic on its rank among the pieces of its length; the rank is made of a count
@@ -37,6 +39,8 @@ CAPACITY = 2048
 END_ID = 0
 #: Rounds of multiplicative weights, and how far a round moves a price.
 ROUNDS, RATE = 48, 0.6
+#: A round on what the fractions leave uses a pattern this part of the times that the pieces left allow, at least once.
+PART = 8
 
 Plan = list[tuple[int, tuple[tuple[int, int], ...]]]
 
@@ -68,8 +72,8 @@ def _pattern(length: int, took: np.ndarray, capacity: int) -> tuple[tuple[int, i
     return tuple(sorted(items.items(), reverse=True))
 
 
-def fractional(need: np.ndarray, capacity: int) -> dict[tuple[tuple[int, int], ...], float]:
-    """Patterns and how often to use them, by multiplicative weights over the lengths that occur."""
+def fractional(need: np.ndarray, capacity: int) -> tuple[dict[tuple[tuple[int, int], ...], float], np.ndarray]:
+    """Patterns and how often to use them, by multiplicative weights over the lengths that occur, and the last prices."""
     lengths = np.flatnonzero(need)
     price = np.zeros(capacity + 1)
     price[lengths] = lengths / capacity
@@ -89,18 +93,73 @@ def fractional(need: np.ndarray, capacity: int) -> dict[tuple[tuple[int, int], .
         price[lengths] *= np.exp(RATE * np.clip(1 - rate, -2, 1))
         best, _ = fill_table(price, capacity)
         price /= best[capacity]
-    return used
+    return used, price
 
 
 def rounded(need: np.ndarray, used: dict, plan: Plan, capacity: int) -> np.ndarray:
-    """Use patterns whole numbers of times, the most used first; returns what is left."""
-    left = need.copy()
+    """Use full patterns the whole part of their times, the most used first; returns what is left."""
+    left, full = need.copy(), reach(need, capacity)
     for pattern, times in sorted(used.items(), key=lambda x: (-x[1], x[0])):
         n = min(int(times), *(int(left[l]) // a for l, a in pattern))
-        if n > 0 and sum(l * a for l, a in pattern) >= 0.98 * capacity:
-            plan.append((n, pattern))
-            for l, a in pattern:
-                left[l] -= n * a
+        if n > 0 and sum(l * a for l, a in pattern) >= full:
+            _use(pattern, n, left, plan)
+    return left
+
+
+def reach(need: np.ndarray, capacity: int) -> int:
+    """How far the lengths that occur can fill a sequence."""
+    return int(round(fill_table(np.where(need > 0, np.arange(capacity + 1.0), 0.0), capacity)[0][capacity]))
+
+
+def _use(pattern: tuple[tuple[int, int], ...], times: int, left: np.ndarray, plan: Plan) -> None:
+    plan.append((times, pattern))
+    for l, a in pattern:
+        left[l] -= times * a
+
+
+def _pattern_of(length: int, price: np.ndarray, best: np.ndarray, left: np.ndarray, capacity: int) -> tuple[tuple[int, int], ...]:
+    """The most valuable pattern that holds ``length``, by the prices, of pieces that are left."""
+    items, c = {length: 1}, capacity - length
+    left = left.copy()
+    left[length] -= 1
+    while c > 0:
+        worth = np.where(left[1 : c + 1] > 0, price[1 : c + 1] + best[c - 1 :: -1], -1.0)
+        l = c - int(worth[::-1].argmax())  # the longest of equals
+        if worth[l - 1] < 0:
+            break
+        items[l] = items.get(l, 0) + 1
+        left[l] -= 1
+        c -= l
+    return tuple(sorted(items.items(), reverse=True))
+
+
+def residual(need: np.ndarray, price: np.ndarray, plan: Plan, capacity: int) -> np.ndarray:
+    """Use full patterns of what is left, priced anew each round, until none fits; returns what is left."""
+    left, price = need.copy(), price.copy()
+    full, plain = reach(need, capacity), False
+    while left.any():
+        lengths = np.flatnonzero(left)
+        now = np.zeros(capacity + 1)
+        now[lengths] = price[lengths]
+        best, _ = fill_table(now, capacity)
+        before = left.copy()
+        for length in lengths[::-1].tolist():
+            if left[length]:
+                pattern = _pattern_of(length, now, best, left, capacity)
+                if sum(l * a for l, a in pattern) >= full:
+                    most = min(int(left[l]) // a for l, a in pattern)
+                    _use(pattern, max(1, most // PART), left, plan)
+        gone = before - left
+        if gone.any():
+            # dearer where fewer than the average share went
+            price[lengths] *= np.exp(RATE * np.clip(gone.sum() / before.sum() - gone[lengths] / before[lengths], -0.5, 0.5))
+            price[lengths] = np.maximum(price[lengths] / best[capacity], 1e-9)
+        elif not plain:  # by length alone, the most valuable pattern is the fullest
+            price, plain = np.arange(capacity + 1) / capacity, True
+        elif (lower := reach(left, capacity)) < full:
+            full = lower
+        else:
+            break
     return left
 
 
@@ -141,9 +200,9 @@ def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
     if need[capacity]:
         plan.append((int(need[capacity]), ((capacity, 1),)))
         need[capacity] = 0
-    for _ in range(2):  # what rounding leaves is a smaller program of the same kind
-        if need.sum():
-            need = rounded(need, fractional(need, capacity), plan, capacity)
+    if need.any():
+        used, price = fractional(need, capacity)
+        need = residual(rounded(need, used, plan, capacity), price, plan, capacity)
     best_fit(need, plan, capacity)
     return plan
 

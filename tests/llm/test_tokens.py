@@ -197,3 +197,20 @@ def test_plans_hold_every_piece_once(lengths):
         assert times > 0 and sum(n * each for n, each in pattern) <= 2048
         held.update({n: times * each for n, each in pattern})
     assert held == Counter(lengths)
+
+
+@pytest.mark.parametrize("n, least", [(500, 0.7), (5_000, 0.9), (50_000, 0.97)])
+def test_the_program_places_nearly_all(monkeypatch, n, least):
+    tail, best_fit = [], packing.best_fit
+    monkeypatch.setattr(packing, "best_fit", lambda need, plan, capacity: (tail.append(int(need.sum())), best_fit(need, plan, capacity)))
+    lengths = np.random.default_rng(4).gamma(1.2, 500, n).astype(int) % 2047 + 1
+    plan = packing.plan_sequences(Counter(lengths.tolist()))
+    assert 1 - sum(tail) / n >= least
+    assert sum(times for times, _ in plan) <= 1.01 * -(-lengths.sum() // 2048) + 1
+
+
+def test_the_program_places_lengths_that_leave_room(monkeypatch):
+    tail, best_fit = [], packing.best_fit
+    monkeypatch.setattr(packing, "best_fit", lambda need, plan, capacity: (tail.append(int(need.sum())), best_fit(need, plan, capacity)))
+    assert sum(times for times, _ in packing.plan_sequences({700: 2000, 600: 1000})) == 1000
+    assert sum(tail) <= 30
