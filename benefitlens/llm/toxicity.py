@@ -41,7 +41,7 @@ from benefitlens.llm.words import WordTable, groups, ragged
 #: Bounds of the training: labelled rows, features of each category, partitions of the sample.
 SAMPLE, FEATURES, SAMPLE_PARTS = 24_000, 256, 4
 FOLDS, ITERATIONS, TOLERANCE, REGULARISATION = 3, 30, 1e-4, 3e-4
-#: A feature must occur in this many documents of one partition of the sample to be counted.
+#: A feature must occur in this many documents of the sample.
 LEAST_DOCUMENTS = 3
 #: Probabilities that a category's decision may begin at; the held-out predictions choose among them.
 THRESHOLDS = [i / 20 for i in range(2, 19)]
@@ -86,12 +86,12 @@ def _choose(sample: DataFrame, categories: list[str]) -> list[str]:
                 at, owner = np.concatenate(found), np.repeat(np.arange(first, first + len(found)), [len(f) for f in found])
                 counts = np.pad(counts, ((0, 0), (0, len(number) - counts.shape[1])))
                 counts += np.stack([np.bincount(at, y[owner], len(number)) for y in labels]).astype(np.int64)
-        kept = np.flatnonzero(counts[0] >= LEAST_DOCUMENTS) if counts.shape[1] else np.zeros(0, np.int64)
         names = list(number)
-        yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in kept], pa.string()), *(pa.array(c[kept], pa.int64()) for c in counts)], names=["feature", "n", *categories])
+        for i in range(0, len(names), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(names[i : i + 50_000], pa.string()), *(pa.array(c[i : i + 50_000], pa.int64()) for c in counts)], names=["feature", "n", *categories])
 
     counted = sample.mapInArrow(count, "feature string, n bigint, " + ", ".join(f"{c} bigint" for c in categories)).groupBy("feature").agg(F.sum("n").alias("n"), *(F.sum(c).alias(c) for c in categories))
-    counted = written(counted, "feature-counts")
+    counted = written(counted.filter(F.col("n") >= LEAST_DOCUMENTS), "feature-counts")
     totals = sample.agg(F.count("*").alias("rows"), *(F.sum(c).alias(c) for c in categories)).first()
     chosen: dict[str, None] = {}
     for c in categories:

@@ -52,6 +52,14 @@ def test_chain_on_held_out_rows(spark):
         assert (r["p_rude"] >= chain.thresholds["rude"], r["p_threat"] >= chain.thresholds["threat"]) == (bool(r["rude"]), bool(r["threat"]))
 
 
+def test_features_are_counted_over_the_whole_sample(spark):
+    rows = [(i, f"only zebra{i}" + (" quagga" if i % 10 < 2 else " and rare" if i == 5 or i == 15 else ""), int(i % 10 < 2)) for i in range(40)]
+    sample = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4), "doc_id long, text string, toxic int")
+    chosen = toxicity._choose(sample, ["toxic"])
+    assert "=quagga" in chosen and "=only" in chosen
+    assert "=rare" not in chosen
+
+
 def test_toxicity_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, 1), (2, "", 1), (None, "x y", 1), (3, "bad " * 9000, 1), (3, "bad " * 9000, 1)], "doc_id long, text string, toxic int")
     labels = spark.createDataFrame([(1, 0, None), (2, None, 1), (None, 1, 1), (77, 1, 1)], "doc_id long, quality int, toxic int")
