@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from benefitlens.llm import align, bpe, exact_dedup, html_layout, imatch, ngram_join, packing, pq_dedup, quotes, token_counts, token_files, toxicity
+from benefitlens.llm import align, bpe, exact_dedup, html_layout, imatch, ngram_join, packing, pq_dedup, prefix_trie, quotes, token_counts, token_files, toxicity
 from benefitlens.llm.common import fresh_folder, table
 
 
@@ -57,6 +57,10 @@ def op11_pq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(table(spark, sf_dir, "documents"))
 
@@ -64,8 +68,8 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_byte_bpe, op2_exact_dedup, op3_toxicity_chain, op4_best_fit_packing, op5_token_files,
     op6_ngram_jaccard, op7_imatch, op8_html_layout, op9_token_counts, op10_quotation_links,
-    op11_pq_near_dedup, op13_token_alignment,
+    op11_pq_near_dedup, op12_prefix_trie, op13_token_alignment,
 )}
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact_dedup.ORACLE, "op10_quotation_links": quotes.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact_dedup.ORACLE, "op10_quotation_links": quotes.ORACLE, "op12_prefix_trie": prefix_trie.ORACLE}
