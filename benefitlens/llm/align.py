@@ -59,7 +59,7 @@ RUN_LINKS, RUN_DOCS, GROUP_DOCS = 1_500_000, 1 << 16, 1 << 13
 #: Pairs in one block of a merged stream, and bytes of record runs in one cell.
 BLOCK, CELL_BYTES = 1 << 16, 8 << 20
 #: A worker's unit table starts anew beyond so many units or links; longer units aren't kept in it.
-MOST_UNITS, MOST_LINKS, LONG_UNIT = 200_000, 3_000_000, 200
+MOST_UNITS, MOST_LINKS, LONG_UNIT = 250_000, 3_000_000, 200
 
 _MADE = pa.schema([("kind", pa.string()), ("task", pa.int64()), ("run", pa.int32()), ("at", pa.int32()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("radix", pa.int32()), ("data", pa.binary())])
 _MADE_SPARK = "kind string, task bigint, run int, at int, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, radix int, data binary"
@@ -102,81 +102,110 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=vocabulary_path(b_name))
         letter_byte = {x: b for b, x in byte_letters().items()}
-        self.a_bytes = {i: bytes(letter_byte[c] if c in letter_byte else 0 for c in p) for p, i in self.a.get_vocab(False).items()}
+        entries = self.a.get_vocab(False)
+        self.a_bytes = [b""] * (1 + max(entries.values()))
+        for p, i in entries.items():
+            self.a_bytes[i] = bytes(letter_byte.get(c, 0) for c in p)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        if len(pieces) > 1 << B_BITS:
+        if max(len(pieces), len(self.a_bytes)) > 1 << B_BITS:
             raise ValueError(f"vocabularies of more than {1 << B_BITS} pieces need a larger B_BITS")
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.a_size, self.b_size = [np.fromiter(map(len, x), np.int64, len(x)) for x in (self.a_bytes, self.b_bytes)]
         self.space = self.b.piece_to_id("▁")
+        most = max(len(self.a_bytes), len(self.b_bytes))
+        self.named = {mark: [f"{i}{mark}" for i in range(most)] for mark in ",|;"}
+        self.digits = np.fromiter((len(x) for x in self.named[","]), np.int64, most)
         white = "".join(map(chr, _WHITE))
         local = not any(re.search("[^▁]▁", p) for p in pieces)
         self.split = re.compile(f"(?<=[^{white}])(?=\x20)").split if local else lambda text: [text]
-        self._clear()
-
-    def _clear(self) -> None:
+        self.ends_white = re.compile(f"[{white}]\\Z").search
         self.rows: dict[str, int] = {}
         self.text: list[str] = []
         self.counts = np.zeros((0, 4), np.int64)  # n_a, n_b, n_groups, n_links; n_a -1: bytes differ
-        self.first, self.pairs = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.first, self.pairs, self.met = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _shrink(self) -> None:
+        """Drops the units met once only, or all where that leaves too many."""
+        keep = np.flatnonzero(self.met > 1)
+        few = 2 * len(keep) <= MOST_UNITS and 2 * self.counts[keep, 3].sum() <= MOST_LINKS
+        self._keep(keep if few else keep[:0])
+        self.met[:] = 0
+
+    def _keep(self, rows: np.ndarray) -> None:
+        units = list(self.rows)  # in the order of their rows
+        self.rows = {units[k]: i for i, k in enumerate(rows.tolist())}
+        self.text = [self.text[k] for k in rows.tolist()]
+        self.pairs = self.pairs[spread(self.first[rows], self.counts[rows, 3])]
+        self.counts, self.met = self.counts[rows], self.met[rows]
+        self.first = np.cumsum(self.counts[:, 3]) - self.counts[:, 3]
 
     def _work_out(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """(groups as text, counts, pairs one unit after another) of units."""
-        texts, counts, pairs = [], [], []
-        encoded = self.a.encode_batch(units, add_special_tokens=False)
-        others = self.b.encode([u[1:] for u in units], num_threads=1)
-        for u, ea, ids_b in zip(units, encoded, others):
-            ids_a, ids_b = ea.ids, ids_b or ([self.space] if u == " " else [])
-            bytes_a, bytes_b = [self.a_bytes[i] for i in ids_a], [self.b_bytes[i] for i in ids_b]
-            raw = u.encode()
-            if b"".join(bytes_a) != raw or b"".join(bytes_b) != raw:
-                texts.append("")
-                counts.append((-1, 0, 0, 0))
-                continue
-            # between two neighbouring ends of either side lies the overlap of one A and one B token
-            linked, groups, i, j, from_i, from_j = [], [], 0, 0, 0, 0
-            end_a = end_b = 0
-            while i < len(ids_a):
-                end_a, end_b = end_a or len(bytes_a[i]), end_b or len(bytes_b[j])
-                linked.append(ids_a[i] << B_BITS | ids_b[j])
-                less = min(end_a, end_b)
-                end_a, end_b = end_a - less, end_b - less
-                i, j = i + (not end_a), j + (not end_b)
-                if not end_a and not end_b:
-                    groups.append(",".join(map(str, ids_a[from_i:i])) + "|" + ",".join(map(str, ids_b[from_j:j])))
-                    from_i, from_j = i, j
-            texts.append(";".join(groups))
-            counts.append((len(ids_a), len(ids_b), len(groups), len(linked)))
-            pairs += linked
-        return texts, np.array(counts, np.int64).reshape(-1, 4), np.array(pairs, np.int64)
+        """(groups as text, counts, pairs one unit after another) of units, tokenised as one text.
+
+        Where the bytes differ, halves of the units are tried, down to the single units that fail.
+        """
+        joined = "".join(units)
+        raw = joined.encode()
+        ids_a = np.array(self.a.encode(joined, add_special_tokens=False).ids, np.int64)
+        ids_b = np.array(self.b.encode(joined[1:], num_threads=1) if len(joined) > 1 else [self.space], np.int64)
+        if b"".join(map(self.a_bytes.__getitem__, ids_a.tolist())) != raw or b"".join(map(self.b_bytes.__getitem__, ids_b.tolist())) != raw:
+            if len(units) == 1:
+                return [""], np.array([[-1, 0, 0, 0]]), np.zeros(0, np.int64)
+            half = len(units) // 2
+            (t, c, p), (u, d, q) = self._work_out(units[:half]), self._work_out(units[half:])
+            return t + u, np.concatenate([c, d]), np.concatenate([p, q])
+        ends_a, ends_b = np.cumsum(self.a_size[ids_a]), np.cumsum(self.b_size[ids_b])
+        unit_ends = np.cumsum(np.fromiter((len(u.encode()) for u in units), np.int64, len(units)))
+        # between two neighbouring ends of either side lies the overlap of one A and one B token
+        both = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        twice = both[1:] == both[:-1]
+        ends, cuts = both[np.append(~twice, True)], both[1:][twice]
+        pairs = ids_a[np.searchsorted(ends_a, ends)] << B_BITS | ids_b[np.searchsorted(ends_b, ends)]
+        counts = np.stack([np.diff(np.searchsorted(x, unit_ends, "right"), prepend=0) for x in (ends_a, ends_b, cuts, ends)], 1)
+        # groups as text: A ids, bar, B ids, semicolon; the last of a group's side carries the mark
+        of_a, of_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        order = np.argsort(np.concatenate([2 * of_a, 2 * of_b + 1]), kind="stable")
+        ids, last = np.concatenate([ids_a, ids_b])[order], np.concatenate([cuts[of_a] == ends_a, cuts[of_b] == ends_b])[order]
+        mark = np.where(last, np.where(order < len(ids_a), 1, 2), 0)
+        names = self.named[","], self.named["|"], self.named[";"]
+        text = "".join([names[m][i] for m, i in zip(mark.tolist(), ids.tolist())])
+        at = np.cumsum(self.digits[ids])[np.cumsum(counts[:, 0] + counts[:, 1]) - 1].tolist()
+        return [text[i:j] for i, j in zip([0, *at], at)], counts, pairs
 
     def documents(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
         """(n_a, n_b, n_groups, n_links of each text; digests of the groups; text number and pair of every link)."""
         units = [self.split(" " + t) if t else [] for t in texts]
         if len(self.rows) > MOST_UNITS or len(self.pairs) > MOST_LINKS:
-            self._clear()
+            self._shrink()
         known = self.rows
         new = [u for u in dict.fromkeys(itertools.chain.from_iterable(units)) if u not in known]
-        long = {u for u in new if len(u) > LONG_UNIT}
         if new:
-            worked, counts, pairs = self._work_out(new)
-            known.update(zip(new, range(len(self.text), len(self.text) + len(new))))
-            self.text += worked
+            # a unit that ends in white space, as a text's last may, would run into the next
+            alone = [u for u in new if self.ends_white(u)]
+            some = set(alone)
+            parts = [self._work_out(x) for x in ([u for u in new if u not in some], *[[u] for u in alone]) if x]
+            order = [u for u in new if u not in some] + alone
+            known.update(zip(order, range(len(self.text), len(self.text) + len(order))))
+            counts = np.concatenate([c for _, c, _ in parts])
+            self.text += itertools.chain.from_iterable(t for t, _, _ in parts)
             self.first = np.concatenate([self.first, len(self.pairs) + np.cumsum(counts[:, 3]) - counts[:, 3]])
-            self.pairs, self.counts = np.concatenate([self.pairs, pairs]), np.concatenate([self.counts, counts])
+            self.pairs, self.counts = np.concatenate([self.pairs, *[p for _, _, p in parts]]), np.concatenate([self.counts, counts])
+            self.met = np.concatenate([self.met, np.zeros(len(order), np.int64)])
         size = np.fromiter(map(len, units), np.int64, len(units))
         rows = np.fromiter(map(known.__getitem__, itertools.chain.from_iterable(units)), np.int64, int(size.sum()))
+        np.add.at(self.met, rows, 1)
         counts = self.counts[rows]
         of = np.repeat(np.arange(len(texts)), size)
         fails = np.zeros(len(texts), bool)
         fails[of[counts[:, 0] < 0]] = True
         counts[fails[of]] = 0
-        numbers = np.zeros((len(texts), 4), np.int64)
-        np.add.at(numbers, of, counts)
+        numbers = np.stack([np.bincount(of, counts[:, i], len(texts)).astype(np.int64) for i in range(4)], 1)
         ends = np.cumsum(size)
-        digests = [hashlib.sha256(";".join(map(self.text.__getitem__, rows[e - n : e].tolist())).encode()).hexdigest() if n and not f else "" for e, n, f in zip(ends.tolist(), size.tolist(), fails.tolist())]
+        digests = [hashlib.sha256("".join(map(self.text.__getitem__, rows[e - n : e].tolist())).encode()[:-1]).hexdigest() if n and not f else "" for e, n, f in zip(ends.tolist(), size.tolist(), fails.tolist())]
         found = self.pairs[spread(self.first[rows], counts[:, 3])], np.repeat(of, counts[:, 3])
-        if long:  # not kept: a few of them could fill the table
-            self._clear()
+        long = [known[u] for u in new if len(u) > LONG_UNIT]
+        if long:  # not kept; a few of them could fill the table
+            self._keep(np.delete(np.arange(len(self.text)), long))
         return numbers, digests, found[1], found[0]
 
 
