@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from benefitlens.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
+from benefitlens.operators.prefix import ranks_within
 
 
 def _order(score: str, ascending: bool, tiebreak: str) -> list[Column]:
@@ -31,27 +32,25 @@ def rank_topk(df: DataFrame, k: int, score="p", ascending=False,
     return top.withColumn("rank", F.row_number().over(w))
 
 
-#: Parts in which a region's rows are first cut to K when K exceeds Spark's own limit for that.
-RANK_PARTS = 32
-
-
 def _best_per_region(scored: DataFrame, k: int, order: list[Column]) -> DataFrame:
     """Rows ranked up to ``k`` in their region.
 
     Up to the session's window-group limit Spark keeps only k rows a region in
-    every map task.  Beyond it a region's rows are dealt into ``RANK_PARTS``
-    parts, each cut to its own k best, so no task sorts a whole hot region.
+    every map task.  Beyond it the rows are ranked by the distributed scan, so
+    no task sorts a whole hot region.
     """
     limit = int(scored.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if k > limit:
-        part = F.pmod(F.xxhash64(*scored.columns), F.lit(RANK_PARTS))
-        inner = Window.partitionBy("region", "_part").orderBy(*order)
-        scored = (scored.withColumn("_part", part).withColumn("_rn", F.row_number().over(inner))
-                  .filter(F.col("_rn") <= F.lit(k)).drop("_part", "_rn"))
+        return _ranked(scored, order).filter(F.col("rank") <= F.lit(k))
     w = Window.partitionBy("region").orderBy(*order)
     return scored.select("*", F.row_number().over(w).alias("rank")).filter(F.col("rank") <= F.lit(k))
 
 
+def _ranked(scored: DataFrame, order: list[Column]) -> DataFrame:
+    """All rows with their rank in their region, whatever a region's share of them."""
+    return ranks_within(scored, ["region"], order)
+
+
 def filter_ci(df: DataFrame, column: str, value: str) -> DataFrame:
     """PF5: case-insensitive equality filter."""
     return df.filter(F.lower(F.col(column)) == F.lit(value.lower()))
@@ -81,6 +80,7 @@ def rank_capacity(scored: DataFrame, regions: DataFrame, top_k: int | None = Non
     possible K (a literal from the small dimension): Spark then plans a
     WindowGroupLimit that keeps only that many rows per region in every map
     task before the shuffle, and the hot region never lands whole in one task.
+    Regions without a limit are ranked by the distributed scan of ``prefix``.
     """
     if region_filter is not None:
         scored = filter_ci(scored, "region", region_filter)
@@ -101,8 +101,7 @@ def rank_capacity(scored: DataFrame, regions: DataFrame, top_k: int | None = Non
     capped = _best_per_region(scored.join(side(known.select("region")), "region", "left_semi"), int(stats["k"] or 0), order)
     capped = capped.join(side(known), "region").filter(F.col("rank") <= F.col("k_eff")).drop("k_eff")
     uncapped = scored.join(side(known.select("region")), "region", "left_anti")
-    w = Window.partitionBy("region").orderBy(*order)
-    uncapped = uncapped.select("*", F.row_number().over(w).alias("rank"), F.lit(None).cast("int").alias("capacity"))
+    uncapped = _ranked(uncapped, order).withColumn("capacity", F.lit(None).cast("int"))
     return capped.unionByName(uncapped)
 
 
