@@ -3,7 +3,7 @@
 Vectors of unit length with a cosine of c or more are at most r = sqrt(2 - 2c) apart; every bound below uses this
 reach r, so the search loses no link:
 
-* **Coarse lists.** Centroids (about half the root of the number of distinct vectors, none within r of another at the
+* **Coarse lists.** Centroids (about a quarter of the root of the number of distinct vectors, none within r of another at the
   start) are fitted on a bounded sample; every vector is indexed in the list of its nearest centroid.
 * **Sufficient probes.** Say x lies in list a and y in list b. The plane half way between both centroids parts them,
   so x's and y's distances from it add up to |x - y| at most: if they are linked, one of them is within r / 2 of the
@@ -42,6 +42,8 @@ from benefitlens.llm.components import components
 #: Distinct vectors that centroids and codewords are fitted on, at most (about: a share of them by hash).
 SAMPLE = 32_768
 MOST_LISTS = 4_096
+#: Rows of the sample that the codewords are fitted on.
+CODED = 8_192
 #: Values of a vector to a code byte; codewords of a subspace.
 SUB, WORDS = 8, 256
 #: Entries of a list in one block, vectors that probe one copy of a list, and vectors compared at once.
@@ -49,8 +51,8 @@ BLOCK, PROBING, AT_ONCE = 8_192, 65_536, 256
 #: Room for rounding in every bound.
 SLACK = 1e-6
 
-_INDEX = "class_id bigint, size bigint, list int, core boolean, unit binary, code binary, missed double, probes array<int>"
-_INDEX_ARROW = pa.schema([("class_id", pa.int64()), ("size", pa.int64()), ("list", pa.int32()), ("core", pa.bool_()), ("unit", pa.binary()), ("code", pa.binary()), ("missed", pa.float64()), ("probes", pa.list_(pa.int32()))])
+_INDEX = "class_id bigint, size bigint, list int, core boolean, vector binary, code binary, missed double, probes array<int>"
+_INDEX_ARROW = pa.schema([("class_id", pa.int64()), ("size", pa.int64()), ("list", pa.int32()), ("core", pa.bool_()), ("vector", pa.binary()), ("code", pa.binary()), ("missed", pa.float64()), ("probes", pa.list_(pa.int32()))])
 
 
 def squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -77,10 +79,10 @@ def k_means(x: np.ndarray, start: np.ndarray, rounds: int) -> np.ndarray:
     centres = start
     for _ in range(rounds):
         near = np.concatenate([squared(part, centres).argmin(1) for part in np.array_split(x, 1 + len(x) // 2048)])
-        total = np.zeros_like(centres)
-        np.add.at(total, near, x)
-        n = np.bincount(near, minlength=len(centres))[:, None]
-        centres = np.where(n > 0, total / np.maximum(n, 1), centres)
+        order = np.argsort(near, kind="stable")
+        some, first, n = np.unique(near[order], return_index=True, return_counts=True)
+        centres = centres.copy()
+        centres[some] = np.add.reduceat(x[order], first) / n[:, None]
     return centres
 
 
@@ -95,7 +97,7 @@ class Quantizer:
         self.centres = k_means(x, spaced(centres, n_lists, self.reach), 3)
         self.pad = -x.shape[1] % SUB
         near = np.concatenate([squared(part, self.centres).argmin(1) for part in np.array_split(x, 1 + len(x) // 2048)])
-        residual = self.parts(x - self.centres[near])
+        residual = self.parts(x - self.centres[near])[:CODED]
         self.words = []
         for m in range(residual.shape[1]):
             start = spaced(residual[:, m], WORDS, 1e-9)
@@ -123,10 +125,10 @@ class Quantizer:
         missed = np.sqrt(((residual - said) ** 2).sum((1, 2)))
         return near, np.sqrt(own) <= self.reach / 2 - SLACK, codes, missed, [np.flatnonzero(p).astype(np.int32) for p in probe]
 
-    def table(self, x: np.ndarray, which: int) -> np.ndarray:
-        """Squared distances of vectors' residuals to a list's codewords: (vector, subspace, word)."""
+    def tables(self, x: np.ndarray, which: int) -> list[np.ndarray]:
+        """For each subspace, squared distances of a list's codewords to the vectors' residuals: (word, vector)."""
         residual = self.parts(x - self.centres[which])
-        return np.stack([np.pad(squared(residual[:, m], w), ((0, 0), (0, WORDS - len(w)))) for m, w in enumerate(self.words)], 1).astype(np.float32)
+        return [squared(w, residual[:, m]).astype(np.float32) for m, w in enumerate(self.words)]
 
 
 class Cell:
@@ -159,11 +161,10 @@ class Cell:
 
     def _links(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (vector, entry) that are linked: look-ups first, then the cosine."""
-        table = self.q.table(x, self.which)
-        gap = table[:, 0, self.code[:, 0]]
-        for m in range(1, table.shape[1]):
-            gap += table[:, m, self.code[:, m]]
-        i, j = np.nonzero(gap <= ((self.q.reach + self.missed + 1e-3) ** 2).astype(np.float32))
+        gap = 0
+        for m, table in enumerate(self.q.tables(x, self.which)):
+            gap = gap + table[self.code[:, m]]
+        j, i = np.nonzero(gap <= ((self.q.reach + self.missed + 1e-3) ** 2).astype(np.float32)[:, None])
         keep = np.zeros(len(i), bool)
         for at in range(0, len(i), 1 << 15):
             s = slice(at, at + (1 << 15))
@@ -224,6 +225,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
     """vec_id, n_links, component_id, kept of every row."""
     spark = vectors.sparkSession
     on_workers(spark)
+    kind = "<f4" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"  # as they travel
     v = F.col("embedding")
     sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(v, lambda x: x != 0)
     rows = vectors.select(vectors[id_col].cast("bigint").alias("vec_id"), vectors[vector_col].cast("array<double>").alias("embedding"))
@@ -236,7 +238,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
     alone = bad.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     found = None
     for length in lengths:
-        part = _links(spark, classes.filter(F.col("length") == length), cosine)
+        part = _links(spark, classes.filter(F.col("length") == length), cosine, kind)
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = spark.createDataFrame([], "class_id bigint, other bigint, n bigint")
@@ -251,23 +253,23 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
     return out.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("n_links") == 0).alias("kept")).unionByName(alone)
 
 
-def _links(spark: SparkSession, classes: DataFrame, cosine: float) -> DataFrame:
+def _links(spark: SparkSession, classes: DataFrame, cosine: float, kind: str) -> DataFrame:
     """class_id, other (a class it hangs together with), n (rows linked there), of distinct vectors of one length."""
     n = classes.count()
     share = min(1.0, SAMPLE / n)
     picked = classes.filter(F.pmod(F.xxhash64("embedding"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))) if share < 1 else classes
     sample = picked.select("embedding").orderBy(F.xxhash64("embedding"), "embedding").toArrow()
     points = np.array(sample.column(0).to_pylist(), np.float64)
-    quantizer = Quantizer(points, min(MOST_LISTS, max(1, round(math.sqrt(n) / 2))), cosine)
+    quantizer = Quantizer(points, min(MOST_LISTS, max(1, round(math.sqrt(n) / 4))), cosine)
     held = spark.sparkContext.broadcast(quantizer)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                x = units(np.array(part.column(2).to_pylist(), np.float64))
-                near, core, codes, missed, probes = held.value.entries(x)
-                data = [part.column(0), part.column(1), near.astype(np.int32), core, [r.tobytes() for r in x], [r.tobytes() for r in codes], missed, probes]
+                x = np.array(part.column(2).to_pylist(), np.float64)
+                near, core, codes, missed, probes = held.value.entries(units(x))
+                data = [part.column(0), part.column(1), near.astype(np.int32), core, [r.tobytes() for r in x.astype(kind)], [r.tobytes() for r in codes], missed, probes]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(data, _INDEX_ARROW)], schema=_INDEX_ARROW)
 
     entries = written(classes.select("class_id", "size", "embedding").mapInArrow(index, _INDEX), "pq-index")
@@ -284,7 +286,7 @@ def _links(spark: SparkSession, classes: DataFrame, cosine: float) -> DataFrame:
                     end += 1
                 part = batch.slice(at, end - at)
                 ids, sizes, lists = [part.column(i).to_numpy() for i in (4, 5, 6)]
-                unit = np.frombuffer(b"".join(part.column(8).to_pylist()), np.float64).reshape(end - at, -1)
+                unit = units(np.frombuffer(b"".join(part.column(8).to_pylist()), kind).reshape(end - at, -1).astype(np.float64))
                 if where[at] != key:
                     if cell is not None:
                         yield from _answer(cell, key[2] == 0)
@@ -317,9 +319,9 @@ def _cells(entries: DataFrame) -> DataFrame:
     deal = lambda salt, n: F.pmod(F.xxhash64("class_id", F.lit(salt)), n).cast("int")
     block = F.when(F.col("core"), deal(1, F.greatest("cores", F.lit(1)))).otherwise(F.col("cores") + deal(1, F.greatest(F.col("blocks") - F.col("cores"), F.lit(1))))
     own = entries.join(lists, entries["list"] == lists["in_list"]).withColumn("block", block)
-    columns = ["class_id", "size", "list", "core", "unit", "code", "missed", "probes"]
+    columns = ["class_id", "size", "list", "core", "vector", "code", "missed", "probes"]
     as_entry = own.select(F.col("in_list"), "block", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(0).alias("role"), *columns)
-    plain = ["class_id", "size", "list", "core", "unit", F.lit(None).cast("binary").alias("code"), F.lit(None).cast("double").alias("missed"), F.lit(None).cast("array<int>").alias("probes")]
+    plain = ["class_id", "size", "list", "core", "vector", F.lit(None).cast("binary").alias("code"), F.lit(None).cast("double").alias("missed"), F.lit(None).cast("array<int>").alias("probes")]
     # the rest of a list meets its core blocks and the later blocks of the rest
     meets = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: (b < F.col("cores")) | (b > F.col("block")))
     rest = own.filter("NOT core").select("in_list", F.explode(meets).alias("block"), deal(2, F.col("copies")).alias("copy"), F.lit(1).alias("role"), *plain)
