@@ -44,7 +44,7 @@ from benefitlens.llm.common import BLANKS, on_workers, written
 #: Conversations of one base, and how many turns at most are taken over from it.
 FAMILY, HEADS = 20, 4
 #: Members of a node below which it may hang in a shard, and the nodes above shards that this allows.
-LIGHT, MOST_ABOVE = 1024, 1 << 16
+LIGHT, MOST_ABOVE = 32, 1 << 16
 #: Messages a queue holds in memory, and how many are read of a spilled run at once.
 HELD, READ = 200_000, 2_000
 #: Ids of one block of a node's list.
