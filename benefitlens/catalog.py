@@ -353,6 +353,26 @@ def q_cardinality_top5(spark, sf):
     return cardinality_top5(_emp(spark, sf))
 
 
+WIDE_COLUMNS = ["user_id", "event_type", "props"]
+
+
+@query("top_values_wide")
+def q_top_values_wide(spark, sf):
+    """A7 on the event table's text forms: nearly unique columns among them."""
+    from benefitlens.operators.heavy import top_values
+    return top_values(spark.read.parquet(f"{sf}/events.parquet"), WIDE_COLUMNS)
+
+
+@query("cardinality_approx")
+def q_cardinality_approx(spark, sf):
+    """A7's estimated distinct counts beside the exact ones: within three standard deviations."""
+    from benefitlens.operators.heavy import approx_cardinality
+    e = spark.read.parquet(f"{sf}/events.parquet").select(*[F.col(c).cast("string").alias(c) for c in WIDE_COLUMNS])
+    exact = e.agg(*[F.count_distinct(c).alias(c) for c in WIDE_COLUMNS]).unpivot([], WIDE_COLUMNS, "column_name", "n_exact")
+    j = approx_cardinality(e, WIDE_COLUMNS).join(exact, "column_name")
+    return j.select("column_name", "n_exact", (F.abs(F.col("n_unique") - F.col("n_exact")) <= 3 * F.col("relative_sd") * F.col("n_exact")).alias("within"))
+
+
 @query("distinct_levels")
 def q_distinct_levels(spark, sf):
     from benefitlens.operators.profile import distinct_levels

@@ -314,6 +314,15 @@ SELECT c.column_name, c.value, c.count, c.rank, d.n_unique FROM (
   SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY count DESC, value ASC NULLS FIRST) AS rank
   FROM counts) c LEFT JOIN card d ON c.column_name = d.column_name WHERE c.rank <= 5
 """, ints=["count", "rank", "n_unique"])
+_WIDE = "\nUNION ALL\n".join(f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM events" for c in ("user_id", "event_type", "props"))
+oracle("top_values_wide", f"""
+, long AS ({_WIDE}), counts AS (SELECT column_name, value, count(*) AS count FROM long GROUP BY column_name, value)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY count DESC, value ASC NULLS FIRST) AS rank FROM counts)
+WHERE rank <= 5
+""", ints=["count", "rank"])
+oracle("cardinality_approx", f"""
+, long AS ({_WIDE}) SELECT column_name, CAST(count(DISTINCT value) AS BIGINT) AS n_exact, true AS within FROM long GROUP BY column_name
+""")
 oracle("distinct_levels", """
 SELECT DISTINCT plan_tier_requested_clean FROM eng WHERE plan_tier_requested_clean IS NOT NULL
 """)

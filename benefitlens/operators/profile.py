@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,20 +102,45 @@ def value_counts(df: DataFrame, column: str, normalize: bool = False, dropna: bo
     return g
 
 
-def cardinality_top5(df: DataFrame, columns=None, top: int = 5) -> DataFrame:
+#: A text column with more distinct values (estimated) takes its top values from sketches.
+NARROW = 100_000
+
+
+def cardinality_top5(df: DataFrame, columns=None, top: int = 5, exact: bool = True, rsd: float = 0.01,
+                     narrow: int = NARROW) -> DataFrame:
     """Distinct count and the ``top`` most frequent values of every text
-    column, in one unpivot + one grouped count.
+    column.
+
+    Columns of few values are counted in one unpivot + one grouped count.  For
+    wide ones the top values come from count-min candidates that are recounted
+    (``heavy``), so they're exact without shuffling every value.  ``exact=False``
+    reports HyperLogLog estimates as ``n_unique`` and adds ``relative_sd``,
+    their relative standard deviation.
 
     Ties are broken by the value text so the report is deterministic.
     """
+    from benefitlens.operators.heavy import approx_cardinality, top_values
     cols = columns or text_columns(df)
-    long = df.select(*cols).unpivot([], cols, "column_name", "value")
-    counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).cast("bigint").alias("count"))
-    card = (counts.filter(F.col("value").isNotNull()).groupBy("column_name")
-            .agg(F.count(F.lit(1)).cast("bigint").alias("n_unique")))
-    w = Window.partitionBy("column_name").orderBy(F.col("count").desc(), F.col("value").asc_nulls_first())
-    ranked = counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
-    return ranked.join(card, "column_name", "left")
+    estimates = {r["column_name"]: r["n_unique"] for r in approx_cardinality(df, cols, rsd).collect()}  # a number a column
+    wide = [c for c in cols if estimates[c] > narrow]
+    few = [c for c in cols if c not in wide]
+    parts, cards = [], []
+    if few:
+        long = df.select(*few).unpivot([], few, "column_name", "value")
+        counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).cast("bigint").alias("count"))
+        w = Window.partitionBy("column_name").orderBy(F.col("count").desc(), F.col("value").asc_nulls_first())
+        parts.append(counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top))
+        cards.append(counts.filter(F.col("value").isNotNull()).groupBy("column_name")
+                     .agg(F.count(F.lit(1)).cast("bigint").alias("n_unique")))
+    if wide:
+        parts.append(top_values(df, wide, top))
+        long = df.select(*wide).unpivot([], wide, "column_name", "value").filter(F.col("value").isNotNull())
+        cards.append(long.distinct().groupBy("column_name").agg(F.count(F.lit(1)).cast("bigint").alias("n_unique")))
+    ranked = reduce(DataFrame.unionByName, parts)
+    if exact:
+        return ranked.join(reduce(DataFrame.unionByName, cards), "column_name", "left")
+    known = F.create_map(*[F.lit(x) for c in cols for x in (c, estimates[c])])
+    return ranked.withColumns({"n_unique": F.nullif(known[F.col("column_name")], F.lit(0)).cast("bigint"), "relative_sd": F.lit(float(rsd))})
 
 
 def distinct_levels(df: DataFrame, column: str) -> DataFrame:
@@ -187,13 +214,26 @@ def missing_corr(df: DataFrame, columns, target: str = "enrolled") -> DataFrame:
 
 
 def missing_cooccur(df: DataFrame, columns) -> DataFrame:
-    """Rows where both columns of a pair are null, all pairs in one pass."""
-    pairs = [(a, b) for a in columns for b in columns if a < b]
-    agg = df.agg(*[F.count_if(F.col(a).isNull() & F.col(b).isNull()).cast("bigint").alias(f"{a}|{b}")
-                   for a, b in pairs])
-    long = agg.unpivot([], [f"`{a}|{b}`" for a, b in pairs], "pair", "both_missing")
-    return (long.withColumn("column_a", F.split("pair", r"\|")[0])
-                .withColumn("column_b", F.split("pair", r"\|")[1]).drop("pair"))
+    """Rows where both columns of a pair are null, for all pairs (also those that never meet).
+
+    A row's pattern is the list of its null columns.  Rows are counted by
+    pattern (combined map-side), and pairs are expanded from the distinct
+    patterns only, so neither the plan nor the work grows with rows times
+    columns squared.
+    """
+    names = sorted(set(columns))
+    marks = [F.when(F.col(f"`{c}`").isNull(), F.lit(i)) for i, c in enumerate(names)]
+    patterns = (df.select(F.array_compact(F.array(*marks)).alias("_p")).filter(F.size("_p") > 1)
+                .groupBy("_p").agg(F.count(F.lit(1)).alias("_n")))
+    pairs = F.flatten(F.transform("_p", lambda a, i: F.transform(
+        F.slice("_p", i + 2, F.size("_p")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    met = patterns.select("_n", F.explode(pairs).alias("_pair")).groupBy("_pair.a", "_pair.b").agg(F.sum("_n").alias("_n"))
+    m = len(names)
+    every = (df.sparkSession.range(max(m - 1, 0)).select(F.col("id").cast("int").alias("a"))
+             .withColumn("b", F.explode(F.sequence(F.col("a") + 1, F.lit(m - 1)))))
+    name = lambda i: F.element_at(F.array(*[F.lit(c) for c in names]), F.col(i) + 1)
+    return every.join(met, ["a", "b"], "left").select(
+        F.coalesce("_n", F.lit(0)).cast("bigint").alias("both_missing"), name("a").alias("column_a"), name("b").alias("column_b"))
 
 
 def quantiles(df: DataFrame, column: str, probs, exact: bool = True) -> DataFrame:
