@@ -50,7 +50,8 @@ def buckets(df: DataFrame, label: str = "enrolled", key: str = "employee_id", se
     # signed order of the content's hash, as hex digits
     content = F.lpad(F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).bitwiseXOR(F.lit(-(1 << 63)))), CONTENT_DIGITS, "0")
     rows = df.withColumn("_h", order_key(key, seed)).withColumn("_o", F.concat("_h", content))
-    rows = rows.withColumn("_b", F.substring("_o", 1, digits))
+    prefix = lambda n: F.substring("_h" if n <= ID_DIGITS else "_o", 1, n)  # noqa: E731  the id's hash needs no other column
+    rows = rows.withColumn("_b", prefix(digits))
 
     def sizes_of(r):
         known = F.col(label).isNotNull() & F.col("_b").isNotNull()
@@ -68,7 +69,7 @@ def buckets(df: DataFrame, label: str = "enrolled", key: str = "employee_id", se
         done.append(sizes.filter(F.col("_nb") <= limit))
         side = F.broadcast(full.select(F.col(label).alias("_fc"), F.col("_b").alias("_fb"), F.lit(True).alias("_full")))
         is_full = (F.col(label) == F.col("_fc")) & (F.col("_b") == F.col("_fb"))
-        rows = rows.join(side, is_full, "left").withColumn("_b", F.when(F.col("_full"), F.substring("_o", 1, finer)).otherwise(F.col("_b")))
+        rows = rows.join(side, is_full, "left").withColumn("_b", F.when(F.col("_full"), prefix(finer)).otherwise(F.col("_b")))
         sizes = sizes_of(rows.filter("_full"))
         rows = rows.drop("_fc", "_fb", "_full")
     for part in done:
