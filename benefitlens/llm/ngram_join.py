@@ -33,6 +33,7 @@ component; an empty table gives no rows; other columns are ignored. Equality of
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 
 from benefitlens.llm.common import id_text, join_groups, on_workers, written
 from benefitlens.llm.components import components
-from benefitlens.llm.words import powers
+from benefitlens.llm.words import seeded_hashes
 
 WORDS = 5
 #: Link when 100 * intersection >= PERCENT * union.
@@ -50,7 +51,7 @@ PERCENT = 80
 #: Columns that the order puts last, at most, and how often a column must occur among the rows of a task's run.
 COMMON, COMMON_IN_RUN = 1 << 19, 3
 RUN_SHINGLES = 4_000_000
-GROUP_BYTES = 4_000_000
+GROUP_BYTES = 1_000_000
 #: Bits of the bitmap that says which classes occur in a pair.
 BITMAP_BITS = 23
 
@@ -66,33 +67,31 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingle_sets(texts: list[str]) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
+def shingle_sets(texts: list[str], seed: int = 0) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text; one seed makes hashes that can be compared."""
     # after the translation a line feed can only be a border between texts
     data = np.frombuffer(b"\n" + b"\n".join(t.encode("utf-8").translate(_LOWER) for t in texts) + b"\n", np.uint8)
     blank = (data == 0x20) | (data == 0x0A)
     edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
     first, last = edge[0::2], edge[1::2]
-    up, down = powers(1 << max(16, int(len(data)).bit_length()))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _M2 * up[: len(data)], out=sums[1:])
-    word = _mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64) * _M1)
-    border = np.searchsorted(first, np.flatnonzero(data == 0x0A))
-    n = np.diff(border)
-    if len(word) >= WORDS:
-        every = sum((word[i : len(word) - WORDS + 1 + i] * _PLACES[i] for i in range(1, WORDS)), word[: len(word) - WORDS + 1] * _PLACES[0])
-        every = _mix(every)
-    out = []
-    for start, k in zip(border[:-1].tolist(), n.tolist()):
-        if k >= WORDS:
-            out.append(np.unique(every[start : start + k - WORDS + 1]))
-        elif k:
-            few = np.uint64(k) * _M1
-            for i in range(k):
-                few = few + word[start + i] * _PLACES[i]
-            out.append(_mix(np.array([few], np.uint64)))
-        else:
-            out.append(np.zeros(0, np.uint64))
+    with np.errstate(over="ignore"):
+        word = _mix(seeded_hashes(data, first, last, seed) + (last - first).astype(np.uint64) * _M1)
+        border = np.searchsorted(first, np.flatnonzero(data == 0x0A))
+        n = np.diff(border)
+        if len(word) >= WORDS:
+            every = sum((word[i : len(word) - WORDS + 1 + i] * _PLACES[i] for i in range(1, WORDS)), word[: len(word) - WORDS + 1] * _PLACES[0])
+            every = _mix(every)
+        out = []
+        for start, k in zip(border[:-1].tolist(), n.tolist()):
+            if k >= WORDS:
+                out.append(np.unique(every[start : start + k - WORDS + 1]))
+            elif k:
+                few = np.uint64(k) * _M1
+                for i in range(k):
+                    few = few + word[start + i] * _PLACES[i]
+                out.append(_mix(np.array([few], np.uint64)))
+            else:
+                out.append(np.zeros(0, np.uint64))
     return out
 
 
@@ -100,7 +99,7 @@ def _class_of(members: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(members.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _sets(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[list, list[np.ndarray]]]:
+def _sets(batches: Iterator[pa.RecordBatch], column: int, seed: int) -> Iterator[tuple[list, list[np.ndarray]]]:
     """(ids, sets) of one group of texts after another."""
     for batch in batches:
         ids, texts = batch.column(0).to_pylist(), batch.column(column).to_pylist()
@@ -108,12 +107,11 @@ def _sets(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[list
         for i, t in enumerate(texts):
             size += len(t)
             if size >= GROUP_BYTES or i + 1 == len(texts):
-                with np.errstate(over="ignore"):
-                    yield ids[first : i + 1], shingle_sets(texts[first : i + 1])
+                yield ids[first : i + 1], shingle_sets(texts[first : i + 1], seed)
                 first, size = i + 1, 0
 
 
-def _incidence(docs: DataFrame) -> DataFrame:
+def _incidence(docs: DataFrame, seed: int) -> DataFrame:
     """Rows of two kinds: (doc_id, n, class) of each document, and (shingle, times) of a task's common shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +123,7 @@ def _incidence(docs: DataFrame) -> DataFrame:
             none = pa.nulls(len(shingle), pa.int64())
             return pa.RecordBatch.from_arrays([none, none, none, pa.array(shingle.view(np.int64)), pa.array(times)], names=["doc_id", "n", "class", "shingle", "times"])
 
-        for ids, sets in _sets(batches, 1):
+        for ids, sets in _sets(batches, 1, seed):
             classes = [_class_of(s) for s in sets]
             none = pa.nulls(len(ids), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.int64()), none, none], names=["doc_id", "n", "class", "shingle", "times"])
@@ -154,7 +152,7 @@ def prefix_length(n: int) -> int:
     return n - -(-PERCENT * n // 100) + 1
 
 
-def _prefixes(docs: DataFrame, common: np.ndarray) -> DataFrame:
+def _prefixes(docs: DataFrame, common: np.ndarray, seed: int) -> DataFrame:
     """column, class, n, place of the columns of each class that take part in the product; a class once a task."""
     order = np.argsort(common)
     shared = docs.sparkSession.sparkContext.broadcast((common[order], order))
@@ -162,7 +160,7 @@ def _prefixes(docs: DataFrame, common: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns, rank = shared.value
         seen: set[int] = set()
-        for _, sets in _sets(batches, 1):
+        for _, sets in _sets(batches, 1, seed):
             picked, classes, sizes = [], [], []
             for s in sets:
                 c = _class_of(s)
@@ -287,13 +285,13 @@ def _bitmap(pairs: DataFrame) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little").view(bool)
 
 
-def _full_rows(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _full_rows(docs: DataFrame, pairs: DataFrame, seed: int) -> DataFrame:
     """class, set (sorted hashes as bytes) of the classes that occur in a pair, once a task."""
     wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(pairs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         want, seen, low = wanted.value, set(), (1 << BITMAP_BITS) - 1
-        for _, sets in _sets(batches, 1):
+        for _, sets in _sets(batches, 1, seed):
             rows = []
             for s in sets:
                 c = _class_of(s)
@@ -307,7 +305,7 @@ def _full_rows(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return rows.groupBy("class").agg(F.first("set").alias("set"))
 
 
-def _linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _linked(docs: DataFrame, pairs: DataFrame, seed: int) -> DataFrame:
     """The pairs (a, b) whose full rows share enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,7 +319,7 @@ def _linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                 keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], names=["a", "b"])
 
-    rows = _full_rows(docs, pairs)
+    rows = _full_rows(docs, pairs, seed)
     with_a = pairs.select("a", "b").join(rows.select(F.col("class").alias("a"), F.col("set").alias("set_a")), "a")
     with_b = with_a.join(rows.select(F.col("class").alias("b"), F.col("set").alias("set_b")), "b")
     return with_b.select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint")
@@ -333,19 +331,19 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     The links connect whatever links; within a component they need not be all.
     """
     on_workers(docs.sparkSession)
-    d = id_text(docs, id_col, text_col)
-    incidence = written(_incidence(d), "incidence")
+    d, seed = id_text(docs, id_col, text_col), secrets.randbits(63)  # no text can be made up to collide
+    incidence = written(_incidence(d, seed), "incidence")
     members = incidence.filter("class IS NOT NULL").select("doc_id", "n", "class")
-    entries = _prefixes(d, _common_columns(incidence)).repartition("column").mapInArrow(_shared_columns, "column bigint, class bigint, n int, place int")
+    entries = _prefixes(d, _common_columns(incidence), seed).repartition("column").mapInArrow(_shared_columns, "column bigint, class bigint, n int, place int")
     entries = written(entries, "shared-columns")
     firsts = entries.repartition("column").sortWithinPartitions("column", "n", "class").mapInArrow(_first_pairs, _PAIRS)
     firsts = written(_summed(firsts), "first-pairs")
-    links = written(_linked(d, firsts), "first-links")
+    links = written(_linked(d, firsts, seed), "first-links")
     labels = components(links)
     labelled = entries.join(labels.withColumnRenamed("node", "class"), "class", "left").select("column", "class", "n", "place", F.coalesce("label", "class").alias("label"))
     others = _summed(labelled.repartition("column").mapInArrow(_other_pairs, _PAIRS))
     others = written(others.join(firsts.select("a", "b"), ["a", "b"], "left_anti"), "other-pairs")
-    return members, written(links.unionByName(_linked(d, others)), "links")
+    return members, written(links.unionByName(_linked(d, others, seed)), "links")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -8,14 +8,21 @@ or whatever the caller computes for a word) and works out only new words.
 The split pattern (``public_tokenizers.PATTERN``) depends on five classes of
 characters only, so the borders of all words of a group of texts come from
 comparisons of neighbouring classes. Words are looked up by a 64-bit polynomial
-hash of their code points, taken from running sums. Two different words of one
-worker share a hash with a chance of about 1e-7 at the table's largest size.
+hash of their code points, taken from running sums, and compared by a second
+hash: a polynomial modulo the prime 2**31 - 1 for two bases that each process
+draws at random. Words that share the first but not the second hash, as can be
+made up for any fixed base modulo 2**64, are looked up as text. That two words of
+a table share both has a chance below 1e-20, for any input made without knowing
+the bases. Both hashes work on spans of bounded length, so their tables of powers
+are of fixed size; longer words are digested as a whole.
 Code points that Python's Unicode tables don't know count as neither letter nor number.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
+import secrets
 import sys
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
@@ -27,7 +34,7 @@ _WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
 BLANK, WHITE, LETTER, NUMBER, OTHER, BREAK = range(6)
 
 #: Texts are worked on in groups of about this many characters.
-GROUP_CHARS = 2_000_000
+GROUP_CHARS = 1_000_000
 #: Words in a worker's table; beyond them it starts anew.
 MAX_WORDS = 2_000_000
 MAX_VALUES = 24_000_000
@@ -46,15 +53,104 @@ def char_classes() -> np.ndarray:
     return out
 
 
+#: Characters that are hashed from one running sum at most; longer words are digested one by one.
+SPAN = 1 << 18
+PRIME = (1 << 31) - 1
+
+
 @functools.cache
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers() -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash's base and of its inverse modulo 2**64."""
     inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-    up, down = np.full(n, _BASE), np.full(n, inverse)
+    up, down = np.full(SPAN, _BASE), np.full(SPAN, inverse)
     up[0] = down[0] = 1
     return np.cumprod(up), np.cumprod(down)
 
 
+def _folded(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME, up to a multiple: below 2**31 + 2 for all x."""
+    x = (x & np.uint64(PRIME)) + (x >> np.uint64(31))
+    return (x & np.uint64(PRIME)) + (x >> np.uint64(31))
+
+
+@functools.lru_cache(maxsize=2)
+def prime_powers(seed: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Powers modulo PRIME of two bases drawn from the seed, and of their inverses."""
+
+    def rising(base: int) -> np.ndarray:
+        out = np.ones(SPAN, np.uint64)
+        n = 1
+        while n < SPAN:
+            out[n : 2 * n] = out[:n] * np.uint64(pow(base, n, PRIME)) % np.uint64(PRIME)
+            n *= 2
+        return out
+
+    bases = np.random.default_rng(seed).integers(1 << 20, PRIME - 1, 2).tolist()
+    return [(rising(b), rising(pow(b, -1, PRIME))) for b in bases]
+
+
+@functools.cache
+def process_seed() -> int:
+    return secrets.randbits(63)
+
+
+def spans(first: np.ndarray, last: np.ndarray) -> Iterator[slice]:
+    """Runs of consecutive words that lie within SPAN characters; a longer word is alone."""
+    i = 0
+    while i < len(first):
+        j = max(i + 1, int(np.searchsorted(last, first[i] + SPAN, "right")))
+        yield slice(i, j)
+        i = j
+
+
+def _digest(values: np.ndarray, seed: int) -> int:
+    key = seed.to_bytes(8, "little")
+    return int.from_bytes(hashlib.blake2b(np.ascontiguousarray(values).tobytes(), digest_size=8, key=key).digest(), "little")
+
+
+def quick_hashes(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """64-bit hashes of values[first:last] for all words, never 0; equal words have equal hashes."""
+    up, down = powers()
+    out = np.empty(len(first), np.uint64)
+    for s in spans(first, last):
+        f, l = first[s], last[s]
+        start = f[0]
+        if l[-1] - start > SPAN:
+            out[s] = _digest(values[start : l[-1]], 0)
+            continue
+        part = values[start : l[-1]].astype(np.uint64) + np.uint64(1)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * _MIX * up[: len(part)], out=sums[1:])
+        out[s] = (sums[l - start] - sums[f - start]) * down[f - start]
+    out ^= out >> np.uint64(29)
+    out = out * _BASE + (last - first).astype(np.uint64) * _MIX
+    out ^= out >> np.uint64(32)
+    return out * _MIX | np.uint64(1)
+
+
+def seeded_hashes(values: np.ndarray, first: np.ndarray, last: np.ndarray, seed: int) -> np.ndarray:
+    """62-bit hashes of values[first:last] for all words: two polynomials modulo a prime, their bases from the seed.
+
+    Two words of n values share one with a chance of (n / 2**31)**2, whatever they are, as long as the seed is
+    drawn after them.
+    """
+    out = np.empty(len(first), np.uint64)
+    for s in spans(first, last):
+        f, l = first[s], last[s]
+        start = f[0]
+        if l[-1] - start > SPAN:
+            out[s] = _digest(values[start : l[-1]], seed) >> 2
+            continue
+        part = values[start : l[-1]].astype(np.uint64) + np.uint64(1)
+        both = []
+        for up, down in prime_powers(seed):
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(_folded(part * up[: len(part)]), out=sums[1:])
+            both.append(_folded(_folded(sums[l - start] - sums[f - start]) * down[f - start]) % np.uint64(PRIME))
+        out[s] = both[0] << np.uint64(31) | both[1]
+    return out
+
+
 def word_starts(code: np.ndarray, kind: np.ndarray, joined_space: bool = False) -> np.ndarray:
     """Where the split pattern's words begin. Both arrays begin and end with a break.
 
@@ -104,7 +200,8 @@ class WordTable:
     def _clear(self) -> None:
         self.bits = 16
         self.keys, self.rows = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.int32)
-        self.hashes = np.zeros(0, np.uint64)
+        self.hashes, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)  # hash 0: a word looked up as text
+        self.clashing: dict[str, int] = {}
         self.first, self.size, self.values = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype)
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
@@ -132,21 +229,33 @@ class WordTable:
             self.rows[at[mine]] = rows[todo[mine]]
             todo, at = todo[~mine], (at[~mine] + 1) & mask
 
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+    def _append(self, hashes: np.ndarray, checks: np.ndarray, words: list[str]) -> np.ndarray:
+        """New rows for words, without a place in the index."""
         values, size = self.encode(words)
         rows = np.arange(len(self.hashes), len(self.hashes) + len(hashes), dtype=np.int32)
         size = size.astype(np.int64)
         self.first = np.concatenate([self.first, len(self.values) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
         self.values = np.concatenate([self.values, values.astype(self.dtype, copy=False)])
-        self.hashes = np.concatenate([self.hashes, hashes])
+        self.hashes, self.checks = np.concatenate([self.hashes, hashes]), np.concatenate([self.checks, checks])
+        return rows
+
+    def _learn(self, hashes: np.ndarray, checks: np.ndarray, words: list[str]) -> None:
+        rows = self._append(hashes, checks, words)
         if 2 * len(self.hashes) > len(self.keys):
             self.bits = max(self.bits, int(4 * len(self.hashes) - 1).bit_length())
             self.keys, self.rows = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.int32)
-            self._place(self.hashes, np.arange(len(self.hashes), dtype=np.int32))
+            indexed = np.flatnonzero(self.hashes)
+            self._place(self.hashes[indexed], indexed.astype(np.int32))
         else:
             self._place(hashes, rows)
 
+    def _row_of_clashing(self, word: str) -> int:
+        """Row of a word whose hash in the index is another word's."""
+        if word not in self.clashing:
+            (self.clashing[word],) = self._append(np.zeros(1, np.uint64), np.zeros(1, np.uint64), [word]).tolist()
+        return self.clashing[word]
+
     def rows_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(row of each word in order, words of each text). The rows hold until the next call."""
         if len(self.hashes) > MAX_WORDS or len(self.values) > MAX_VALUES:
@@ -158,24 +267,19 @@ class WordTable:
         kind[0] = BREAK
         kind[breaks] = BREAK
         start = word_starts(code, kind, self.joined_space)
-        up, down = powers(1 << max(16, int(len(code)).bit_length()))
-        sums = np.zeros(len(code) + 1, np.uint64)
-        np.cumsum((code.astype(np.uint64) + np.uint64(1)) * _MIX * up[: len(code)], out=sums[1:])
         end = np.append(start[1:], len(code))
         is_word = kind[start] != BREAK
         first, last = start[is_word], end[is_word]
-        hashes = (sums[last] - sums[first]) * down[first]
-        hashes ^= hashes >> np.uint64(29)
-        hashes = hashes * _BASE + (last - first).astype(np.uint64) * _MIX
-        hashes ^= hashes >> np.uint64(32)
-        hashes = hashes * _MIX | np.uint64(1)  # 0 marks a free place
+        hashes, checks = quick_hashes(code, first, last), seeded_hashes(code, first, last, process_seed())
         rows = self._find(hashes)
         new = np.flatnonzero(rows < 0)
         if len(new):
             unique, at = np.unique(hashes[new], return_index=True)
             at = new[at]
-            self._learn(unique, [joined[i:j] for i, j in zip(first[at].tolist(), last[at].tolist())])
+            self._learn(unique, checks[at], [joined[i:j] for i, j in zip(first[at].tolist(), last[at].tolist())])
             rows[new] = self._find(hashes[new])
+        for k in np.flatnonzero(self.checks[rows] != checks).tolist():
+            rows[k] = self._row_of_clashing(joined[first[k] : last[k]])
         edges = np.searchsorted(first, np.concatenate([[0], breaks]))
         return rows, np.diff(edges)
 
