@@ -131,8 +131,9 @@ def _write_split_table(spark, sf):
 
 @query("io_write_splits")
 def q_io_write_splits(spark, sf):
+    from benefitlens.sources.sinks import read_splits
     path = _write_split_table(spark, sf)
-    return spark.read.parquet(path).groupBy("split").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    return read_splits(spark, path).groupBy("split").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
 @query("io_read_split")
@@ -274,6 +275,15 @@ def q_join_scores_back(spark, sf):
     return _dedup(spark, sf).join(s, "employee_id", "inner").select("employee_id", "age", "salary", "region", "p")
 
 
+@query("join_scores_raw")
+def q_join_scores_raw(spark, sf):
+    """J4 onto all raw rows: ids with many copies are spread, not sent to one task."""
+    from benefitlens.operators.joins import spread_join
+    raw = _emp(spark, sf).select("employee_id", "salary", "region")
+    scores = raw.groupBy("employee_id").agg(F.round(F.avg("salary"), 2).alias("mean_salary"))
+    return spread_join(raw, scores, "employee_id", "left")
+
+
 @query("reconcile_region")
 def q_reconcile_region(spark, sf):
     from benefitlens.operators.joins import reconcile

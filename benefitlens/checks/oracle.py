@@ -241,6 +241,10 @@ FULL OUTER JOIN (SELECT region, CAST(n_employees_region AS DOUBLE) AS count_publ
         CAST(hist_enrollment_rate_region AS DOUBLE) AS rate_published FROM reg) p ON c.region = p.region
 """, floats=["count_actual", "avg_salary_actual", "rate_actual", "count_published", "avg_salary_published",
              "rate_published", "count_diff", "avg_salary_diff", "rate_diff"])
+oracle("join_scores_raw", """
+SELECT e.employee_id, e.salary, e.region, m.mean_salary FROM emp e LEFT JOIN
+  (SELECT employee_id, round(avg(salary), 2) AS mean_salary FROM emp GROUP BY employee_id) m ON e.employee_id = m.employee_id
+""", floats=["salary", "mean_salary"])
 oracle("audit_join", """
 SELECT s.employee_id, s.p, s.enrolled, d.gender, d.age, d.marital_status
 FROM splits sp JOIN scored s ON sp.employee_id = s.employee_id JOIN dedup d ON d.employee_id = s.employee_id

@@ -1,7 +1,8 @@
-"""Dimension joins with size-checked broadcast."""
+"""Dimension joins with size-checked broadcast, joins that spread hot keys."""
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -36,20 +37,74 @@ def assert_unique_key(dim: DataFrame, key: str) -> int:
     return n
 
 
+#: A key with this share of a side's rows or more is hot; at most 1 / HOT_SHARE keys of a side are.
+HOT_SHARE = 0.001
+#: Rows of hot keys that are broadcast; with more of them on both sides, they're salted.
+HOT_BROADCAST = 100_000
+#: Rows of one key and salt that a salted join brings together, about.
+SALT_ROWS = 50_000
+
+
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
+    """(key, n) of the keys that hold ``share`` of the rows or more: a bounded
+    table, from counts that are combined map-side."""
+    from benefitlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    least = max(2, math.ceil(share * df.count()))
+    known = df.select(key).filter(F.col(key).isNotNull())
+    return known.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).checkpoint(eager=True)
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", share: float = HOT_SHARE,
+                most_broadcast: int = HOT_BROADCAST, salt_rows: int = SALT_ROWS) -> DataFrame:
+    """``left.join(right, key, how)`` for inner and left joins, in which no task
+    gets a hot key of ``left`` as a whole.
+
+    Rows of ``left`` with a hot key stay where they are and meet the broadcast
+    rows of ``right`` with these keys, if those are few (one a key where
+    ``right`` is a dimension).  If not, both sides' rows of hot keys are salted:
+    each row of ``left`` gets one of a key's salts, each row of ``right`` all of
+    them, as many as the key's rows ask for.  All other rows are joined by key.
+    Null keys match nothing and aren't moved.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("spread_join does inner and left joins")
+    hot = hot_keys(left, key, share)
+    few = F.broadcast(hot.select(key))
+    known = left.filter(F.col(key).isNotNull())
+    cold = known.join(few, key, "left_anti").join(right, key, how)
+    hot_left, hot_right = known.join(few, key, "left_semi"), right.join(few, key, "left_semi")
+    if row_count_at_most(hot_right, most_broadcast):
+        hot_rows = hot_left.join(F.broadcast(hot_right), key, how)
+    else:
+        salts = F.broadcast(hot.select(key, F.ceil(F.col("n") / F.lit(salt_rows)).cast("int").alias("_salts")))
+        # a salt made of the row's content would put equal rows together, so it's drawn, and written down to stay when
+        # a task is run again
+        salted = hot_left.join(salts, key).withColumn("_salt", F.floor(F.rand(42) * F.col("_salts")).cast("int")).drop("_salts")
+        salted = salted.checkpoint(eager=True)
+        copies = hot_right.join(salts, key).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
+        hot_rows = salted.join(copies, [key, "_salt"], how).drop("_salt")
+    out = cold.unionByName(hot_rows)
+    if how == "inner":
+        return out
+    return out.unionByName(left.filter(F.col(key).isNull()), allowMissingColumns=True)
+
+
 def join_dimension(fact: DataFrame, dim: DataFrame, key: str = "region",
                    how: str = "left", check_unique: bool = True,
                    max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Left equi-join of the fact to a dimension.
 
     The dimension is profiled once (row count and key uniqueness); it is
-    broadcast only when that count is within the bound, otherwise Spark plans
-    a shuffle join (AQE may still switch at run time).
+    broadcast only when that count is within the bound, otherwise the fact's
+    hot keys are spread (``spread_join``) and the rest is joined by key.
     """
     n, unique = dimension_profile(dim, key)
     if check_unique and not unique:
         raise ValueError(f"dimension key '{key}' is not unique")
-    right = F.broadcast(dim) if n <= max_broadcast_rows else dim
-    return fact.join(right, key, how)
+    if n <= max_broadcast_rows:
+        return fact.join(F.broadcast(dim), key, how)
+    return spread_join(fact, dim, key, how) if how in ("inner", "left") else fact.join(dim, key, how)
 
 
 def join_cardinality(fact: DataFrame, dim: DataFrame, key: str = "region") -> DataFrame:
