@@ -844,6 +844,15 @@ def q_leakage_screen(spark, sf):
     return leakage_screen(_eng(spark, sf), LEAK_COLUMNS)
 
 
+@query("leakage_screen_all")
+def q_leakage_screen_all(spark, sf):
+    """L1 over every numeric column, raw, joined-in and derived."""
+    from benefitlens.operators.governance import leakage_screen
+    from benefitlens.schemas import numeric_columns
+    e = _eng(spark, sf)
+    return leakage_screen(e, [c for c in numeric_columns(e) if c not in ("employee_id", "enrolled")])
+
+
 @query("leakage_aggregate")
 def q_leakage_aggregate(spark, sf):
     from benefitlens.operators.governance import leakage_aggregate
@@ -1130,6 +1139,39 @@ def q_fairness_model_base(spark, sf):
     return q_fairness_model(spark, sf).select("dimension", "level", "count", "actual_rate")
 
 
+@query("explain_model")
+def q_explain_model(spark, sf):
+    """L6-L8 on the fitted model's probabilities."""
+    from benefitlens.plans.outreach import explain_scored
+    model, _ = _final_model(spark, sf)
+    return explain_scored(model, _unique_records(spark, sf), _reg(spark, sf))
+
+
+@query("explain_model_status")
+def q_explain_model_status(spark, sf):
+    """Status of each record, and whether its sentence tells the score's id, direction and percentage."""
+    e = q_explain_model(spark, sf)
+    p, text = F.col("enrollment_probability"), F.col("narrative_summary")
+    pct = F.regexp_extract(text, r"([0-9.]+)%", 1).cast("double")
+    likely = text.contains(" highly likely ")
+    agrees = (text.startswith("Employee ") & (F.regexp_extract(text, r"^Employee (\d+) ", 1).cast("bigint") == F.col("employee_id"))
+              & (F.abs(pct - p * 100) <= 0.01) & (likely == (F.col("predicted_enrolled") == 1)))
+    return e.select("employee_id", "status", "error", agrees.alias("agrees"))
+
+
+@query("precision_lift_model")
+def q_precision_lift_model(spark, sf):
+    """M21 of the fitted model on the test split."""
+    from benefitlens.plans.outreach import lift_scored
+    _, scored = _final_model(spark, sf)
+    return lift_scored(scored, _dedup(spark, sf), _reg(spark, sf))
+
+
+@query("precision_lift_model_counts")
+def q_precision_lift_model_counts(spark, sf):
+    return q_precision_lift_model(spark, sf).select("region", "n", "base_rate", "k")
+
+
 # --------------------------------------------------------------------------- streaming
 @query("stream_preprocess_scoring")
 def q_stream_preprocess_scoring(spark, sf):

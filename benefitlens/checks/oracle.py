@@ -705,23 +705,35 @@ SELECT CAST(least(floor(p * 10), 9) AS BIGINT) AS bin, CAST(count(*) AS BIGINT)
 # --------------------------------------------------------------------------- governance
 _LEAK = ["legacy_propensity_score", "salary", "age", "tenure_years", "hist_enrollment_rate_region",
          "days_contact_to_app"]
-_LK = "\nUNION ALL\n".join(f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS v, enrolled AS y FROM eng "
-                           f"WHERE {c} IS NOT NULL" for c in _LEAK)
-oracle("leakage_screen", cte([
-    ("lk", _LK),
-    ("h", "SELECT column_name, v, sum(y) AS pos, sum(1 - y) AS neg FROM lk GROUP BY column_name, v"),
-    ("hc", """SELECT *, coalesce(sum(neg) OVER (PARTITION BY column_name ORDER BY v
-        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM h"""),
-    ("a", """SELECT column_name, CAST(sum(pos * (2 * nb + neg)) AS DOUBLE) / CAST(sum(pos) * sum(neg) * 2 AS DOUBLE)
-        AS solo_auc FROM hc GROUP BY column_name"""),
-    ("st", """SELECT column_name, avg(CASE WHEN y = 0 THEN v END) AS mean_neg, avg(CASE WHEN y = 1 THEN v END) AS mean_pos,
-        corr(v, CAST(y AS DOUBLE)) AS corr,
-        avg(CASE WHEN CAST(v >= 0.5e0 AS INT) = y THEN 1e0 ELSE 0e0 END) AS threshold_accuracy,
-        CAST(count(*) AS BIGINT) AS n FROM lk GROUP BY column_name""")], """
+
+
+def _leakage(columns):
+    rows = "\nUNION ALL\n".join(f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS v, enrolled AS y FROM eng "
+                                f"WHERE {c} IS NOT NULL" for c in columns)
+    return cte([
+        ("lk", rows),
+        ("h", "SELECT column_name, v, sum(y) AS pos, sum(1 - y) AS neg FROM lk GROUP BY column_name, v"),
+        ("hc", """SELECT *, coalesce(sum(neg) OVER (PARTITION BY column_name ORDER BY v
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM h"""),
+        ("a", """SELECT column_name, CAST(sum(pos * (2 * nb + neg)) AS DOUBLE) / CAST(sum(pos) * sum(neg) * 2 AS DOUBLE)
+            AS solo_auc FROM hc GROUP BY column_name"""),
+        ("st", """SELECT column_name, avg(CASE WHEN y = 0 THEN v END) AS mean_neg, avg(CASE WHEN y = 1 THEN v END) AS mean_pos,
+            corr(v, CAST(y AS DOUBLE)) AS corr,
+            avg(CASE WHEN CAST(v >= 0.5e0 AS INT) = y THEN 1e0 ELSE 0e0 END) AS threshold_accuracy,
+            CAST(count(*) AS BIGINT) AS n FROM lk GROUP BY column_name""")], """
 SELECT st.column_name, mean_neg, mean_pos, corr, threshold_accuracy, n, a.solo_auc, mean_pos - mean_neg AS gap,
   CASE WHEN corr > 0.9e0 THEN 'LEAKY' ELSE 'REVIEW' END AS verdict
-FROM st LEFT JOIN a ON st.column_name = a.column_name"""),
-       floats=["mean_neg", "mean_pos", "corr", "threshold_accuracy", "solo_auc", "gap"])
+FROM st LEFT JOIN a ON st.column_name = a.column_name""")
+
+
+_LEAK_FLOATS = ["mean_neg", "mean_pos", "corr", "threshold_accuracy", "solo_auc", "gap"]
+oracle("leakage_screen", _leakage(_LEAK), floats=_LEAK_FLOATS)
+oracle("leakage_screen_all", _leakage([
+    "age", "salary", "tenure_years", "prior_year_enrolled", "legacy_propensity_score", "n_employees_region",
+    "hist_enrollment_rate_region", "avg_salary_region", "avg_premium_cost_usd", "benefits_broker_rating",
+    "hr_outreach_capacity", "open_enrollment_window_days", "has_application_date", "days_contact_to_app",
+    "contact_after_app", "no_prior_record", "prior_year_enrolled_clean", "has_dependents_bin", "tenure_inconsistent"]),
+       floats=_LEAK_FLOATS)
 oracle("leakage_aggregate", cte([
     ("t", """SELECT coalesce(e.hist_enrollment_rate_region, 0e0) AS p, e.enrolled FROM eng e
         JOIN splits s ON e.employee_id = s.employee_id WHERE s.split = 'test'"""),
@@ -826,6 +838,16 @@ FROM (SELECT region, CAST(count(*) AS BIGINT) AS n FROM ({_ARRIVING}) a
 LEFT JOIN reg r ON c.region = r.region""", ints=["returned_count"])
 oracle("fairness_model_base", f"SELECT dimension, level, count, actual_rate FROM ({_AUD}) g", floats=["actual_rate"])
 
+oracle("explain_model_status", f"""
+SELECT employee_id, CASE WHEN reason IS NULL THEN 'success' ELSE 'error' END AS status, reason AS error,
+  CASE WHEN reason IS NULL THEN true END AS agrees
+FROM ({_ARRIVING}) a WHERE employee_id IN (SELECT employee_id FROM dedup)""")
+oracle("precision_lift_model_counts", """
+SELECT b.region, b.n, b.base_rate, least(b.n, CAST(round(r.hr_outreach_capacity / 5e0) AS BIGINT)) AS k
+FROM (SELECT s.region, CAST(count(*) AS BIGINT) AS n, avg(CAST(s.enrolled AS DOUBLE)) AS base_rate
+      FROM scored s JOIN splits sp ON s.employee_id = sp.employee_id WHERE sp.split = 'test' GROUP BY s.region) b
+LEFT JOIN reg r ON b.region = r.region""", ints=["k"], floats=["base_rate"])
+
 # --------------------------------------------------------------------------- streaming
 ORACLE["stream_preprocess_scoring"] = ORACLE["preprocess_scoring"]
 

@@ -5,15 +5,21 @@ feature rows by itself.  Categorical columns are indexed alphabetically with
 an extra slot for unseen levels; numeric columns are median-imputed on the
 training rows (Spark trees have no native null branch).  Scores are carried
 with ``employee_id`` and joined by key, never by position (G15).
+
+A model depends on its training rows, not on how they are partitioned: medians
+and the trees' bins come from exact ranks (``ExactNumeric``) where Spark's
+Imputer and its search for thresholds sample rows by partition, and forests
+take all rows for every tree and differ by the features each node may use,
+where a bootstrap would be drawn by partition.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier,
                                        LogisticRegression, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import (Imputer, OneHotEncoder, StandardScaler, StringIndexer,
+from pyspark.ml.feature import (Bucketizer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -22,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from benefitlens.constants import EXPECTED_FEATURES, SPLIT_SEED
+from benefitlens.operators.prefix import prefix_sums
 
 LABEL = "enrolled"
 
@@ -50,12 +57,61 @@ def _indexer(cats):
                           stringOrderType="alphabetAsc")]
 
 
+#: Bins of a numeric feature, as many as a tree considers.
+BINS = 64
+
+
+def numeric_ranks(df: DataFrame, columns, bins: int = BINS) -> dict[str, tuple[float, list[float]]]:
+    """Exact (median, least value of each bin but the first) of numeric columns,
+    from one distributed scan; at most ``bins`` numbers a column reach the driver.
+    A value's bin is the ``bins``-tile of the rows below it."""
+    columns = list(columns)
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column_name", "_v")
+    known = F.col("_v").isNotNull() & ~F.isnan("_v")
+    hist = long.filter(known).groupBy("column_name", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    n, below = F.col("_c_total"), F.col("_c_below")
+    covers = lambda k: F.when((below <= k) & (k < below + F.col("_c")), F.col("_v"))
+    rows = (prefix_sums(hist, "_v", ["_c"], ["column_name"])
+            .groupBy("column_name", F.floor(below * F.lit(bins) / n).cast("int").alias("bin"))
+            .agg(F.min("_v").alias("least"), F.max(covers(F.floor((n - 1) / 2))).alias("low"), F.max(covers(F.floor(n / 2))).alias("high")).collect())
+    out = {}
+    for c in columns:
+        mine = sorted((r for r in rows if r["column_name"] == c), key=lambda r: r["bin"])
+        low, high = [next((r[k] for r in mine if r[k] is not None), 0.0) for k in ("low", "high")]
+        out[c] = low + (high - low) / 2, [r["least"] for r in mine[1:]]
+    return out
+
+
+class ExactNumeric(Estimator):
+    """Numeric columns with missing values as the training rows' exact median
+    (``<c>__imp``), and, with ``bins``, as the number of the value's bin (``<c>__bin``).
+
+    Fits to plain Spark transformers, so the fitted pipeline is saved and loaded as any other.
+    """
+
+    def __init__(self, columns, bins: int | None = BINS):
+        super().__init__()
+        self.columns, self.bins = list(columns), bins
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        ranks = numeric_ranks(dataset, self.columns, self.bins or BINS)
+        filled = ", ".join(f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), NULL), {ranks[c][0]!r}D) AS `{c}__imp`" for c in self.columns)
+        stages = [SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")]
+        if self.bins:
+            ends = float("inf")
+            # a bucketizer needs a cut; a constant column has none
+            cuts = [[-ends, *(ranks[c][1] or [1.7e308]), ends] for c in self.columns]
+            stages.append(Bucketizer(splitsArray=cuts, inputCols=[f"{c}__imp" for c in self.columns],
+                                     outputCols=[f"{c}__bin" for c in self.columns], handleInvalid="keep"))
+        return PipelineModel(stages)
+
+
 def _stages_trees(df: DataFrame, features):
     cats = _categorical(df, features)
     nums = [c for c in features if c not in cats]
     idx = _indexer(cats)
-    imp = [Imputer(inputCols=nums, outputCols=[f"{c}__imp" for c in nums], strategy="median")] if nums else []
-    asm = VectorAssembler(inputCols=[f"{c}__imp" for c in nums] + [f"{c}__idx" for c in cats],
+    imp = [ExactNumeric(nums)] if nums else []
+    asm = VectorAssembler(inputCols=[f"{c}__bin" for c in nums] + [f"{c}__idx" for c in cats],
                           outputCol="features", handleInvalid="keep")
     return idx + imp + [asm], [f"{c}" for c in nums] + cats
 
@@ -66,7 +122,7 @@ def _stages_linear(df: DataFrame, features):
     idx = _indexer(cats)
     ohe = [OneHotEncoder(inputCols=[f"{c}__idx" for c in cats], outputCols=[f"{c}__ohe" for c in cats],
                          dropLast=True, handleInvalid="keep")] if cats else []
-    imp = [Imputer(inputCols=nums, outputCols=[f"{c}__imp" for c in nums], strategy="median")] if nums else []
+    imp = [ExactNumeric(nums, bins=None)] if nums else []
     num_vec = VectorAssembler(inputCols=[f"{c}__imp" for c in nums], outputCol="num_vec")
     scaler = StandardScaler(inputCol="num_vec", outputCol="num_scaled", withMean=True, withStd=True)
     asm = VectorAssembler(inputCols=["num_scaled"] + [f"{c}__ohe" for c in cats], outputCol="features")
@@ -85,9 +141,9 @@ def gbt_default(seed=SPLIT_SEED) -> GBTClassifier:
 
 
 def forest(n=150, depth=5, seed=SPLIT_SEED) -> RandomForestClassifier:
-    """M4: a second tree ensemble for comparison."""
-    return RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=n,
-                                  maxDepth=depth, seed=seed, maxBins=64)
+    """M4: a second tree ensemble for comparison (all rows for every tree, random features for every node)."""
+    return RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=n, bootstrap=False,
+                                  subsamplingRate=1.0, maxDepth=depth, seed=seed, maxBins=64)
 
 
 def tree_pipeline(df: DataFrame, learner, features=EXPECTED_FEATURES) -> Pipeline:

@@ -6,10 +6,11 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benefitlens.constants import TIER_MAP
+from benefitlens.constants import FAIR_AI_NOTE, TIER_MAP
 from benefitlens.functions.canon import lookup_trim_retry
-from benefitlens.operators.governance import fairness_audit, refuse_leakage
+from benefitlens.operators.governance import fairness_audit, narrative, reason_codes, refuse_leakage
 from benefitlens.operators.joins import match_requests
+from benefitlens.operators.metrics import precision_lift_at_k
 from benefitlens.operators.ranking import rank_capacity, rank_summary
 from benefitlens.plans import modeling
 from benefitlens.plans.features import preprocess_scoring
@@ -66,6 +67,30 @@ def rank_scored(model: PipelineModel, records: DataFrame, regions: DataFrame, to
     return rank_capacity(scored, regions, top_k), rank_summary(scored, regions, top_k)
 
 
+def explain_scored(model: PipelineModel, records: DataFrame, regions: DataFrame) -> DataFrame:
+    """C2 -> M11 -> L6-L8: each record's narrative on the model's probability,
+    its reason codes and the fairness note; records that C2 rejects are error
+    rows.  ``records`` hold one row per id.
+    """
+    s = modeling.score(model, modeling.prepare(preprocess_scoring(records, regions)))
+    s = s.select("employee_id", "reason", F.col("predicted_probability").alias("_p"), "predicted_class")
+    told = reason_codes(records).select("employee_id", "top_drivers").join(s, "employee_id")
+    valid = F.col("reason").isNull()
+    return told.select(
+        "employee_id", F.when(valid, F.lit("success")).otherwise(F.lit("error")).alias("status"),
+        F.when(valid, F.round("_p", 4)).alias("enrollment_probability"),
+        F.when(valid, F.col("predicted_class")).alias("predicted_enrolled"),
+        F.when(valid, narrative(F.col("_p"), F.col("employee_id"))).alias("narrative_summary"),
+        F.when(valid, F.to_json("top_drivers")).alias("top_drivers"),
+        F.when(valid, F.lit(FAIR_AI_NOTE)).alias("fair_ai_note"), F.col("reason").alias("error"))
+
+
+def lift_scored(scored: DataFrame, source: DataFrame, regions: DataFrame) -> DataFrame:
+    """M11 -> M21: precision and lift at K of the model's own test scores, per region."""
+    s = scored.select("employee_id", "enrolled", F.col("predicted_probability").alias("p"))
+    return precision_lift_at_k(s.join(source.select("employee_id", "region"), "employee_id"), regions)
+
+
 def audit_scored(scored: DataFrame, demographics: DataFrame) -> DataFrame:
     """M11 -> A13: the fairness audit of the model's own test scores."""
     audit = scored.select("employee_id", "enrolled", F.col("predicted_probability").alias("p")).join(

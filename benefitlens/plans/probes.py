@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from benefitlens.operators.encode import category_codes, label_encode_all
+from benefitlens.operators.impute import median_impute
 from benefitlens.operators.split import stratified_folds
 from benefitlens.plans import modeling
 from benefitlens.plans.features import sentinel_variant
@@ -18,11 +20,16 @@ PROBE_COLUMNS = ["salary", "age", "has_dep_num", "emp_type_num"]
 
 
 def tree_matrix(dedup: DataFrame) -> DataFrame:
-    """Four raw columns (salary, age, dependents 0/1, employment code) and the label."""
-    d = category_codes(dedup.filter(F.col("salary").isNotNull()), "employment_type")
+    """Four raw columns (salary, age, dependents 0/1, employment code) and the label.
+
+    Rows without salary or label are left out; a missing ``has_dependents``
+    counts as no, a missing age as the median.
+    """
+    known = dedup.filter(F.col("salary").isNotNull() & F.col("enrolled").isNotNull())
+    d = category_codes(median_impute(known, ["age"]), "employment_type")
     return d.select("employee_id", F.col("salary").cast("double").alias("salary"),
-                    F.col("age").cast("double").alias("age"),
-                    (F.col("has_dependents") == "Yes").cast("double").alias("has_dep_num"),
+                    F.coalesce("age_imputed", F.lit(0.0)).alias("age"),
+                    F.coalesce((F.col("has_dependents") == "Yes").cast("double"), F.lit(0.0)).alias("has_dep_num"),
                     F.col("employment_type_code").cast("double").alias("emp_type_num"),
                     F.col("enrolled").cast("double").alias("label"))
 
@@ -58,10 +65,12 @@ def forest_importance(raw: DataFrame, n_trees: int = 100) -> DataFrame:
     """M9: random-forest importances over all label-encoded raw columns."""
     enc = label_encode_all(raw)
     feats = [c for c in enc.columns if c not in ("employee_id", "enrolled")]
-    data = VectorAssembler(inputCols=feats, outputCol="features").transform(enc) \
-        .withColumn("label", F.col("enrolled").cast("double"))
-    m = RandomForestClassifier(numTrees=n_trees, seed=42, maxBins=64).fit(data)
-    rows = sorted(zip(feats, m.featureImportances.toArray().tolist()), key=lambda r: -r[1])
+    frame = learner_input(enc.withColumn("label", F.col("enrolled").cast("double")).filter(F.col("label").isNotNull()))
+    stages = [modeling.ExactNumeric(feats), VectorAssembler(inputCols=[f"{c}__bin" for c in feats], outputCol="features"),
+              modeling.forest(n=n_trees)]
+    m = Pipeline(stages=stages).fit(frame).stages[-1]
+    frame.unpersist()
+    rows = sorted(zip(feats, m.featureImportances.toArray().tolist()), key=lambda r: (-r[1], r[0]))
     return raw.sparkSession.createDataFrame([(n, float(v), i + 1) for i, (n, v) in enumerate(rows)],
                                             "feature string, importance double, rank int")
 

@@ -19,20 +19,22 @@ from benefitlens.session import ensure_checkpoint_dir
 from benefitlens.sources.tables import input_fingerprint, path_exists
 
 
-#: Session setting and default for the number of partitions of a learner's input.
-PARTITIONS_CONF, DEFAULT_PARTITIONS = "spark.benefitlens.learner.partitions", "4"
+#: Session setting for the number of partitions of a learner's input; without it, one for about
+#: so many rows, and a few at least.
+PARTITIONS_CONF, ROWS_PER_PARTITION, LEAST_PARTITIONS = "spark.benefitlens.learner.partitions", 250_000, 4
 
 
-def learner_input(df: DataFrame, key: str = "employee_id") -> DataFrame:
-    """Persist a learner's input, dealt by a hash of the id into a set number of partitions.
+def learner_partitions(df: DataFrame) -> int:
+    """As many as the rows ask for: iterative learners run several jobs a round,
+    so near-empty partitions only add task overhead, and full ones leave a
+    cluster idle.  The models don't depend on it (``modeling``)."""
+    wanted = df.sparkSession.conf.get(PARTITIONS_CONF, None)
+    return int(wanted) if wanted else max(LEAST_PARTITIONS, -(-df.count() // ROWS_PER_PARTITION))
 
-    Forests draw their bootstrap per partition, so a model must not depend on
-    how many rows there happen to be: the number comes from the session setting
-    ``spark.benefitlens.learner.partitions`` alone.  Set it to the cluster's
-    cores for large inputs; iterative learners run several jobs a round, and
-    near-empty partitions only add task overhead.
-    """
-    n = int(df.sparkSession.conf.get(PARTITIONS_CONF, DEFAULT_PARTITIONS))
+
+def learner_input(df: DataFrame, key: str = "employee_id") -> DataFrame:
+    """Persist a learner's input, dealt by a hash of the id."""
+    n = learner_partitions(df)
     return df.repartition(n, key).sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -122,7 +124,7 @@ def ablation_features():
             "with_leaky_column": base + ["legacy_propensity_score"]}
 
 
-MODEL_VERSION = "gbt-150-0.05-5-v3"
+MODEL_VERSION = "gbt-150-0.05-5-v4"
 #: Written last into a model's folder: a folder without it was never finished.
 MODEL_MARK = "_COMPLETE"
 
