@@ -36,8 +36,8 @@ BLANK, WHITE, LETTER, NUMBER, OTHER, BREAK = range(6)
 #: Texts are worked on in groups of about this many characters.
 GROUP_CHARS = 1_000_000
 #: Words in a worker's table; beyond them it starts anew.
-MAX_WORDS = 2_000_000
-MAX_VALUES = 24_000_000
+MAX_WORDS = 1_000_000
+MAX_VALUES = 12_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
