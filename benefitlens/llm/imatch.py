@@ -10,7 +10,8 @@ size keeps that promise, else joined by shuffle.
 The distinct in-band terms of a document, sorted, are hashed as a whole and once
 for each of 32 random subsets of the lexicon, made by bits of the term's hash. The
 subsets keep an eighth down to a 512th of the lexicon, so that short and long
-documents both have subsets with a few terms. Likeness of two fingerprints is the
+documents both have subsets with a few terms. A text that holds no term of the
+band is fingerprinted by all its terms, so unrelated ones differ. Likeness of two fingerprints is the
 share of equal hashes among the subsets that hold a term of either.
 """
 
@@ -28,9 +29,6 @@ MIN_SHARE, MAX_SHARE = 0.001, 0.2
 SUBSET_BITS = [3] * 8 + [5] * 8 + [7] * 8 + [9] * 8
 #: The lexicon's rows that are broadcast at most (16 bytes each).
 BROADCAST_ROWS = 2_000_000
-#: Stands for a document without doc_id while rows are joined.
-NO_ID = -(2**63)
-
 _NOTHING = ""
 
 
@@ -56,13 +54,14 @@ def _subset(terms: Column, k: int) -> Column:
     return F.filter(terms, lambda t: F.xxhash64(t, F.lit(k)).bitwiseAND(zeros) == 0)
 
 
-def with_fingerprint(df: DataFrame, terms: str, whole: str, subsets: str) -> DataFrame:
-    """Replaces an array of distinct in-band terms by the hash of all of them, sorted, and the hashes of the subsets
-    (null for an empty one). Each step is a projection of its own, so that a list is sorted and cut only once."""
+def with_fingerprint(df: DataFrame, terms: str, plain: str, whole: str, subsets: str) -> DataFrame:
+    """Replaces an array of distinct terms by the hash of all of them, sorted (of a text without terms by ``plain``, the
+    text's own hash), and the hashes of the subsets (null for an empty one). Each step is a projection of its own, so
+    that a list is sorted and cut only once."""
     df = df.withColumn(terms, F.sort_array(terms))
     df = df.withColumn("_cuts", F.array(*(_subset(F.col(terms), k) for k in range(len(SUBSET_BITS)))))
     hashes = F.transform("_cuts", lambda cut: F.when(F.size(cut) > 0, F.xxhash64(cut)))
-    return df.withColumns({whole: F.xxhash64(terms), subsets: hashes}).drop(terms, "_cuts")
+    return df.withColumns({whole: F.when(F.size(terms) > 0, F.xxhash64(terms)).otherwise(F.col(plain)), subsets: hashes}).drop(terms, plain, "_cuts")
 
 
 def as_text(whole: Column, subsets: Column) -> Column:
@@ -79,72 +78,112 @@ def likeness(whole: Column, subsets: Column, other_whole: Column, other_subsets:
     return F.when(whole == other_whole, 1.0).when(either > 0, equal / either).otherwise(0.0).cast("double")
 
 
+#: Bodies of a document: its text, its edited text, and its edited text where the next document is a repeat of it.
+VARIANTS = (0, 1, 2)
+
+
 def terms_in_band(bodies: DataFrame, band: DataFrame) -> DataFrame:
-    """doc_id and, for variant 0 and 1 of its text, the distinct terms of the band.
+    """key and, for each variant of its text, the distinct terms of the band, or all terms where none is in the band.
 
-    ``bodies`` (doc_id, variant, body) must be partitioned by doc_id; only ids and hashes take part in the grouping.
+    ``bodies`` (key, variant, body) must be partitioned by key; only keys and hashes take part in the grouping. All
+    terms of a body travel once, with the empty term that every body has.
     """
-    rows = bodies.select("doc_id", "variant", F.explode(term_hashes(F.col("body"))).alias("term"))
+    nothing = F.xxhash64(F.lit(_NOTHING))
+    lists = bodies.select("key", "variant", term_hashes(F.col("body")).alias("every"))
+    entries = F.transform("every", lambda t: F.struct(t.alias("term"), F.when(t == nothing, F.col("every")).alias("every")))
+    rows = lists.select("key", "variant", F.explode(entries).alias("e")).select("key", "variant", "e.term", "e.every")
     small = band.count() <= BROADCAST_ROWS
     held = rows.join(F.broadcast(band) if small else band, "term")
-    terms = held.groupBy("doc_id").agg(*(F.collect_list(F.when(F.col("variant") == v, F.col("term"))).alias(f"terms_{v}") for v in (0, 1)))
-    nothing = F.xxhash64(F.lit(_NOTHING))
-    return terms.select("doc_id", *(F.array_remove(f"terms_{v}", nothing).alias(f"terms_{v}") for v in (0, 1)))
+    of = {v: F.col("variant") == v for v in VARIANTS}
+    found = held.groupBy("key").agg(
+        *(F.collect_list(F.when(of[v] & (F.col("term") != nothing), F.col("term"))).alias(f"terms_{v}") for v in VARIANTS),
+        *(F.first(F.when(of[v], F.col("every")), ignorenulls=True).alias(f"every_{v}") for v in VARIANTS),
+    )
+    return found.select("key", *(F.when(F.size(f"terms_{v}") > 0, F.col(f"terms_{v}")).otherwise(F.array_remove(f"every_{v}", nothing)).alias(f"terms_{v}") for v in VARIANTS))
 
 
-def one_row_per_document(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, text) and (doc_id, n_chars), one row a doc_id: of rows that share it, the longest text, by its hash on a
-    tie. The second reads no more than it needs, so it can be ordered without moving texts."""
+def distinct_documents(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(key, text, copies) and (key, doc_id, n_chars, copies), one row for each distinct pair of doc_id and text.
+
+    The key is a digest of that pair, so rows that share an id, or have none, spread; repeats are counted before the
+    shuffle. The second frame reads no more than it needs, so it can be ordered without moving texts.
+    """
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    rows = docs.select(F.coalesce(docs[id_col].cast("bigint"), F.lit(NO_ID)).alias("doc_id"), F.char_length(text).cast("bigint").alias("n_chars"), F.xxhash64(text).alias("tie"), text.alias("text"))
-    texts = rows.groupBy("doc_id").agg(F.max(F.struct("n_chars", "tie", "text")).alias("r")).select("doc_id", F.col("r.text").alias("text"))
-    sizes = rows.groupBy("doc_id").agg(F.max(F.struct("n_chars", "tie")).alias("r")).select("doc_id", F.col("r.n_chars").alias("n_chars"))
+    doc_id = docs[id_col].cast("bigint")
+    key = F.unhex(F.sha2(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), text), 256))
+    rows = docs.select(key.alias("key"), doc_id.alias("doc_id"), F.char_length(text).cast("bigint").alias("n_chars"), text.alias("text"))
+    texts = rows.groupBy("key").agg(F.max("text").alias("text"), F.count("*").alias("copies"))
+    sizes = rows.groupBy("key").agg(F.max("doc_id").alias("doc_id"), F.max("n_chars").alias("n_chars"), F.count("*").alias("copies"))
     return texts, sizes
 
 
 def with_next(sizes: DataFrame) -> DataFrame:
-    """doc_id, n_chars, next_id: the next document in descending doc_id, and after the last the first.
+    """The rows with next_key: the next document in descending doc_id (without one last, equal ids by key), and after the
+    last the first.
 
-    Ids are ordered by range partitions; a partition's last id is followed by the largest of the next partition that
+    Rows are ordered by range partitions; a partition's last row is followed by the first of the next partition that
     has any, for which one row a partition is enough.
     """
-    ranged = sizes.repartitionByRange(F.desc("doc_id")).withColumn("part", F.spark_partition_id())
-    ranged = written(ranged, "id-ranges")
-    heads = ranged.groupBy("part").agg(F.max("doc_id").alias("head"))
-    after = heads.select("part", F.lead("head").over(W.orderBy("part")).alias("next_head"), F.max("head").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("first_id"))
-    inside = F.lead("doc_id").over(W.partitionBy("part").orderBy(F.desc("doc_id")))
-    return ranged.withColumn("inside", inside).join(F.broadcast(after), "part").select("doc_id", "n_chars", F.coalesce("inside", "next_head", "first_id").alias("next_id"))
+    by = (F.desc_nulls_last("doc_id"), F.asc("key"))
+    ranged = written(sizes.repartitionByRange(*by).withColumn("part", F.spark_partition_id()), "id-ranges")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.bitwise_not("doc_id").alias("down"), "key"))["key"]
+    heads = ranged.groupBy("part").agg(first.alias("head"))
+    after = heads.select("part", F.lead("head").over(W.orderBy("part")).alias("next_head"), F.first("head").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("first_key"))
+    inside = F.lead("key").over(W.partitionBy("part").orderBy(*by))
+    return ranged.withColumn("inside", inside).join(F.broadcast(after), "part").select("key", "doc_id", "n_chars", "copies", F.coalesce("inside", "next_head", "first_key").alias("next_key"))
+
+
+def _times(rows: DataFrame, times: Column) -> DataFrame:
+    """Each row as often as ``times`` says (at least once); a row that is wanted very often is dealt over the tasks."""
+    block = 10_000
+    blocks = rows.withColumn("_times", times).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_times") - 1) / block).cast("bigint"))))
+    dealt = blocks.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "_block")
+    each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.least(F.lit(block).cast("bigint"), F.col("_times") - F.col("_block") * block)))
+    return dealt.withColumn("_each", each).drop("_times", "_block", "_each")
 
 
 def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_share: float = MIN_SHARE, max_share: float = MAX_SHARE) -> DataFrame:
-    """Fingerprints of each document and of its edited text (the last third replaced by the beginning of the next
-    document in descending doc_id), and how alike they are.
+    """Fingerprints of each row and of its edited text (the last third replaced by the beginning of the next document in
+    descending doc_id), and how alike they are.
 
-    Texts are shuffled once, by doc_id; the terms are looked up and gathered inside that partitioning.
+    Texts are shuffled once, by a digest of doc_id and text; the terms are looked up and gathered inside that
+    partitioning.
 
-    Defined results: a null text is empty; rows that share a doc_id are one document, its longest text standing for
-    it; rows without doc_id are one document, last in order; a lone document is its own next; an empty table gives no
-    rows; other columns are ignored. A text without in-band terms has the fingerprint of the empty set.
+    Defined results: one row out for each row in. A null text is empty; rows without doc_id come last in order; rows
+    that share a doc_id follow one another in the order of a digest of id and text, so a repeated row is followed by
+    its repeats and only the last of them by another document; a lone document is its own next; an empty table gives
+    no rows; other columns are ignored. A text without terms of the band is fingerprinted by all its terms, and one
+    without letters and digits by itself.
     """
     band = lexicon(docs, text_col, min_share, max_share)
-    texts, sizes = one_row_per_document(docs, id_col, text_col)
+    texts, sizes = distinct_documents(docs, id_col, text_col)
     order = written(with_next(sizes), "next-ids")
     third = F.floor(F.col("n_chars") / 3).cast("int")
-    wanted = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("for_id"), third.alias("third"))
-    heads = texts.join(wanted.hint("merge"), "doc_id").select(F.col("for_id").alias("doc_id"), F.col("text").substr(F.lit(1), F.col("third")).alias("head"))
-    edited = texts.join(heads.hint("merge"), "doc_id")
+    wanted = order.select(F.col("next_key").alias("key"), F.col("key").alias("for_key"), third.alias("third"))
+    heads = texts.join(wanted.hint("merge"), "key").select(F.col("for_key").alias("key"), F.col("text").substr(F.lit(1), F.col("third")).alias("head"))
     n = F.char_length("text")
-    edited = edited.select("doc_id", "text", F.concat(F.col("text").substr(F.lit(1), n - F.floor(n / 3).cast("int")), "head").alias("edited"))
-    bodies = edited.select("doc_id", F.posexplode(F.array("text", "edited")).alias("variant", "body"))
-    digests = edited.select(F.col("doc_id").alias("id"), F.sha2("edited", 256).alias("edited_sha256"))
+    cut = F.floor(n / 3).cast("int")
+    start = F.col("text").substr(F.lit(1), n - cut)
+    repeated = F.when(F.col("copies") > 1, F.concat(start, F.col("text").substr(F.lit(1), cut)))
+    edited = texts.join(heads.hint("merge"), "key").select("key", F.col("text").alias("body_0"), F.concat(start, "head").alias("body_1"), repeated.alias("body_2"))
+    bodies = edited.select("key", F.posexplode(F.array(*(f"body_{v}" for v in VARIANTS))).alias("variant", "body")).filter("body IS NOT NULL")
+    digests = edited.select(F.col("key").alias("_key"), *(F.xxhash64(f"body_{v}").alias(f"plain_{v}") for v in VARIANTS), *(F.sha2(f"body_{v}", 256).alias(f"sha256_{v}") for v in VARIANTS[1:]))
     terms = terms_in_band(bodies, band)
-    both = terms.join(digests.hint("merge"), terms["doc_id"] == digests["id"])
-    both = with_fingerprint(with_fingerprint(both, "terms_0", "whole", "subsets"), "terms_1", "e_whole", "e_subsets")
-    both = written(both.select("doc_id", "edited_sha256", "whole", "subsets", "e_whole", "e_subsets"), "fingerprints")
-    following = both.select(F.col("doc_id").alias("next_id"), F.col("whole").alias("n_whole"), F.col("subsets").alias("n_subsets"))
-    rows = order.join(both, "doc_id").join(following, "next_id")
-    c = F.col
+    prints = terms.join(digests.hint("merge"), terms["key"] == digests["_key"])
+    for v in VARIANTS:
+        prints = with_fingerprint(prints, f"terms_{v}", f"plain_{v}", f"whole_{v}", f"subsets_{v}")
+    prints = written(prints.drop("_key"), "fingerprints")
+    following = prints.select(F.col("key").alias("next_key"), F.col("whole_0").alias("whole_n"), F.col("subsets_0").alias("subsets_n"))
+    last = order.join(prints, "key").join(following, "next_key")
+    before = _times(order.filter("copies > 1").join(prints, "key"), F.col("copies") - 1)
+    return _result(last, "1", "n").unionByName(_result(before, "2", "0"))
+
+
+def _result(rows: DataFrame, edited: str, following: str) -> DataFrame:
+    """The operator's columns, from the columns of these variants."""
+    own = F.col("whole_0"), F.col("subsets_0")
+    of = {v: (F.col(f"whole_{v}"), F.col(f"subsets_{v}")) for v in (edited, following)}
     return rows.select(
-        F.when(c("doc_id") != NO_ID, c("doc_id")).alias("doc_id"), "n_chars", "edited_sha256", as_text(c("whole"), c("subsets")).alias("fingerprint"), as_text(c("e_whole"), c("e_subsets")).alias("edited_fingerprint"),
-        likeness(c("whole"), c("subsets"), c("e_whole"), c("e_subsets")).alias("near_edited"), likeness(c("whole"), c("subsets"), c("n_whole"), c("n_subsets")).alias("near_next"),
+        "doc_id", "n_chars", F.col(f"sha256_{edited}").alias("edited_sha256"), as_text(*own).alias("fingerprint"), as_text(*of[edited]).alias("edited_fingerprint"),
+        likeness(*own, *of[edited]).alias("near_edited"), likeness(*own, *of[following]).alias("near_next"),
     )

@@ -2,12 +2,15 @@
 import hashlib
 import random
 import re
-from collections import defaultdict
+import struct
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import duckdb
 import numpy as np
 import pytest
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 from benefitlens.llm import components, exact_dedup, imatch, ngram_join
@@ -193,6 +196,81 @@ def test_fingerprints_are_hashes_of_the_band(spark):
     assert len({next(iter(v)) for v in by.values()}) == len(by)
 
 
+def spark_hash(x, seed=42):
+    """xxhash64 of a text, a long, or a list of longs (each seeds the next), as Spark has it."""
+    if isinstance(x, list):
+        for one in x:
+            seed = spark_hash(one, seed)
+        return seed
+    data = x.encode() if isinstance(x, str) else struct.pack("<q", x)
+    return struct.unpack("<q", struct.pack("<Q", xxhash.xxh64_intdigest(data, seed=seed & (2**64 - 1))))[0]
+
+
+def brute_prints(rows, low, high):
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of each row, sorted."""
+    rows = [(i, t or "") for i, t in rows]
+    terms = lambda t: {w for w in regex.split(r"[^\p{L}\p{N}]+", t.lower()) if w}
+    df = Counter(w for _, t in rows for w in terms(t))
+    band = {w for w, n in df.items() if low * len(rows) <= n <= max(high * len(rows), 1)}
+
+    def fingerprint(text):
+        hashes = sorted(spark_hash(w) for w in (terms(text) & band or terms(text)))
+        cuts = [[h for h in hashes if not subset_bits(h, k)] for k in range(len(imatch.SUBSET_BITS))]
+        return spark_hash(hashes) if hashes else spark_hash(text), [spark_hash(c) if c else None for c in cuts]
+
+    def subset_bits(h, k):
+        seeded = xxhash.xxh64_intdigest(struct.pack("<i", k), seed=spark_hash(h) & (2**64 - 1))
+        return seeded & ((1 << imatch.SUBSET_BITS[k]) - 1)
+
+    def show(p):
+        return f"{p[0] & (2**64 - 1):016x}-" + "".join("." if h is None else f"{h & 0xFFFFFFFF:08x}" for h in p[1])
+
+    def like(p, q):
+        either = [(a, b) for a, b in zip(p[1], q[1]) if a is not None or b is not None]
+        return 1.0 if p[0] == q[0] else sum(a == b for a, b in either) / len(either) if either else 0.0
+
+    key = lambda r: hashlib.sha256(f"{'' if r[0] is None else r[0]}:{r[1]}".encode()).digest()
+    rows.sort(key=lambda r: (r[0] is None, -(r[0] or 0), key(r)))
+    out = []
+    for (i, t), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        third = len(t) // 3
+        edited = t[: len(t) - third] + after[:third]
+        p, e, f = fingerprint(t), fingerprint(edited), fingerprint(after)
+        out.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), show(p), show(e), round(like(p, e), 9), round(like(p, f), 9)))
+    return sorted(out, key=str)
+
+
+def prints_of(df):
+    return sorted(((*r[:5], round(r[5], 9), round(r[6], 9)) for r in map(tuple, df.collect())), key=str)
+
+
+def test_op7_against_brute_force(spark):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()]
+    assert prints_of(QUERIES["op7_imatch"](spark, SF0001)) == brute_prints(rows, imatch.MIN_SHARE, imatch.MAX_SHARE)
+
+
+@pytest.mark.parametrize("rows", [
+    ODD,
+    [(None, "one two three four"), (None, "five six seven"), (None, None), (3, "one two"), (3, "eight nine ten"), (3, "eight nine ten"), (-(2**63), "x y z")],
+    [(4, "the same text again")] * 25 + [(5, "another text"), (None, "the same text again")],
+    [(1, "alone with a copy")] * 2,
+])
+def test_imatch_keeps_every_row(spark, rows):
+    assert prints_of(imatch.edited_likeness(docs_of(spark, rows), min_share=0.1, max_share=0.3)) == brute_prints(rows, 0.1, 0.3)
+
+
+def test_imatch_repeats_are_dealt(spark):
+    got = imatch.edited_likeness(spark.range(25_001).select(F.lit(7).alias("doc_id"), F.lit("again and again").alias("text")))
+    assert got.count() == 25_001 and got.filter("near_next = 1").count() == 25_001
+
+
+def test_imatch_texts_outside_the_band_differ(spark):
+    rows = [(i, f"word{i} other{i} more{i}") for i in range(50)] + [(50 + i, "?" * i) for i in range(5)]
+    got = imatch.edited_likeness(docs_of(spark, rows), min_share=0.5).collect()
+    assert len({r["fingerprint"] for r in got}) == 55
+    assert sum(r["near_next"] for r in got) < 3
+
+
 def test_imatch_odd_rows(spark):
     got = {r["doc_id"]: r for r in imatch.edited_likeness(docs_of(spark, ODD)).collect()}
     assert set(got) == {d for d, _ in ODD}
@@ -203,10 +281,3 @@ def test_imatch_odd_rows(spark):
     assert alone["edited_sha256"] == hashlib.sha256(b"abcdab").hexdigest()
 
 
-def test_imatch_moves_texts_once(spark):
-    from benefitlens.llm.common import table
-
-    docs = table(spark, SF0001, "documents")
-    texts, sizes = imatch.one_row_per_document(docs, "doc_id", "text")
-    assert texts.columns == ["doc_id", "text"]
-    assert sizes.filter(F.col("n_chars") < 0).count() == 0
