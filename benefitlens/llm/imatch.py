@@ -103,7 +103,7 @@ def terms_in_band(bodies: DataFrame, band: DataFrame) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(key, text, copies) and (key, doc_id, n_chars, copies), one row for each distinct pair of doc_id and text.
+    """(key, text) and (key, doc_id, n_chars, copies), one row for each distinct pair of doc_id and text.
 
     The key is a digest of that pair, so rows that share an id, or have none, spread; repeats are counted before the
     shuffle. The second frame reads no more than it needs, so it can be ordered without moving texts.
@@ -112,7 +112,7 @@ def distinct_documents(docs: DataFrame, id_col: str, text_col: str) -> tuple[Dat
     doc_id = docs[id_col].cast("bigint")
     key = F.unhex(F.sha2(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), text), 256))
     rows = docs.select(key.alias("key"), doc_id.alias("doc_id"), F.char_length(text).cast("bigint").alias("n_chars"), text.alias("text"))
-    texts = rows.groupBy("key").agg(F.max("text").alias("text"), F.count("*").alias("copies"))
+    texts = rows.groupBy("key").agg(F.max("text").alias("text"))
     sizes = rows.groupBy("key").agg(F.max("doc_id").alias("doc_id"), F.max("n_chars").alias("n_chars"), F.count("*").alias("copies"))
     return texts, sizes
 
@@ -159,8 +159,9 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts, sizes = distinct_documents(docs, id_col, text_col)
     order = written(with_next(sizes), "next-ids")
     third = F.floor(F.col("n_chars") / 3).cast("int")
-    wanted = order.select(F.col("next_key").alias("key"), F.col("key").alias("for_key"), third.alias("third"))
-    heads = texts.join(wanted.hint("merge"), "key").select(F.col("for_key").alias("key"), F.col("text").substr(F.lit(1), F.col("third")).alias("head"))
+    wanted = order.select(F.col("next_key").alias("key"), F.col("key").alias("for_key"), third.alias("third"), "copies")
+    # both joins read the same two columns of the texts, so one exchange serves them
+    heads = texts.join(wanted.hint("merge"), "key").select(F.col("for_key").alias("key"), F.col("text").substr(F.lit(1), F.col("third")).alias("head"), "copies")
     n = F.char_length("text")
     cut = F.floor(n / 3).cast("int")
     start = F.col("text").substr(F.lit(1), n - cut)
