@@ -1,8 +1,8 @@
 """Quotation linking: who answers whom, from what messages quote, with DataFrame functions only.
 
 A message's lines that begin with ``>`` are quotations; more marks are deeper
-levels. Level by level, the blocks of quoted lines are cut out, one mark is taken
-off, and what isn't itself quoted deeper is the passage of that level. A passage,
+levels. Texts are split into lines once, and a run of neighbouring lines of one
+level is a passage of that level, whatever the depth. A passage,
 each of its paragraphs and each of its lines is normalised (lower case, runs of
 blanks as one) and hashed. The same hashes of the messages' own texts are joined
 to them by (conversation, hash); of several messages with a text the earliest is
@@ -32,11 +32,13 @@ from pyspark.sql import functions as F
 
 from benefitlens.llm.common import BLANKS, written
 
-#: A run of quoted lines, and the first mark of such a line.
-QUOTED = r"(?m)(?:^[ \t]*>[^\n]*(?:\n|\z))+"
-MARK = r"(?m)^[ \t]*> ?"
+#: A quoted line, and the marks it begins with. Only a line feed ends a line, and nothing repeats a group, so that no
+#: text is too long or too deep for the pattern.
+QUOTED_LINE = r"(?dm)^[ \t]*>[^\n]*(?:\n|\z)"
+QUOTES = r"(?dm)^[ \t]*>"
+MARKS = r"^[ \t>]*>"
 #: A line that announces a quotation, with the quotation.
-ANNOUNCED = r"(?mi)^[ \t]*on\b[^\n]*\bwrote:[ \t\r]*\n(?=[ \t]*>)"
+ANNOUNCED = r"(?dmi)^[ \t]*on\b[^\n]*\bwrote:[ \t\r]*\n(?=[ \t]*>)"
 EMPTY_LINES = r"\n[ \t\r]*\n\s*"
 
 
@@ -46,8 +48,8 @@ def normal(text: Column) -> Column:
 
 def own_text(text: Column) -> Column:
     """The text without quotations and the lines that announce them."""
-    bare = F.regexp_replace(F.regexp_replace(text, ANNOUNCED, ""), QUOTED, "")
-    return F.when(F.regexp_like(text, F.lit(r"(?m)^[ \t]*>")), F.regexp_replace(bare, r"\A\s+|\s+\z", "")).otherwise(text)
+    bare = F.regexp_replace(F.regexp_replace(text, ANNOUNCED, ""), QUOTED_LINE, "")
+    return F.when(F.regexp_like(text, F.lit(QUOTES)), F.btrim(bare, F.lit(" \t\n\x0b\x0c\r"))).otherwise(text)
 
 
 def _keys(passages: Column) -> Column:
@@ -56,21 +58,28 @@ def _keys(passages: Column) -> Column:
     return F.transform(F.array_distinct(F.filter(F.transform(parts, normal), lambda p: p != "")), lambda p: F.sha2(p, 256))
 
 
+def quoted_lines(messages: DataFrame) -> DataFrame:
+    """message, conv_id, turn, no, level (marks), body (without them) of each quoted line; written, so that the numbers of
+    messages hold wherever a task runs again."""
+    quoting = messages.filter(F.regexp_like("text", F.lit(QUOTES))).withColumn("message", F.monotonically_increasing_id())
+    lines = quoting.select("message", "conv_id", "turn", F.posexplode(F.split("text", "\n")).alias("no", "line"))
+    lines = lines.withColumn("marks", F.regexp_extract("line", MARKS, 0)).filter("marks != ''")
+    body = F.expr("substring(line, length(marks) + 1)")
+    level = F.length(F.translate("marks", " \t", ""))
+    return written(lines.select("message", "conv_id", "turn", "no", level.alias("level"), F.when(body.startswith(" "), body.substr(F.lit(2), F.length(body))).otherwise(body).alias("body")), "quoted-lines")
+
+
 def quotations(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, level, hash of each passage, paragraph and line that a message quotes; one pass a level."""
-    blocks = messages.filter(F.regexp_like("text", F.lit(r"(?m)^[ \t]*>"))).select("conv_id", "turn", F.explode(F.expr(f"regexp_extract_all(text, r'{QUOTED}', 0)")).alias("block"))
-    level, found = 0, []
-    blocks = written(blocks, "quote-blocks")
-    while not blocks.isEmpty():
-        level += 1
-        inner = blocks.select("conv_id", "turn", F.regexp_replace("block", MARK, "").alias("text"))
-        passages = F.split(F.regexp_replace("text", QUOTED, "\0"), "\0")
-        found.append(inner.select("conv_id", "turn", F.lit(level).alias("level"), F.explode(_keys(passages)).alias("hash")))
-        blocks = written(inner.select("conv_id", "turn", F.explode(F.expr(f"regexp_extract_all(text, r'{QUOTED}', 0)")).alias("block")), "quote-blocks")
-    out = messages.select("conv_id", "turn", F.lit(0).alias("level"), F.lit("").alias("hash")).limit(0)
-    for f in found:
-        out = out.unionByName(f)
-    return out
+    """conv_id, turn, level, hash of each passage, paragraph and line that a message quotes, all levels at once.
+
+    A passage is a run of neighbouring lines of one level: their numbers less their places among the message's lines
+    of that level are the same. Lines are grouped by message, level and run, so a group is a part of one text.
+    """
+    place = F.row_number().over(W.partitionBy("message", "level").orderBy("no"))
+    runs = quoted_lines(messages).withColumn("run", F.col("no") - place)
+    lines = F.sort_array(F.collect_list(F.struct("no", "body")))["body"]
+    passages = runs.groupBy("message", "conv_id", "turn", "level", "run").agg(F.array_join(lines, "\n").alias("passage"))
+    return passages.select("conv_id", "turn", "level", F.explode(_keys(F.array("passage"))).alias("hash"))
 
 
 def replies(messages: DataFrame) -> DataFrame:

@@ -244,6 +244,49 @@ def test_planted_quotations_against_sql(spark, messages, tmp_path):
     assert quotes.link_quotations(messages.limit(0)).count() == 0
 
 
+def test_long_and_deep_quotations(spark, tmp_path):
+    long_ = "\n".join(f"line {i}" + ("\n" if i % 97 == 0 else "") for i in range(100_000))
+    blanks = "a" + " " * 200_000 + "\n> line 5\nb"
+    rows = [
+        (1, 0, "user", long_), (1, 1, "bot", "\n".join(f"> {x}" for x in long_.split("\n")) + "\nmine"),
+        (1, 2, "user", "> > line 3\n" + ">" * 5000 + " line 4\n" + "> " * 4999 + ">line 5\nend"), (1, 3, "bot", blanks),
+        (2, 0, "user", "one\u2028> not a line\x85> nor this"), (2, 1, "bot", "> one\u2028> not a line\x85> nor this"),
+    ]
+    path = str(tmp_path / "m")
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    messages.write.parquet(path)
+    columns, expected = run_oracle(f"{path}/*.parquet")
+    got = sorted(map(tuple, quotes.link_quotations(messages).select(columns).collect()))
+    assert got == sorted(expected)
+    at = {c: i for i, c in enumerate(columns)}
+    assert {(r[at["conv_id"]], r[at["turn"]]): r[at["reply_to"]] for r in got} == {(1, 0): None, (1, 1): 0, (1, 2): 0, (1, 3): 0, (2, 0): None, (2, 1): 0}
+
+
+def test_quotations_planted_in_conversations(spark, tmp_path):
+    """Every message of the table quotes an earlier one, some of them at two levels."""
+    table = spark.read.parquet(f"{SF0001}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    rows = sorted(map(tuple, table.collect()))
+    said = defaultdict(dict)
+    planted = []
+    for conv, turn, role, text in rows:
+        earlier = said[conv]
+        quote = ""
+        if earlier and (conv + turn) % 5:
+            pick = sorted(earlier)[(conv * 7 + turn) % len(earlier)]
+            quote = "".join(f"> {x}\n" for x in earlier[pick].split("\n"))
+            if (conv + turn) % 3 == 0:
+                quote = f"On some day someone wrote:\n>> {earlier[min(earlier)].split(chr(10))[0]}\n" + quote
+        said[conv][turn] = text or ""
+        planted.append((conv, turn, role, quote + (text or "")))
+    path = str(tmp_path / "m")
+    messages = spark.createDataFrame(planted, "conv_id long, turn long, role string, text string")
+    messages.write.parquet(path)
+    columns, expected = run_oracle(f"{path}/*.parquet")
+    got = quotes.link_quotations(messages).select(columns).collect()
+    assert sorted(map(tuple, got)) == sorted(expected)
+    assert sum(r["reply_to"] is not None for r in got) > len(planted) / 3 and max(r["depth"] for r in got) > 1
+
+
 # -- pipeline
 
 
