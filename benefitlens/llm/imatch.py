@@ -110,7 +110,7 @@ def distinct_documents(docs: DataFrame, id_col: str, text_col: str) -> tuple[Dat
     """
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     doc_id = docs[id_col].cast("bigint")
-    key = F.unhex(F.sha2(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), text), 256))
+    key = F.substring(F.unhex(F.sha2(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), text), 256)), 1, 16)
     rows = docs.select(key.alias("key"), doc_id.alias("doc_id"), F.char_length(text).cast("bigint").alias("n_chars"), text.alias("text"))
     texts = rows.groupBy("key").agg(F.max("text").alias("text"))
     sizes = rows.groupBy("key").agg(F.max("doc_id").alias("doc_id"), F.max("n_chars").alias("n_chars"), F.count("*").alias("copies"))
@@ -176,7 +176,7 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints = written(prints.drop("_key"), "fingerprints")
     following = prints.select(F.col("key").alias("next_key"), F.col("whole_0").alias("whole_n"), F.col("subsets_0").alias("subsets_n"))
     last = order.join(prints, "key").join(following, "next_key")
-    before = _times(order.filter("copies > 1").join(prints, "key"), F.col("copies") - 1)
+    before = _times(order.filter("copies > 1").join(prints.filter("sha256_2 IS NOT NULL"), "key"), F.col("copies") - 1)
     return _result(last, "1", "n").unionByName(_result(before, "2", "0"))
 
 

@@ -229,7 +229,7 @@ def brute_prints(rows, low, high):
         either = [(a, b) for a, b in zip(p[1], q[1]) if a is not None or b is not None]
         return 1.0 if p[0] == q[0] else sum(a == b for a, b in either) / len(either) if either else 0.0
 
-    key = lambda r: hashlib.sha256(f"{'' if r[0] is None else r[0]}:{r[1]}".encode()).digest()
+    key = lambda r: hashlib.sha256(f"{'' if r[0] is None else r[0]}:{r[1]}".encode()).digest()[:16]
     rows.sort(key=lambda r: (r[0] is None, -(r[0] or 0), key(r)))
     out = []
     for (i, t), (_, after) in zip(rows, rows[1:] + rows[:1]):
