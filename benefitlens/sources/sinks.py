@@ -41,11 +41,12 @@ def write_version(df: DataFrame, path: str, *partition_by: str, fmt: str = "parq
     spark = df.sparkSession
     name = uuid.uuid4().hex
     df.write.partitionBy(*partition_by).format(fmt).save(f"{path}/{name}")
-    _mark(spark, path, name)
+    mark_version(spark, path, name)
     return name
 
 
-def _mark(spark: SparkSession, path: str, name: str) -> None:
+def mark_version(spark: SparkSession, path: str, name: str) -> None:
+    """Makes the folder ``name`` of the table visible as its next version."""
     hadoop, fs = _filesystem(spark, path)
     number = max((n for n, _ in versions(spark, path)), default=0) + 1
     fs.create(hadoop(f"{path}/{MARKS}/{number:012d}-{name}"), False).close()

@@ -29,7 +29,7 @@ def test_reader_during_a_write_sees_the_old_version(spark, path):
     name = "unfinished"
     _table(spark, "b", 50).write.partitionBy("split").parquet(f"{path}/{name}")  # written, not yet marked
     assert sinks.read_splits(spark, path).agg(F.min("tag"), F.count("*")).first() == ("a", 100)
-    sinks._mark(spark, path, name)
+    sinks.mark_version(spark, path, name)
     assert sinks.read_splits(spark, path).agg(F.min("tag"), F.count("*")).first() == ("b", 50)
     assert opened.agg(F.min("tag"), F.count("*")).first() == ("a", 100)  # opened before, still whole
 
