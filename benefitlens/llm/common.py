@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benefitlens.session import shared_path
@@ -19,10 +19,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only (doc_id, text), so that any other column of the input, whatever its name, is out of the way."""
+    """Only (doc_id, text), so that any other column of the input, whatever its name, is out of the way. Columns are
+    found by their exact names, so others may differ from them in case only."""
+    names = df.columns
+    if id_col in names and text_col in names:
+        df = df.toDF(*(str(i) for i in range(len(names))))
+        id_col, text_col = str(names.index(id_col)), str(names.index(text_col))
     return df.select(df[id_col].cast("bigint").alias("doc_id"), F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"))
 
 
+def text_digest(text: Column) -> Column:
+    """SHA-256 of a text (null counts as empty) as bytes."""
+    return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, once: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose (doc_id, exact: digest of the text) isn't in ``gone``; of those in ``once`` one each.
+
+    Ids may be null or shared: a decision is about an id together with its text. Only few keys should be given, since
+    the rest of the rows then stays where it is.
+    """
+    def met(keys: DataFrame) -> Column:
+        return docs[id_col].cast("bigint").eqNullSafe(keys["doc_id"]) & text_digest(docs[text_col]).eqNullSafe(keys["exact"])
+
+    if once.isEmpty():
+        return docs.join(gone, met(gone), "left_anti")
+    both = gone.unionByName(once)
+    name = "exact_text"
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    single = docs.join(once, met(once), "left_semi").withColumn(name, F.coalesce(docs[text_col], F.lit(""))).dropDuplicates([id_col, name]).drop(name)
+    return docs.join(both, met(both), "left_anti").unionByName(single)
+
+
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the shared folder that the cluster names in ``spark.checkpoint.dir``."""
     return shared_path(spark, "llm", f"{name}-{uuid.uuid4().hex[:12]}")

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benefitlens.llm.common import id_text, join_groups, on_workers, written
+from benefitlens.llm.common import id_text, join_groups, on_workers, text_digest, without_rows, written
 from benefitlens.llm.components import components
 from benefitlens.llm.words import seeded_hashes
 
@@ -99,20 +99,23 @@ def _class_of(members: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(members.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _sets(batches: Iterator[pa.RecordBatch], column: int, seed: int) -> Iterator[tuple[list, list[np.ndarray]]]:
-    """(ids, sets) of one group of texts after another."""
+def _sets(batches: Iterator[pa.RecordBatch], column: int, seed: int, carried: bool = False) -> Iterator[tuple]:
+    """(ids, sets) of one group of texts after another, and what the third column holds if it's carried along."""
     for batch in batches:
         ids, texts = batch.column(0).to_pylist(), batch.column(column).to_pylist()
         first, size = 0, 0
         for i, t in enumerate(texts):
             size += len(t)
             if size >= GROUP_BYTES or i + 1 == len(texts):
-                yield ids[first : i + 1], shingle_sets(texts[first : i + 1], seed)
+                yield ids[first : i + 1], shingle_sets(texts[first : i + 1], seed), *([batch.column(2).slice(first, i + 1 - first)] if carried else [])
                 first, size = i + 1, 0
 
 
 def _incidence(docs: DataFrame, seed: int) -> DataFrame:
-    """Rows of two kinds: (doc_id, n, class) of each document, and (shingle, times) of a task's common shingles."""
+    """Rows of two kinds: (doc_id, n, class) of each document, and (shingle, times) of a task's common shingles. A third
+    column of ``docs`` (bytes) goes with the documents as ``exact``."""
+    carried = len(docs.columns) > 2
+    names = ["doc_id", "n", "class", "shingle", "times", *(["exact"] if carried else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, seen = [], 0, set()
@@ -121,12 +124,12 @@ def _incidence(docs: DataFrame, seed: int) -> DataFrame:
             shingle, times = np.unique(np.concatenate(held), return_counts=True)
             shingle, times = shingle[times >= COMMON_IN_RUN], times[times >= COMMON_IN_RUN]
             none = pa.nulls(len(shingle), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, none, pa.array(shingle.view(np.int64)), pa.array(times)], names=["doc_id", "n", "class", "shingle", "times"])
+            return pa.RecordBatch.from_arrays([none, none, none, pa.array(shingle.view(np.int64)), pa.array(times), *([pa.nulls(len(shingle), pa.binary())] if carried else [])], names=names)
 
-        for ids, sets in _sets(batches, 1, seed):
+        for ids, sets, *exact in _sets(batches, 1, seed, carried):
             classes = [_class_of(s) for s in sets]
             none = pa.nulls(len(ids), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.int64()), none, none], names=["doc_id", "n", "class", "shingle", "times"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.int64()), none, none, *exact], names=names)
             for c, s in zip(classes, sets):
                 if c not in seen:
                     seen.add(c)
@@ -138,7 +141,7 @@ def _incidence(docs: DataFrame, seed: int) -> DataFrame:
         if held:
             yield common()
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, class bigint, shingle bigint, times bigint")
+    return docs.mapInArrow(run, "doc_id bigint, n bigint, class bigint, shingle bigint, times bigint" + (", exact binary" if carried else ""))
 
 
 def _common_columns(incidence: DataFrame) -> np.ndarray:
@@ -325,15 +328,16 @@ def _linked(docs: DataFrame, pairs: DataFrame, seed: int) -> DataFrame:
     return with_b.select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, class of each document; a, b of the verified links between classes).
+def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, class of each document, with the text's digest as exact if wanted; a, b of the verified links between
+    classes).
 
     The links connect whatever links; within a component they need not be all.
     """
     on_workers(docs.sparkSession)
     d, seed = id_text(docs, id_col, text_col), secrets.randbits(63)  # no text can be made up to collide
-    incidence = written(_incidence(d, seed), "incidence")
-    members = incidence.filter("class IS NOT NULL").select("doc_id", "n", "class")
+    incidence = written(_incidence(d.withColumn("exact", text_digest(d["text"])) if digests else d, seed), "incidence")
+    members = incidence.filter("class IS NOT NULL").select("doc_id", "n", "class", *(["exact"] if digests else []))
     entries = _prefixes(d, _common_columns(incidence), seed).repartition("column").mapInArrow(_shared_columns, "column bigint, class bigint, n int, place int")
     entries = written(entries, "shared-columns")
     firsts = entries.repartition("column").sortWithinPartitions("column", "n", "class").mapInArrow(_first_pairs, _PAIRS)
@@ -355,3 +359,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     named = labelled.join(lowest, "label").select("class", "size", "component_id")
     linked = join_groups(members.filter("n > 0"), named, "class", "size").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return linked.unionByName(members.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, of which no other row of their component comes first: by doc_id (null
+    last), then by the text's digest. Rows without words stay."""
+    members, links = link(docs, id_col, text_col, digests=True)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "exact")
+    classes = members.filter("n > 0").groupBy("class").agg(F.min(order).alias("first"), F.count("*").alias("size"))
+    labelled = written(classes.join(components(links).withColumnRenamed("node", "class"), "class", "left").select("class", "first", "size", F.coalesce("label", "class").alias("label")), "classes")
+    firsts = labelled.groupBy("label").agg(F.min("first").alias("stays"))
+    # a class of one row that is its component's first has nothing that goes
+    going = labelled.join(firsts, "label").filter((F.col("size") > 1) | ~F.col("first").eqNullSafe(F.col("stays")))
+    named = going.select("class", "size", F.col("stays.doc_id").alias("stay_id"), F.col("stays.exact").alias("stay_exact"))
+    rows = join_groups(members.filter("n > 0"), named, "class", "size")
+    stays = F.col("doc_id").eqNullSafe(F.col("stay_id")) & (F.col("exact") == F.col("stay_exact"))
+    keys = rows.groupBy("doc_id", "exact").agg(F.max(stays).alias("kept"), F.count("*").alias("n"))
+    keys = written(keys.filter("NOT kept OR n > 1"), "near-copies")
+    return without_rows(docs, keys.filter("NOT kept"), keys.filter("kept"), id_col, text_col)

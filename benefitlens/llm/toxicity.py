@@ -188,6 +188,18 @@ def _probability(folds: list[tuple[np.ndarray, float]], features: int):
     return F.udf(of, "double")
 
 
+def _chained(table: WordTable, chain: Chain, texts: list[str]) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(first text, each category's probabilities) of one group of texts after another."""
+    k = len(chain.features)
+    for first, found in _active(table, texts):
+        at, owner = np.concatenate(found).astype(np.int64), np.repeat(np.arange(len(found)), [len(f) for f in found])
+        before: list[np.ndarray] = []
+        for _, weights, intercept in chain.models:
+            z = intercept + np.bincount(owner, weights[at], len(found)) + sum((w * p for w, p in zip(weights[k:], before)), np.zeros(len(found)))
+            before.append(1 / (1 + np.exp(-z)))
+        yield first, before
+
+
 def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and the probability p_<category> of each category."""
     on_workers(docs.sparkSession)
@@ -196,19 +208,31 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c: Chain = fitted.value
-        table, k = feature_table(c.features), len(c.features)
+        table = feature_table(c.features)
         for batch in batches:
-            for first, found in _active(table, batch.column(1).to_pylist()):
-                at, owner = np.concatenate(found).astype(np.int64), np.repeat(np.arange(len(found)), [len(f) for f in found])
-                before: list[np.ndarray] = []
-                for _, weights, intercept in c.models:
-                    z = intercept + np.bincount(owner, weights[at], len(found)) + sum((w * p for w, p in zip(weights[k:], before)), np.zeros(len(found)))
-                    before.append(1 / (1 + np.exp(-z)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(found)), *map(pa.array, before)], names=["doc_id", *names])
+            for first, found in _chained(table, c, batch.column(1).to_pylist()):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(found[0])), *map(pa.array, found)], names=["doc_id", *names])
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, " + ", ".join(f"{n} double" for n in names))
 
 
+def below(docs: DataFrame, chain: Chain, category: str, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose probability is below the category's threshold; each row is
+    decided by its own text, so ids may be null or shared."""
+    on_workers(docs.sparkSession)
+    fitted = docs.sparkSession.sparkContext.broadcast(chain)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c: Chain = fitted.value
+        table, k = feature_table(c.features), [name for name, _, _ in c.models].index(category)
+        for batch in batches:
+            for first, found in _chained(table, c, [t or "" for t in batch.column(at).to_pylist()]):
+                yield batch.slice(first, len(found[k])).filter(pa.array(found[k] < c.thresholds[category]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 #: The chain of the given tables: documents of low quality, then toxic ones.
 CATEGORIES = {"low_quality": "1 - quality", "toxic": "toxic"}
 
@@ -217,3 +241,8 @@ def toxic_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """doc_id, p_low_quality, p_toxic, toxic (p_toxic at the fitted threshold or over) of every document."""
     chain = fit_chain(docs, labels, CATEGORIES, id_col, text_col)
     return score(docs, chain, id_col, text_col).withColumn("toxic", F.col("p_toxic") >= chain.thresholds["toxic"])
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``toxic_documents`` doesn't call toxic, with all their columns."""
+    return below(docs, fit_chain(docs, labels, CATEGORIES, id_col, text_col), "toxic", text_col)

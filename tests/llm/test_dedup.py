@@ -80,6 +80,26 @@ def test_anti_join_reads_the_index_in_buckets(spark):
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan and "Exchange" not in plan
 
 
+def test_the_index_gets_more_buckets(spark):
+    path = fresh_folder(spark, "index")
+    texts = [(i, f"text {i % 700}") for i in range(1000)]
+    index = exact_dedup.DigestIndex(spark, path, 2, rows_per_bucket=100)
+    assert exact_dedup.dedup(docs_of(spark, texts[:150]), index, "one").filter("kept").count() == 150
+    assert index.buckets == 2
+    kept = [r["doc_id"] for r in exact_dedup.dedup(docs_of(spark, texts[150:]), index, "two").filter("kept").collect()]
+    assert sorted(kept) == list(range(150, 700)) and index.buckets == 32
+    again = exact_dedup.DigestIndex(spark, path, 2, rows_per_bucket=100)
+    assert again.buckets == 32 and again.rows().count() == 700
+    assert exact_dedup.dedup(docs_of(spark, texts), again, "three").filter("kept").count() == 0
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("staged_")]
+
+
+def test_columns_that_differ_in_case(spark):
+    docs = docs_of(spark, [(1, "a b"), (2, "ab")]).withColumn("x", F.lit(1)).toDF("doc_id", "text", "TEXT", "Doc_Id", "n", "m")
+    got = exact_dedup.dedup(docs, exact_dedup.DigestIndex(spark, fresh_folder(spark, "index"), 4), "one").collect()
+    assert {(r["doc_id"], r["keep_id"], r["kept"]) for r in got} == {(1, 1, True), (2, 1, False)}
+
+
 def words(text):
     return re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 

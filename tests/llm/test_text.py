@@ -5,6 +5,7 @@ from html.parser import HTMLParser
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from benefitlens.llm import html_layout, quotes, toxicity
@@ -316,6 +317,37 @@ def test_pipeline_stages(spark):
     assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in apart.collect()}
 
 
+def test_pipeline_decides_rows_not_ids(spark):
+    """Null and shared ids: each row stands or falls by itself."""
+    labels = spark.read.parquet(f"{SF0001}/labels.parquet")
+    docs = corpus_pipeline.table(spark, SF0001, "documents")
+    chain = toxicity.fit_chain(docs, labels, toxicity.CATEGORIES)
+    shared = docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 > 0, F.lit(7))).withColumn("stay_id", F.lit(1))
+    p = {r["text"]: r["p_toxic"] for r in toxicity.score(docs, chain).join(docs, "doc_id").collect()}
+    left = [r["text"] for r in toxicity.below(shared, chain, "toxic").collect()]
+    assert sorted(map(str, left)) == sorted(str(r["text"]) for r in docs.collect() if p[r["text"]] < chain.thresholds["toxic"])
+    assert len(left) < docs.count()
+
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join(words)
+    rows = [
+        (None, "a b", 0), (None, "ab", 1), (None, "c", 2), (7, "c", 3), (7, "d  d", 4), (7, "d d", 5), (7, "d  d", 6), (7, None, 7), (7, "", 8), (7, None, 9),
+        (None, near, 10), (None, near + " more", 11), (8, near + " last", 12), (9, "quite another text of more words than five", 13), (9, "and this one is again another than the others", 14),
+    ]
+    docs = spark.createDataFrame([(*r, 0.5, "x") for r in rows], "doc_id long, text string, row long, stay_id double, digest string")
+    single = corpus_pipeline.drop_exact_copies(spark, docs, SF0001)
+    assert single.columns == docs.columns
+    kept = sorted((r["doc_id"] or 0, r["text"] or "") for r in single.collect())
+    assert kept == sorted([(0, "a b"), (7, "c"), (7, "d  d"), (7, ""), (0, near), (0, near + " more"), (8, near + " last"), rows[13][:2], rows[14][:2]])
+    apart = corpus_pipeline.drop_near_copies(spark, corpus_pipeline.written(single, "t"), SF0001)
+    assert apart.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in apart.collect()) == sorted(k for k in kept if k not in [(0, near), (0, near + " more")])
+    again = corpus_pipeline.drop_near_copies(spark, docs, SF0001).filter("row >= 10")
+    assert sorted(r["row"] for r in again.collect()) == [12, 13, 14]
+    empty = docs.limit(0)
+    assert corpus_pipeline.drop_exact_copies(spark, empty, SF0001).count() == corpus_pipeline.drop_near_copies(spark, empty, SF0001).count() == 0
+
+
 def test_pipeline_runs(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "exact dedup", "n-gram Jaccard join", "best-fit packing"]
     assert corpus_pipeline.run(spark, SF0001).count() > 0
