@@ -2,10 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as
 Parquet and read again as the next stage's docs. All but the last return the
-columns of ``documents``; a decision is joined back to the rows by doc_id. Rows
-that share a doc_id stand or fall together in the first and third stage, and the
-second keeps one of those that also share their text. A stage drops nothing but
-what its operator rejects: rows without doc_id stay.
+columns of ``documents``. Rows are decided by themselves: the first stage decides
+a row by its text, the second and third by its doc_id together with its text, so
+rows that share a doc_id, or have none, stand or fall each on its own, and of rows
+that repeat both one is left. A stage drops nothing but what its operator rejects.
 
 Stages hold no SQL form together (the classifier and the packing have none), so
 there's no ORACLE_SQL; tests compare each stage with brute force.
@@ -14,7 +14,6 @@ there's no ORACLE_SQL; tests compare each stage with brute force.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from benefitlens.llm import exact_dedup, ngram_join, packing, toxicity
 from benefitlens.llm.common import fresh_folder, table, written
@@ -22,8 +21,7 @@ from benefitlens.llm.common import fresh_folder, table, written
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain doesn't call toxic."""
-    found = toxicity.toxic_documents(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, found.filter("toxic"), "rejected")
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,9 +30,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of the n-gram Jaccard join: the one that names it."""
-    found = ngram_join.jaccard_components(docs)
-    return _without(docs, found.filter("component_id IS NOT NULL AND doc_id != component_id"), "near-copies")
+    """One document of each component of the n-gram Jaccard join: the one with the smallest doc_id."""
+    return ngram_join.without_near_copies(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,11 +39,6 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs)
 
 
-def _without(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
-    gone = written(gone.select(F.col("doc_id").alias("gone_id")).dropna().distinct(), name)
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
-
-
 STAGES = [
     ("toxicity", reject_toxic),
     ("exact dedup", drop_exact_copies),
