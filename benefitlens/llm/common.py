@@ -36,20 +36,24 @@ def text_digest(text: Column) -> Column:
 def without_rows(docs: DataFrame, gone: DataFrame, once: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose (doc_id, exact: digest of the text) isn't in ``gone``; of those in ``once`` one each.
 
-    Ids may be null or shared: a decision is about an id together with its text. Only few keys should be given, since
-    the rest of the rows then stays where it is.
+    Ids may be null or shared: a decision is about an id together with its text. Rows are told apart by a 64-bit hash of
+    both first, of which only that of the given keys travels; only rows that meet one are compared exactly, so the
+    others' texts aren't moved while the keys are few enough to broadcast.
     """
     def met(keys: DataFrame) -> Column:
         return docs[id_col].cast("bigint").eqNullSafe(keys["doc_id"]) & text_digest(docs[text_col]).eqNullSafe(keys["exact"])
 
-    if once.isEmpty():
-        return docs.join(gone, met(gone), "left_anti")
     both = gone.unionByName(once)
+    numbers = both.select(F.xxhash64("doc_id", "exact").alias("number"))
+    meets = F.xxhash64(docs[id_col].cast("bigint"), text_digest(docs[text_col])) == numbers["number"]
+    near = docs.join(numbers, meets, "left_semi")
+    out = docs.join(numbers, meets, "left_anti").unionByName(near.join(both.hint("merge"), met(both), "left_anti"))
+    if once.isEmpty():
+        return out
     name = "exact_text"
     while name.lower() in (c.lower() for c in docs.columns):
         name += "_"
-    single = docs.join(once, met(once), "left_semi").withColumn(name, F.coalesce(docs[text_col], F.lit(""))).dropDuplicates([id_col, name]).drop(name)
-    return docs.join(both, met(both), "left_anti").unionByName(single)
+    return out.unionByName(near.join(once, met(once), "left_semi").withColumn(name, F.coalesce(docs[text_col], F.lit(""))).dropDuplicates([id_col, name]).drop(name))
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
