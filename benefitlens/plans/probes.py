@@ -87,9 +87,10 @@ def sentinel_experiment(engineered: DataFrame) -> DataFrame:
     for name, sentinel in [("null", None), ("sentinel_-999", -999.0)]:
         v = stratified_folds(sentinel_variant(engineered, sentinel))
         prepared = learner_input(modeling.prepare(v, SENTINEL_FEATURES).checkpoint(eager=True))
-        for model_name, make in learners.items():
-            r = modeling.cross_validate(prepared, make(), SENTINEL_FEATURES, parallelism=5).first()
-            rows.append((name, model_name, r["cv_auc_mean"], r["cv_auc_std"]))
-        prepared.unpersist()
+        try:
+            found = modeling.cross_validate_all(prepared, {n: make() for n, make in learners.items()}, SENTINEL_FEATURES, parallelism=5)
+            rows += [(name, r["model"], r["cv_auc_mean"], r["cv_auc_std"]) for r in found.collect()]
+        finally:
+            prepared.unpersist()
     return engineered.sparkSession.createDataFrame(
         rows, "variant string, model string, cv_auc_mean double, cv_auc_std double")
