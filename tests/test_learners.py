@@ -65,6 +65,22 @@ def test_default_partitions_follow_the_rows(spark, monkeypatch):
     assert training.learner_input(df).rdd.getNumPartitions() == 9
 
 
+def test_a_round_over_many_rows_keeps_a_dozen_cores_busy(spark):
+    """The training rows of 900,000 employees took four tasks a pass."""
+    assert training.learner_partitions(spark.range(720_000)) >= 12
+
+
+def test_a_query_that_reads_no_test_scores_makes_no_test_split(spark, monkeypatch):
+    from benefitlens import catalog
+
+    def unwanted(*_):
+        raise AssertionError("test split")
+    monkeypatch.setattr(training, "final_model", lambda *_: "the model")
+    monkeypatch.setattr(training, "test_frame", unwanted)
+    monkeypatch.setattr(catalog, "_eng", lambda *_: None)
+    assert catalog._model(spark, "") == "the model"
+
+
 def test_fitted_preprocessing_is_saved_with_the_model(spark):
     df = _frame(spark, 400)
     path = shared_path(spark, "tests", f"exact-{random.random()}")
