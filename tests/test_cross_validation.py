@@ -56,3 +56,32 @@ def test_rows_without_a_fold_are_refused(spark, fold):
 def test_an_empty_fold_is_refused(spark):
     with pytest.raises(ValueError, match="validation data at fold 2"):
         modeling.cross_validate(_frame(spark, 60).filter("fold != 2"), modeling.gbt(max_iter=1), FEATURES)
+
+
+def test_feature_sets_of_the_ablation_share_a_split_and_run_side_by_side(spark, monkeypatch):
+    from pyspark.ml.classification import LogisticRegression as Plain
+    from benefitlens.plans import training
+
+    rnd = random.Random(4)
+    rows = [(i, rnd.choice(["train", "train", "test"]), a := rnd.gauss(0, 1), rnd.gauss(0, 1), int(a + rnd.gauss(0, 1) > 0)) for i in range(300)]
+    df = spark.createDataFrame(rows, "employee_id long, split string, a double, b double, enrolled int")
+    prepared = modeling.prepare(df, ["a", "b"])
+    splits, barrier = [], threading.Barrier(2)
+
+    def one_split(engineered, features):
+        splits.append(features)
+        return prepared.filter("split = 'train'").persist(), prepared.filter("split = 'test'")
+
+    def learner():
+        x = Together(maxIter=5)
+        x.begun, x.barrier = [], barrier
+        return x
+    monkeypatch.setattr(training, "split_frames", one_split)
+    monkeypatch.setattr(training, "ablation_features", lambda: {"one": ["b"], "both": ["b", "a"]})
+    monkeypatch.setattr(modeling, "gbt", learner)
+    got = {r.variant: r for r in training.ablation(df).collect()}
+    assert splits == [["b", "a"]] and {k: r.n_features for k, r in got.items()} == {"one": 1, "both": 2}
+    train, test = prepared.filter("split = 'train'"), prepared.filter("split = 'test'")
+    for name, features in (("one", ["b"]), ("both", ["b", "a"])):
+        model = modeling.tree_pipeline(train, Plain(maxIter=5), features).fit(train)
+        assert got[name].roc_auc == pytest.approx(training.evaluate(modeling.score(model, test), "x")["roc_auc"], abs=1e-9)
