@@ -41,6 +41,8 @@ END_ID = 0
 ROUNDS, RATE = 48, 0.6
 #: A round on what the fractions leave uses a pattern this part of the times that the pieces left allow, at least once.
 PART = 8
+#: Rows of a batch whose texts a task holds as Python strings at a time.
+ROWS_AT_A_TIME = 250
 
 Plan = list[tuple[int, tuple[tuple[int, int], ...]]]
 
@@ -232,7 +234,7 @@ def cut_pieces(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", end_id: i
         from benefitlens.llm.tokenizer_ids import ids_of
 
         task, met = TaskContext.get().partitionId(), defaultdict(int)
-        for batch in batches:
+        for batch in (b.slice(i, ROWS_AT_A_TIME) for b in batches for i in range(0, b.num_rows, ROWS_AT_A_TIME)):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for first, values, sizes in ids_of(vocabulary, texts):
                 values = np.insert(values, np.cumsum(sizes), end_id).astype("<u4")

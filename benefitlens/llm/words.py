@@ -35,9 +35,9 @@ BLANK, WHITE, LETTER, NUMBER, OTHER, BREAK = range(6)
 
 #: Texts are worked on in groups of about this many characters.
 GROUP_CHARS = 1_000_000
-#: Words in a worker's table; beyond them it starts anew.
-MAX_WORDS = 1_000_000
-MAX_VALUES = 12_000_000
+#: Words in a worker's table and their values; beyond them it starts anew with the words that were met again.
+MAX_WORDS = 300_000
+MAX_VALUES = 4_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -203,6 +203,20 @@ class WordTable:
         self.hashes, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)  # hash 0: a word looked up as text
         self.clashing: dict[str, int] = {}
         self.first, self.size, self.values = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype)
+        self.again = np.zeros(0, bool)  # met in a later call than the one that brought the word
+
+    def _renew(self) -> None:
+        """Starts anew with the indexed words that were met again, if they take half of the table at most."""
+        kept = np.flatnonzero(self.again & (self.hashes != 0))
+        size = self.size[kept]
+        if 2 * len(kept) > MAX_WORDS or 2 * int(size.sum()) > MAX_VALUES:
+            kept = size = kept[:0]
+        hashes, checks, values = self.hashes[kept], self.checks[kept], self.values[spread(self.first[kept], size)]
+        self._clear()
+        if len(kept):
+            self.hashes, self.checks, self.values = hashes, checks, values
+            self.first, self.size, self.again = np.cumsum(size) - size, size, np.zeros(len(kept), bool)
+            self._index()
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
         """Rows of the hashes; -1 where there is none."""
@@ -238,15 +252,20 @@ class WordTable:
         self.size = np.concatenate([self.size, size])
         self.values = np.concatenate([self.values, values.astype(self.dtype, copy=False)])
         self.hashes, self.checks = np.concatenate([self.hashes, hashes]), np.concatenate([self.checks, checks])
+        self.again = np.concatenate([self.again, np.zeros(len(hashes), bool)])
         return rows
 
+    def _index(self) -> None:
+        """Places all rows anew, in a larger index where it is too full."""
+        self.bits = max(self.bits, int(2 * len(self.hashes)).bit_length())
+        self.keys, self.rows = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.int32)
+        indexed = np.flatnonzero(self.hashes)
+        self._place(self.hashes[indexed], indexed.astype(np.int32))
+
     def _learn(self, hashes: np.ndarray, checks: np.ndarray, words: list[str]) -> None:
         rows = self._append(hashes, checks, words)
         if 2 * len(self.hashes) > len(self.keys):
-            self.bits = max(self.bits, int(4 * len(self.hashes) - 1).bit_length())
-            self.keys, self.rows = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.int32)
-            indexed = np.flatnonzero(self.hashes)
-            self._place(self.hashes[indexed], indexed.astype(np.int32))
+            self._index()
         else:
             self._place(hashes, rows)
 
@@ -259,7 +278,7 @@ class WordTable:
     def rows_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(row of each word in order, words of each text). The rows hold until the next call."""
         if len(self.hashes) > MAX_WORDS or len(self.values) > MAX_VALUES:
-            self._clear()
+            self._renew()
         joined = "\n".join(["", *texts, ""])
         code = np.frombuffer(joined.encode("utf-32-le"), "<u4")
         kind = char_classes()[code]
@@ -272,6 +291,7 @@ class WordTable:
         first, last = start[is_word], end[is_word]
         hashes, checks = quick_hashes(code, first, last), seeded_hashes(code, first, last, process_seed())
         rows = self._find(hashes)
+        self.again[rows[rows >= 0]] = True
         new = np.flatnonzero(rows < 0)
         if len(new):
             unique, at = np.unique(hashes[new], return_index=True)

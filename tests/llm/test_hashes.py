@@ -3,6 +3,7 @@ import base64
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
@@ -109,6 +110,28 @@ def test_a_full_table_starts_anew_and_keeps_clashing_words_apart(library, monkey
         assert [ids[e - n : e].tolist() for n, e in zip(sizes, ends)] == [library.encode(t).ids for t in texts[i : i + 6]]
 
 
+def test_a_full_table_keeps_the_words_that_were_met_again(monkeypatch):
+    monkeypatch.setattr(words, "MAX_WORDS", 40)
+    encoded = Counter()
+    table = words.WordTable(lambda new: (encoded.update(new), words.ragged(list(map(ord, w)) for w in new))[1])
+    for i in range(60):
+        texts = ["one two three", f"a{i} b{i} c{i} d{i}", "é" + chr(0x4E00 + i)]
+        values, sizes = table.values_of(texts)
+        assert "".join(map(chr, values)) == "".join(texts) and sizes.tolist() == list(map(len, texts))
+    assert encoded["one"] == encoded[" two"] == encoded[" three"] == 1
+    assert len(table.hashes) < 60
+
+
+def test_a_table_holds_a_bounded_part_of_a_worker():
+    """Of 600,000 different words."""
+    table = words.WordTable(lambda new: words.ragged([1, 2, 3, 4] for _ in new))
+    most = 0
+    for i in range(0, 600_000, 50_000):
+        table.values_of([" ".join(f"{chr(0x4E00 + j % 5000)}{chr(0x4E00 + j // 5000)}" for j in range(i, i + 50_000))])
+        most = max(most, sum(x.nbytes for x in vars(table).values() if isinstance(x, np.ndarray)))
+    assert most < 35_000_000
+
+
 def test_tables_of_powers_stay_small():
     """A long text needs no longer tables than any other."""
     words.quick_hashes(np.full(3_000_000, 97, np.uint32), np.arange(0, 3_000_000, 1000), np.arange(1000, 3_000_001, 1000))
