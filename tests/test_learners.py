@@ -81,6 +81,22 @@ def test_a_query_that_reads_no_test_scores_makes_no_test_split(spark, monkeypatc
     assert catalog._model(spark, "") == "the model"
 
 
+def test_the_final_split_is_made_once_for_the_fit_and_the_scorings(spark, monkeypatch):
+    from benefitlens.constants import CATEGORICAL_LEVELS, EXPECTED_FEATURES
+    calls, made, name = [], training.stratified_split, f"test-{random.getrandbits(64)}"
+    monkeypatch.setattr(training, "stratified_split", lambda df: (calls.append(1), made(df))[1])
+    monkeypatch.setattr(training, "input_fingerprint", lambda *_: name)
+    columns = [F.lit(CATEGORICAL_LEVELS[c][0]).alias(c) if c in CATEGORICAL_LEVELS else (F.rand(3) * 9).alias(c) for c in EXPECTED_FEATURES]
+    e = spark.range(60).select(F.col("id").alias("employee_id"), (F.col("id") % 2).cast("int").alias("enrolled"), *columns).checkpoint()
+    test = training.final_test(spark, "", e)
+    again = training.final_test(spark, "", e)
+    train, _ = training.both_sides(training.final_split(spark, "", e))
+    assert len(calls) == 1 and train.count() == 48
+    train.unpersist()
+    want = sorted(map(str, training.test_frame(e).collect()))
+    assert len(want) == 12 and sorted(map(str, test.collect())) == want and sorted(map(str, again.collect())) == want
+
+
 def test_fitted_preprocessing_is_saved_with_the_model(spark):
     df = _frame(spark, 400)
     path = shared_path(spark, "tests", f"exact-{random.random()}")
