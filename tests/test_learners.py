@@ -70,6 +70,33 @@ def test_a_round_over_many_rows_keeps_a_dozen_cores_busy(spark):
     assert training.learner_partitions(spark.range(720_000)) >= 12
 
 
+def test_a_round_over_more_rows_takes_no_more_tasks_than_keep_the_cores_busy(spark):
+    """Six times the rows took 72 tasks a pass on a dozen cores, whatever the cores."""
+    busy = max(12, 2 * spark.sparkContext.defaultParallelism)
+    assert training.learner_partitions(spark.range(60_000 * (busy + 1))) == busy
+    assert training.learner_partitions(spark.range(600_000 * (busy + 1))) == busy + 1
+
+
+def test_a_learner_reads_a_checkpoint_and_fits_the_same_model(spark):
+    seen = []
+
+    class Seen(modeling.GBTClassifier):
+        def _fit(self, dataset):
+            seen.append(dataset._jdf.queryExecution().executedPlan().toString())
+            return super()._fit(dataset)
+
+    train = training.learner_input(_frame(spark, 600))
+    of = lambda make: modeling.tree_pipeline(train, make(labelCol="label", featuresCol="features", maxIter=4, maxBins=64, seed=1), FEATURES)
+    model, plain = modeling.fit(of(Seen), train), of(modeling.GBTClassifier).fit(train)
+    assert len(seen) == 1 and "ExistingRDD" in seen[0] and "InMemory" not in seen[0] and "Project" not in seen[0]
+    trees = lambda m: [t.toDebugString.split("\n", 1)[1] for t in m.stages[-1].trees]
+    assert trees(model) == trees(plain)
+    path = shared_path(spark, "tests", f"fitted-{random.random()}")
+    p = lambda m: sorted(map(str, modeling.score(m, train).collect()))
+    assert p(modeling.save_and_reload(model, path)) == p(plain)
+    train.unpersist()
+
+
 def test_a_query_that_reads_no_test_scores_makes_no_test_split(spark, monkeypatch):
     from benefitlens import catalog
 
