@@ -40,6 +40,26 @@ def test_mixed_date_parsing(spark):
         assert by[t] == (d, m), t
 
 
+def test_a_date_is_tried_only_with_patterns_it_may_match(spark):
+    """A slash date failed on three patterns first, each failure an exception."""
+    texts = [t for t, _, _ in DATE_CASES if t] + ["-2024/1/2", "+12345-1-2", "5 Jan 2024", "1-2-24", "not a date"]
+    df = spark.createDataFrame([(t.strip(),) for t in texts], "t string")
+    t = F.col("t")
+    rows = df.select("t", *[F.struct(dates._may_match(t, p).alias("may"), F.try_to_date(t, p).isNotNull().alias("is")).alias(p)
+                            for p in dates.DAY_FIRST + ["d/M/yy", "M-d-yy"]]).collect()
+    assert all(r[p].may for r in rows for p in r.asDict() if p != "t" and r[p]["is"])
+    tried = {r.t: [p for p in dates.DAY_FIRST if r[p].may] for r in rows}
+    assert tried["13/07/2024"] == ["d/M/yyyy", "M/d/yyyy"] and tried["2024-01-02"][0] == "yyyy-M-d"
+    assert not set(tried["20240102"]) - {"yyyyMMdd"}
+
+
+def test_a_text_without_a_time_takes_no_search_for_one(spark):
+    df = spark.createDataFrame([("2024-01-02",), ("2024-01-02 10:30",), ("2024-01-02 25:30",), (None,)], "t string")
+    assert [r[0] for r in df.select(dates.seconds_of_day("t")).collect()] == [0, 37800, None, 0]
+    plan = df.select(dates.seconds_of_day("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Contains(") < plan.index("regexp_extract")
+
+
 def test_day_gap_and_after_flag_with_missing_sides(spark):
     df = spark.createDataFrame([(D(2024, 1, 10), D(2024, 1, 3)), (None, D(2024, 1, 3)), (D(2024, 1, 1), D(2024, 1, 3))],
                                "a date, c date")
